@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow import oracle_sql as O
+from orderflow.operators import checks as C
 from orderflow.operators.latest import latest_rows, max_per_key
+from orderflow.operators.sequence import STG_TIEBREAK, illegal_transitions, status_transitions
 from orderflow.plans import marts, models, panels
 from orderflow.plans.ingest import decode_operation, filter_changes
 from orderflow.plans.staging import stg_orders
 from orderflow.schemas import ORDERS_PROCESSED, ORDERS_WIRE
 from orderflow.sources import wire as W
-from orderflow.sources.testdata import order_feed, to_topic_records
+from orderflow.sources.testdata import customers, order_feed, products, to_topic_records
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -123,12 +125,124 @@ def q_hourly_cancellation_rate(spark, d):
     return panels.hourly_cancellation_rate(models.metrics(spark, d))
 
 
+def q_data_tests(spark, d):
+    stg = models.staged(spark, d)
+    return C.run_declared_tests(stg, marts.fct_orders(stg))
+
+
+def _tests_of(kind):
+    return [(m, c, t, v) for m, c, t, v in C.DECLARED_TESTS if t == kind]
+
+
+def q_check_not_null(spark, d):
+    stg = models.staged(spark, d)
+    fct = marts.fct_orders(stg)
+    out = None
+    for model, df in (("stg_orders", stg), ("fct_orders", fct)):
+        part = C.column_tests(df, model, [(c, t, v) for m, c, t, v in _tests_of("not_null") if m == model])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_check_accepted_values(spark, d):
+    return C.column_tests(models.staged(spark, d), "stg_orders",
+                          [(c, t, v) for m, c, t, v in _tests_of("accepted_values")])
+
+
+def q_check_unique(spark, d):
+    return C.unique_violations(models.fact(spark, d), ["order_id"])
+
+
+def q_check_ranges(spark, d):
+    return C.range_violations(models.staged(spark, d), "stg_orders", C.range_rules_orders()).unionByName(
+        C.range_violations(products(spark, d), "products", C.range_rules_products()))
+
+
+def q_check_generated_amount(spark, d):
+    return _out(C.generated_amount_violations(models.staged(spark, d)))
+
+
+def q_fk_orphans(spark, d):
+    stg = models.staged(spark, d)
+    return C.fk_summary(stg, "customer_id", customers(spark, d), "id", "orders.customer_id -> customers").unionByName(
+        C.fk_summary(stg, "product_id", products(spark, d), "id", "orders.product_id -> products"))
+
+
+def q_status_transitions(spark, d):
+    return status_transitions(models.staged(spark, d))
+
+
+def q_illegal_transitions(spark, d):
+    return illegal_transitions(models.staged(spark, d))
+
+
 _WIRE_COLS = [f.name for f in ORDERS_WIRE.fields]
 _TOMBSTONE_NULLED = ", ".join(f"CASE WHEN __op IS NULL THEN NULL ELSE {c} END AS {c}" for c in _WIRE_COLS)
 _SERIES = ("SELECT epoch_ms(metric_hour) AS ts, COALESCE(CAST({v} AS {t}), 0) AS value "
            "FROM fct_order_metrics ORDER BY metric_hour DESC NULLS LAST LIMIT 48")
 
+def _col_test_sql(model, col, test, vals):
+    if test == "not_null":
+        f = f"COUNT(*) FILTER (WHERE {col} IS NULL)"
+    else:
+        lst = ", ".join(f"'{v}'" for v in vals)
+        f = f"COUNT(DISTINCT CASE WHEN {col} NOT IN ({lst}) THEN {col} END)"
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, '{test}' AS test, "
+            f"CAST({f} AS BIGINT) AS failures FROM {model}")
+
+
+_UNIQUE_SQL = ("SELECT 'fct_orders' AS model, 'order_id' AS column_name, 'unique' AS test, "
+               "CAST(COUNT(*) AS BIGINT) AS failures FROM (SELECT order_id FROM fct_orders "
+               "WHERE order_id IS NOT NULL GROUP BY order_id HAVING COUNT(*) > 1)")
+_TB = ", ".join(STG_TIEBREAK)
+_TRANSITIONS_CTE = f"""t AS (
+  SELECT order_id, prev_status AS from_status, status AS to_status, processed_at AS changed_at FROM (
+    SELECT order_id, status, processed_at,
+           LAG(status) OVER (PARTITION BY order_id ORDER BY processed_at, {_TB}) AS prev_status
+    FROM stg_orders WHERE processed_at IS NOT NULL)
+  WHERE prev_status IS NOT NULL AND status IS NOT NULL AND prev_status <> status)"""
+_ALLOWED = " UNION ALL ".join(f"SELECT '{a}' AS from_status, '{b}' AS to_status"
+                              for a, b in C.ALLOWED_TRANSITIONS)
+
+
+def _fk_sql(fk, parent, pk, relation):
+    return f"""SELECT '{relation}' AS relation, CAST(COALESCE(SUM(n_rows), 0) AS BIGINT) AS child_rows,
+  CAST(COUNT(*) FILTER (WHERE p.key IS NULL) AS BIGINT) AS orphan_keys,
+  CAST(COALESCE(SUM(n_rows) FILTER (WHERE p.key IS NULL), 0) AS BIGINT) AS orphan_rows
+FROM (SELECT {fk} AS key, COUNT(*) AS n_rows FROM stg_orders WHERE {fk} IS NOT NULL GROUP BY {fk}) c
+LEFT JOIN (SELECT DISTINCT {pk} AS key FROM {parent}) p USING (key)"""
+
+
 _SQL: dict[str, str] = {
+    "data_tests": O.with_chain(" UNION ALL ".join(
+        _UNIQUE_SQL if t == "unique" else _col_test_sql(m, c, t, v) for m, c, t, v in C.DECLARED_TESTS)),
+    "check_not_null": O.with_chain(" UNION ALL ".join(
+        _col_test_sql(m, c, t, v) for m, c, t, v in C.DECLARED_TESTS if t == "not_null")),
+    "check_accepted_values": O.with_chain(" UNION ALL ".join(
+        _col_test_sql(m, c, t, v) for m, c, t, v in C.DECLARED_TESTS if t == "accepted_values")),
+    "check_unique": O.with_chain(
+        "SELECT order_id, COUNT(*) AS n FROM fct_orders WHERE order_id IS NOT NULL "
+        "GROUP BY order_id HAVING COUNT(*) > 1"),
+    "check_ranges": O.with_chain(
+        "SELECT 'stg_orders' AS model, 'quantity > 0' AS rule, "
+        "CAST(COUNT(*) FILTER (WHERE NOT COALESCE(quantity > 0, true)) AS BIGINT) AS failures FROM stg_orders "
+        "UNION ALL SELECT 'stg_orders', 'unit_price > 0', "
+        "CAST(COUNT(*) FILTER (WHERE NOT COALESCE(unit_price > 0, true)) AS BIGINT) FROM stg_orders "
+        "UNION ALL SELECT 'stg_orders', 'status in accepted', CAST(COUNT(*) FILTER (WHERE NOT COALESCE("
+        "status IN ('pending','confirmed','shipped','delivered','cancelled'), true)) AS BIGINT) FROM stg_orders "
+        "UNION ALL SELECT 'products', 'price > 0', CAST(COUNT(*) FILTER (WHERE NOT COALESCE("
+        "CAST(p_retailprice AS DECIMAL(10,2)) > 0, true)) AS BIGINT) FROM part"),
+    "check_generated_amount": O.with_chain(
+        f"SELECT {O.FCT_DOUBLE} FROM stg_orders WHERE total_amount IS DISTINCT FROM "
+        "CAST(quantity AS DECIMAL(10,0)) * unit_price"),
+    "fk_orphans": O.with_chain(
+        _fk_sql("customer_id", "customer", "c_custkey", "orders.customer_id -> customers")
+        + " UNION ALL " + _fk_sql("product_id", "part", "p_partkey", "orders.product_id -> products")),
+    "status_transitions": f"WITH {O.CHAIN}, {_TRANSITIONS_CTE} SELECT * FROM t",
+    "illegal_transitions": f"WITH {O.CHAIN}, {_TRANSITIONS_CTE}, allowed AS ({_ALLOWED}) "
+        "SELECT from_status, to_status, COUNT(*) AS n FROM t "
+        "WHERE NOT EXISTS (SELECT 1 FROM allowed a WHERE a.from_status = t.from_status "
+        "AND a.to_status = t.to_status) GROUP BY from_status, to_status",
     "status_revenue": O.with_chain(
         "SELECT status, COUNT(*) AS orders, CAST(ROUND(SUM(total_amount), 2) AS DOUBLE) AS revenue "
         "FROM fct_orders GROUP BY status ORDER BY orders DESC"),
@@ -169,6 +283,15 @@ _SQL: dict[str, str] = {
 }
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "data_tests": q_data_tests,
+    "check_not_null": q_check_not_null,
+    "check_accepted_values": q_check_accepted_values,
+    "check_unique": q_check_unique,
+    "check_ranges": q_check_ranges,
+    "check_generated_amount": q_check_generated_amount,
+    "fk_orphans": q_fk_orphans,
+    "status_transitions": q_status_transitions,
+    "illegal_transitions": q_illegal_transitions,
     "status_revenue": q_status_revenue,
     "parse_change_events": q_parse_change_events,
     "unwrap_envelope": q_unwrap_envelope,
