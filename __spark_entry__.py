@@ -176,6 +176,18 @@ def q_illegal_transitions(spark, d):
     return illegal_transitions(models.staged(spark, d))
 
 
+PRUNE_START, PRUNE_END = "1996-01-01 00:00:00", "1997-01-01 00:00:00"
+
+
+def q_prune_by_day(spark, d):
+    """Write the fact day-partitioned to the shared folder, read one year
+    back through partition pruning."""
+    from orderflow.session import scratch_path
+    from orderflow.sources import tables as TB
+    path = TB.write_fct_orders(models.fact(spark, d), scratch_path(spark, "prune_by_day"))
+    return _out(TB.read_fct_orders(spark, path, PRUNE_START, PRUNE_END).drop("created_date"))
+
+
 _WIRE_COLS = [f.name for f in ORDERS_WIRE.fields]
 _TOMBSTONE_NULLED = ", ".join(f"CASE WHEN __op IS NULL THEN NULL ELSE {c} END AS {c}" for c in _WIRE_COLS)
 _SERIES = ("SELECT epoch_ms(metric_hour) AS ts, COALESCE(CAST({v} AS {t}), 0) AS value "
@@ -214,6 +226,9 @@ LEFT JOIN (SELECT DISTINCT {pk} AS key FROM {parent}) p USING (key)"""
 
 
 _SQL: dict[str, str] = {
+    "prune_by_day": O.with_chain(
+        f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders "
+        f"WHERE created_at >= TIMESTAMP '{PRUNE_START}' AND created_at < TIMESTAMP '{PRUNE_END}'"),
     "data_tests": O.with_chain(" UNION ALL ".join(
         _UNIQUE_SQL if t == "unique" else _col_test_sql(m, c, t, v) for m, c, t, v in C.DECLARED_TESTS)),
     "check_not_null": O.with_chain(" UNION ALL ".join(
@@ -283,6 +298,7 @@ _SQL: dict[str, str] = {
 }
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "prune_by_day": q_prune_by_day,
     "data_tests": q_data_tests,
     "check_not_null": q_check_not_null,
     "check_accepted_values": q_check_accepted_values,
