@@ -176,6 +176,64 @@ def q_illegal_transitions(spark, d):
     return illegal_transitions(models.staged(spark, d))
 
 
+def q_insert_if_absent(spark, d):
+    """Product registry seeded by creation events, extended by update
+    events, ``ON CONFLICT (product_id) DO NOTHING``."""
+    from orderflow.operators.history import first_per_key, insert_if_absent
+    feed = order_feed(spark, d).select("product_id", F.col("__ts_ms").alias("first_seen_ms"),
+                                       F.col("unit_price").alias("first_price"), "__op")
+    seed = first_per_key(feed.where(F.col("__op") == "c").drop("__op"), ["product_id"],
+                         ["first_seen_ms", "first_price"])
+    upd = feed.where(F.col("__op") == "u").drop("__op")
+    return insert_if_absent(seed, upd, ["product_id"], ["first_seen_ms", "first_price"])
+
+
+def q_order_status_history(spark, d):
+    from orderflow.operators.history import scd2_history
+    return scd2_history(models.staged(spark, d), ["order_id"], "processed_at", ["status"], STG_TIEBREAK)
+
+
+def q_product_price_history(spark, d):
+    from orderflow.operators.history import price_history, scd2_history
+    from orderflow.sources.testdata import table
+    return scd2_history(price_history(table(spark, d, "lineitem")), ["product_id"], "valid_from", ["price"])
+
+
+def q_price_asof_order(spark, d):
+    from orderflow.operators.history import asof_join, price_history
+    from orderflow.sources.testdata import table
+    orders = models.fact(spark, d).select("order_id", "product_id", "created_at",
+                                          F.col("unit_price").cast("double").alias("unit_price"))
+    return asof_join(orders, price_history(table(spark, d, "lineitem")), "product_id", "created_at",
+                     "valid_from", ["price"])
+
+
+def q_change_counts_hourly(spark, d):
+    from orderflow.streaming.windows import change_counts
+    return change_counts(models.processed_events(spark, d), "1 hour")
+
+
+def _incremental(spark, d, parts=4):
+    """Feed the processed changes to the incremental sink in ``parts``
+    micro-batches cut across time (out of order)."""
+    from orderflow.session import scratch_path
+    from orderflow.streaming.state import OrderStateSink
+    sink = OrderStateSink(scratch_path(spark, "incremental"), buckets=16)
+    proc = models.processed_events(spark, d)
+    g = F.pmod(F.xxhash64(*proc.columns), F.lit(parts))
+    for i in range(parts):
+        sink.process(proc.where(g == i), i)
+    return sink
+
+
+def q_incremental_fct_orders(spark, d):
+    return _out(_incremental(spark, d).state(spark))
+
+
+def q_incremental_order_metrics(spark, d):
+    return _out(_incremental(spark, d).metrics(spark))
+
+
 PRUNE_START, PRUNE_END = "1996-01-01 00:00:00", "1997-01-01 00:00:00"
 
 
@@ -225,7 +283,46 @@ FROM (SELECT {fk} AS key, COUNT(*) AS n_rows FROM stg_orders WHERE {fk} IS NOT N
 LEFT JOIN (SELECT DISTINCT {pk} AS key FROM {parent}) p USING (key)"""
 
 
+_PRICES = ("prices AS (SELECT l_partkey AS product_id, l_shipdate AS valid_from, "
+           "MAX(l_extendedprice / l_quantity) AS price FROM lineitem GROUP BY l_partkey, l_shipdate)")
+
+
+def _scd2_sql(src, key, ts, tracked, tb):
+    order = ", ".join([ts] + tb)
+    return f"""SELECT {key}, {tracked}, {ts} AS valid_from,
+  LEAD({ts}) OVER (PARTITION BY {key} ORDER BY {order}) AS valid_to,
+  LEAD({ts}) OVER (PARTITION BY {key} ORDER BY {order}) IS NULL AS is_current
+FROM (SELECT *, LAG({tracked}) OVER (PARTITION BY {key} ORDER BY {order}) AS prev_v,
+             ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY {order}) AS n
+      FROM {src} WHERE {ts} IS NOT NULL)
+WHERE n = 1 OR prev_v IS DISTINCT FROM {tracked}"""
+
+
 _SQL: dict[str, str] = {
+    "insert_if_absent": O.with_chain("""
+      , f AS (SELECT product_id, __ts_ms AS first_seen_ms, unit_price AS first_price, __op FROM feed),
+      firsts AS (SELECT product_id, first_seen_ms, first_price, __op FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, __op
+                                       ORDER BY first_seen_ms, first_price) AS n
+          FROM f WHERE __op IN ('c', 'u')) WHERE n = 1)
+      SELECT product_id, first_seen_ms, first_price FROM firsts WHERE __op = 'c'
+      UNION ALL
+      SELECT product_id, first_seen_ms, first_price FROM firsts WHERE __op = 'u'
+        AND product_id NOT IN (SELECT product_id FROM firsts WHERE __op = 'c')"""),
+    "order_status_history": O.with_chain(_scd2_sql("stg_orders", "order_id", "processed_at", "status",
+                                                   STG_TIEBREAK)),
+    "product_price_history": f"WITH {_PRICES} " + _scd2_sql("prices", "product_id", "valid_from", "price", []),
+    "price_asof_order": O.with_chain(
+        f", {_PRICES} SELECT o.order_id, o.product_id, o.created_at, CAST(o.unit_price AS DOUBLE) AS unit_price, "
+        "p.price, p.valid_from FROM fct_orders o ASOF LEFT JOIN prices p "
+        "ON o.product_id = p.product_id AND o.created_at >= p.valid_from"),
+    "change_counts_hourly": O.with_chain(
+        "SELECT time_bucket(INTERVAL 1 HOUR, epoch_ms(processed_at)) AS window_start, "
+        "time_bucket(INTERVAL 1 HOUR, epoch_ms(processed_at)) + INTERVAL 1 HOUR AS window_end, "
+        "operation, COUNT(*) AS changes FROM processed GROUP BY ALL"),
+    "incremental_fct_orders": O.with_chain(
+        f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders"),
+    "incremental_order_metrics": O.with_chain(f"SELECT {O.METRICS_DOUBLE} FROM fct_order_metrics"),
     "prune_by_day": O.with_chain(
         f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders "
         f"WHERE created_at >= TIMESTAMP '{PRUNE_START}' AND created_at < TIMESTAMP '{PRUNE_END}'"),
@@ -299,6 +396,13 @@ _SQL: dict[str, str] = {
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prune_by_day": q_prune_by_day,
+    "insert_if_absent": q_insert_if_absent,
+    "order_status_history": q_order_status_history,
+    "product_price_history": q_product_price_history,
+    "price_asof_order": q_price_asof_order,
+    "change_counts_hourly": q_change_counts_hourly,
+    "incremental_fct_orders": q_incremental_fct_orders,
+    "incremental_order_metrics": q_incremental_order_metrics,
     "data_tests": q_data_tests,
     "check_not_null": q_check_not_null,
     "check_accepted_values": q_check_accepted_values,
