@@ -39,30 +39,27 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str], order_c
 
 
 def scd2_history(df: DataFrame, keys: list[str], ts_col: str, tracked: list[str],
-                 tiebreak: list[str] | None = None) -> DataFrame:
+                 tiebreak: list[str] | None = None, skew_safe: bool = True) -> DataFrame:
     """Validity ranges of ``tracked`` values per key.
 
     Consecutive events with equal tracked values collapse into one version;
     each version is valid from its first event to the next version's start
     (``valid_to`` exclusive, NULL for the current version).  Output:
-    ``keys, tracked, valid_from, valid_to, is_current``.  Both windows share
-    one partitioning on ``keys``: one exchange.
+    ``keys, tracked, valid_from, valid_to, is_current``.  Both neighbour
+    steps use :func:`with_neighbours`, skew-safe by default.
     """
     order = [ts_col] + (tiebreak or [])
-    seq = with_neighbours(df.where(F.col(ts_col).isNotNull()), keys, order, tracked, prev_prefix="__prev_")
-    changed = None
+    base = df.where(F.col(ts_col).isNotNull()).withColumn("__one", F.lit(1))
+    seq = with_neighbours(base, keys, order, tracked + ["__one"], prev_prefix="__prev_", skew_safe=skew_safe)
+    opens = F.col("__prev___one").isNull()          # first event of the key
     for c in tracked:
-        d = ~F.col(f"__prev_{c}").eqNullSafe(F.col(c))
-        changed = d if changed is None else (changed | d)
-    # the first event of a key always opens a version
-    w_first = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    seq = seq.withColumn("__n", F.row_number().over(w_first))
-    versions = seq.where((F.col("__n") == 1) | changed)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return versions.select(
-        *keys, *tracked, F.col(ts_col).alias("valid_from"),
-        F.lead(F.col(ts_col)).over(w).alias("valid_to"),
-    ).withColumn("is_current", F.col("valid_to").isNull())
+        opens = opens | ~F.col(f"__prev_{c}").eqNullSafe(F.col(c))
+    versions = seq.where(opens).select(*keys, *tracked, *[c for c in order if c not in keys + tracked])
+    nxt = with_neighbours(versions, keys, order, [ts_col], prev_prefix=None, next_prefix="__next_",
+                          skew_safe=skew_safe)
+    return nxt.select(*keys, *tracked, F.col(ts_col).alias("valid_from"),
+                      F.col(f"__next_{ts_col}").alias("valid_to"),
+                      F.col(f"__next_{ts_col}").isNull().alias("is_current"))
 
 
 def asof_join(events: DataFrame, history: DataFrame, key: str, event_ts: str, valid_from: str,

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import ALLOWED_TRANSITIONS
+from ..session import shared_dir
 
 
 def _window(keys: list[str], order_cols: list[str | Column]):
@@ -19,17 +20,92 @@ def _window(keys: list[str], order_cols: list[str | Column]):
                                                 for c in order_cols])
 
 
+def _nulls_last_exprs(cols: list[str]) -> list[Column]:
+    """(c IS NULL, c) per column: ascending order of these equals
+    ``c ASC NULLS LAST``, also when compared as one struct."""
+    out = []
+    for c in cols:
+        out += [F.col(c).isNull(), F.col(c)]
+    return out
+
+
 def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols: list[str],
-                    prev_prefix: str | None = "prev_", next_prefix: str | None = None) -> DataFrame:
-    """Add the previous (and/or next) value of ``cols`` within each key."""
-    w = _window(keys, order_cols)
-    out = df
+                    prev_prefix: str | None = "prev_", next_prefix: str | None = None,
+                    skew_safe: bool = False, partitions: int | None = None) -> DataFrame:
+    """Add the previous (and/or next) value of ``cols`` within each key.
+
+    ``skew_safe=False``: one window on ``keys`` – one shuffle, but every row
+    of a key is processed by one task.
+
+    ``skew_safe=True``: for keys that may hold a large share of all rows.
+    The rows are range-partitioned on (keys, order) – Spark samples the
+    boundaries, so a hot key is cut into contiguous slices over many
+    partitions – and the window runs per (key, slice).  Only the first and
+    last row of a slice lack a neighbour; those come from a per-partition
+    edge table with at most one row per range partition (a proven bound),
+    which is broadcast and joined back.  The range-partitioned rows are
+    checkpointed to ``spark.checkpoint.dir`` so both readers see the same
+    cut.  Cost: a sampling pass, a checkpoint and two balanced shuffles
+    instead of one unbalanced shuffle.
+    """
+    if not skew_safe:
+        w = _window(keys, order_cols)
+        out = df
+        for c in cols:
+            if prev_prefix:
+                out = out.withColumn(prev_prefix + c, F.lag(c).over(w))
+            if next_prefix:
+                out = out.withColumn(next_prefix + c, F.lead(c).over(w))
+        return out
+
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = list(order_cols) + ["__seq"]          # __seq separates exact duplicates
+    ordering = _nulls_last_exprs(keys + order)
+    # Range bounds come from sampling, so two executions could cut
+    # differently: the partitioned rows are checkpointed once (shared
+    # folder, lineage cut) and both the window and the edge table read them.
+    shared_dir(spark)
+    r = (df.withColumn("__seq", F.monotonically_increasing_id())
+         .repartitionByRange(n_parts, *ordering)
+         .withColumn("__pid", F.spark_partition_id())
+         .checkpoint(eager=True))
+    w = Window.partitionBy(*keys, "__pid").orderBy(*[e.asc() for e in _nulls_last_exprs(order)])
+    seq = r
     for c in cols:
         if prev_prefix:
-            out = out.withColumn(prev_prefix + c, F.lag(c).over(w))
+            seq = seq.withColumn(prev_prefix + c, F.lag(c).over(w))
         if next_prefix:
-            out = out.withColumn(next_prefix + c, F.lead(c).over(w))
-    return out
+            seq = seq.withColumn(next_prefix + c, F.lead(c).over(w))
+    seq = seq.withColumn("__rn", F.row_number().over(w))
+    if next_prefix:
+        w_desc = Window.partitionBy(*keys, "__pid").orderBy(*[e.desc() for e in _nulls_last_exprs(order)])
+        seq = seq.withColumn("__rn_desc", F.row_number().over(w_desc))
+
+    pos = F.struct(*ordering)
+    row = F.struct(*[F.col(k) for k in keys], *[F.col(c) for c in cols])
+    edges = r.groupBy("__pid").agg(F.min_by(row, pos).alias("__first"), F.max_by(row, pos).alias("__last"))
+    ew = Window.orderBy("__pid")
+    carry = edges.select("__pid", F.lag("__last").over(ew).alias("__prev_last"),
+                         F.lead("__first").over(ew).alias("__next_first"))
+    j = seq.join(F.broadcast(carry), "__pid", "left")
+
+    def same_key(edge: str) -> Column:
+        cond = F.col(edge).isNotNull()
+        for k in keys:
+            cond = cond & F.col(f"{edge}.{k}").eqNullSafe(F.col(k))
+        return cond
+
+    fixed = []
+    for c in cols:
+        if prev_prefix:
+            fixed.append(F.when((F.col("__rn") == 1) & same_key("__prev_last"), F.col(f"__prev_last.{c}"))
+                         .otherwise(F.col(prev_prefix + c)).alias(prev_prefix + c))
+        if next_prefix:
+            fixed.append(F.when((F.col("__rn_desc") == 1) & same_key("__next_first"), F.col(f"__next_first.{c}"))
+                         .otherwise(F.col(next_prefix + c)).alias(next_prefix + c))
+    new_names = {prev_prefix + c for c in cols if prev_prefix} | {next_prefix + c for c in cols if next_prefix}
+    return j.select(*[F.col(c) for c in df.columns if c not in new_names], *fixed)
 
 
 # Tie-break of changes with the same processed_at: every other column, so
@@ -39,19 +115,19 @@ STG_TIEBREAK = ["product_id", "quantity", "unit_price", "status", "operation_typ
 
 
 def status_transitions(stg: DataFrame, key: str = "order_id", order_col: str = "processed_at",
-                       tiebreak: list[str] = STG_TIEBREAK) -> DataFrame:
+                       tiebreak: list[str] = STG_TIEBREAK, skew_safe: bool = True) -> DataFrame:
     """Every status change of an order: ``(order_id, from_status, to_status,
     changed_at)``.  An event repeating the status is not a change; the first
     event of an order has no predecessor."""
     seq = with_neighbours(stg.where(F.col(order_col).isNotNull()), [key], [order_col] + tiebreak,
-                          ["status"])
+                          ["status"], skew_safe=skew_safe)
     return (seq.where(F.col("prev_status").isNotNull() & F.col("status").isNotNull()
                       & (F.col("prev_status") != F.col("status")))
             .select(key, F.col("prev_status").alias("from_status"),
                     F.col("status").alias("to_status"), F.col(order_col).alias("changed_at")))
 
 
-def illegal_transitions(stg: DataFrame) -> DataFrame:
+def illegal_transitions(stg: DataFrame, skew_safe: bool = True) -> DataFrame:
     """Kinds of status change that the life cycle forbids, with counts.
 
     The allowed table is a fixed five-row literal, so broadcasting it is
@@ -59,6 +135,6 @@ def illegal_transitions(stg: DataFrame) -> DataFrame:
     """
     spark = stg.sparkSession
     allowed = F.broadcast(spark.createDataFrame(ALLOWED_TRANSITIONS, "from_status string, to_status string"))
-    t = status_transitions(stg)
+    t = status_transitions(stg, skew_safe=skew_safe)
     bad = t.join(allowed, ["from_status", "to_status"], "left_anti")
     return bad.groupBy("from_status", "to_status").agg(F.count(F.lit(1)).alias("n"))
