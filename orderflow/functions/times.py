@@ -41,14 +41,13 @@ def parse_timestamp(text: Column, strict: bool = True) -> Column:
     taken as UTC already.  ``strict`` raises on unparsable text (ANSI cast),
     otherwise the value becomes NULL (quarantine by a later NULL check).
     """
+    cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
+    is_utc = text.endswith("Z") | text.endswith("z")
+    utc_wall = F.substring(text, F.lit(1), F.length(text) - F.lit(1))   # drop the Z
     has_zone = text.rlike(_OFFSET_SUFFIX)
-    if strict:
-        zoned = text.cast(T.TimestampType())
-        plain = text.cast(T.TimestampNTZType())
-    else:
-        zoned = text.try_cast(T.TimestampType())
-        plain = text.try_cast(T.TimestampNTZType())
-    return F.when(has_zone, _instant_to_ntz(zoned)).otherwise(plain)
+    return (F.when(is_utc, cast(utc_wall, T.TimestampNTZType()))
+            .when(has_zone, _instant_to_ntz(cast(text, T.TimestampType())))
+            .otherwise(cast(text, T.TimestampNTZType())))
 
 
 def trunc_ntz(unit: str, ts_ntz: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import with_neighbours
+from .sequence import has_hot_key, with_neighbours
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
@@ -39,16 +39,20 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str], order_c
 
 
 def scd2_history(df: DataFrame, keys: list[str], ts_col: str, tracked: list[str],
-                 tiebreak: list[str] | None = None, skew_safe: bool = True) -> DataFrame:
+                 tiebreak: list[str] | None = None, skew_safe: bool | str = "auto") -> DataFrame:
     """Validity ranges of ``tracked`` values per key.
 
     Consecutive events with equal tracked values collapse into one version;
     each version is valid from its first event to the next version's start
     (``valid_to`` exclusive, NULL for the current version).  Output:
     ``keys, tracked, valid_from, valid_to, is_current``.  Both neighbour
-    steps use :func:`with_neighbours`, skew-safe by default.
+    steps use :func:`with_neighbours` (skew handling decided by measuring
+    the largest key once; the second step inherits the decision).
     """
     order = [ts_col] + (tiebreak or [])
+    if skew_safe == "auto":
+        n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        skew_safe = has_hot_key(df, keys, n_parts)
     base = df.where(F.col(ts_col).isNotNull()).withColumn("__one", F.lit(1))
     seq = with_neighbours(base, keys, order, tracked + ["__one"], prev_prefix="__prev_", skew_safe=skew_safe)
     opens = F.col("__prev___one").isNull()          # first event of the key

@@ -29,14 +29,33 @@ def _nulls_last_exprs(cols: list[str]) -> list[Column]:
     return out
 
 
+HOT_KEY_MIN_ROWS = 1_000_000
+
+
+def has_hot_key(df: DataFrame, keys: list[str], partitions: int, min_rows: int = HOT_KEY_MIN_ROWS) -> bool:
+    """True when one key holds more rows than two average partitions (and
+    at least ``min_rows``): a window on the key would then straggle.
+
+    One partial+final aggregate; only two numbers reach the driver.
+    """
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    row = per_key.agg(F.max("n").alias("mx"), F.sum("n").alias("total")).first()
+    if row is None or row.mx is None:
+        return False
+    return row.mx >= max(min_rows, 2 * row.total / max(1, partitions))
+
+
 def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols: list[str],
                     prev_prefix: str | None = "prev_", next_prefix: str | None = None,
-                    skew_safe: bool = False, partitions: int | None = None) -> DataFrame:
+                    skew_safe: bool | str = "auto", partitions: int | None = None) -> DataFrame:
     """Add the previous (and/or next) value of ``cols`` within each key.
 
     ``skew_safe=False``: one window on ``keys`` – one shuffle, but every row
     of a key is processed by one task.
 
+    ``skew_safe="auto"`` (default) measures the largest key first
+    (:func:`has_hot_key`) and picks one of the two plans.
+
     ``skew_safe=True``: for keys that may hold a large share of all rows.
     The rows are range-partitioned on (keys, order) – Spark samples the
     boundaries, so a hot key is cut into contiguous slices over many
@@ -48,6 +67,10 @@ def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols:
     cut.  Cost: a sampling pass, a checkpoint and two balanced shuffles
     instead of one unbalanced shuffle.
     """
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if skew_safe == "auto":
+        skew_safe = has_hot_key(df, keys, n_parts)
     if not skew_safe:
         w = _window(keys, order_cols)
         out = df
@@ -58,8 +81,6 @@ def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols:
                 out = out.withColumn(next_prefix + c, F.lead(c).over(w))
         return out
 
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order_cols) + ["__seq"]          # __seq separates exact duplicates
     ordering = _nulls_last_exprs(keys + order)
     # Range bounds come from sampling, so two executions could cut
@@ -115,7 +136,7 @@ STG_TIEBREAK = ["product_id", "quantity", "unit_price", "status", "operation_typ
 
 
 def status_transitions(stg: DataFrame, key: str = "order_id", order_col: str = "processed_at",
-                       tiebreak: list[str] = STG_TIEBREAK, skew_safe: bool = True) -> DataFrame:
+                       tiebreak: list[str] = STG_TIEBREAK, skew_safe: bool | str = "auto") -> DataFrame:
     """Every status change of an order: ``(order_id, from_status, to_status,
     changed_at)``.  An event repeating the status is not a change; the first
     event of an order has no predecessor."""
@@ -127,7 +148,7 @@ def status_transitions(stg: DataFrame, key: str = "order_id", order_col: str = "
                     F.col("status").alias("to_status"), F.col(order_col).alias("changed_at")))
 
 
-def illegal_transitions(stg: DataFrame, skew_safe: bool = True) -> DataFrame:
+def illegal_transitions(stg: DataFrame, skew_safe: bool | str = "auto") -> DataFrame:
     """Kinds of status change that the life cycle forbids, with counts.
 
     The allowed table is a fixed five-row literal, so broadcasting it is
