@@ -7,10 +7,10 @@ pairs within a key and none collects a group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import has_hot_key, with_neighbours
+from .sequence import fill_forward, has_hot_key, with_neighbours
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
@@ -67,29 +67,33 @@ def scd2_history(df: DataFrame, keys: list[str], ts_col: str, tracked: list[str]
 
 
 def asof_join(events: DataFrame, history: DataFrame, key: str, event_ts: str, valid_from: str,
-              values: list[str]) -> DataFrame:
+              values: list[str], skew_safe: bool | str = "auto") -> DataFrame:
     """For each event, the ``values`` of the latest history row of the same
-    ``key`` with ``valid_from <= event_ts`` (NULL when there is none).
+    ``key`` with ``valid_from <= event_ts`` (NULL when there is none, or
+    when the event time is NULL).
 
     ``history`` must hold one row per (key, valid_from).  Plan: the two
-    sides are unioned and sorted by (key, time, history-before-event), then
-    a running ``last(..., ignorenulls)`` carries the value forward – one
-    shuffle on ``key``, linear work, no range or cross join.
+    sides are unioned and ordered by (key, time, history-before-event), then
+    the values are carried forward (:func:`fill_forward`) – one shuffle on
+    the key, linear work, no range or cross join; a hot key is cut into
+    range slices when measured to be one.
     """
     ev = events.select(*[F.col(c) for c in events.columns],
-                       F.col(key).alias("__k"), F.col(event_ts).alias("__t"), F.lit(1).alias("__side"),
+                       F.col(key).alias("__k"), F.col(event_ts).isNotNull().alias("__tnn"),
+                       F.col(event_ts).alias("__t"), F.lit(1).alias("__side"),
                        *[F.lit(None).cast(history.schema[v].dataType).alias(f"__v_{v}") for v in values],
                        F.lit(None).cast(history.schema[valid_from].dataType).alias("__v_from"))
-    hi = history.where(F.col(valid_from).isNotNull()).select(*[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in events.columns],
-                        F.col(key).alias("__k"), F.col(valid_from).alias("__t"), F.lit(0).alias("__side"),
-                        *[F.col(v).alias(f"__v_{v}") for v in values],
-                        F.col(valid_from).alias("__v_from"))
-    w = (Window.partitionBy("__k").orderBy(F.col("__t").asc_nulls_first(), "__side")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = ev.unionByName(hi).select(
-        "*", *[F.last(f"__v_{v}", ignorenulls=True).over(w).alias(v) for v in values + ["from"]])
+    hi = history.where(F.col(valid_from).isNotNull()).select(
+        *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in events.columns],
+        F.col(key).alias("__k"), F.lit(True).alias("__tnn"), F.col(valid_from).alias("__t"),
+        F.lit(0).alias("__side"), *[F.col(v).alias(f"__v_{v}") for v in values],
+        F.col(valid_from).alias("__v_from"))
+    carried = [f"__v_{v}" for v in values] + ["__v_from"]
+    filled = fill_forward(ev.unionByName(hi), ["__k"], ["__tnn", "__t", "__side"], carried,
+                          skew_safe=skew_safe)
     return (filled.where(F.col("__side") == 1)
-            .select(*events.columns, *values, F.col("from").alias(f"{valid_from}")))
+            .select(*events.columns, *[F.col(f"__v_{v}").alias(v) for v in values],
+                    F.col("__v_from").alias(valid_from)))
 
 
 def price_history(lineitem: DataFrame) -> DataFrame:

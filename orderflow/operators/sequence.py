@@ -45,6 +45,84 @@ def has_hot_key(df: DataFrame, keys: list[str], partitions: int, min_rows: int =
     return row.mx >= max(min_rows, 2 * row.total / max(1, partitions))
 
 
+def _range_slices(df: DataFrame, keys: list[str], order_cols: list[str], n_parts: int):
+    """Rows range-partitioned on (keys, order) with their partition id.
+
+    Range bounds come from sampling, so two executions could cut
+    differently: the partitioned rows are checkpointed once (shared folder,
+    lineage cut) and every later reader sees the same cut.  Returns the
+    checkpointed rows, the full order (with ``__seq`` separating exact
+    duplicates), the null-safe ordering and the per-slice window.
+    """
+    shared_dir(df.sparkSession)
+    order = list(order_cols) + ["__seq"]
+    ordering = _nulls_last_exprs(keys + order)
+    r = (df.withColumn("__seq", F.monotonically_increasing_id())
+         .repartitionByRange(n_parts, *ordering)
+         .withColumn("__pid", F.spark_partition_id())
+         .checkpoint(eager=True))
+    w = Window.partitionBy(*keys, "__pid").orderBy(*[e.asc() for e in _nulls_last_exprs(order)])
+    return r, order, ordering, w
+
+
+def _same_key(edge: str, keys: list[str]) -> Column:
+    cond = F.col(edge).isNotNull()
+    for k in keys:
+        cond = cond & F.col(f"{edge}.{k}").eqNullSafe(F.col(k))
+    return cond
+
+
+def fill_forward(df: DataFrame, keys: list[str], order_cols: list[str], cols: list[str],
+                 skew_safe: bool | str = "auto", partitions: int | None = None) -> DataFrame:
+    """Replace each of ``cols`` by the last non-NULL value seen so far in
+    its key's sequence (the row's own value included).
+
+    Plain plan: a running ``last(ignorenulls)`` window on ``keys``.  Skew-safe
+    plan (chosen like in :func:`with_neighbours`): the window runs per
+    range slice; a slice starting without a value takes the last non-NULL
+    value of the same key from earlier slices, found in an edge table of at
+    most one row per partition (broadcast, bounded by construction).
+    """
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if skew_safe == "auto":
+        skew_safe = has_hot_key(df, keys, n_parts)
+    if not skew_safe:
+        w = _window(keys, order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
+                           for c in df.columns])
+
+    r, order, ordering, w = _range_slices(df, keys, order_cols, n_parts)
+    w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = r.select("*", *[F.last(c, ignorenulls=True).over(w_run).alias(f"__run_{c}") for c in cols])
+    pos = F.struct(*ordering)
+    key_row = F.struct(*[F.col(k) for k in keys])
+    aggs = [F.min_by(key_row, pos).alias("__first"), F.max_by(key_row, pos).alias("__last")]
+    for c in cols:  # last non-NULL value of the partition, with its key
+        aggs.append(F.max_by(F.struct(*[F.col(k) for k in keys], F.col(c).alias("v")),
+                             F.when(F.col(c).isNotNull(), pos)).alias(f"__lv_{c}"))
+    edges = r.groupBy("__pid").agg(*aggs)
+    lv = []
+    for c in cols:  # keep the value only if it belongs to the partition's last key
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(f"__lv_{c}.{k}").eqNullSafe(F.col(f"__last.{k}"))
+        lv.append(F.when(same, F.col(f"__lv_{c}.v")).alias(f"__lv_{c}"))
+    edges = edges.select("__pid", "__first", "__last", *lv)
+    # running last value per last-key over earlier partitions, then shift by one partition
+    run_w = (Window.partitionBy(*[F.col(f"__last.{k}") for k in keys]).orderBy("__pid")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    edges = edges.select("__pid", "__first", "__last",
+                         *[F.last(f"__lv_{c}", ignorenulls=True).over(run_w).alias(f"__carry_{c}") for c in cols])
+    ew = Window.orderBy("__pid")
+    carry = edges.select("__pid", F.lag("__last").over(ew).alias("__prev_last"),
+                         *[F.lag(f"__carry_{c}").over(ew).alias(f"__carry_{c}") for c in cols])
+    j = filled.join(F.broadcast(carry), "__pid", "left")
+    return j.select(*[F.coalesce(F.col(f"__run_{c}"),
+                                 F.when(_same_key("__prev_last", keys), F.col(f"__carry_{c}"))).alias(c)
+                      if c in cols else F.col(c) for c in df.columns])
+
+
 def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols: list[str],
                     prev_prefix: str | None = "prev_", next_prefix: str | None = None,
                     skew_safe: bool | str = "auto", partitions: int | None = None) -> DataFrame:
@@ -81,17 +159,7 @@ def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols:
                 out = out.withColumn(next_prefix + c, F.lead(c).over(w))
         return out
 
-    order = list(order_cols) + ["__seq"]          # __seq separates exact duplicates
-    ordering = _nulls_last_exprs(keys + order)
-    # Range bounds come from sampling, so two executions could cut
-    # differently: the partitioned rows are checkpointed once (shared
-    # folder, lineage cut) and both the window and the edge table read them.
-    shared_dir(spark)
-    r = (df.withColumn("__seq", F.monotonically_increasing_id())
-         .repartitionByRange(n_parts, *ordering)
-         .withColumn("__pid", F.spark_partition_id())
-         .checkpoint(eager=True))
-    w = Window.partitionBy(*keys, "__pid").orderBy(*[e.asc() for e in _nulls_last_exprs(order)])
+    r, order, ordering, w = _range_slices(df, keys, order_cols, n_parts)
     seq = r
     for c in cols:
         if prev_prefix:
@@ -112,10 +180,7 @@ def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols:
     j = seq.join(F.broadcast(carry), "__pid", "left")
 
     def same_key(edge: str) -> Column:
-        cond = F.col(edge).isNotNull()
-        for k in keys:
-            cond = cond & F.col(f"{edge}.{k}").eqNullSafe(F.col(k))
-        return cond
+        return _same_key(edge, keys)
 
     fixed = []
     for c in cols:

@@ -59,10 +59,12 @@ def test_asof_matches_merge_asof(spark):
     rnd = random.Random(3)
     hist = sorted({(rnd.randrange(4), rnd.randrange(200)) for _ in range(60)})
     hist = [(p, t, float(rnd.randrange(1000))) for p, t in hist]
-    ev = [(i, rnd.randrange(5), rnd.randrange(220)) for i in range(300)]
+    ev = [(i, rnd.choice([0, 0, 0, 1, 2, 3, 4]), rnd.randrange(220)) for i in range(300)]
     h = spark.createDataFrame(hist, "product_id int, valid_from int, price double")
     e = spark.createDataFrame(ev, "order_id int, product_id int, ts int")
-    got = _rows(asof_join(e, h, "product_id", "ts", "valid_from", ["price"]))
+    got = _rows(asof_join(e, h, "product_id", "ts", "valid_from", ["price"], skew_safe=False))
+    got_safe = _rows(asof_join(e, h, "product_id", "ts", "valid_from", ["price"], skew_safe=True))
+    assert got_safe == got
     pe = pd.DataFrame(ev, columns=["order_id", "product_id", "ts"]).sort_values("ts")
     ph = pd.DataFrame(hist, columns=["product_id", "valid_from", "price"]).sort_values("valid_from")
     m = pd.merge_asof(pe, ph, left_on="ts", right_on="valid_from", by="product_id", direction="backward")

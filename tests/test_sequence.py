@@ -32,3 +32,16 @@ def test_skew_safe_spreads_hot_key(spark):
     sizes = (df.withColumn("__seq", F.monotonically_increasing_id())
              .repartitionByRange(8, "k", "t").groupBy(F.spark_partition_id()).count().collect())
     assert len(sizes) > 1
+
+
+def test_fill_forward_carries_across_many_partitions(spark):
+    from orderflow.operators.sequence import fill_forward
+    rows = [(1, t, 100.0 if t == 0 else (5.0 if t == 1500 else None)) for t in range(3000)]
+    rows += [(2, t, None if t % 7 else float(t)) for t in range(500)]
+    rows += [(0, t, None) for t in range(50)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    plain = _rows(fill_forward(df, ["k"], ["t"], ["v"], skew_safe=False))
+    safe = _rows(fill_forward(df, ["k"], ["t"], ["v"], skew_safe=True, partitions=9))
+    assert safe == plain
+    got = {(k, t): v for k, t, v in plain}
+    assert got[(1, 1499)] == 100.0 and got[(1, 2999)] == 5.0 and got[(0, 10)] is None
