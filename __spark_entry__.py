@@ -234,6 +234,34 @@ def q_incremental_order_metrics(spark, d):
     return _out(_incremental(spark, d).metrics(spark))
 
 
+def _event_changes(spark, d):
+    from orderflow.sources.testdata import event_feed
+    from orderflow.plans.ingest import operation_name
+    ev = filter_changes(event_feed(spark, d))
+    return ev.select("user_id", "event_id", "event_type", "value", operation_name().alias("operation"),
+                     F.col("__ts_ms").alias("processed_at"))
+
+
+def q_events_latest_state(spark, d):
+    """Second captured table: latest change per user (ties kept)."""
+    from orderflow.functions.times import ntz_from_epoch_ms
+    latest = latest_rows(_event_changes(spark, d), ["user_id"], "processed_at")
+    return latest.select("user_id", "event_id", "event_type", "value", "operation",
+                         ntz_from_epoch_ms(F.col("processed_at")).alias("changed_at"))
+
+
+def q_events_change_counts_hourly(spark, d):
+    from orderflow.streaming.windows import change_counts
+    return change_counts(_event_changes(spark, d), "1 hour")
+
+
+def q_events_props(spark, d):
+    """Tolerant decode of another table's JSON column with its own schema."""
+    from orderflow.sources.testdata import table
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    return W.parse_json_column(table(spark, d, "events"), "props", schema, keep=["event_id"])
+
+
 PRUNE_START, PRUNE_END = "1996-01-01 00:00:00", "1997-01-01 00:00:00"
 
 
@@ -298,7 +326,26 @@ FROM (SELECT *, LAG({tracked}) OVER (PARTITION BY {key} ORDER BY {order}) AS pre
 WHERE n = 1 OR prev_v IS DISTINCT FROM {tracked}"""
 
 
+_EV = """ev AS (
+  SELECT user_id, event_id, event_type, value,
+         CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' WHEN 'view' THEN 'r' ELSE 'u' END AS __op,
+         epoch_us(ts) // 1000 AS __ts_ms FROM events),
+evc AS (
+  SELECT user_id, event_id, event_type, value,
+         CASE __op WHEN 'c' THEN 'INSERT' WHEN 'u' THEN 'UPDATE' WHEN 'd' THEN 'DELETE' ELSE 'UNKNOWN' END
+           AS operation, __ts_ms AS processed_at
+  FROM ev WHERE __op IN ('c', 'u', 'd'))"""
+
 _SQL: dict[str, str] = {
+    "events_latest_state": f"""WITH {_EV}
+      SELECT user_id, event_id, event_type, value, operation, epoch_ms(processed_at) AS changed_at
+      FROM (SELECT *, RANK() OVER (PARTITION BY user_id ORDER BY processed_at DESC) AS r FROM evc)
+      WHERE r = 1""",
+    "events_change_counts_hourly": f"""WITH {_EV}
+      SELECT time_bucket(INTERVAL 1 HOUR, epoch_ms(processed_at)) AS window_start,
+             time_bucket(INTERVAL 1 HOUR, epoch_ms(processed_at)) + INTERVAL 1 HOUR AS window_end,
+             operation, COUNT(*) AS changes FROM evc GROUP BY ALL""",
+    "events_props": "SELECT event_id, TRY_CAST(props->>'k' AS BIGINT) AS k FROM events",
     "insert_if_absent": O.with_chain("""
       , f AS (SELECT product_id, __ts_ms AS first_seen_ms, unit_price AS first_price, __op FROM feed),
       firsts AS (SELECT product_id, first_seen_ms, first_price, __op FROM (
@@ -396,6 +443,9 @@ _SQL: dict[str, str] = {
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prune_by_day": q_prune_by_day,
+    "events_latest_state": q_events_latest_state,
+    "events_change_counts_hourly": q_events_change_counts_hourly,
+    "events_props": q_events_props,
     "insert_if_absent": q_insert_if_absent,
     "order_status_history": q_order_status_history,
     "product_price_history": q_product_price_history,

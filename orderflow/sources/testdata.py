@@ -109,3 +109,21 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
         F.col("p_size").alias("size"),
         F.col("p_retailprice").cast(T.DecimalType(10, 2)).alias("price"))
+
+
+# Fixed mapping of the events table onto change operations (second captured
+# table of the derived test data).
+EVENT_OPERATIONS = {"signup": "c", "error": "d", "view": "r"}   # everything else: 'u'
+
+
+def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table as flattened change events of a user table:
+    key ``user_id``, event time ``ts``; columns ``(user_id, event_id,
+    event_type, value, props, __op, __table, __ts_ms)``."""
+    ev = table(spark, sf_dir, "events")
+    op = F.lit("u")
+    for name, code in reversed(list(EVENT_OPERATIONS.items())):
+        op = F.when(F.col("event_type") == F.lit(name), F.lit(code)).otherwise(op)
+    return ev.select("user_id", "event_id", "event_type", "value", "props",
+                     op.alias("__op"), F.lit("events").alias("__table"),
+                     epoch_ms_of(F.col("ts")).alias("__ts_ms"))
