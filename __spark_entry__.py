@@ -23,7 +23,7 @@ from orderflow.plans.ingest import decode_operation, filter_changes
 from orderflow.plans.staging import stg_orders
 from orderflow.schemas import ORDERS_PROCESSED, ORDERS_WIRE
 from orderflow.sources import wire as W
-from orderflow.sources.testdata import customers, order_feed, products, to_topic_records
+from orderflow.sources.testdata import customers, products, to_topic_records
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -40,12 +40,12 @@ def q_status_revenue(spark, d):
 
 
 def q_parse_change_events(spark, d):
-    return W.parse_change_events(to_topic_records(order_feed(spark, d)))
+    return W.parse_change_events(to_topic_records(models.wire(spark, d)))
 
 
 def q_unwrap_envelope(spark, d):
     row = _wire_row_schema()
-    return W.unwrap_envelope(W.to_envelope(order_feed(spark, d), row), row)
+    return W.unwrap_envelope(W.to_envelope(models.wire(spark, d), row), row)
 
 
 def _wire_row_schema() -> T.StructType:
@@ -53,11 +53,11 @@ def _wire_row_schema() -> T.StructType:
 
 
 def q_filter_changes(spark, d):
-    return filter_changes(order_feed(spark, d))
+    return filter_changes(models.wire(spark, d))
 
 
 def q_decode_operation(spark, d):
-    return decode_operation(filter_changes(order_feed(spark, d)))
+    return decode_operation(filter_changes(models.wire(spark, d)))
 
 
 def q_scan_processed(spark, d):
@@ -180,7 +180,7 @@ def q_insert_if_absent(spark, d):
     """Product registry seeded by creation events, extended by update
     events, ``ON CONFLICT (product_id) DO NOTHING``."""
     from orderflow.operators.history import first_per_key, insert_if_absent
-    feed = order_feed(spark, d).select("product_id", F.col("__ts_ms").alias("first_seen_ms"),
+    feed = models.wire(spark, d).select("product_id", F.col("__ts_ms").alias("first_seen_ms"),
                                        F.col("unit_price").alias("first_price"), "__op")
     seed = first_per_key(feed.where(F.col("__op") == "c").drop("__op"), ["product_id"],
                          ["first_seen_ms", "first_price"])

@@ -3,6 +3,11 @@
 ``stg = stg_orders(processed(wire)); fct = fct_orders(stg);
 met = fct_order_metrics(fct)`` is one lazily built Catalyst plan; the
 model dependency graph of the reference is plain function composition.
+
+Building a plan costs thousands of Python->JVM calls, so the model
+DataFrames are memoised per (session, folder, options).  A DataFrame is an
+immutable logical plan: reusing it re-executes the plan on every action,
+nothing is cached as data.
 """
 
 from __future__ import annotations
@@ -14,26 +19,39 @@ from .ingest import processed
 from .marts import fct_order_metrics, fct_orders
 from .staging import stg_orders
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    k = (spark.sparkContext.applicationId, id(spark)) + key
+    df = _PLANS.get(k)
+    if df is None:
+        df = _PLANS[k] = build()
+    return df
+
 
 def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_feed(spark, sf_dir)
+    return _memo(spark, ("wire", sf_dir), lambda: order_feed(spark, sf_dir))
 
 
 def processed_events(spark: SparkSession, sf_dir: str, include_snapshot: bool = False) -> DataFrame:
-    return processed(wire(spark, sf_dir), include_snapshot=include_snapshot)
+    return _memo(spark, ("processed", sf_dir, include_snapshot),
+                 lambda: processed(wire(spark, sf_dir), include_snapshot=include_snapshot))
 
 
 def staged(spark: SparkSession, sf_dir: str, include_snapshot: bool = False) -> DataFrame:
-    return stg_orders(processed_events(spark, sf_dir, include_snapshot))
+    return _memo(spark, ("staged", sf_dir, include_snapshot),
+                 lambda: stg_orders(processed_events(spark, sf_dir, include_snapshot)))
 
 
 def fact(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     include_snapshot = kw.pop("include_snapshot", False)
-    return fct_orders(staged(spark, sf_dir, include_snapshot), **kw)
+    key = ("fact", sf_dir, include_snapshot) + tuple(sorted(kw.items()))
+    return _memo(spark, key, lambda: fct_orders(staged(spark, sf_dir, include_snapshot), **kw))
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fct_order_metrics(fact(spark, sf_dir))
+    return _memo(spark, ("metrics", sf_dir), lambda: fct_order_metrics(fact(spark, sf_dir)))
 
 
 def current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
