@@ -218,7 +218,7 @@ def _incremental(spark, d, parts=4):
     micro-batches cut across time (out of order)."""
     from orderflow.session import scratch_path
     from orderflow.streaming.state import OrderStateSink
-    sink = OrderStateSink(scratch_path(spark, "incremental"), buckets=16)
+    sink = OrderStateSink(scratch_path(spark, "incremental"), bucket_width=4096)
     proc = models.processed_events(spark, d)
     g = F.pmod(F.xxhash64(*proc.columns), F.lit(parts))
     for i in range(parts):

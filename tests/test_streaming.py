@@ -50,7 +50,7 @@ def test_state_stream_equals_batch_replay_safe(spark, tmp_dir):
     src, ck, root = (os.path.join(tmp_dir, x) for x in ("src", "ck", "state"))
     _write_record_parts(spark, src, 5, range(5))
     stream = decode_stream(file_records(spark, os.path.join(src, "*", "*.json"), max_files_per_trigger=1))
-    sink = OrderStateSink(root, buckets=8)
+    sink = OrderStateSink(root, bucket_width=500)
     q = state_stream(stream, sink, ck, trigger=AVAILABLE_NOW)
     q.awaitTermination()
     fct_b = models.fact(spark, SF_SMALL)
