@@ -41,7 +41,8 @@ def build_marts(spark: SparkSession, processed: DataFrame, root: str,
     fct = spark.read.parquet(fct_path).drop("created_date")
     met = fct_order_metrics(fct)
     if partition_metrics_by_day:
-        met = met.withColumn("metric_date", F.to_date("metric_hour"))
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        met = met.withColumn("metric_date", F.to_date("metric_hour")).repartitionByRange(n, "metric_date")
         met_path = write_version(met, root, "fct_order_metrics", partition_by=["metric_date"])
     else:
         met_path = write_version(met.coalesce(1), root, "fct_order_metrics")

@@ -111,12 +111,16 @@ def with_day_partition(fct: DataFrame, ts_col: str = "created_day", part_col: st
     return fct.withColumn(part_col, F.to_date(F.col(ts_col)))
 
 
-def write_fct_orders(fct: DataFrame, root: str, name: str = "fct_orders") -> str:
+def write_fct_orders(fct: DataFrame, root: str, name: str = "fct_orders",
+                     partitions: int | None = None) -> str:
     """Day-partitioned write of the fact.  Rows are range-partitioned on
     (day, order id): each task writes few day folders, and a hot day is cut
-    across several tasks instead of landing in one."""
+    across several tasks instead of landing in one.  The writer count is
+    explicit (default ``spark.sql.shuffle.partitions``) so that adaptive
+    coalescing cannot fold a small-but-wide write into one task."""
+    n = partitions or int(fct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     df = with_day_partition(fct)
-    df = df.repartitionByRange("created_date", "order_id").sortWithinPartitions("created_date", "order_id")
+    df = df.repartitionByRange(n, "created_date", "order_id").sortWithinPartitions("created_date", "order_id")
     return write_version(df, root, name, partition_by=["created_date"])
 
 
