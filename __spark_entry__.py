@@ -23,7 +23,7 @@ from orderflow.plans.ingest import decode_operation, filter_changes
 from orderflow.plans.staging import stg_orders
 from orderflow.schemas import ORDERS_PROCESSED, ORDERS_WIRE
 from orderflow.sources import wire as W
-from orderflow.sources.testdata import customers, products, to_topic_records
+from orderflow.sources.testdata import customers, products
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -40,7 +40,7 @@ def q_status_revenue(spark, d):
 
 
 def q_parse_change_events(spark, d):
-    return W.parse_change_events(to_topic_records(models.wire(spark, d)))
+    return W.parse_change_events(models.topic_records(spark, d))
 
 
 def q_unwrap_envelope(spark, d):

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.testdata import order_feed
+from ..sources.testdata import order_feed, to_topic_records
 from .ingest import processed
 from .marts import fct_order_metrics, fct_orders
 from .staging import stg_orders
@@ -34,6 +34,11 @@ def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, ("wire", sf_dir), lambda: order_feed(spark, sf_dir))
 
 
+def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as Kafka-shaped records (JSON values, tombstones NULL)."""
+    return _memo(spark, ("records", sf_dir), lambda: to_topic_records(wire(spark, sf_dir)))
+
+
 def processed_events(spark: SparkSession, sf_dir: str, include_snapshot: bool = False) -> DataFrame:
     return _memo(spark, ("processed", sf_dir, include_snapshot),
                  lambda: processed(wire(spark, sf_dir), include_snapshot=include_snapshot))

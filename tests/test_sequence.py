@@ -45,3 +45,10 @@ def test_fill_forward_carries_across_many_partitions(spark):
     assert safe == plain
     got = {(k, t): v for k, t, v in plain}
     assert got[(1, 1499)] == 100.0 and got[(1, 2999)] == 5.0 and got[(0, 10)] is None
+
+
+def test_hot_key_detection(spark):
+    from orderflow.operators.sequence import has_hot_key
+    df = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    assert has_hot_key(df, ["k"], 8, min_rows=20_000)
+    assert not has_hot_key(spark.range(200_000).withColumnRenamed("id", "k"), ["k"], 8, min_rows=20_000)
