@@ -8,8 +8,14 @@ TIMESTAMP_NTZ (UTC wall clock), counts as BIGINT.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:  # the driver may load this file by path
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
