@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.ingest import processed
-from ..schemas import ORDERS_TOPIC, ORDERS_WIRE
+from ..schemas import ORDERS_PROCESSED, ORDERS_TOPIC, ORDERS_WIRE
 from ..sources.wire import parse_change_events
 
 # Columns of a topic record (the shape of Spark's Kafka source).
@@ -68,3 +68,15 @@ def ingest_stream(records: DataFrame, out_path: str, checkpoint: str, fmt: str =
         w = w.queryName(query_name)
     w = w.trigger(**(trigger or {"processingTime": "60 seconds"}))
     return w.start(out_path)
+
+
+def processed_stream(spark: SparkSession, path: str, fmt: str = "parquet",
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the stream job's output folder (the staging side's input).
+
+    Reading the folder of a streaming file sink follows its commit log, so
+    only committed files are seen, each once."""
+    r = spark.readStream.schema(ORDERS_PROCESSED).format(fmt)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.load(path)

@@ -89,3 +89,18 @@ def test_windowed_change_counts_stream_and_batch(spark, tmp_dir):
                     "group by window_start, operation")
     want = change_counts(models.processed_events(spark, SF_SMALL), "1 day", "3650 days")
     assert _rows(got) == _rows(want.select("window_start", "operation", "changes"))
+
+
+def test_ingest_then_state_stream_end_to_end(spark, tmp_dir):
+    from orderflow.streaming.ingest import processed_stream
+    src, out, ck1, ck2, root = (os.path.join(tmp_dir, x) for x in ("src", "out", "ck1", "ck2", "st"))
+    _write_record_parts(spark, src, 3, range(3))
+    ingest_stream(file_records(spark, os.path.join(src, "*", "*.json"), max_files_per_trigger=1),
+                  out, ck1, trigger=AVAILABLE_NOW).awaitTermination()
+    sink = OrderStateSink(root, bucket_width=300)
+    state_stream(processed_stream(spark, out, max_files_per_trigger=1), sink, ck2,
+                 trigger=AVAILABLE_NOW).awaitTermination()
+    fct_b = models.fact(spark, SF_SMALL)
+    assert _rows(sink.state(spark), fct_b.columns) == _rows(fct_b)
+    met_b = marts.fct_order_metrics(fct_b)
+    assert _rows(sink.metrics(spark), met_b.columns) == _rows(met_b)
