@@ -91,6 +91,17 @@ def q_max_processed_at(spark, d):
     return max_per_key(models.staged(spark, d), ["order_id"], "processed_at")
 
 
+def q_latest_state_one(spark, d):
+    """One row per order: ties at the latest time broken by the other
+    columns (descending, NULL last)."""
+    return _out(models.fact(spark, d, on_tie="one"))
+
+
+def q_fct_orders_live(spark, d):
+    """Latest state without deleted orders."""
+    return _out(models.fact(spark, d, drop_deleted=True))
+
+
 def q_snapshot_plus_changes(spark, d):
     return _out(models.fact(spark, d, include_snapshot=True))
 
@@ -342,7 +353,21 @@ evc AS (
            AS operation, __ts_ms AS processed_at
   FROM ev WHERE __op IN ('c', 'u', 'd'))"""
 
+_ONE_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in
+                       ["customer_id", "product_id", "quantity", "unit_price", "total_amount", "status",
+                        "operation_type", "created_at", "updated_at"])
+
 _SQL: dict[str, str] = {
+    "latest_state_one": O.with_chain(
+        f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM ("
+        "SELECT *, CASE status WHEN 'delivered' THEN true WHEN 'cancelled' THEN true ELSE false END "
+        "AS is_terminal_state, DATE_TRUNC('hour', created_at) AS created_hour, "
+        "DATE_TRUNC('day', created_at) AS created_day, ROW_NUMBER() OVER (PARTITION BY order_id "
+        f"ORDER BY processed_at DESC, {_ONE_ORDER}) AS rn FROM stg_orders WHERE processed_at IS NOT NULL) "
+        "WHERE rn = 1"),
+    "fct_orders_live": O.with_chain(
+        f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders "
+        "WHERE operation_type <> 'DELETE'"),
     "events_latest_state": f"""WITH {_EV}
       SELECT user_id, event_id, event_type, value, operation, epoch_ms(processed_at) AS changed_at
       FROM (SELECT *, RANK() OVER (PARTITION BY user_id ORDER BY processed_at DESC) AS r FROM evc)
@@ -480,6 +505,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_state_join": q_latest_state_join,
     "max_processed_at": q_max_processed_at,
     "snapshot_plus_changes": q_snapshot_plus_changes,
+    "latest_state_one": q_latest_state_one,
+    "fct_orders_live": q_fct_orders_live,
     "fct_order_metrics": q_fct_order_metrics,
     "status_pivot_hourly": q_status_pivot_hourly,
     "cancellation_rate": q_cancellation_rate,
