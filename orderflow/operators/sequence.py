@@ -160,25 +160,25 @@ def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols:
         skew_safe = has_hot_key(df, keys, n_parts)
     if not skew_safe:
         w = _window(keys, order_cols)
-        out = df
+        extra = []
         for c in cols:
             if prev_prefix:
-                out = out.withColumn(prev_prefix + c, F.lag(c).over(w))
+                extra.append(F.lag(c).over(w).alias(prev_prefix + c))
             if next_prefix:
-                out = out.withColumn(next_prefix + c, F.lead(c).over(w))
-        return out
+                extra.append(F.lead(c).over(w).alias(next_prefix + c))
+        return df.select("*", *extra)        # one Window operator, one sort
 
     r, order, ordering, w = _range_slices(df, keys, order_cols, n_parts)
-    seq = r
+    win = []
     for c in cols:
         if prev_prefix:
-            seq = seq.withColumn(prev_prefix + c, F.lag(c).over(w))
+            win.append(F.lag(c).over(w).alias(prev_prefix + c))
         if next_prefix:
-            seq = seq.withColumn(next_prefix + c, F.lead(c).over(w))
-    seq = seq.withColumn("__rn", F.row_number().over(w))
-    if next_prefix:
-        w_desc = Window.partitionBy(*keys, "__pid").orderBy(*[e.desc() for e in _nulls_last_exprs(order)])
-        seq = seq.withColumn("__rn_desc", F.row_number().over(w_desc))
+            win.append(F.lead(c).over(w).alias(next_prefix + c))
+    win.append(F.row_number().over(w).alias("__rn"))
+    if next_prefix:  # last row of the slice: no following row inside it
+        win.append(F.lead(F.lit(1)).over(w).isNull().alias("__is_last"))
+    seq = r.select("*", *win)              # one Window operator, one sort
 
     pos = F.struct(*ordering)
     row = F.struct(*[F.col(k) for k in keys], *[F.col(c) for c in cols])
@@ -197,7 +197,7 @@ def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols:
             fixed.append(F.when((F.col("__rn") == 1) & same_key("__prev_last"), F.col(f"__prev_last.{c}"))
                          .otherwise(F.col(prev_prefix + c)).alias(prev_prefix + c))
         if next_prefix:
-            fixed.append(F.when((F.col("__rn_desc") == 1) & same_key("__next_first"), F.col(f"__next_first.{c}"))
+            fixed.append(F.when(F.col("__is_last") & same_key("__next_first"), F.col(f"__next_first.{c}"))
                          .otherwise(F.col(next_prefix + c)).alias(next_prefix + c))
     new_names = {prev_prefix + c for c in cols if prev_prefix} | {next_prefix + c for c in cols if next_prefix}
     return j.select(*[F.col(c) for c in df.columns if c not in new_names], *fixed)
