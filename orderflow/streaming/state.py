@@ -94,15 +94,15 @@ class OrderStateSink:
         return spark.createDataFrame([], T.StructType(FCT_ORDERS.fields + [T.StructField("bucket", T.IntegerType())]))
 
     def _read_buckets(self, spark: SparkSession, manifest: dict, wanted: list[int] | None) -> DataFrame:
-        by_version: dict[str, list[str]] = {}
-        for b, vdir in manifest.get("buckets", {}).items():
-            if wanted is None or int(b) in wanted:
-                by_version.setdefault(vdir, []).append(f"{vdir}/bucket={b}")
-        out = self._empty_state(spark)
-        for vdir, paths in sorted(by_version.items()):
-            out = out.unionByName(spark.read.option("basePath", vdir).parquet(*paths)
-                                  .withColumn("bucket", F.col("bucket").cast("int")))
-        return out
+        """One scan over the current folder of each wanted bucket (partition
+        discovery from the state root yields ``v`` and ``bucket``)."""
+        paths = [f"{vdir}/bucket={b}" for b, vdir in sorted(manifest.get("buckets", {}).items())
+                 if wanted is None or int(b) in wanted]
+        if not paths:
+            return self._empty_state(spark)
+        base = f"{self.root}/{self.name}/state"
+        return (spark.read.option("basePath", base).parquet(*paths)
+                .drop("v").withColumn("bucket", F.col("bucket").cast("int")))
 
     def state(self, spark: SparkSession) -> DataFrame:
         """Current fact rows (``FCT_ORDERS`` columns)."""
