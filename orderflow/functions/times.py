@@ -30,10 +30,14 @@ def epoch_ms_of(ts_ntz: Column) -> Column:
     return F.timestamp_diff("MILLISECOND", EPOCH_NTZ(), ts_ntz)
 
 
-def _instant_to_ntz(ts: Column) -> Column:
+def instant_to_utc_ntz(ts: Column) -> Column:
+    """TIMESTAMP (an instant) -> its UTC wall-clock TIMESTAMP_NTZ."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), EPOCH_NTZ())
 
 
+_instant_to_ntz = instant_to_utc_ntz
+
+
 def parse_timestamp(text: Column, strict: bool = True) -> Column:
     """ISO-8601 text -> UTC TIMESTAMP_NTZ.
 

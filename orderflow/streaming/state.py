@@ -75,11 +75,12 @@ class OrderStateSink:
     """``foreachBatch`` handler over processed change rows."""
 
     def __init__(self, root: str, bucket_width: int = 1 << 20, buckets: int | None = None,
-                 name: str = "order_state"):
+                 name: str = "order_state", strict_timestamps: bool = True):
         self.root = root.rstrip("/")
         self.bucket_width = bucket_width
         self.buckets = buckets
         self.name = name
+        self.strict_timestamps = strict_timestamps   # False: bad text -> NULL, batch goes on
 
     def bucket_of(self, order_id: Column) -> Column:
         if self.buckets:
@@ -132,7 +133,7 @@ class OrderStateSink:
 
     def _apply(self, spark: SparkSession, m: dict, processed_batch: DataFrame, batch_id: int) -> None:
         bucket = self.bucket_of(F.col("order_id"))
-        new = fct_orders(stg_orders(processed_batch)).where(F.col("processed_at").isNotNull()) \
+        new = fct_orders(stg_orders(processed_batch, self.strict_timestamps)).where(F.col("processed_at").isNotNull()) \
             .withColumn("bucket", bucket)
         touched = sorted(r[0] for r in new.select("bucket").distinct().collect())
         if not touched:

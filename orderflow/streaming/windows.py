@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import ntz_from_epoch_ms
+from ..functions.times import instant_to_utc_ntz
 
 
 def change_counts(processed: DataFrame, window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
@@ -16,11 +16,13 @@ def change_counts(processed: DataFrame, window: str = "1 hour", watermark: str =
     drop the state of windows older than ``watermark`` behind the newest
     event; works on batch input too (watermark is then ignored).
     """
-    ts = ntz_from_epoch_ms(F.col("processed_at")).cast("timestamp")
+    # An instant (streaming watermarks need TIMESTAMP); window bounds are
+    # computed on epoch time, so they do not depend on the session zone.
+    ts = F.timestamp_millis(F.col("processed_at"))
     return (processed.withColumn("event_time", ts)
             .withWatermark("event_time", watermark)
             .groupBy(F.window("event_time", window).alias("w"), F.col("operation"))
             .agg(F.count(F.lit(1)).alias("changes"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            .select(instant_to_utc_ntz(F.col("w.start")).alias("window_start"),
+                    instant_to_utc_ntz(F.col("w.end")).alias("window_end"),
                     "operation", "changes"))
