@@ -23,7 +23,9 @@ _PLANS: dict[tuple, DataFrame] = {}
 
 
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    k = (spark.sparkContext.applicationId, id(spark)) + key
+    # settings bound into a plan at analysis time are part of the key
+    bound = tuple(spark.conf.get(c, None) for c in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"))
+    k = (spark.sparkContext.applicationId, id(spark)) + bound + key
     df = _PLANS.get(k)
     if df is None:
         df = _PLANS[k] = build()
