@@ -8,6 +8,8 @@ same millisecond, so callers pass an explicit tie-break).
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,10 @@ HOT_KEY_MIN_ROWS = 1_000_000
 
 HOT_KEY_SAMPLE = 0.01
 
+# Decisions already measured, per live DataFrame object (a DataFrame is an
+# immutable plan over a fixed file listing, so its key distribution is too).
+_HOT_KEY_SEEN: dict[tuple, bool] = {}
+
 
 def has_hot_key(df: DataFrame, keys: list[str], partitions: int, min_rows: int = HOT_KEY_MIN_ROWS,
                 fraction: float = HOT_KEY_SAMPLE, seed: int = 17) -> bool:
@@ -46,12 +52,17 @@ def has_hot_key(df: DataFrame, keys: list[str], partitions: int, min_rows: int =
     decides it reliably while the per-key counts shuffled are ~1/fraction
     fewer.  Only two numbers reach the driver.
     """
+    memo = (id(df), tuple(keys), partitions, min_rows, fraction, seed)
+    if memo in _HOT_KEY_SEEN:
+        return _HOT_KEY_SEEN[memo]
     src = df.sample(fraction=fraction, seed=seed) if fraction < 1 else df
     per_key = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     row = per_key.agg(F.max("n").alias("mx"), F.sum("n").alias("total")).first()
-    if row is None or row.mx is None:
-        return False
-    return row.mx >= max(min_rows * fraction, 2 * row.total / max(1, partitions))
+    hot = bool(row is not None and row.mx is not None
+               and row.mx >= max(min_rows * fraction, 2 * row.total / max(1, partitions)))
+    _HOT_KEY_SEEN[memo] = hot
+    weakref.finalize(df, _HOT_KEY_SEEN.pop, memo, None)
+    return hot
 
 
 def _range_slices(df: DataFrame, keys: list[str], order_cols: list[str], n_parts: int):
@@ -214,6 +225,8 @@ def status_transitions(stg: DataFrame, key: str = "order_id", order_col: str = "
     """Every status change of an order: ``(order_id, from_status, to_status,
     changed_at)``.  An event repeating the status is not a change; the first
     event of an order has no predecessor."""
+    if skew_safe == "auto":  # measured on the input itself, so the decision is reusable
+        skew_safe = has_hot_key(stg, [key], int(stg.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     seq = with_neighbours(stg.where(F.col(order_col).isNotNull()), [key], [order_col] + tiebreak,
                           ["status"], skew_safe=skew_safe)
     return (seq.where(F.col("prev_status").isNotNull() & F.col("status").isNotNull()
