@@ -27,7 +27,7 @@ from orderflow.operators.sequence import STG_TIEBREAK, illegal_transitions, stat
 from orderflow.plans import marts, models, panels
 from orderflow.plans.ingest import decode_operation, filter_changes
 from orderflow.plans.staging import stg_orders
-from orderflow.schemas import ORDERS_PROCESSED, ORDERS_WIRE
+from orderflow.schemas import ALLOWED_TRANSITIONS, ORDERS_PROCESSED, ORDERS_WIRE
 from orderflow.sources import wire as W
 from orderflow.sources.testdata import customers, products
 
@@ -317,7 +317,7 @@ _TRANSITIONS_CTE = f"""t AS (
     FROM stg_orders WHERE processed_at IS NOT NULL)
   WHERE prev_status IS NOT NULL AND status IS NOT NULL AND prev_status <> status)"""
 _ALLOWED = " UNION ALL ".join(f"SELECT '{a}' AS from_status, '{b}' AS to_status"
-                              for a, b in C.ALLOWED_TRANSITIONS)
+                              for a, b in ALLOWED_TRANSITIONS)
 
 
 def _fk_sql(fk, parent, pk, relation):

@@ -35,8 +35,6 @@ def instant_to_utc_ntz(ts: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), EPOCH_NTZ())
 
 
-_instant_to_ntz = instant_to_utc_ntz
-
 
 def parse_timestamp(text: Column, strict: bool = True) -> Column:
     """ISO-8601 text -> UTC TIMESTAMP_NTZ.
@@ -50,7 +48,7 @@ def parse_timestamp(text: Column, strict: bool = True) -> Column:
     utc_wall = F.substring(text, F.lit(1), F.length(text) - F.lit(1))   # drop the Z
     has_zone = text.rlike(_OFFSET_SUFFIX)
     return (F.when(is_utc, cast(utc_wall, T.TimestampNTZType()))
-            .when(has_zone, _instant_to_ntz(cast(text, T.TimestampType())))
+            .when(has_zone, instant_to_utc_ntz(cast(text, T.TimestampType())))
             .otherwise(cast(text, T.TimestampNTZType())))
 
 

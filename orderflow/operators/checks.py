@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import ALLOWED_TRANSITIONS, OPERATION_TYPES, ORDER_STATUSES
+from ..schemas import OPERATION_TYPES, ORDER_STATUSES
 
 SUMMARY = "model string, column_name string, test string, failures bigint"
 
@@ -164,10 +164,3 @@ def fk_summary(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation:
         F.count_if(missing).cast("bigint").alias("orphan_keys"),
         F.coalesce(F.sum(F.when(missing, F.col("n_rows"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
     ).select(F.lit(relation).alias("relation"), "child_rows", "orphan_keys", "orphan_rows")
-
-
-# --- status life cycle -------------------------------------------------------
-
-def allowed_transitions(spark) -> DataFrame:
-    """The fixed transition table (five rows)."""
-    return spark.createDataFrame(ALLOWED_TRANSITIONS, "from_status string, to_status string")

@@ -95,10 +95,5 @@ FCT_ORDER_METRICS = T.StructType([
 ])
 
 
-def all_string(schema: T.StructType) -> T.StructType:
-    """Same field names, every field STRING: the tolerant wire schema."""
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-
-
 def ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
