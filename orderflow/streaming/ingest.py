@@ -29,7 +29,9 @@ TOPIC_RECORD = T.StructType([
 def kafka_records(spark: SparkSession, bootstrap_servers: str, topic: str = ORDERS_TOPIC,
                   starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Topic source (needs the Kafka connector on the classpath).  The
-    query's checkpoint takes the place of a consumer group."""
+    query's checkpoint takes the place of a consumer group; records carry
+    ``key, value, topic, partition, offset, timestamp`` like
+    :func:`file_records`."""
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", topic)
@@ -37,7 +39,15 @@ def kafka_records(spark: SparkSession, bootstrap_servers: str, topic: str = ORDE
          .option("failOnDataLoss", "true"))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return r.load()
+    try:
+        return r.load()
+    except Exception as e:  # noqa: BLE001 - re-raised with the fix
+        if "kafka" in str(e).lower() and ("find data source" in str(e).lower()
+                                          or "DATA_SOURCE_NOT_FOUND" in str(e)):
+            raise RuntimeError("the Kafka connector is not on the classpath: add "
+                               "org.apache.spark:spark-sql-kafka-0-10 to spark.jars.packages, "
+                               "or replay topic records with file_records()") from e
+        raise
 
 
 def file_records(spark: SparkSession, path: str, fmt: str = "json",

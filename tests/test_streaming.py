@@ -104,3 +104,17 @@ def test_ingest_then_state_stream_end_to_end(spark, tmp_dir):
     assert _rows(sink.state(spark), fct_b.columns) == _rows(fct_b)
     met_b = marts.fct_order_metrics(fct_b)
     assert _rows(sink.metrics(spark), met_b.columns) == _rows(met_b)
+
+
+def test_json_sink_and_missing_kafka_connector(spark, tmp_dir):
+    import pytest
+    from orderflow.streaming.ingest import kafka_records
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("src", "out", "ck"))
+    _write_record_parts(spark, src, 2, [0, 1])
+    ingest_stream(file_records(spark, os.path.join(src, "*", "*.json")), out, ck, fmt="json",
+                  trigger=AVAILABLE_NOW).awaitTermination()
+    got = read_processed(spark, out, fmt="json")
+    want = models.processed_events(spark, SF_SMALL)
+    assert _rows(got) == _rows(want)
+    with pytest.raises(RuntimeError, match="Kafka connector"):
+        kafka_records(spark, "localhost:9")
