@@ -29,18 +29,39 @@ DEFAULT_CONF = {
 }
 
 
+# Added for large clusters (``profile="cluster"``).  Shuffles start with many
+# partitions and AQE merges them up to the advisory size (size first, not
+# parallelism first), so a 100 TB shuffle gets ~256 MB partitions instead of a
+# fixed count sized for another data volume; skewed join partitions above
+# 5x the median and 1 GB are split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "65536",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1GB",
+    "spark.sql.files.maxPartitionBytes": "512MB",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "orderflow", extra: dict | None = None) -> SparkSession:
+              app_name: str = "orderflow", extra: dict | None = None,
+              profile: str = "local") -> SparkSession:
     """Build (or reuse) a session with the package defaults.
 
-    On a cluster ``master`` stays ``None`` and the launcher decides.  The
-    checkpoint folder is read from ``spark.checkpoint.dir``; only a local
-    session without one gets a private folder under the system temp dir.
+    On a cluster ``master`` stays ``None`` and the launcher decides;
+    ``profile="cluster"`` adds :data:`CLUSTER_CONF`.  The checkpoint folder
+    is read from ``spark.checkpoint.dir``; only a local session without one
+    gets a private folder under the system temp dir.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
