@@ -97,6 +97,13 @@ def q_latest_state_one(spark, d):
     return _out(models.fact(spark, d, on_tie="one"))
 
 
+def q_latest_state_agg(spark, d):
+    """One row per order as a keyed aggregate (the streaming form, run on
+    the batch feed): no window, partial aggregation shrinks a hot order."""
+    from orderflow.streaming.latest import latest_state_updates
+    return _out(latest_state_updates(models.processed_events(spark, d)))
+
+
 def q_fct_orders_live(spark, d):
     """Latest state without deleted orders."""
     return _out(models.fact(spark, d, drop_deleted=True))
@@ -365,6 +372,12 @@ _SQL: dict[str, str] = {
         "DATE_TRUNC('day', created_at) AS created_day, ROW_NUMBER() OVER (PARTITION BY order_id "
         f"ORDER BY processed_at DESC, {_ONE_ORDER}) AS rn FROM stg_orders WHERE processed_at IS NOT NULL) "
         "WHERE rn = 1"),
+    "latest_state_agg": O.with_chain(
+        "SELECT order_id, customer_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, "
+        "CAST(total_amount AS DOUBLE) AS total_amount, status, operation_type, created_at, updated_at, "
+        "processed_at FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id "
+        f"ORDER BY processed_at DESC, {_ONE_ORDER}) AS rn FROM stg_orders WHERE processed_at IS NOT NULL) "
+        "WHERE rn = 1"),
     "fct_orders_live": O.with_chain(
         f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders "
         "WHERE operation_type <> 'DELETE'"),
@@ -507,6 +520,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_plus_changes": q_snapshot_plus_changes,
     "latest_state_one": q_latest_state_one,
     "fct_orders_live": q_fct_orders_live,
+    "latest_state_agg": q_latest_state_agg,
     "fct_order_metrics": q_fct_order_metrics,
     "status_pivot_hourly": q_status_pivot_hourly,
     "cancellation_rate": q_cancellation_rate,

@@ -118,3 +118,22 @@ def test_json_sink_and_missing_kafka_connector(spark, tmp_dir):
     assert _rows(got) == _rows(want)
     with pytest.raises(RuntimeError, match="Kafka connector"):
         kafka_records(spark, "localhost:9")
+
+
+def test_streaming_aggregation_latest_state(spark, tmp_dir):
+    from orderflow.operators.latest import latest_rows
+    from orderflow.streaming.latest import ORDER_TIEBREAK, latest_state_updates
+    src, ck = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "ck")
+    _write_record_parts(spark, src, 3, range(3))
+    stream = latest_state_updates(decode_stream(file_records(spark, os.path.join(src, "*", "*.json"),
+                                                             max_files_per_trigger=1)))
+    q = (stream.writeStream.outputMode("update").format("memory").queryName("latest_upd")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    # last upsert per order = final state
+    upd = spark.sql("select * from latest_upd")
+    final = latest_rows(upd, ["order_id"], "processed_at", on_tie="one", tiebreak=ORDER_TIEBREAK)
+    want = latest_rows(models.staged(spark, SF_SMALL), ["order_id"], "processed_at", on_tie="one",
+                       tiebreak=ORDER_TIEBREAK)
+    cols = ["order_id"] + ORDER_TIEBREAK + ["processed_at"]
+    assert _rows(final, cols) == _rows(want, cols)
