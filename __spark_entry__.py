@@ -150,8 +150,8 @@ def q_hourly_cancellation_rate(spark, d):
 
 
 def q_data_tests(spark, d):
-    stg = models.staged(spark, d)
-    return C.run_declared_tests(stg, marts.fct_orders(stg))
+    """All ten declared tests over staging and the fact, one scan."""
+    return C.declared_tests_one_pass(models.staged(spark, d))
 
 
 def _tests_of(kind):
@@ -159,13 +159,7 @@ def _tests_of(kind):
 
 
 def q_check_not_null(spark, d):
-    stg = models.staged(spark, d)
-    fct = marts.fct_orders(stg)
-    out = None
-    for model, df in (("stg_orders", stg), ("fct_orders", fct)):
-        part = C.column_tests(df, model, [(c, t, v) for m, c, t, v in _tests_of("not_null") if m == model])
-        out = part if out is None else out.unionByName(part)
-    return out
+    return C.declared_tests_one_pass(models.staged(spark, d), _tests_of("not_null"))
 
 
 def q_check_accepted_values(spark, d):
@@ -187,9 +181,9 @@ def q_check_generated_amount(spark, d):
 
 
 def q_fk_orphans(spark, d):
-    stg = models.staged(spark, d)
-    return C.fk_summary(stg, "customer_id", customers(spark, d), "id", "orders.customer_id -> customers").unionByName(
-        C.fk_summary(stg, "product_id", products(spark, d), "id", "orders.product_id -> products"))
+    return C.fk_summaries(models.staged(spark, d), [
+        ("customer_id", customers(spark, d), "id", "orders.customer_id -> customers"),
+        ("product_id", products(spark, d), "id", "orders.product_id -> products")])
 
 
 def q_status_transitions(spark, d):
@@ -202,13 +196,14 @@ def q_illegal_transitions(spark, d):
 
 def q_insert_if_absent(spark, d):
     """Product registry seeded by creation events, extended by update
-    events, ``ON CONFLICT (product_id) DO NOTHING``."""
+    events, ``ON CONFLICT (product_id) DO NOTHING``.  The first event per
+    (product, operation) is found in one aggregate over the feed."""
     from orderflow.operators.history import first_per_key, insert_if_absent
-    feed = models.wire(spark, d).select("product_id", F.col("__ts_ms").alias("first_seen_ms"),
-                                       F.col("unit_price").alias("first_price"), "__op")
-    seed = first_per_key(feed.where(F.col("__op") == "c").drop("__op"), ["product_id"],
-                         ["first_seen_ms", "first_price"])
-    upd = feed.where(F.col("__op") == "u").drop("__op")
+    feed = models.wire(spark, d).where(F.col("__op").isin("c", "u")).select(
+        "product_id", "__op", F.col("__ts_ms").alias("first_seen_ms"), F.col("unit_price").alias("first_price"))
+    firsts = first_per_key(feed, ["product_id", "__op"], ["first_seen_ms", "first_price"])
+    seed = firsts.where(F.col("__op") == "c").drop("__op")
+    upd = firsts.where(F.col("__op") == "u").drop("__op")
     return insert_if_absent(seed, upd, ["product_id"], ["first_seen_ms", "first_price"])
 
 
