@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sequence import has_hot_key
+
 RANK_COL = "__rank"
 
 
@@ -22,8 +24,21 @@ def _order_desc(order_col: str, tiebreak: list[str]) -> list[Column]:
     return [F.col(order_col).desc()] + [F.col(c).desc_nulls_last() for c in tiebreak]
 
 
+def _reduce_hot_slices(base: DataFrame, keys: list[str], spec_order: list[Column], fn, n_parts: int,
+                       salts: int) -> DataFrame:
+    """First phase for hot keys: spread rows over (key, salt) with an
+    explicit repartition (a plain window would reuse a key partitioning),
+    keep each slice's top rows.  Any row that is top for its key is top in
+    its slice, so the second phase over the survivors is exact."""
+    salted = base.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    w = Window.partitionBy(*keys, "__salt").orderBy(*spec_order)
+    return (salted.repartition(n_parts, *keys, "__salt")
+            .withColumn(RANK_COL, fn.over(w)).where(F.col(RANK_COL) == 1).drop(RANK_COL, "__salt"))
+
+
 def latest_rows(df: DataFrame, keys: list[str], order_col: str, on_tie: str = "keep_all",
-                method: str = "rank", tiebreak: list[str] | None = None) -> DataFrame:
+                method: str = "rank", tiebreak: list[str] | None = None,
+                skew_safe: bool | str = "auto", salts: int | None = None) -> DataFrame:
     """Rows of ``df`` holding the maximal ``order_col`` of their ``keys``.
 
     on_tie='keep_all' keeps every tied row (reference semantics); 'one' keeps a
@@ -31,6 +46,10 @@ def latest_rows(df: DataFrame, keys: list[str], order_col: str, on_tie: str = "k
     descending, so the choice is deterministic).  method='join' is the
     literal max-then-self-join form; it returns the same rows but scans the
     input twice.
+
+    ``skew_safe="auto"`` measures the largest key on a sample (remembered
+    per input plan); when one key is hot, a first window over (key, salt)
+    slices keeps only each slice's top rows before the shuffle on the key.
     """
     base = df.where(F.col(order_col).isNotNull())
     if method == "join":
@@ -42,14 +61,20 @@ def latest_rows(df: DataFrame, keys: list[str], order_col: str, on_tie: str = "k
                [F.col(f"__s.{order_col}") == F.col("__l.__latest")]
         return s.join(mx, cond, "inner").select(*[F.col(f"__s.{c}") for c in df.columns])
     if on_tie == "keep_all":
-        w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
+        order = [F.col(order_col).desc()]
         fn = F.rank()
     elif on_tie == "one":
         tb = tiebreak if tiebreak is not None else [c for c in df.columns if c not in keys + [order_col]]
-        w = Window.partitionBy(*keys).orderBy(*_order_desc(order_col, tb))
+        order = _order_desc(order_col, tb)
         fn = F.row_number()
     else:
         raise ValueError(f"on_tie must be 'keep_all' or 'one', not {on_tie!r}")
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if skew_safe == "auto":
+        skew_safe = has_hot_key(df, keys, n_parts)
+    if skew_safe:
+        base = _reduce_hot_slices(base, keys, order, fn, n_parts, salts or n_parts)
+    w = Window.partitionBy(*keys).orderBy(*order)
     return base.withColumn(RANK_COL, fn.over(w)).where(F.col(RANK_COL) == 1).drop(RANK_COL)
 
 

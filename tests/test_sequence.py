@@ -52,3 +52,17 @@ def test_hot_key_detection(spark):
     df = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
     assert has_hot_key(df, ["k"], 8, min_rows=20_000)
     assert not has_hot_key(spark.range(200_000).withColumnRenamed("id", "k"), ["k"], 8, min_rows=20_000)
+
+
+def test_latest_rows_salted_equals_plain_with_hot_key(spark):
+    from orderflow.operators.latest import latest_rows
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 40).alias("k"),
+        (F.col("id") % 97).alias("t"), (F.col("id") % 7).alias("v"))
+    df = df.unionByName(df.where(F.col("k") == 1).limit(50))          # exact duplicates on the hot key
+    for tie in ("keep_all", "one"):
+        plain = _rows(latest_rows(df, ["k"], "t", on_tie=tie, skew_safe=False))
+        salted = latest_rows(df, ["k"], "t", on_tie=tie, skew_safe=True, salts=5)
+        assert _rows(salted) == plain, tie
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert "__salt" in plan
