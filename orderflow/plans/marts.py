@@ -17,12 +17,13 @@ def is_terminal(status_col: str = "status"):
 
 
 def fct_orders(stg: DataFrame, on_tie: str = "keep_all", method: str = "rank",
-               drop_deleted: bool = False) -> DataFrame:
+               drop_deleted: bool = False, skew_safe: bool | str = "auto") -> DataFrame:
     """Latest state of each order plus terminal flag, hour and day.
 
     Deletes stay in the fact like in the reference unless ``drop_deleted``.
     """
-    latest = latest_rows(stg, ["order_id"], "processed_at", on_tie=on_tie, method=method)
+    latest = latest_rows(stg, ["order_id"], "processed_at", on_tie=on_tie, method=method,
+                         skew_safe=skew_safe)
     if drop_deleted:
         latest = latest.where(F.col("operation_type") != F.lit("DELETE"))
     return latest.select(
