@@ -85,9 +85,9 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "metric":
         from .plans import panels
         from .plans.build import read_mart
-        fct, met = read_mart(spark, a.root, "fct_orders"), read_mart(spark, a.root, "fct_order_metrics")
-        kw = {k: v for k, v in (("start", a.start), ("end", a.end)) if v} if a.name != "orders_by_status" else {}
-        panels.metric(a.name, fct, met, **kw).show(panels.SERIES_POINTS, truncate=False)
+        fct = read_mart(spark, a.root, "fct_orders", a.start, a.end)
+        met = read_mart(spark, a.root, "fct_order_metrics", a.start, a.end)   # pruned to the day folders
+        panels.metric(a.name, fct, met).show(panels.SERIES_POINTS, truncate=False)
     return 0
 
 

@@ -54,10 +54,28 @@ def build_marts(spark: SparkSession, processed: DataFrame, root: str,
     return BuildResult(True, [], paths)
 
 
-def read_mart(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The published version of one mart (partition helper columns dropped)."""
+def read_mart(spark: SparkSession, root: str, table: str, start=None, end=None) -> DataFrame:
+    """The published version of one mart (partition helper columns dropped).
+
+    ``start``/``end`` bound the table's time column (``created_at`` of the
+    fact, ``metric_hour`` of the metrics) and are put on the day partition
+    column too, so only the matching day folders are read.
+    """
     m = current_manifest(spark, root, MARTS)
     if m is None or table not in m:
         raise FileNotFoundError(f"no published {table!r} under {root}")
     df = spark.read.parquet(m[table])
+    ts_col, day_col = {"fct_orders": ("created_at", "created_date"),
+                       "fct_order_metrics": ("metric_hour", "metric_date")}.get(table, (None, None))
+    if ts_col and (start is not None or end is not None):
+        if start is not None:
+            s = F.lit(start).cast("timestamp_ntz")
+            df = df.where(F.col(ts_col) >= s)
+            if day_col in df.columns:
+                df = df.where(F.col(day_col) >= F.to_date(s))
+        if end is not None:
+            e = F.lit(end).cast("timestamp_ntz")
+            df = df.where(F.col(ts_col) < e)
+            if day_col in df.columns:
+                df = df.where(F.col(day_col) <= F.to_date(e))
     return df.drop(*[c for c in ("created_date", "metric_date") if c in df.columns])

@@ -19,3 +19,14 @@ def test_build_blocks_then_publishes(spark, tmp_dir):
     assert _rows(read_mart(spark, tmp_dir, "fct_orders"), fct.columns) == _rows(fct, fct.columns)
     met = marts.fct_order_metrics(fct)
     assert _rows(read_mart(spark, tmp_dir, "fct_order_metrics"), met.columns) == _rows(met, met.columns)
+
+
+def test_bounded_read_prunes_metric_days(spark, tmp_dir):
+    res = build_marts(spark, models.processed_events(spark, SF_SMALL), tmp_dir, allow=lambda r: r[2] == "unique")
+    assert res.published
+    met = read_mart(spark, tmp_dir, "fct_order_metrics", "1996-01-01 00:00:00", "1996-02-01 00:00:00")
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(metric_date" in plan
+    want = marts.fct_order_metrics(models.fact(spark, SF_SMALL)).where(
+        "metric_hour >= '1996-01-01' AND metric_hour < '1996-02-01'")
+    assert _rows(met, want.columns) == _rows(want, want.columns)
