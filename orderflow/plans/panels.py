@@ -28,19 +28,20 @@ def _sorted_small(df: DataFrame, *order: Column) -> DataFrame:
     return df.coalesce(1).sortWithinPartitions(*order)
 
 
-_BY_COUNT = (F.col("orders").desc(), F.col("status").asc_nulls_last())
+def _by_count() -> tuple[Column, Column]:
+    return F.col("orders").desc(), F.col("status").asc_nulls_last()
 
 
 def orders_by_status(fct: DataFrame) -> DataFrame:
     """(status, orders) by count descending; status breaks ties."""
-    return _sorted_small(fct.groupBy("status").agg(F.count(F.lit(1)).alias("orders")), *_BY_COUNT)
+    return _sorted_small(fct.groupBy("status").agg(F.count(F.lit(1)).alias("orders")), *_by_count())
 
 
 def status_revenue(fct: DataFrame) -> DataFrame:
     """(status, orders, revenue): count and revenue rounded to cents."""
     return _sorted_small(fct.groupBy("status").agg(F.count(F.lit(1)).alias("orders"),
                                                    F.round(F.sum("total_amount"), 2).alias("revenue")),
-                         *_BY_COUNT)
+                         *_by_count())
 
 
 def status_stats(state: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def status_stats(state: DataFrame) -> DataFrame:
     missing sum shown as 0."""
     return _sorted_small(state.groupBy("status").agg(
         F.count(F.lit(1)).alias("orders"),
-        F.coalesce(F.sum("total_amount"), F.lit(0).cast(T.DecimalType(10, 2))).alias("revenue")), *_BY_COUNT)
+        F.coalesce(F.sum("total_amount"), F.lit(0).cast(T.DecimalType(10, 2))).alias("revenue")), *_by_count())
 
 
 def _bounded(metrics: DataFrame, start=None, end=None) -> DataFrame:
