@@ -38,8 +38,8 @@ def parse_json_column(df: DataFrame, value_col: str, schema: T.StructType,
     cols = []
     for f in schema.fields:
         fast = F.col(f"{tmp}.`{f.name}`")
-        if isinstance(f.dataType, T.StringType):
-            cols.append(fast.alias(f.name))
+        if isinstance(f.dataType, (T.StringType, T.StructType, T.ArrayType, T.MapType)):
+            cols.append(fast.alias(f.name))      # text, or nested: the typed parse is the answer
             continue
         present = F.col("__raw").contains(f'"{f.name}"')
         as_text = F.from_json(F.col("__raw"), T.StructType([T.StructField(f.name, T.StringType())]))

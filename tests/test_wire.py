@@ -58,3 +58,12 @@ def test_envelope_round_trip(spark):
     assert out[0]["status"] == "pending" and out[0]["__deleted"] == "false"
     assert out[1]["id"] == 1 and out[1]["__op"] == "d" and out[1]["__deleted"] == "true"
     assert all(v is None for v in out[2])
+
+
+def test_generic_schema_with_nested_and_boolean_fields(spark):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ok", T.BooleanType()),
+                           T.StructField("tags", T.ArrayType(T.StringType())),
+                           T.StructField("attrs", T.StructType([T.StructField("a", T.IntegerType())]))])
+    df = spark.createDataFrame([('{"id":"5","ok":"true","tags":["x"],"attrs":{"a":1}}',)], "value string")
+    r = parse_json_column(df, "value", schema).collect()[0]
+    assert r.id == 5 and r.ok is True and r.tags == ["x"] and r.attrs.a == 1
