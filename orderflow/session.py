@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # keep CPU-heavy stages over small shuffles on every core (merging only
+    # below 64 KB); large shuffles are sized by the advisory size
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.stateStore.providerClass":
