@@ -14,16 +14,23 @@ from .sequence import fill_forward, has_hot_key, with_neighbours
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
-    """One row per key: the one with the smallest ``order_cols`` (then the
-    smallest remaining columns, so the choice is deterministic).
+    """One row per key: the one with the smallest ``order_cols`` (NULLs
+    last, then the smallest remaining columns, so the choice is
+    deterministic).
 
     An aggregate (``min`` of a struct led by the order columns), so partial
-    aggregation shrinks a hot key map-side before the shuffle.
+    aggregation shrinks a hot key map-side before the shuffle.  Each column
+    enters the struct as (is NULL, value), which orders NULLs last.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
-    packed = F.min(F.struct(*[F.col(c) for c in order_cols + rest])).alias("__first")
-    return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"__first.{c}").alias(c)
-                                                         for c in order_cols + rest]).select(*df.columns)
+    ordered = order_cols + rest
+    fields = []
+    for i, c in enumerate(ordered):
+        fields += [F.col(c).isNull().alias(f"__n{i}"), F.col(c).alias(f"__v{i}")]
+    packed = F.min(F.struct(*fields)).alias("__first")
+    return (df.groupBy(*keys).agg(packed)
+            .select(*keys, *[F.col(f"__first.__v{i}").alias(c) for i, c in enumerate(ordered)])
+            .select(*df.columns))
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:

@@ -74,3 +74,10 @@ def test_asof_matches_merge_asof(spark):
         pr = None if pd.isna(r.price) else float(r.price)
         want.append((r.order_id, r.product_id, r.ts, pr, vf))
     assert got == sorted(want, key=repr)
+
+
+def test_first_per_key_puts_nulls_last(spark):
+    df = spark.createDataFrame([(1, None, "unknown time"), (1, 5, "b"), (1, 3, "a"), (2, None, "only")],
+                               "k int, t int, v string")
+    got = sorted(tuple(r) for r in first_per_key(df, ["k"], ["t"]).collect())
+    assert got == [(1, 3, "a"), (2, None, "only")]
