@@ -26,7 +26,6 @@ from orderflow.operators.latest import latest_rows, max_per_key
 from orderflow.operators.sequence import STG_TIEBREAK, illegal_transitions, status_transitions
 from orderflow.plans import marts, models, panels
 from orderflow.plans.ingest import decode_operation, filter_changes
-from orderflow.plans.staging import stg_orders
 from orderflow.schemas import ALLOWED_TRANSITIONS, ORDERS_PROCESSED, ORDERS_WIRE
 from orderflow.sources import wire as W
 from orderflow.sources.testdata import customers, products
