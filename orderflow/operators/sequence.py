@@ -36,6 +36,10 @@ HOT_KEY_MIN_ROWS = 1_000_000
 
 HOT_KEY_SAMPLE = 0.01
 
+# Session setting: "sample" (default) measures, "off" always takes the plain
+# plan (no extra pass over the input), "always" always takes the split plan.
+SKEW_DETECTION_CONF = "spark.orderflow.skewDetection"
+
 # Decisions already measured, per live DataFrame object (a DataFrame is an
 # immutable plan over a fixed file listing, so its key distribution is too).
 _HOT_KEY_SEEN: dict[tuple, bool] = {}
@@ -50,8 +54,15 @@ def has_hot_key(df: DataFrame, keys: list[str], partitions: int, min_rows: int =
     the same way: a key big enough to matter has at least
     ``min_rows * fraction`` (10,000 by default) sampled rows, so the sample
     decides it reliably while the per-key counts shuffled are ~1/fraction
-    fewer.  Only two numbers reach the driver.
+    fewer.  Only two numbers reach the driver.  The sample still scans the
+    input once more; ``spark.orderflow.skewDetection`` = ``off`` / ``always``
+    skips the measurement where the key distribution is known.
     """
+    mode = df.sparkSession.conf.get(SKEW_DETECTION_CONF, "sample")
+    if mode == "off":
+        return False
+    if mode == "always":
+        return True
     memo = (id(df), tuple(keys), partitions, min_rows, fraction, seed)
     if memo in _HOT_KEY_SEEN:
         return _HOT_KEY_SEEN[memo]

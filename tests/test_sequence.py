@@ -66,3 +66,15 @@ def test_latest_rows_salted_equals_plain_with_hot_key(spark):
         assert _rows(salted) == plain, tie
         plan = salted._jdf.queryExecution().executedPlan().toString()
         assert "__salt" in plan
+
+
+def test_skew_detection_setting(spark):
+    from orderflow.operators.sequence import SKEW_DETECTION_CONF, has_hot_key
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    try:
+        spark.conf.set(SKEW_DETECTION_CONF, "always")
+        assert has_hot_key(df, ["k"], 8)
+        spark.conf.set(SKEW_DETECTION_CONF, "off")
+        assert not has_hot_key(df.withColumn("k", F.lit(1)), ["k"], 8, min_rows=1)
+    finally:
+        spark.conf.unset(SKEW_DETECTION_CONF)
