@@ -70,6 +70,15 @@ def q_scan_processed(spark, d):
     return W.parse_json_column(lines, "value", ORDERS_PROCESSED)
 
 
+def q_scan_processed_files(spark, d):
+    """Write the processed changes as NDJSON part files (the sink's format)
+    to the shared folder, then scan the folder with the tolerant reader."""
+    from orderflow.session import scratch_path
+    path = scratch_path(spark, "processed-json") + "/orders_processed"
+    W.processed_as_json_lines(models.processed_events(spark, d)).write.text(path)
+    return W.read_processed(spark, path, fmt="json")
+
+
 def q_stg_orders(spark, d):
     return _out(models.staged(spark, d))
 
@@ -467,6 +476,7 @@ _SQL: dict[str, str] = {
     "filter_changes": O.with_chain("SELECT * FROM feed WHERE __op IN ('c','u','d')"),
     "decode_operation": O.with_chain("SELECT * FROM processed"),
     "scan_processed": O.with_chain("SELECT * FROM processed"),
+    "scan_processed_files": O.with_chain("SELECT * FROM processed"),
     "stg_orders": O.with_chain(f"SELECT {O.FCT_DOUBLE} FROM stg_orders"),
     "fct_orders": O.with_chain(
         f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders"),
@@ -524,6 +534,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_changes": q_filter_changes,
     "decode_operation": q_decode_operation,
     "scan_processed": q_scan_processed,
+    "scan_processed_files": q_scan_processed_files,
     "stg_orders": q_stg_orders,
     "fct_orders": q_fct_orders,
     "latest_state_rank": q_latest_state_rank,
