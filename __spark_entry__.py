@@ -79,6 +79,21 @@ def q_scan_processed_files(spark, d):
     return W.read_processed(spark, path, fmt="json")
 
 
+def q_stream_ingest(spark, d):
+    """The stream job as a Structured Streaming query: topic records (as
+    JSON files in the shared folder) -> decode, filter -> Parquet file sink
+    with a checkpoint; returns the sink's committed rows."""
+    from orderflow.session import scratch_path
+    from orderflow.streaming.ingest import file_records, ingest_stream
+    base = scratch_path(spark, "stream-ingest")
+    models.topic_records(spark, d).withColumn("partition", F.lit(0)) \
+        .withColumn("offset", F.lit(None).cast("bigint")).write.json(base + "/records")
+    q = ingest_stream(file_records(spark, base + "/records"), base + "/processed", base + "/checkpoint",
+                      trigger={"availableNow": True})
+    q.awaitTermination()
+    return W.read_processed(spark, base + "/processed")
+
+
 def q_stg_orders(spark, d):
     return _out(models.staged(spark, d))
 
@@ -477,6 +492,7 @@ _SQL: dict[str, str] = {
     "decode_operation": O.with_chain("SELECT * FROM processed"),
     "scan_processed": O.with_chain("SELECT * FROM processed"),
     "scan_processed_files": O.with_chain("SELECT * FROM processed"),
+    "stream_ingest": O.with_chain("SELECT * FROM processed"),
     "stg_orders": O.with_chain(f"SELECT {O.FCT_DOUBLE} FROM stg_orders"),
     "fct_orders": O.with_chain(
         f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders"),
@@ -535,6 +551,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_operation": q_decode_operation,
     "scan_processed": q_scan_processed,
     "scan_processed_files": q_scan_processed_files,
+    "stream_ingest": q_stream_ingest,
     "stg_orders": q_stg_orders,
     "fct_orders": q_fct_orders,
     "latest_state_rank": q_latest_state_rank,
