@@ -94,6 +94,23 @@ def q_stream_ingest(spark, d):
     return W.read_processed(spark, base + "/processed")
 
 
+def q_stream_state_fct_orders(spark, d):
+    """Latest state kept by a Structured Streaming query: the processed
+    changes as four Parquet files (cut across time), one file per
+    micro-batch, through the foreachBatch state sink."""
+    from orderflow.session import scratch_path
+    from orderflow.streaming.ingest import processed_stream
+    from orderflow.streaming.state import OrderStateSink, state_stream
+    base = scratch_path(spark, "stream-state")
+    proc = models.processed_events(spark, d)
+    proc.repartition(4, F.xxhash64(*proc.columns)).write.parquet(base + "/processed")
+    sink = OrderStateSink(base + "/state", bucket_width=4096)
+    q = state_stream(processed_stream(spark, base + "/processed", max_files_per_trigger=1), sink,
+                     base + "/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    return _out(sink.state(spark))
+
+
 def q_stg_orders(spark, d):
     return _out(models.staged(spark, d))
 
@@ -493,6 +510,8 @@ _SQL: dict[str, str] = {
     "scan_processed": O.with_chain("SELECT * FROM processed"),
     "scan_processed_files": O.with_chain("SELECT * FROM processed"),
     "stream_ingest": O.with_chain("SELECT * FROM processed"),
+    "stream_state_fct_orders": O.with_chain(
+        f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders"),
     "stg_orders": O.with_chain(f"SELECT {O.FCT_DOUBLE} FROM stg_orders"),
     "fct_orders": O.with_chain(
         f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders"),
@@ -552,6 +571,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_processed": q_scan_processed,
     "scan_processed_files": q_scan_processed_files,
     "stream_ingest": q_stream_ingest,
+    "stream_state_fct_orders": q_stream_state_fct_orders,
     "stg_orders": q_stg_orders,
     "fct_orders": q_fct_orders,
     "latest_state_rank": q_latest_state_rank,
