@@ -111,6 +111,30 @@ def q_stream_state_fct_orders(spark, d):
     return _out(sink.state(spark))
 
 
+def q_stream_change_counts_hourly(spark, d):
+    """Windowed change counts as a streaming query: update mode, each
+    trigger appends its updated windows; the last update per window is the
+    result.  The watermark is wide enough that no event of the feed is late."""
+    from orderflow.session import scratch_path
+    from orderflow.streaming.ingest import processed_stream
+    from orderflow.streaming.windows import change_counts
+    base = scratch_path(spark, "stream-windows")
+    proc = models.processed_events(spark, d)
+    proc.repartition(4, F.xxhash64(*proc.columns)).write.parquet(base + "/processed")
+    counts = change_counts(processed_stream(spark, base + "/processed", max_files_per_trigger=1),
+                           "1 hour", "36500 days")
+
+    def append_updates(batch, batch_id):
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(base + "/updates")
+
+    q = (counts.writeStream.outputMode("update").foreachBatch(append_updates)
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    upd = spark.read.parquet(base + "/updates")
+    return latest_rows(upd, ["window_start", "operation"], "batch_id", on_tie="one",
+                       skew_safe=False).drop("batch_id")
+
+
 def q_stg_orders(spark, d):
     return _out(models.staged(spark, d))
 
@@ -510,6 +534,10 @@ _SQL: dict[str, str] = {
     "scan_processed": O.with_chain("SELECT * FROM processed"),
     "scan_processed_files": O.with_chain("SELECT * FROM processed"),
     "stream_ingest": O.with_chain("SELECT * FROM processed"),
+    "stream_change_counts_hourly": O.with_chain(
+        "SELECT time_bucket(INTERVAL 1 HOUR, epoch_ms(processed_at)) AS window_start, "
+        "time_bucket(INTERVAL 1 HOUR, epoch_ms(processed_at)) + INTERVAL 1 HOUR AS window_end, "
+        "operation, COUNT(*) AS changes FROM processed GROUP BY ALL"),
     "stream_state_fct_orders": O.with_chain(
         f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders"),
     "stg_orders": O.with_chain(f"SELECT {O.FCT_DOUBLE} FROM stg_orders"),
@@ -571,6 +599,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_processed": q_scan_processed,
     "scan_processed_files": q_scan_processed_files,
     "stream_ingest": q_stream_ingest,
+    "stream_change_counts_hourly": q_stream_change_counts_hourly,
     "stream_state_fct_orders": q_stream_state_fct_orders,
     "stg_orders": q_stg_orders,
     "fct_orders": q_fct_orders,
