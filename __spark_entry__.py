@@ -135,6 +135,29 @@ def q_stream_change_counts_hourly(spark, d):
                        skew_safe=False).drop("batch_id")
 
 
+def q_stream_latest_state_agg(spark, d):
+    """Latest row per order kept in Spark's state store: a keyed streaming
+    aggregation in update mode, one Parquet file per micro-batch; each
+    trigger appends the orders it changed and the last upsert per order is
+    the state."""
+    from orderflow.session import scratch_path
+    from orderflow.streaming.ingest import processed_stream
+    from orderflow.streaming.latest import ORDER_TIEBREAK, start_latest_state_updates
+    base = scratch_path(spark, "stream-latest")
+    proc = models.processed_events(spark, d)
+    proc.repartition(4, F.xxhash64(*proc.columns)).write.parquet(base + "/processed")
+
+    def append_upserts(batch, batch_id):
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(base + "/upserts")
+
+    start_latest_state_updates(processed_stream(spark, base + "/processed", max_files_per_trigger=1),
+                               append_upserts, base + "/checkpoint",
+                               trigger={"availableNow": True}).awaitTermination()
+    ups = spark.read.parquet(base + "/upserts")
+    last = latest_rows(ups, ["order_id"], "batch_id", on_tie="one", skew_safe=False).drop("batch_id")
+    return _out(last.select("order_id", *ORDER_TIEBREAK, "processed_at"))
+
+
 def q_stg_orders(spark, d):
     return _out(models.staged(spark, d))
 
@@ -452,6 +475,12 @@ _SQL: dict[str, str] = {
         "processed_at FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id "
         f"ORDER BY processed_at DESC, {_ONE_ORDER}) AS rn FROM stg_orders WHERE processed_at IS NOT NULL) "
         "WHERE rn = 1"),
+    "stream_latest_state_agg": O.with_chain(
+        "SELECT order_id, customer_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, "
+        "CAST(total_amount AS DOUBLE) AS total_amount, status, operation_type, created_at, updated_at, "
+        "processed_at FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id "
+        f"ORDER BY processed_at DESC, {_ONE_ORDER}) AS rn FROM stg_orders WHERE processed_at IS NOT NULL) "
+        "WHERE rn = 1"),
     "fct_orders_live": O.with_chain(
         f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders "
         "WHERE operation_type <> 'DELETE'"),
@@ -599,6 +628,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_processed": q_scan_processed,
     "scan_processed_files": q_scan_processed_files,
     "stream_ingest": q_stream_ingest,
+    "stream_latest_state_agg": q_stream_latest_state_agg,
     "stream_change_counts_hourly": q_stream_change_counts_hourly,
     "stream_state_fct_orders": q_stream_state_fct_orders,
     "stg_orders": q_stg_orders,
