@@ -30,6 +30,15 @@ from orderflow.schemas import ALLOWED_TRANSITIONS, ORDERS_PROCESSED, ORDERS_WIRE
 from orderflow.sources import wire as W
 from orderflow.sources.testdata import customers, products
 
+try:  # the corpus operators are an optional part of the repository
+    import corpus_pipeline
+    from orderflow.llm import queries as corpus_queries
+except ImportError:
+    _CORPUS_QUERIES, _CORPUS_SQL = {}, {}
+else:
+    _CORPUS_QUERIES = {**corpus_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    _CORPUS_SQL = dict(corpus_queries.ORACLE_SQL)
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -658,8 +667,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_CORPUS_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _SQL.items() if k in _QUERIES}
+    return {**{k: v for k, v in _SQL.items() if k in _QUERIES}, **_CORPUS_SQL}
