@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -50,7 +51,10 @@ PRIOR_VOTE = 0.25
 BLOCK = 64
 #: Examples named as evidence.
 EVIDENCE = 3
-MEMO = 500_000
+#: Blocks that are read along between two that have to be.
+GAP = 3
+#: Words that a worker remembers for one index.
+MEMO = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -68,6 +72,18 @@ def term_counts(text: str | None) -> Counter:
     return out
 
 
+_MEMORY: dict[str, tuple[dict, dict]] = {}
+
+
+def memory(name: str) -> tuple[dict, dict]:
+    """What this worker remembers for an index: words, and results of short
+    texts.  Only the last index used has any."""
+    if name not in _MEMORY:
+        _MEMORY.clear()
+        _MEMORY[name] = ({}, {})
+    return _MEMORY[name]
+
+
 @dataclass
 class Index:
     """Block-max inverted index of the examples' unit vectors."""
@@ -77,13 +93,12 @@ class Index:
     ids: list
     toxic: np.ndarray
     stands_for: np.ndarray
-    blocks: list[dict[int, tuple[np.ndarray, np.ndarray]]]  # term -> (place in block, weight)
+    postings: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # term -> (place, weight, first posting of each block)
     most: np.ndarray  # term x block
     prior: float
     slope: float = 1.0
     shift: float = 0.0
-    seen: dict = field(default_factory=dict)
-    words: dict = field(default_factory=dict)
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """(terms, weights) of the unit vector; empty without any term."""
@@ -97,18 +112,46 @@ class Index:
         if not len(terms):
             return []
         bound = weights @ self.most[terms] + 1e-9
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if len(best) == k and bound[b] < -best[-1][0]:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                postings = self.blocks[b].get(t)
-                if postings is not None:
-                    score[postings[0]] += w * postings[1]
-            some = np.flatnonzero(score > 0)
-            best = sorted(best + [(-score[i], b * BLOCK + i) for i in some.tolist() if b * BLOCK + i != without])[:k]
-        return [(-s, i) for s, i in best]
+        top = int(np.argmax(bound))
+        at, score = self._scores(terms, weights, max(top - 1, 0), min(top + 2, len(bound)))
+        kept = at != without
+        at, score = at[kept], score[kept]
+        least = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
+        # blocks beside the first ones whose bound reaches the k-th cosine, neighbours together
+        open_ = np.flatnonzero((bound >= least) & (np.abs(np.arange(len(bound)) - top) > 1))
+        if len(open_):
+            runs = np.split(open_, np.flatnonzero(np.diff(open_) > GAP) + 1)
+            found = [(at, score)]
+            for run in runs:
+                for lo, hi in self._without(int(run[0]), int(run[-1]) + 1, top):
+                    some = self._scores(terms, weights, lo, hi)
+                    kept = (some[0] != without) & (some[1] >= least)
+                    found.append((some[0][kept], some[1][kept]))
+            at, score = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        best = np.lexsort((at, -score))[:k]
+        return list(zip(score[best].tolist(), at[best].tolist()))
+
+    @staticmethod
+    def _without(lo: int, hi: int, top: int) -> list[tuple[int, int]]:
+        """The block range without the blocks next to ``top``."""
+        return [(a, b) for a, b in ((lo, min(hi, max(top - 1, 0))), (max(lo, top + 2), hi)) if a < b]
+
+    def _scores(self, terms: np.ndarray, weights: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, cosines) of the examples of blocks lo ... hi - 1 that share a term."""
+        places, parts = [], []
+        for t, w in zip(terms.tolist(), weights.tolist()):
+            if t in self.postings:
+                place, weight, first = self.postings[t]
+                a, b = first[lo], first[hi]
+                if a < b:
+                    places.append(place[a:b])
+                    parts.append(w * weight[a:b])
+        if not places:
+            return np.zeros(0, np.int64), np.zeros(0)
+        base = lo * BLOCK
+        score = np.bincount(np.concatenate(places) - base, np.concatenate(parts))
+        some = np.flatnonzero(score > 0)
+        return some + base, score[some]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         if not near:
@@ -125,13 +168,14 @@ class Index:
         """Counts of the vocabulary's terms in a whole text; the last is the
         background, all words without any."""
         total, out = 0, Counter()
+        words = memory(self.name)[0]
         for word, n in Counter((text or "").lower().split()).items():
-            known = self.words.get(word)
+            known = words.get(word)
             if known is None:
                 found = WORD.findall(word)
                 known = (len(found), tuple(self.terms[t] for w in found for t in terms_of(w) if t in self.terms))
-                if len(self.words) < MEMO:
-                    self.words[word] = known
+                if len(words) < MEMO:
+                    words[word] = known
             total += n * known[0]
             for t in known[1]:
                 out[t] += n
@@ -146,12 +190,13 @@ class Index:
             key = ()  # one term only: every such text has the same direction
         elif not counts:
             return self.probability(self.prior), []
-        known = self.seen.get(key)
+        seen = memory(self.name)[1]
+        known = seen.get(key)
         if known is None:
             near = self.nearest(*self.vector(counts), NEIGHBOURS)
             known = (self.probability(self.vote(near)), near[:EVIDENCE])
-            if len(self.seen) < MEMO // 10:
-                self.seen[key] = known
+            if len(key) <= 4 and len(seen) < MEMO // 10:
+                seen[key] = known
         return known
 
 
@@ -165,7 +210,7 @@ def build_index(rows: list[tuple], terms: list[str], df: list[int], stands_for:
     at = {t: i for i, t in enumerate(terms)}
     n = max(len(rows), 1)
     idf = np.array([math.log(n / max(d, 1)) + 1 for d in df] + [1.0])
-    ix = Index(at, idf, [], np.zeros(0), np.zeros(0), [], np.zeros((len(terms) + 1, 0)), prior)
+    ix = Index(at, idf, [], np.zeros(0), np.zeros(0), {}, np.zeros((len(terms) + 1, 0)), prior)
     # examples with the same leading term stand together: their blocks have tight bounds
     vectors = []
     for id_, toxic, counts in rows:
@@ -180,15 +225,14 @@ def build_index(rows: list[tuple], terms: list[str], df: list[int], stands_for:
     ix.toxic = np.array([float(v[4]) for v in vectors])
     ix.stands_for = np.array([stands_for[int(v[4])] for v in vectors])
     ix.most = np.zeros((len(terms) + 1, -(-len(vectors) // BLOCK)))
-    for b in range(ix.most.shape[1]):
-        lists: dict[int, tuple[list, list]] = {}
-        for i, v in enumerate(vectors[b * BLOCK:(b + 1) * BLOCK]):
-            for t, w in zip(v[5].tolist(), v[6].tolist()):
-                lists.setdefault(t, ([], []))
-                lists[t][0].append(i), lists[t][1].append(w)
-        ix.blocks.append({t: (np.array(p), np.array(w)) for t, (p, w) in lists.items()})
-        for t, (_, w) in lists.items():
-            ix.most[t, b] = max(w)
+    lists: dict[int, tuple[list, list]] = {}
+    for i, v in enumerate(vectors):
+        for t, w in zip(v[5].tolist(), v[6].tolist()):
+            lists.setdefault(t, ([], []))
+            lists[t][0].append(i), lists[t][1].append(w)
+            ix.most[t, i // BLOCK] = max(ix.most[t, i // BLOCK], w)
+    begins = np.arange(ix.most.shape[1] + 1) * BLOCK
+    ix.postings = {t: (np.array(p), np.array(w), np.searchsorted(p, begins)) for t, (p, w) in lists.items()}
     _calibrate(ix, [(v[5], v[6]) for v in vectors])
     return ix
 
