@@ -24,6 +24,9 @@ up to date instead, one micro-batch at a time, with the same answer:
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,6 +80,7 @@ class OrderStateSink:
 
     def __init__(self, root: str, bucket_width: int = 1 << 20, buckets: int | None = None,
                  name: str = "order_state", strict_timestamps: bool = True):
+        self.stream = uuid.uuid4().hex
         self.root = root.rstrip("/")
         self.bucket_width = bucket_width
         self.buckets = buckets
@@ -121,9 +125,18 @@ class OrderStateSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.process(batch, batch_id)
 
-    def process(self, processed_batch: DataFrame, batch_id: int) -> None:
+    def process(self, processed_batch: DataFrame, batch_id: int, stream: str | None = None) -> None:
+        """``stream`` identifies the checkpoint that numbers the batches: the
+        numbers of another one say nothing about what the state holds, so a
+        batch of a foreign stream is refused instead of taken for a replay.
+        Without it, a sink numbers its own batches (or goes on with the
+        checkpoint that it last ran under)."""
+        stream = stream or self.stream
         spark = processed_batch.sparkSession
-        m = current_manifest(spark, self.root, self.name) or {"batch_id": -1, "buckets": {}, "metrics": None}
+        m = current_manifest(spark, self.root, self.name) or {"batch_id": -1, "buckets": {}, "metrics": None, "stream": stream}
+        if m.get("stream") != stream:
+            raise ValueError(f"{self.root} holds the state of stream {m.get('stream')!r}, this is {stream!r}: "
+                             "go on with its checkpoint or take a new root")
         if batch_id <= m["batch_id"]:
             return  # already published: replay after a failure
         processed_batch = processed_batch.persist()
@@ -168,13 +181,19 @@ class OrderStateSink:
         buckets = dict(m.get("buckets", {}))
         for b in touched:
             buckets[str(b)] = sdir
-        publish(spark, self.root, self.name, {"batch_id": batch_id, "buckets": buckets, "metrics": mdir})
+        publish(spark, self.root, self.name, {**m, "batch_id": batch_id, "buckets": buckets, "metrics": mdir})
 
 
 def state_stream(processed_stream: DataFrame, sink: OrderStateSink, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Run the sink over a stream of processed change rows."""
-    return (processed_stream.writeStream.foreachBatch(sink)
+    """Run the sink over a stream of processed change rows.  The stream's id
+    is the one that Spark writes into a new checkpoint."""
+    def take(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.sparkSession.read.text(f"{checkpoint}/metadata").collect()
+        sink.stream = json.loads(lines[0][0])["id"]
+        sink.process(batch, batch_id)
+
+    return (processed_stream.writeStream.foreachBatch(take)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "60 seconds"}))
             .start())

@@ -137,3 +137,27 @@ def test_streaming_aggregation_latest_state(spark, tmp_dir):
                        tiebreak=ORDER_TIEBREAK)
     cols = ["order_id"] + ORDER_TIEBREAK + ["processed_at"]
     assert _rows(final, cols) == _rows(want, cols)
+
+
+def test_new_checkpoint_on_an_old_root_is_refused_not_dropped(spark, tmp_dir):
+    """Batch numbers of another checkpoint are no replays: nothing is lost silently."""
+    import pytest
+
+    proc = models.processed_events(spark, SF_SMALL).limit(60)
+    sink = OrderStateSink(os.path.join(tmp_dir, "s"), buckets=4)
+    sink.process(proc, 0, "first")
+    sink.process(proc, 0, "first")  # a replay
+    rows = sink.state(spark).count()
+    with pytest.raises(ValueError, match="stream"):
+        sink.process(proc, 0, "second")
+    with pytest.raises(ValueError, match="stream"):
+        OrderStateSink(os.path.join(tmp_dir, "s"), buckets=4).process(proc, 0)
+    assert sink.state(spark).count() == rows
+
+
+def test_every_status_is_returned(spark):
+    from orderflow.plans import panels
+
+    fct = spark.range(1000).selectExpr("id AS order_id", "concat('junk-', id) AS status", "CAST(id AS DECIMAL(10,2)) AS total_amount")
+    rows = panels.status_revenue(fct).collect()
+    assert len(rows) == 1000 and [r.status for r in rows] == sorted(r.status for r in rows)
