@@ -87,7 +87,8 @@ def main(argv: list[str] | None = None) -> int:
         from .plans.build import read_mart
         fct = read_mart(spark, a.root, "fct_orders", a.start, a.end)
         met = read_mart(spark, a.root, "fct_order_metrics", a.start, a.end)   # pruned to the day folders
-        panels.metric(a.name, fct, met).show(panels.SERIES_POINTS, truncate=False)
+        frame = panels.metric(a.name, fct, met).persist()
+        frame.show(max(frame.count(), 1), truncate=False)
     return 0
 
 

@@ -45,7 +45,7 @@ def build_marts(spark: SparkSession, processed: DataFrame, root: str,
         met = met.withColumn("metric_date", F.to_date("metric_hour")).repartitionByRange(n, "metric_date")
         met_path = write_version(met, root, "fct_order_metrics", partition_by=["metric_date"])
     else:
-        met_path = write_version(met.coalesce(1), root, "fct_order_metrics")
+        met_path = write_version(met, root, "fct_order_metrics")
     paths = {"stg_orders": stg_path, "fct_orders": fct_path, "fct_order_metrics": met_path}
     failures = [r for r in failed_checks(run_declared_tests(stg, fct)) if not allow(r)]
     if failures:

@@ -21,11 +21,10 @@ from ..functions.times import epoch_ms_of
 SERIES_POINTS = 48
 
 
-def _sorted_small(df: DataFrame, *order: Column) -> DataFrame:
-    """Order a result bounded by a small domain (one row per status): one
-    partition sorted in place – same order as ``orderBy`` without the range
-    sampling job and extra stage a global sort costs."""
-    return df.coalesce(1).sortWithinPartitions(*order)
+def _sorted(df: DataFrame, *order: Column) -> DataFrame:
+    """A global sort: status is free text, so the number of groups has no
+    bound and the last aggregation must stay spread."""
+    return df.orderBy(*order)
 
 
 def _by_count() -> tuple[Column, Column]:
@@ -34,12 +33,12 @@ def _by_count() -> tuple[Column, Column]:
 
 def orders_by_status(fct: DataFrame) -> DataFrame:
     """(status, orders) by count descending; status breaks ties."""
-    return _sorted_small(fct.groupBy("status").agg(F.count(F.lit(1)).alias("orders")), *_by_count())
+    return _sorted(fct.groupBy("status").agg(F.count(F.lit(1)).alias("orders")), *_by_count())
 
 
 def status_revenue(fct: DataFrame) -> DataFrame:
     """(status, orders, revenue): count and revenue rounded to cents."""
-    return _sorted_small(fct.groupBy("status").agg(F.count(F.lit(1)).alias("orders"),
+    return _sorted(fct.groupBy("status").agg(F.count(F.lit(1)).alias("orders"),
                                                    F.round(F.sum("total_amount"), 2).alias("revenue")),
                          *_by_count())
 
@@ -47,7 +46,7 @@ def status_revenue(fct: DataFrame) -> DataFrame:
 def status_stats(state: DataFrame) -> DataFrame:
     """(status, orders, revenue) over the current source-table state, a
     missing sum shown as 0."""
-    return _sorted_small(state.groupBy("status").agg(
+    return _sorted(state.groupBy("status").agg(
         F.count(F.lit(1)).alias("orders"),
         F.coalesce(F.sum("total_amount"), F.lit(0).cast(T.DecimalType(10, 2))).alias("revenue")), *_by_count())
 
