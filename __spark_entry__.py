@@ -26,7 +26,7 @@ from orderflow.operators.latest import latest_rows, max_per_key
 from orderflow.operators.sequence import STG_TIEBREAK, illegal_transitions, status_transitions
 from orderflow.plans import marts, models, panels
 from orderflow.plans.ingest import decode_operation, filter_changes
-from orderflow.schemas import ALLOWED_TRANSITIONS, ORDERS_PROCESSED, ORDERS_WIRE
+from orderflow.schemas import ORDERS_PROCESSED, ORDERS_WIRE
 from orderflow.sources import wire as W
 from orderflow.sources.testdata import customers, products
 
@@ -422,7 +422,7 @@ def _col_test_sql(model, col, test, vals):
 _UNIQUE_SQL = ("SELECT 'fct_orders' AS model, 'order_id' AS column_name, 'unique' AS test, "
                "CAST(COUNT(*) AS BIGINT) AS failures FROM (SELECT order_id FROM fct_orders "
                "WHERE order_id IS NOT NULL GROUP BY order_id HAVING COUNT(*) > 1)")
-_TB = ", ".join(STG_TIEBREAK)
+_TB = ", ".join(O.STG_TIEBREAK)
 _TRANSITIONS_CTE = f"""t AS (
   SELECT order_id, prev_status AS from_status, status AS to_status, processed_at AS changed_at FROM (
     SELECT order_id, status, processed_at,
@@ -430,7 +430,7 @@ _TRANSITIONS_CTE = f"""t AS (
     FROM stg_orders WHERE processed_at IS NOT NULL)
   WHERE prev_status IS NOT NULL AND status IS NOT NULL AND prev_status <> status)"""
 _ALLOWED = " UNION ALL ".join(f"SELECT '{a}' AS from_status, '{b}' AS to_status"
-                              for a, b in ALLOWED_TRANSITIONS)
+                              for a, b in O.ALLOWED_TRANSITIONS)
 
 
 def _fk_sql(fk, parent, pk, relation):
@@ -513,7 +513,7 @@ _SQL: dict[str, str] = {
       SELECT product_id, first_seen_ms, first_price FROM firsts WHERE __op = 'u'
         AND product_id NOT IN (SELECT product_id FROM firsts WHERE __op = 'c')"""),
     "order_status_history": O.with_chain(_scd2_sql("stg_orders", "order_id", "processed_at", "status",
-                                                   STG_TIEBREAK)),
+                                                   O.STG_TIEBREAK)),
     "product_price_history": f"WITH {_PRICES} " + _scd2_sql("prices", "product_id", "valid_from", "price", []),
     "price_asof_order": O.with_chain(
         f", {_PRICES} SELECT o.order_id, o.product_id, o.created_at, CAST(o.unit_price AS DOUBLE) AS unit_price, "
@@ -532,11 +532,11 @@ _SQL: dict[str, str] = {
         f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders "
         f"WHERE created_at >= TIMESTAMP '{PRUNE_START}' AND created_at < TIMESTAMP '{PRUNE_END}'"),
     "data_tests": O.with_chain(" UNION ALL ".join(
-        _UNIQUE_SQL if t == "unique" else _col_test_sql(m, c, t, v) for m, c, t, v in C.DECLARED_TESTS)),
+        _UNIQUE_SQL if t == "unique" else _col_test_sql(m, c, t, v) for m, c, t, v in O.DECLARED_TESTS)),
     "check_not_null": O.with_chain(" UNION ALL ".join(
-        _col_test_sql(m, c, t, v) for m, c, t, v in C.DECLARED_TESTS if t == "not_null")),
+        _col_test_sql(m, c, t, v) for m, c, t, v in O.DECLARED_TESTS if t == "not_null")),
     "check_accepted_values": O.with_chain(" UNION ALL ".join(
-        _col_test_sql(m, c, t, v) for m, c, t, v in C.DECLARED_TESTS if t == "accepted_values")),
+        _col_test_sql(m, c, t, v) for m, c, t, v in O.DECLARED_TESTS if t == "accepted_values")),
     "check_unique": O.with_chain(
         "SELECT order_id, COUNT(*) AS n FROM fct_orders WHERE order_id IS NOT NULL "
         "GROUP BY order_id HAVING COUNT(*) > 1"),
