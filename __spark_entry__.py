@@ -50,7 +50,7 @@ def _out(df: DataFrame) -> DataFrame:
 
 
 def q_status_revenue(spark, d):
-    return _out(panels.status_revenue(models.fact(spark, d)))
+    return _out(panels.status_revenue(models.fact(spark, d, skew_safe=True)))
 
 
 def q_parse_change_events(spark, d):
@@ -172,11 +172,11 @@ def q_stg_orders(spark, d):
 
 
 def q_fct_orders(spark, d):
-    return _out(models.fact(spark, d))
+    return _out(models.fact(spark, d, skew_safe=True))
 
 
 def q_latest_state_rank(spark, d):
-    return _out(latest_rows(models.staged(spark, d), ["order_id"], "processed_at", method="rank"))
+    return _out(latest_rows(models.staged(spark, d), ["order_id"], "processed_at", method="rank", skew_safe=True))
 
 
 def q_latest_state_join(spark, d):
@@ -214,15 +214,15 @@ def q_fct_order_metrics(spark, d):
 
 
 def q_status_pivot_hourly(spark, d):
-    return marts.status_pivot_hourly(models.fact(spark, d))
+    return marts.status_pivot_hourly(models.fact(spark, d, skew_safe=True))
 
 
 def q_cancellation_rate(spark, d):
-    return marts.cancellation_rate(models.fact(spark, d))
+    return marts.cancellation_rate(models.fact(spark, d, skew_safe=True))
 
 
 def q_orders_by_status(spark, d):
-    return panels.orders_by_status(models.fact(spark, d))
+    return panels.orders_by_status(models.fact(spark, d, skew_safe=True))
 
 
 def q_status_stats(spark, d):
@@ -264,7 +264,7 @@ def q_check_accepted_values(spark, d):
 
 
 def q_check_unique(spark, d):
-    return C.unique_violations(models.fact(spark, d), ["order_id"])
+    return C.unique_violations(models.fact(spark, d, skew_safe=True), ["order_id"])
 
 
 def q_check_ranges(spark, d):
@@ -317,10 +317,10 @@ def q_product_price_history(spark, d):
 def q_price_asof_order(spark, d):
     from orderflow.operators.history import asof_join, price_history
     from orderflow.sources.testdata import table
-    orders = models.fact(spark, d).select("order_id", "product_id", "created_at",
+    orders = models.fact(spark, d, skew_safe=True).select("order_id", "product_id", "created_at",
                                           F.col("unit_price").cast("double").alias("unit_price"))
     return asof_join(orders, price_history(table(spark, d, "lineitem")), "product_id", "created_at",
-                     "valid_from", ["price"])
+                     "valid_from", ["price"], skew_safe=True)
 
 
 def q_change_counts_hourly(spark, d):
@@ -400,7 +400,7 @@ def q_prune_by_day(spark, d):
     back through partition pruning."""
     from orderflow.session import scratch_path
     from orderflow.sources import tables as TB
-    path = TB.write_fct_orders(models.fact(spark, d), scratch_path(spark, "prune_by_day"))
+    path = TB.write_fct_orders(models.fact(spark, d, skew_safe=True), scratch_path(spark, "prune_by_day"))
     return _out(TB.read_fct_orders(spark, path, PRUNE_START, PRUNE_END).drop("created_date"))
 
 

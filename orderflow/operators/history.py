@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import fill_forward, has_hot_key, with_neighbours
+from .sequence import fill_forward, with_neighbours
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
@@ -46,20 +46,17 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str], order_c
 
 
 def scd2_history(df: DataFrame, keys: list[str], ts_col: str, tracked: list[str],
-                 tiebreak: list[str] | None = None, skew_safe: bool | str = "auto") -> DataFrame:
+                 tiebreak: list[str] | None = None, skew_safe: bool = False) -> DataFrame:
     """Validity ranges of ``tracked`` values per key.
 
     Consecutive events with equal tracked values collapse into one version;
     each version is valid from its first event to the next version's start
     (``valid_to`` exclusive, NULL for the current version).  Output:
     ``keys, tracked, valid_from, valid_to, is_current``.  Both neighbour
-    steps use :func:`with_neighbours` (skew handling decided by measuring
-    the largest key once; the second step inherits the decision).
+    steps use :func:`with_neighbours`, with ``skew_safe`` where one key may
+    hold a large share of the rows.
     """
     order = [ts_col] + (tiebreak or [])
-    if skew_safe == "auto":
-        n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        skew_safe = has_hot_key(df, keys, n_parts)
     base = df.where(F.col(ts_col).isNotNull()).withColumn("__one", F.lit(1))
     seq = with_neighbours(base, keys, order, tracked + ["__one"], prev_prefix="__prev_", skew_safe=skew_safe)
     opens = F.col("__prev___one").isNull()          # first event of the key
@@ -74,7 +71,7 @@ def scd2_history(df: DataFrame, keys: list[str], ts_col: str, tracked: list[str]
 
 
 def asof_join(events: DataFrame, history: DataFrame, key: str, event_ts: str, valid_from: str,
-              values: list[str], skew_safe: bool | str = "auto") -> DataFrame:
+              values: list[str], skew_safe: bool = False) -> DataFrame:
     """For each event, the ``values`` of the latest history row of the same
     ``key`` with ``valid_from <= event_ts`` (NULL when there is none, or
     when the event time is NULL).
@@ -82,8 +79,8 @@ def asof_join(events: DataFrame, history: DataFrame, key: str, event_ts: str, va
     ``history`` must hold one row per (key, valid_from).  Plan: the two
     sides are unioned and ordered by (key, time, history-before-event), then
     the values are carried forward (:func:`fill_forward`) – one shuffle on
-    the key, linear work, no range or cross join; a hot key is cut into
-    range slices when measured to be one.
+    the key, linear work, no range or cross join; with ``skew_safe`` a hot
+    key is cut into range slices.
     """
     ev = events.select(*[F.col(c) for c in events.columns],
                        F.col(key).alias("__k"), F.col(event_ts).isNotNull().alias("__tnn"),

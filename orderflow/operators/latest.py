@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import has_hot_key
-
 RANK_COL = "__rank"
 
 
@@ -38,7 +36,7 @@ def _reduce_hot_slices(base: DataFrame, keys: list[str], spec_order: list[Column
 
 def latest_rows(df: DataFrame, keys: list[str], order_col: str, on_tie: str = "keep_all",
                 method: str = "rank", tiebreak: list[str] | None = None,
-                skew_safe: bool | str = "auto", salts: int | None = None) -> DataFrame:
+                skew_safe: bool = False, salts: int | None = None) -> DataFrame:
     """Rows of ``df`` holding the maximal ``order_col`` of their ``keys``.
 
     on_tie='keep_all' keeps every tied row (reference semantics); 'one' keeps a
@@ -47,9 +45,11 @@ def latest_rows(df: DataFrame, keys: list[str], order_col: str, on_tie: str = "k
     literal max-then-self-join form; it returns the same rows but scans the
     input twice.
 
-    ``skew_safe="auto"`` measures the largest key on a sample (remembered
-    per input plan); when one key is hot, a first window over (key, salt)
-    slices keeps only each slice's top rows before the shuffle on the key.
+    ``skew_safe=True`` is for inputs that are already partitioned on the
+    keys (a join on them, say): there the group limit has no exchange to run
+    in front of, and all rows of a hot key would meet in one task.  Rows are
+    then spread over (key, salt) first and each slice keeps its top rows.
+    Over files the plain plan does the same in front of its one exchange.
     """
     base = df.where(F.col(order_col).isNotNull())
     if method == "join":
@@ -70,8 +70,6 @@ def latest_rows(df: DataFrame, keys: list[str], order_col: str, on_tie: str = "k
     else:
         raise ValueError(f"on_tie must be 'keep_all' or 'one', not {on_tie!r}")
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if skew_safe == "auto":
-        skew_safe = has_hot_key(df, keys, n_parts)
     if skew_safe:
         base = _reduce_hot_slices(base, keys, order, fn, n_parts, salts or n_parts)
     w = Window.partitionBy(*keys).orderBy(*order)

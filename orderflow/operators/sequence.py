@@ -8,8 +8,6 @@ same millisecond, so callers pass an explicit tie-break).
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,51 +29,6 @@ def _nulls_last_exprs(cols: list[str]) -> list[Column]:
     return out
 
 
-HOT_KEY_MIN_ROWS = 1_000_000
-
-
-HOT_KEY_SAMPLE = 0.01
-
-# Session setting: "sample" (default) measures, "off" always takes the plain
-# plan (no extra pass over the input), "always" always takes the split plan.
-SKEW_DETECTION_CONF = "spark.orderflow.skewDetection"
-
-# Decisions already measured, per live DataFrame object (a DataFrame is an
-# immutable plan over a fixed file listing, so its key distribution is too).
-_HOT_KEY_SEEN: dict[tuple, bool] = {}
-
-
-def has_hot_key(df: DataFrame, keys: list[str], partitions: int, min_rows: int = HOT_KEY_MIN_ROWS,
-                fraction: float = HOT_KEY_SAMPLE, seed: int = 17) -> bool:
-    """True when one key holds more rows than two average partitions (and
-    at least ``min_rows``): a window on the key would then straggle.
-
-    Counted on a Bernoulli sample (``fraction``) with the thresholds scaled
-    the same way: a key big enough to matter has at least
-    ``min_rows * fraction`` (10,000 by default) sampled rows, so the sample
-    decides it reliably while the per-key counts shuffled are ~1/fraction
-    fewer.  Only two numbers reach the driver.  The sample still scans the
-    input once more; ``spark.orderflow.skewDetection`` = ``off`` / ``always``
-    skips the measurement where the key distribution is known.
-    """
-    mode = df.sparkSession.conf.get(SKEW_DETECTION_CONF, "sample")
-    if mode == "off":
-        return False
-    if mode == "always":
-        return True
-    memo = (id(df), tuple(keys), partitions, min_rows, fraction, seed)
-    if memo in _HOT_KEY_SEEN:
-        return _HOT_KEY_SEEN[memo]
-    src = df.sample(fraction=fraction, seed=seed) if fraction < 1 else df
-    per_key = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = per_key.agg(F.max("n").alias("mx"), F.sum("n").alias("total")).first()
-    hot = bool(row is not None and row.mx is not None
-               and row.mx >= max(min_rows * fraction, 2 * row.total / max(1, partitions)))
-    _HOT_KEY_SEEN[memo] = hot
-    weakref.finalize(df, _HOT_KEY_SEEN.pop, memo, None)
-    return hot
-
-
 def _range_slices(df: DataFrame, keys: list[str], order_cols: list[str], n_parts: int):
     """Rows range-partitioned on (keys, order) with their partition id.
 
@@ -104,20 +57,18 @@ def _same_key(edge: str, keys: list[str]) -> Column:
 
 
 def fill_forward(df: DataFrame, keys: list[str], order_cols: list[str], cols: list[str],
-                 skew_safe: bool | str = "auto", partitions: int | None = None) -> DataFrame:
+                 skew_safe: bool = False, partitions: int | None = None) -> DataFrame:
     """Replace each of ``cols`` by the last non-NULL value seen so far in
     its key's sequence (the row's own value included).
 
     Plain plan: a running ``last(ignorenulls)`` window on ``keys``.  Skew-safe
-    plan (chosen like in :func:`with_neighbours`): the window runs per
+    plan (the caller's choice, as in :func:`with_neighbours`): the window runs per
     range slice; a slice starting without a value takes the last non-NULL
     value of the same key from earlier slices, found in an edge table of at
     most one row per partition (broadcast, bounded by construction).
     """
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if skew_safe == "auto":
-        skew_safe = has_hot_key(df, keys, n_parts)
     if not skew_safe:
         w = _window(keys, order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
@@ -156,14 +107,14 @@ def fill_forward(df: DataFrame, keys: list[str], order_cols: list[str], cols: li
 
 def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols: list[str],
                     prev_prefix: str | None = "prev_", next_prefix: str | None = None,
-                    skew_safe: bool | str = "auto", partitions: int | None = None) -> DataFrame:
+                    skew_safe: bool = False, partitions: int | None = None) -> DataFrame:
     """Add the previous (and/or next) value of ``cols`` within each key.
 
     ``skew_safe=False``: one window on ``keys`` – one shuffle, but every row
     of a key is processed by one task.
 
-    ``skew_safe="auto"`` (default) measures the largest key first
-    (:func:`has_hot_key`) and picks one of the two plans.
+    The caller chooses, knowing its keys: nothing is measured and no plan
+    depends on the size of the input.
 
     ``skew_safe=True``: for keys that may hold a large share of all rows.
     The rows are range-partitioned on (keys, order) – Spark samples the
@@ -178,8 +129,6 @@ def with_neighbours(df: DataFrame, keys: list[str], order_cols: list[str], cols:
     """
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if skew_safe == "auto":
-        skew_safe = has_hot_key(df, keys, n_parts)
     if not skew_safe:
         w = _window(keys, order_cols)
         extra = []
@@ -232,12 +181,10 @@ STG_TIEBREAK = ["product_id", "quantity", "unit_price", "status", "operation_typ
 
 
 def status_transitions(stg: DataFrame, key: str = "order_id", order_col: str = "processed_at",
-                       tiebreak: list[str] = STG_TIEBREAK, skew_safe: bool | str = "auto") -> DataFrame:
+                       tiebreak: list[str] = STG_TIEBREAK, skew_safe: bool = False) -> DataFrame:
     """Every status change of an order: ``(order_id, from_status, to_status,
     changed_at)``.  An event repeating the status is not a change; the first
     event of an order has no predecessor."""
-    if skew_safe == "auto":  # measured on the input itself, so the decision is reusable
-        skew_safe = has_hot_key(stg, [key], int(stg.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     seq = with_neighbours(stg.where(F.col(order_col).isNotNull()), [key], [order_col] + tiebreak,
                           ["status"], skew_safe=skew_safe)
     return (seq.where(F.col("prev_status").isNotNull() & F.col("status").isNotNull()
@@ -246,7 +193,7 @@ def status_transitions(stg: DataFrame, key: str = "order_id", order_col: str = "
                     F.col("status").alias("to_status"), F.col(order_col).alias("changed_at")))
 
 
-def illegal_transitions(stg: DataFrame, skew_safe: bool | str = "auto") -> DataFrame:
+def illegal_transitions(stg: DataFrame, skew_safe: bool = False) -> DataFrame:
     """Kinds of status change that the life cycle forbids, with counts.
 
     The allowed table is a fixed five-row literal, so broadcasting it is

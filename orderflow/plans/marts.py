@@ -17,7 +17,7 @@ def is_terminal(status_col: str = "status"):
 
 
 def fct_orders(stg: DataFrame, on_tie: str = "keep_all", method: str = "rank",
-               drop_deleted: bool = False, skew_safe: bool | str = "auto") -> DataFrame:
+               drop_deleted: bool = False, skew_safe: bool = False) -> DataFrame:
     """Latest state of each order plus terminal flag, hour and day.
 
     Deletes stay in the fact like in the reference unless ``drop_deleted``.

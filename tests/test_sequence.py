@@ -47,13 +47,6 @@ def test_fill_forward_carries_across_many_partitions(spark):
     assert got[(1, 1499)] == 100.0 and got[(1, 2999)] == 5.0 and got[(0, 10)] is None
 
 
-def test_hot_key_detection(spark):
-    from orderflow.operators.sequence import has_hot_key
-    df = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
-    assert has_hot_key(df, ["k"], 8, min_rows=20_000)
-    assert not has_hot_key(spark.range(200_000).withColumnRenamed("id", "k"), ["k"], 8, min_rows=20_000)
-
-
 def test_latest_rows_salted_equals_plain_with_hot_key(spark):
     from orderflow.operators.latest import latest_rows
     df = spark.range(6000).select(
@@ -68,13 +61,19 @@ def test_latest_rows_salted_equals_plain_with_hot_key(spark):
         assert "__salt" in plan
 
 
-def test_skew_detection_setting(spark):
-    from orderflow.operators.sequence import SKEW_DETECTION_CONF, has_hot_key
-    df = spark.range(1000).withColumnRenamed("id", "k")
-    try:
-        spark.conf.set(SKEW_DETECTION_CONF, "always")
-        assert has_hot_key(df, ["k"], 8)
-        spark.conf.set(SKEW_DETECTION_CONF, "off")
-        assert not has_hot_key(df.withColumn("k", F.lit(1)), ["k"], 8, min_rows=1)
-    finally:
-        spark.conf.unset(SKEW_DETECTION_CONF)
+def test_hot_feed_order_is_spread_before_the_latest_is_taken(spark):
+    """An order with a third of all rows, behind a join on the order key."""
+    from orderflow.operators.latest import latest_rows
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("t"))
+    feed = rows.join(rows.select("k").distinct().hint("shuffle_hash"), "k")
+    plan = latest_rows(feed, ["k"], "t", skew_safe=True)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "__salt" in plan
+    assert _rows(latest_rows(feed, ["k"], "t", skew_safe=True)) == _rows(latest_rows(feed, ["k"], "t"))
+
+
+def test_operators_run_no_job_while_they_plan(spark):
+    from pathlib import Path
+
+    import orderflow.operators as ops
+    for f in Path(ops.__file__).parent.glob("*.py"):
+        assert ".first()" not in f.read_text(), f
