@@ -246,8 +246,8 @@ def q_hourly_cancellation_rate(spark, d):
 
 
 def q_data_tests(spark, d):
-    """All ten declared tests over staging and the fact, one scan."""
-    return C.declared_tests_one_pass(models.staged(spark, d))
+    """All ten declared tests over staging and the fact itself."""
+    return C.run_declared_tests(models.staged(spark, d), models.fact(spark, d, skew_safe=True))
 
 
 def _tests_of(kind):
@@ -255,7 +255,18 @@ def _tests_of(kind):
 
 
 def q_check_not_null(spark, d):
-    return C.declared_tests_one_pass(models.staged(spark, d), _tests_of("not_null"))
+    of = {m: [(c, t, v) for n, c, t, v in _tests_of("not_null") if n == m] for m in ("stg_orders", "fct_orders")}
+    return C.column_tests(models.staged(spark, d), "stg_orders", of["stg_orders"]).unionByName(
+        C.column_tests(models.fact(spark, d, skew_safe=True), "fct_orders", of["fct_orders"]))
+
+
+def q_check_required(spark, d):
+    """Declared types and REQUIRED columns of the fact and the hourly metrics."""
+    from orderflow.schemas import FCT_ORDER_METRICS
+    from orderflow.sources import tables as TB
+    fct = models.fact(spark, d, skew_safe=True)
+    metrics = marts.fct_order_metrics(fct).to(FCT_ORDER_METRICS)
+    return TB.fct_required_check(fct).unionByName(TB.metrics_required_check(metrics))
 
 
 def q_check_accepted_values(spark, d):
@@ -535,6 +546,9 @@ _SQL: dict[str, str] = {
         _UNIQUE_SQL if t == "unique" else _col_test_sql(m, c, t, v) for m, c, t, v in O.DECLARED_TESTS)),
     "check_not_null": O.with_chain(" UNION ALL ".join(
         _col_test_sql(m, c, t, v) for m, c, t, v in O.DECLARED_TESTS if t == "not_null")),
+    "check_required": O.with_chain(" UNION ALL ".join(
+        f"SELECT '{m}' AS model, '{c}' AS column_name, 'required' AS test, "
+        f"CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS failures FROM {m}" for m, c in O.REQUIRED)),
     "check_accepted_values": O.with_chain(" UNION ALL ".join(
         _col_test_sql(m, c, t, v) for m, c, t, v in O.DECLARED_TESTS if t == "accepted_values")),
     "check_unique": O.with_chain(
@@ -622,6 +636,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_order_metrics": q_incremental_order_metrics,
     "data_tests": q_data_tests,
     "check_not_null": q_check_not_null,
+    "check_required": q_check_required,
     "check_accepted_values": q_check_accepted_values,
     "check_unique": q_check_unique,
     "check_ranges": q_check_ranges,

@@ -166,38 +166,6 @@ def fk_summary(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation:
     ).select(F.lit(relation).alias("relation"), "child_rows", "orphan_keys", "orphan_rows")
 
 
-# --- one-pass forms ---------------------------------------------------------
-
-def declared_tests_one_pass(stg: DataFrame, tests: list[tuple] | None = None) -> DataFrame:
-    """The declared tests of staging *and* of the fact derived from it, in
-    one scan: a single ``rank``/``row_number`` window on ``order_id`` marks
-    the fact rows (rank 1 of a non-NULL ``processed_at``) and duplicated
-    fact keys (rank 1 with row number 2, one marker per duplicated order),
-    then one aggregate counts every test.  Same summary rows as
-    :func:`run_declared_tests`.
-    """
-    from pyspark.sql import Window
-
-    from ..schemas import TERMINAL_STATUSES
-    tests = tests if tests is not None else DECLARED_TESTS
-    w = Window.partitionBy("order_id").orderBy(F.col("processed_at").desc_nulls_last())
-    seq = stg.select("*", F.rank().over(w).alias("__rank"), F.row_number().over(w).alias("__rn"))
-    in_fct = (F.col("__rank") == 1) & F.col("processed_at").isNotNull()
-    fct_cols = {"is_terminal_state": F.coalesce(F.col("status").isin(*TERMINAL_STATUSES), F.lit(False))}
-    structs = []
-    for model, c, test, vals in tests:
-        col = fct_cols.get(c, F.col(c)) if model == "fct_orders" else F.col(c)
-        scope = in_fct if model == "fct_orders" else F.lit(True)
-        if test == "not_null":
-            failures = F.count_if(scope & col.isNull())
-        elif test == "accepted_values":
-            failures = F.count_distinct(F.when(scope & ~col.isin(*vals), col))
-        else:  # unique: one marker row per duplicated key
-            failures = F.count_if(in_fct & (F.col("__rn") == 2) & col.isNotNull())
-        structs.append(_summary_row(model, c, test, failures))
-    return seq.agg(F.array(*structs).alias("r")).select(F.inline("r"))
-
-
 def fk_summaries(child: DataFrame, specs: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
     """Several foreign keys of one child table in one pass over it.
 

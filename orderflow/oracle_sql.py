@@ -50,6 +50,9 @@ DECLARED_TESTS = [
     ("fct_orders", "order_id", "not_null", None),
     ("fct_orders", "is_terminal_state", "not_null", None),
 ]
+REQUIRED = [("fct_orders", "order_id"), ("fct_orders", "customer_id"), ("fct_orders", "product_id"),
+            ("fct_orders", "quantity"), ("fct_orders", "unit_price"), ("fct_orders", "total_amount"),
+            ("fct_orders", "status"), ("fct_orders", "operation_type"), ("fct_order_metrics", "metric_hour")]
 ALLOWED_TRANSITIONS = [("pending", "confirmed"), ("pending", "cancelled"), ("confirmed", "shipped"),
                        ("confirmed", "cancelled"), ("shipped", "delivered")]
 STG_TIEBREAK = ["product_id", "quantity", "unit_price", "status", "operation_type", "customer_id", "created_at",

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import failed_checks, run_declared_tests
-from ..sources.tables import current_manifest, publish, write_fct_orders, write_version
+from ..schemas import FCT_ORDER_METRICS
+from ..sources.tables import (current_manifest, fct_required_check, metrics_required_check, publish, write_fct_orders,
+                              write_version)
 from .marts import fct_order_metrics, fct_orders
 from .staging import stg_orders
 
@@ -39,7 +41,7 @@ def build_marts(spark: SparkSession, processed: DataFrame, root: str,
     stg = spark.read.parquet(stg_path)
     fct_path = write_fct_orders(fct_orders(stg, on_tie=on_tie), root)
     fct = spark.read.parquet(fct_path).drop("created_date")
-    met = fct_order_metrics(fct)
+    met = fct_order_metrics(fct).to(FCT_ORDER_METRICS)
     if partition_metrics_by_day:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         met = met.withColumn("metric_date", F.to_date("metric_hour")).repartitionByRange(n, "metric_date")
@@ -47,7 +49,9 @@ def build_marts(spark: SparkSession, processed: DataFrame, root: str,
     else:
         met_path = write_version(met, root, "fct_order_metrics")
     paths = {"stg_orders": stg_path, "fct_orders": fct_path, "fct_order_metrics": met_path}
-    failures = [r for r in failed_checks(run_declared_tests(stg, fct)) if not allow(r)]
+    metrics = spark.read.parquet(met_path).drop("metric_date")
+    checks = run_declared_tests(stg, fct).unionByName(fct_required_check(fct)).unionByName(metrics_required_check(metrics))
+    failures = [r for r in failed_checks(checks) if not allow(r)]
     if failures:
         return BuildResult(False, failures, paths)
     publish(spark, root, MARTS, paths)

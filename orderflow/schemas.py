@@ -78,7 +78,9 @@ FCT_ORDERS = T.StructType(STG_ORDERS.fields + [
 ])
 
 # Columns the warehouse declares REQUIRED (must never be NULL when written).
-FCT_ORDERS_REQUIRED = ["order_id", "customer_id", "product_id"]
+FCT_ORDERS_REQUIRED = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount", "status",
+                       "operation_type"]
+FCT_ORDER_METRICS_REQUIRED = ["metric_hour"]
 
 FCT_ORDER_METRICS = T.StructType([
     T.StructField("metric_hour", T.TimestampNTZType()),

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.checks import failed_checks
-from ..schemas import FCT_ORDERS_REQUIRED
+from ..schemas import FCT_ORDER_METRICS, FCT_ORDER_METRICS_REQUIRED, FCT_ORDERS, FCT_ORDERS_REQUIRED
 
 
 def _fs(spark: SparkSession, path: str):
@@ -89,8 +89,8 @@ def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(m["path"])
 
 
-def check_schema(df: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
-    """Declared-schema check before a write: raises on missing columns or
+def check_schema(df: DataFrame, schema: T.StructType, required: list[str], model: str = "table") -> DataFrame:
+    """Declared-schema check before publishing: raises on missing columns or
     wrong types; returns a one-pass summary of NULLs in REQUIRED columns
     ``(model, column_name, test, failures)``."""
     have = {f.name: f.dataType for f in df.schema.fields}
@@ -100,7 +100,7 @@ def check_schema(df: DataFrame, schema: T.StructType, required: list[str]) -> Da
         if have[f.name] != f.dataType:
             raise ValueError(f"column {f.name!r} is {have[f.name].simpleString()}, "
                              f"declared {f.dataType.simpleString()}")
-    structs = [F.struct(F.lit("table").alias("model"), F.lit(c).alias("column_name"),
+    structs = [F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"),
                         F.lit("required").alias("test"),
                         F.count_if(F.col(c).isNull()).cast("bigint").alias("failures")) for c in required]
     return df.agg(F.array(*structs).alias("r")).select(F.inline("r"))
@@ -157,5 +157,11 @@ def publish_if_valid(spark: SparkSession, df: DataFrame, root: str, name: str,
     return True, [], path
 
 
-def fct_required_check(df: DataFrame) -> DataFrame:
-    return check_schema(df, T.StructType([f for f in df.schema.fields]), FCT_ORDERS_REQUIRED)
+def fct_required_check(fct: DataFrame) -> DataFrame:
+    """The fact against its declared columns, types and REQUIRED list."""
+    return check_schema(fct, FCT_ORDERS, FCT_ORDERS_REQUIRED, "fct_orders")
+
+
+def metrics_required_check(metrics: DataFrame) -> DataFrame:
+    """The hourly metrics against their declared columns, types and REQUIRED list."""
+    return check_schema(metrics, FCT_ORDER_METRICS, FCT_ORDER_METRICS_REQUIRED, "fct_order_metrics")

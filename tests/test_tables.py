@@ -1,9 +1,10 @@
 """Versioned tables, partition pruning and the build-then-test gate."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderflow.operators.checks import run_declared_tests
-from orderflow.plans import models
+from orderflow.plans import build, models
 from orderflow.sources import tables as TB
 from tests.conftest import SF_SMALL
 
@@ -37,5 +38,26 @@ def test_publish_gate(spark, tmp_dir):
 def test_required_columns(spark):
     fct = models.fact(spark, SF_SMALL)
     rows = TB.fct_required_check(fct).collect()
-    assert {r.column_name for r in rows} == {"order_id", "customer_id", "product_id"}
+    assert {r.column_name for r in rows} == {"order_id", "customer_id", "product_id", "quantity", "unit_price",
+                                             "total_amount", "status", "operation_type"}
     assert all(r.failures == 0 for r in rows)
+    lost = fct.withColumn("status", F.when(F.col("order_id") % 2 == 0, F.col("status")))
+    found = {r.column_name: r.failures for r in TB.fct_required_check(lost).collect()}
+    assert found["status"] == fct.where("order_id % 2 <> 0").count() > 0 and found["quantity"] == 0
+
+
+def test_undeclared_types_and_missing_columns_raise(spark):
+    fct = models.fact(spark, SF_SMALL)
+    with pytest.raises(ValueError, match="quantity"):
+        TB.fct_required_check(fct.withColumn("quantity", F.col("quantity").cast("string")))
+    with pytest.raises(ValueError, match="missing"):
+        TB.fct_required_check(fct.drop("created_day"))
+
+
+def test_build_does_not_publish_a_wrong_type(spark, tmp_dir, monkeypatch):
+    made = build.fct_orders
+    monkeypatch.setattr(build, "fct_orders",
+                        lambda stg, **k: made(stg, **k).limit(5).withColumn("quantity", F.col("quantity").cast("bigint")))
+    with pytest.raises(ValueError, match="quantity"):
+        build.build_marts(spark, models.processed_events(spark, SF_SMALL), tmp_dir, partition_metrics_by_day=False)
+    assert TB.current_manifest(spark, tmp_dir, build.MARTS) is None
