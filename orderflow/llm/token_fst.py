@@ -221,8 +221,11 @@ class CountingTokenizer:
         first = self.reset.search(chunk)
         if not first:
             return ChunkMap(chunk, None, "")
-        end = max(m.start() for m in self.reset.finditer(chunk, max(first.start(), len(chunk) - 256))) \
-            if len(chunk) > 512 else first.start()
+        end, back = None, 256
+        while end is None:  # the last reset, looked for ever further back; the first one always matches
+            for m in self.reset.finditer(chunk, max(first.start(), len(chunk) - back)):
+                end = m.start()
+            back *= 2
         return ChunkMap(chunk[:first.start()], self.count_between(chunk[first.start():end]), chunk[end:])
 
     def compose(self, a: "ChunkMap", b: "ChunkMap") -> "ChunkMap":

@@ -111,6 +111,15 @@ def test_token_counts_match_the_library():
         assert {machine._count(plain, n) for n in (1, 3, 20)} == {len(library.encode(plain, add_special_tokens=False).ids)}
 
 
+def test_long_texts_without_late_resets_match_the_library():
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary("byte_bpe_50k.json")
+    machine, library = token_fst.compiled(path), Tokenizer.from_file(path)
+    for text in ("word next " * 6550 + "x" * 300 + " more" * 1000, "word next " + "ab1," * 20_000, "a b" + " " * 70_000 + "c"):
+        assert machine.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+
+
 def test_pieces_hold_every_id_once(spark):
     from tokenizers import Tokenizer
 
