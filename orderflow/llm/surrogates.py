@@ -73,9 +73,10 @@ _NAMED = re.compile(rf"(?<!\w)({_TITLE})\.?[ ]({_PART})(?:[ ]({_PART}))?")
 _GIVEN_NAMED = re.compile(rf"(?<!\w)({'|'.join(sorted({n for ns in GIVEN.values() for n in ns}, key=len, reverse=True))})[ ]({_PART})")
 
 
-#: Words without which no name is looked for.
-_NAME_HINTS = frozenset(v + dot for t in [*_TITLE_OF, *(n for ns in GIVEN.values() for n in ns)] for v in {t, t.lower(), t.upper(), t.title()}
-                        for dot in ("", "."))
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters (of a title with a hyphen the longest) without which no name is looked for.
+_NAME_HINTS = frozenset(max(_LETTERS.findall(v), key=len) for t in [*_TITLE_OF, *(n for ns in GIVEN.values() for n in ns)]
+                        for v in (t, t.lower(), t.upper(), t.title()))
 
 
 def script_of(word: str) -> str:
@@ -112,9 +113,9 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             continue
         if a > 1 and text[a - 2:a].isupper() and (i := _IBAN.match(text, a - 2)) and iban_valid(i[0]):
             out.append((a - 2, end := i.end(), "IBAN", i[0].replace(" ", "")))
-        elif n := _NUMBER.match(text, a):
+        elif n := _NUMBER.match(text, a) or m.end() - a > 1 and _NUMBER.match(text, a + 1):
             kind = n.lastgroup
-            out.append((a, end := n.end(), kind, n[0] if kind == "IPV4" else re.sub(r"\D", "", n[0])))
+            out.append((n.start(), end := n.end(), kind, n[0] if kind == "IPV4" else re.sub(r"\D", "", n[0])))
     for m in _ASSIGNED.finditer(text):
         if _CREDENTIAL.search(text, max(0, m.start() - 16), m.start()):
             out.append((m.start(1), m.end(1), "CREDENTIAL", m[1]))
@@ -124,7 +125,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         names.setdefault(m[k].lower(), kind)
         out.append((m.start(k), m.end(k), kind, m[k].lower()))
 
-    if not _NAME_HINTS.isdisjoint(text.split()):
+    if not _NAME_HINTS.isdisjoint(_LETTERS.findall(text)):
         for m in _NAMED.finditer(text):
             if not m[2][0].isupper() and not m[2][0].isalpha() or m[2][0].islower():
                 continue

@@ -205,6 +205,22 @@ def test_surrogates_stay_distinct_and_agree(spark):
     assert not {(k[0], next(iter(v)).lower()) for k, v in names.items()} & set(names)
 
 
+def test_surrogates_are_looked_for_wherever_the_patterns_match():
+    numbers = ["192.168.1.17", "123-45-6789", "555-123-4567", "4111 1111 1111 1111", "(555) 123-4567", "+1 555 123 4567"]
+    names = ["John Smith", "Mr. Smith", "г-н Петров", "Señora Ruiz"]
+    rng = random.Random(2)
+    for _ in range(3000):
+        around = rng.choices(["", "(", ")", "[", '"', " ", "+", "((", "-", "x", ", "], k=4)
+        text = around[0] + rng.choice(numbers) + around[1] + " " + around[2] + rng.choice(numbers) + around[3]
+        got = [(a, b, kind) for a, b, kind, _ in surrogates.find(text)]
+        assert got == [(m.start(), m.end(), m.lastgroup) for m in surrogates._NUMBER.finditer(text)], text
+        name = around[0] + rng.choice(names) + around[1]
+        found = {(a, b) for a, b, *_ in surrogates.find(name)}
+        wanted = {m.span(m.lastindex) for p in (surrogates._NAMED, surrogates._GIVEN_NAMED) for m in p.finditer(name)
+                  if m[m.lastindex][0].isupper()}
+        assert wanted <= found, name
+
+
 def test_lookup_table_is_the_turn_taking_one(spark):
     shards, m = tuple("abcde"), 101
     got = {r.slot: r.shard for r in lookup_shards.lookup_table(spark, shards, m).collect()}
