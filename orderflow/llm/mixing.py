@@ -102,19 +102,12 @@ def sainte_lague(units: DataFrame, share: str, order: list[str]) -> DataFrame:
     return units.join(won, on, "left").withColumn("quota", seats).drop("n", *[f"w_{c}" for c in order])
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        seed: str = "mix", block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
-    """id, size, source_size, target, taken for every row: how many words of
-    the document the mix takes, repeats counted.
-
-    A source is cut into shards by a hash of the rows, as many as its size
-    asks for, so a source with a third of all rows is spread like any other.
-    No document is taken more than ``MOST_TIMES`` times.  Null and blank
-    texts have size 0 and are never taken.  Null sources are one source.
-    Repeated rows are separate documents; which of two equal rows comes first
-    does not matter.  Reruns over the same rows agree.  An empty table gives
-    no rows; no other column is read.
-    """
+def plan_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             seed: str = "mix", block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The places of all documents in their shards (``end``: words up to their
+    ends), of those with words with the shard's words and blocks, and the
+    blocks: the words ``from`` ... ``to`` - 1 of a shard, taken ``times``
+    times, one more than ``least`` if drawn."""
     docs = keyed(df, id=id_col, source=source_col, text=text_col)
     if "__row" in df.columns:
         docs = keyed(df, id=id_col, source=source_col, text=text_col, row="__row")
@@ -143,24 +136,42 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
                          (F.col("quota") % F.col("blocks")).alias("extra"),
                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"))
     draw = Window.partitionBy(*names).orderBy(seeded(seed + "-block", F.col("source"), F.col("shard"), F.col("block")), "block")
-    block = block.withColumn("times", F.col("times") + (F.row_number().over(draw) <= F.col("extra")).cast("bigint")) \
+    block = block.withColumn("least", F.col("times")).withColumn("times", F.col("times") + (F.row_number().over(draw) <= F.col("extra")).cast("bigint")) \
         .withColumn("begin", F.expr("(block * words) div blocks"))
-    length = F.expr("((block + 1) * words) div blocks") - F.col("begin")
+    block = block.withColumn("to", F.expr("((block + 1) * words) div blocks"))
+    length = F.col("to") - F.col("begin")
     before = Window.partitionBy(*names).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     block = block.withColumn("before", F.coalesce(F.sum(F.col("times") * length).over(before), F.lit(0)))
     block = stored(block.select(F.col("source").alias("b_source"), F.col("shard").alias("b_shard"), "words", "blocks",
-                                "block", "times", "before", F.col("begin").alias("from")), "blocks")
+                                "block", "times", "least", "before", F.col("begin").alias("from"), "to"), "blocks")
     sizes = units.select(F.col("source").alias("u_source"), F.col("shard").alias("u_shard"), "words", "blocks")
-
-    # the words taken up to each end of a document: by the block in which it lies
     with_size = placed.where("size > 0").join(sizes, F.col("source").eqNullSafe(F.col("u_source")) & (F.col("shard") == F.col("u_shard"))) \
         .drop("u_source", "u_shard")
+    return placed, with_size, block
+
+
+def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        seed: str = "mix", block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
+    """id, size, source_size, target, taken for every row: how many words of
+    the document the mix takes, repeats counted.
+
+    A source is cut into shards by a hash of the rows, as many as its size
+    asks for, so a source with a third of all rows is spread like any other.
+    No document is taken more than ``MOST_TIMES`` times.  Null and blank
+    texts have size 0 and are never taken.  Null sources are one source.
+    Repeated rows are separate documents; which of two equal rows comes first
+    does not matter.  Reruns over the same rows agree.  An empty table gives
+    no rows; no other column is read.
+    """
+    placed, with_size, block = plan_mix(df, id_col, text_col, source_col, seed, block_words, shard_blocks)
+    names = ["source", "shard"]
+    # the words taken up to each end of a document: by the block in which it lies
     ends = with_size.select("row", "id", *names, "size", "rank", "digest", "source_size", "target", "end", "words", "blocks",
                             F.explode(F.array(F.struct(F.lit(-1).alias("sign"), (F.col("end") - F.col("size")).alias("p")),
                                               F.struct(F.lit(1).alias("sign"), F.col("end").alias("p")))).alias("e"))
     ends = ends.withColumn("block", F.expr("greatest(0, e.p * blocks - 1) div words")).drop("words", "blocks")
     met = ends.join(
-        block.drop("words", "blocks").withColumnRenamed("block", "b_block"),
+        block.drop("words", "blocks", "least", "to").withColumnRenamed("block", "b_block"),
         F.col("source").eqNullSafe(F.col("b_source")) & (F.col("shard") == F.col("b_shard")) & (F.col("block") == F.col("b_block")))
     words = F.col("e.sign") * (F.col("before") + F.col("times") * (F.col("e.p") - F.col("from")))
     keys = ["row", "id", "size", "source_size", "target", "source", "shard", "end"]
@@ -172,16 +183,38 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
 def take_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              **options) -> DataFrame:
-    """The mix as documents, with all columns of ``df``: a document comes as
-    often as its words are taken, whole copies first, then the words that are
-    left over (the first ones of its text).  Untaken documents go."""
+    """The mix as documents, with all columns of ``df``: a document comes
+    whole as often as all its blocks are taken; of a document of which some
+    blocks are taken once more, each run of neighbouring ones comes as a
+    document of its own, from its first word to its last with the white space
+    between them.  Untaken documents go."""
     rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    taken = mix(rows, id_col, text_col, source_col, **options).where("taken > 0") \
-        .select(F.col("row").alias("__row"), F.col("size").alias("__size"), F.col("taken").alias("__taken"))
-    met = rows.join(taken, "__row")
-    copies = F.sequence(F.lit(0).cast("bigint"), F.expr("(__taken - 1) div __size"))
-    met = met.withColumn("__copy", F.explode(copies))
-    left = F.least("__size", F.col("__taken") - F.col("__copy") * F.col("__size"))
+    _, places, block = plan_mix(rows, id_col, text_col, source_col, **options)
+    begin = F.col("end") - F.col("size")
+    spans = places.select("row", "source", "shard", "size", "end", F.explode(F.sequence(
+        F.expr("((end - size + 1) * blocks - 1) div words"), F.expr("(end * blocks - 1) div words"))).alias("block"))
+    met = spans.join(block.drop("words", "blocks").withColumnRenamed("block", "b_block"),
+                     F.col("source").eqNullSafe(F.col("b_source")) & (F.col("shard") == F.col("b_shard")) & (F.col("block") == F.col("b_block")))
+    met = met.select("row", "size", "block", "least", (F.col("times") > F.col("least")).alias("once_more"),
+                     (F.greatest("from", begin) - begin).alias("lo"), (F.least("to", F.col("end")) - begin).alias("hi"))
+    order = Window.partitionBy("row", "once_more").orderBy("block")
+    runs = met.withColumn("run", F.col("block") - F.row_number().over(order)).groupBy("row", "once_more", "run") \
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("least").alias("least"), F.first("size").alias("size"))
+    piece = F.when(F.col("once_more"), F.struct("lo", "hi"))
+    taken = runs.groupBy("row").agg(F.first("least").cast("int").alias("__whole"), F.first("size").alias("__size"),
+                                    F.sort_array(F.collect_list(piece)).alias("__runs")) \
+        .where("__whole > 0 or size(__runs) > 0").withColumnRenamed("row", "__row")
     text = F.col(f"`{text_col}`")
-    words = F.concat_ws(" ", F.slice(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""), F.lit(1), left.cast("int")))
-    return met.withColumn(text_col, F.when(left == F.col("__size"), text).otherwise(words)).select(*df.columns)
+    words = F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))  # each with the white space before it
+
+    def cut(all_words, run):
+        some = F.concat_ws("", F.slice(all_words, (run["lo"] + 1).cast("int"), (run["hi"] - run["lo"]).cast("int")))
+        return F.regexp_replace(some, r"\A[\x20\x09-\x0D]+", "")
+
+    # the array of the words is a lambda's argument, so that it is made once for all runs
+    cuts = F.transform(F.array(words), lambda w: F.transform("__runs", lambda r: cut(w, r)))[0]
+    once_more = F.when(F.size("__runs") == 0, F.array().cast("array<string>")) \
+        .when(F.col("__runs")[0]["hi"] - F.col("__runs")[0]["lo"] == F.col("__size"), F.array(text)).otherwise(cuts)
+    copies = F.concat(F.array_repeat(text, F.col("__whole")), once_more)
+    met = rows.join(taken, "__row").withColumn("__text", F.explode(copies))
+    return met.withColumn(text_col, F.col("__text")).select(*[F.col(f"`{c}`") for c in df.columns])

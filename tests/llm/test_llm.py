@@ -245,6 +245,34 @@ def test_targets_and_quotas(spark):
     assert tuple(got) == (1030, 1030)  # all further quotients of the large unit are higher
 
 
+def test_the_mix_takes_the_words_of_its_blocks(spark):
+    gaps = [" ", "  ", "\n", "\t\n "]
+    texts = [" " + "".join(f"w{d}.{i}" + gaps[(d + i) % 4] for i in range(n)) for d, n in enumerate([4000, 1, 700, 90, 130, 2500] * 3)]
+    docs = spark.createDataFrame([(d, t, "abc"[d % 3], d) for d, t in enumerate(texts)], "doc_id int, text string, source string, `a.b` int")
+    taken = {r.id: (r.taken, r["size"]) for r in mixing.mix(docs).collect()}
+    got = mixing.take_mix(docs).collect()
+    parts, late = {}, 0
+    for r in got:
+        parts[r.doc_id] = parts.get(r.doc_id, 0) + len(r.text.split())
+        assert r.text in texts[r.doc_id] and r["a.b"] == r.doc_id  # white space as it was
+        numbers = [int(w.split(".")[1]) for w in r.text.split()]
+        late += numbers[0] > 0 and len(numbers) < taken[r.doc_id][1]
+    assert parts == {d: t for d, (t, _) in taken.items() if t}
+    assert late > 10  # most runs do not begin with the document
+    _, places, block = mixing.plan_mix(docs.withColumn("__row", F.col("doc_id").cast("bigint")))
+    times = {}
+    for b in block.collect():
+        for w in range(b["from"], b.to):
+            times[b.b_source, b.b_shard, w] = b.times
+    count = {}
+    for r in got:
+        for w in r.text.split():
+            count[w] = count.get(w, 0) + 1
+    for p in places.collect():
+        for i in range(p["size"]):
+            assert count.get(f"w{p.row}.{i}", 0) == times[p.source, p.shard, p.end - p["size"] + i]
+
+
 def test_pipeline_keeps_the_columns(spark):
     import corpus_pipeline
 
