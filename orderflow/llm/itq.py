@@ -36,6 +36,8 @@ ROUNDS = 30
 MOST_MISSED = 0.005
 #: Bits of the longest and shortest substring.
 SUBSTRING = (12, 24)
+#: Tables up to which the mean is taken off.
+MOST_TABLES = 64
 #: Vectors of a bucket that one task compares with the bucket.
 BLOCK = 8192
 
@@ -99,13 +101,23 @@ def plan_codes(sample: np.ndarray, n: int, least_cosine: float) -> Codes:
     """Substrings about as long as log2 of the number of vectors, and as many
     tables as it takes for a pair at the threshold to be missed with
     probability ``MOST_MISSED`` at most, when bits differ independently at the
-    rate of its angle."""
-    error = math.acos(min(max(least_cosine, -1.0), 1.0)) / math.pi
+    rate of its angle: the largest that it can have around the mean between
+    vectors as far from it as the sample's nearest one.  Where that would take
+    more than ``MOST_TABLES`` tables, the mean stays in: codes then differ by
+    the angle itself, in fewer and fuller buckets."""
+    apart = math.sqrt(max(2 - 2 * min(max(least_cosine, -1.0), 1.0), 0.0))  # of unit vectors at the threshold
     size = min(max(math.ceil(math.log2(max(n, 2))), SUBSTRING[0]), SUBSTRING[1])
-    found = (1 - error) ** size + size * error * (1 - error) ** (size - 1)
-    tables = max(1, math.ceil(math.log(MOST_MISSED) / math.log(max(1 - found, 1e-12))))
+
+    def plan(nearest: float) -> tuple[float, float]:
+        error = 2 * math.asin(min(apart / (2 * nearest), 1.0)) / math.pi if nearest > 0 else 1.0
+        found = (1 - error) ** size + size * error * (1 - error) ** (size - 1)
+        return error, max(1.0, math.ceil(math.log(MOST_MISSED) / math.log(1 - min(max(found, 1e-12), 1 - 1e-12))))
+
     mean = sample.mean(0)
-    x = sample - mean
+    error, tables = plan(float(np.linalg.norm(sample - mean, axis=1).min()))
+    if tables > MOST_TABLES:
+        mean, (error, tables) = np.zeros_like(mean), plan(1.0)
+    x, tables = sample - mean, int(tables)
     rank = max(1, int(np.linalg.matrix_rank(x)))
     rotations, bits, seed = [], 0, 0
     while bits < tables * size:

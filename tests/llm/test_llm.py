@@ -96,6 +96,28 @@ def test_itq_finds_the_links(spark):
     assert got.loc[600].n_links == 0 and got.loc[600].kept
 
 
+def test_itq_finds_the_links_of_vectors_with_a_common_mean():
+    for share in (0.0, 0.7, 0.8, 0.9):  # squared norm of the mean
+        rng = np.random.default_rng(6)
+        unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+        own = unit(rng.normal(size=(3000, 64)))
+        mean = unit(rng.normal(size=64))
+        x = unit(share ** 0.5 * mean + (1 - share) ** 0.5 * own)
+        # partners at the threshold: a step of the right length across
+        step = rng.normal(size=x.shape)
+        step = unit(step - (step * x).sum(1, keepdims=True) * x)
+        y = 0.931 * x + (1 - 0.931 ** 2) ** 0.5 * step
+        y = unit(mean * share ** 0.5 + unit(y - mean * share ** 0.5) * (1 - share) ** 0.5)  # as far from the mean as the others
+        pairs = (x * y).sum(1) >= 0.93
+        codes = itq.plan_codes(np.vstack([x[:2000], y[:2000]]), 4000, 0.93)
+        a, b = codes.encode(x[pairs]), codes.encode(y[pairs])
+        met = np.zeros(len(a), bool)
+        for lo, hi in codes.cuts:
+            met |= (a[:, lo:hi] != b[:, lo:hi]).sum(1) <= 1
+        found = met & ((a != b).sum(1) <= codes.far)
+        assert pairs.sum() > 50 and found.mean() > 0.95, (share, pairs.sum(), found.mean(), len(codes.cuts))
+
+
 def test_token_counts_match_the_library():
     from tokenizers import Tokenizer
 
