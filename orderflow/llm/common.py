@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.session import shared_dir
@@ -77,13 +77,42 @@ def complete_groups(batches: Iterable[pa.RecordBatch], keys: list[str],
         yield table, np.append(starts(table), table.num_rows)
 
 
-def pairs_in_groups(bounds: np.ndarray, at_once: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+#: The side of rows that meet all others of their group.
+WITHIN = 2
+
+
+def in_parts(buckets: DataFrame, most: int, salt: Column) -> DataFrame:
+    """Buckets (rows with the same ``key``) of more than ``most`` rows, cut
+    into parts by ``salt``, with ``block``: the group of two parts i <= j in
+    which a row stands, and ``side``: the part that it comes from (0 or 1), or
+    WITHIN where a part meets itself (and in buckets that are not cut).  Each
+    two rows of a bucket meet in exactly one group."""
+    large = buckets.groupBy("key").count().where(F.col("count") > most) \
+        .select("key", F.ceil(F.col("count") / most).alias("parts"))
+    met = buckets.drop("block", "side").join(large, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint")))
+    met = met.withColumn("own", F.pmod(salt, F.col("parts"))) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    block = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
+    side = F.when(F.col("own") == F.col("other"), WITHIN).otherwise((F.col("own") > F.col("other")).cast("int"))
+    return met.withColumn("block", block).withColumn("side", side).drop("parts", "own", "other")
+
+
+def pairs_in_groups(bounds: np.ndarray, at_once: int = 2_000_000, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row pairs i < j of the same group, ``at_once`` at a time.  ``bounds``
-    are the groups' first rows and the end.
+    are the groups' first rows and the end; rows of the same ``side`` that is
+    not WITHIN do not meet.
 
     Small groups go together, by distance between the rows; a large group is
     walked row block against row block, so memory does not follow its square.
     """
+    for i, j in _all_pairs(bounds, at_once):
+        if side is not None:
+            met = (side[i] == WITHIN) | (side[i] != side[j])
+            i, j = i[met], j[met]
+        yield i, j
+
+
+def _all_pairs(bounds: np.ndarray, at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     first, last = bounds[:-1], bounds[1:]
     size = last - first
     small = size <= 512

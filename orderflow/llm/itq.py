@@ -10,8 +10,8 @@ vectors in double precision.
 Exact copies are one vector with a weight.  A pair that meets in several
 tables counts in the first one only, so links are counted where they are
 found: a task returns one number per vector and bucket and a spanning forest
-of its links, never the pairs.  Buckets with many vectors are split into
-blocks of them, each compared with the whole bucket in a task of its own.
+of its links, never the pairs.  Buckets with many rows are cut into parts, and each
+two parts meet as a group of their own.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import LocalComponents, batches_of, complete_groups, keyed, pairs_in_groups, stored
+from orderflow.llm.common import WITHIN, LocalComponents, batches_of, complete_groups, in_parts, keyed, pairs_in_groups, stored
 from orderflow.llm.components import connected_components
 
 LEAST_COSINE = 0.93
@@ -38,7 +38,7 @@ MOST_MISSED = 0.005
 SUBSTRING = (12, 24)
 #: Tables up to which the mean is taken off.
 MOST_TABLES = 64
-#: Vectors of a bucket that one task compares with the bucket.
+#: Rows of a bucket, and of each of two parts of a larger one, that meet at once.
 BLOCK = 8192
 
 
@@ -152,7 +152,7 @@ def _pairs(table: pa.Table, bounds: np.ndarray, far: int, masks: np.ndarray):
     code = table.column("code").to_pylist()
     words = np.array(code, np.int64).view(np.uint64).reshape(len(code), -1)
     node, counted, here = table.column("node").to_numpy(), table.column("counted").to_numpy(), table.column("table").to_numpy()
-    for i, j in pairs_in_groups(bounds):
+    for i, j in pairs_in_groups(bounds, side=table.column("side").to_numpy()):
         near = np.zeros(len(i), np.int64)
         for w in range(words.shape[1]):
             near += np.bitwise_count(words[i, w] ^ words[j, w])
@@ -175,9 +175,9 @@ def _pairs(table: pa.Table, bounds: np.ndarray, far: int, masks: np.ndarray):
         yield a[own], b[own]
 
 
-_BUCKET = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("table", pa.int32()), ("node", pa.int64()), ("counted", pa.int32()),
+_BUCKET = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("side", pa.int32()), ("table", pa.int32()), ("node", pa.int64()), ("counted", pa.int32()),
                      ("code", pa.list_(pa.int64()))])
-_BUCKET_DDL = "key bigint, block bigint, `table` int, node bigint, counted int, code array<bigint>"
+_BUCKET_DDL = "key bigint, block bigint, side int, `table` int, node bigint, counted int, code array<bigint>"
 
 
 def _buckets(vectors: DataFrame, codes: Codes) -> DataFrame:
@@ -200,22 +200,15 @@ def _buckets(vectors: DataFrame, codes: Codes) -> DataFrame:
                     value = codes.values(bits, t)
                     for flip in [0, *(1 << k for k in range(codes.cuts[t][1] - codes.cuts[t][0]))]:
                         key = _mixed(label, size, np.full(n, t), value ^ flip)
-                        yield pa.record_batch([pa.array(key), pa.array(np.zeros(n, np.int64)), pa.array(np.full(n, t, np.int32)), node,
+                        yield pa.record_batch([pa.array(key), pa.array(np.zeros(n, np.int64)), pa.array(np.full(n, WITHIN, np.int32)),
+                                               pa.array(np.full(n, t, np.int32)), node,
                                                pa.array(np.full(n, int(not flip), np.int32)), code], schema=_BUCKET)
 
     return vectors.mapInArrow(run, _BUCKET_DDL)
 
 
 def _in_blocks(buckets: DataFrame, block: int) -> DataFrame:
-    """Buckets of more than ``block`` counted rows, dealt to blocks: a row is
-    counted in one block and compared with in all of them."""
-    large = buckets.where("counted = 1").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block) \
-        .select("key", F.ceil(F.col("n") / block).alias("blocks"))
-    met = buckets.drop("block").join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    met = met.withColumn("own", own).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    counted = F.when(F.col("block") == F.col("own"), F.col("counted")).otherwise(0)
-    return met.select("key", "block", "table", "node", counted.cast("int").alias("counted"), "code")
+    return in_parts(buckets, block, F.xxhash64("node")).select(*_BUCKET.names)
 
 
 def _by_bucket(rows: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import LocalComponents, batches_of, complete_groups, keyed, pairs_in_groups, stored
+from orderflow.llm.common import LocalComponents, batches_of, complete_groups, in_parts, keyed, pairs_in_groups, stored
 from orderflow.llm.components import connected_components
 
 BITS = 64
@@ -30,6 +30,8 @@ SEED = 42
 ROW_COST = 500.0
 #: Numbers of partitions that are tried.
 PARTITION_COUNTS = (2, 3, 4, 5, 6)
+#: Rows of a bucket, and of each of two parts of a larger one, that meet at once.
+PART_ROWS = 8192
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -180,10 +182,11 @@ def masks(width: int, t: int) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def link_edges(fps: DataFrame, plan: list[tuple[list[int], int]], max_bits: int) -> DataFrame:
+def link_edges(fps: DataFrame, plan: list[tuple[list[int], int]], max_bits: int, part_rows: int = PART_ROWS) -> DataFrame:
     """(a, b) edges over distinct fingerprints whose components are those of
     all links.  Links of one task are joined there, so it emits at most one
-    edge for each fingerprint and bucket, however many pairs link."""
+    edge for each fingerprint and bucket, however many pairs link.  Buckets of
+    more than ``part_rows`` rows are cut, and each two parts meet by themselves."""
     probes = [(np.array(part, np.uint64), masks(len(part), t)) for part, t in plan]
     keys = pa.schema([("key", pa.int64()), ("fp", pa.int64())])
     edges = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -200,18 +203,19 @@ def link_edges(fps: DataFrame, plan: list[tuple[list[int], int]], max_bits: int)
                     yield pa.record_batch([pa.array(key), b.column("fp")], schema=keys)
 
     def verify(batches):
-        for table, bounds in complete_groups(batches, ["key"]):
+        for table, bounds in complete_groups(batches, ["key", "block"]):
             fp = table.column("fp").to_numpy()
             bits = fp.view(np.uint64)
             local = LocalComponents(len(fp))
-            for i, j in pairs_in_groups(bounds):
+            for i, j in pairs_in_groups(bounds, side=table.column("side").to_numpy()):
                 near = np.bitwise_count(bits[i] ^ bits[j]) <= max_bits
                 local.link(i[near], j[near])
             moved = np.flatnonzero(local.label != np.arange(len(fp)))
             yield from batches_of({"a": fp[moved], "b": fp[local.label[moved]]}, edges)
 
-    return fps.select("fp").mapInArrow(buckets, "key bigint, fp bigint") \
-        .repartition("key").sortWithinPartitions("key").mapInArrow(verify, "a bigint, b bigint")
+    met = in_parts(fps.select("fp").mapInArrow(buckets, "key bigint, fp bigint"), part_rows, F.xxhash64("fp"))
+    return met.select("key", "block", "side", "fp").repartition("key", "block").sortWithinPartitions("key", "block") \
+        .mapInArrow(verify, "a bigint, b bigint")
 
 
 def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.llm import (exact_dedup, itq, lookup_shards, mixing, packing, queries, simhash, surrogates, token_fst,
+from orderflow.llm import (common, exact_dedup, itq, lookup_shards, mixing, packing, queries, simhash, surrogates, token_fst,
                            toxicity, warc)
 from orderflow.llm.components import connected_components
 
@@ -118,6 +118,30 @@ def test_itq_finds_the_links_of_vectors_with_a_common_mean():
         assert pairs.sum() > 50 and found.mean() > 0.95, (share, pairs.sum(), found.mean(), len(codes.cuts))
 
 
+def test_large_buckets_meet_in_parts(spark):
+    rows = spark.createDataFrame([(k, 0, 0, n) for k, m in ((1, 200), (2, 5)) for n in range(m)], "key bigint, block bigint, side int, node bigint")
+    groups, met = {}, {}
+    for r in common.in_parts(rows, 20, F.xxhash64("node")).collect():
+        groups.setdefault((r.key, r.block), []).append((r.node, r.side))
+    assert max(map(len, groups.values())) < 100 and len([g for g in groups if g[0] == 2]) == 1
+    for (key, _), g in groups.items():
+        node, side = np.array(g).T
+        for i, j in common.pairs_in_groups(np.array([0, len(g)]), side=side):
+            for pair in zip(node[i].tolist(), node[j].tolist()):
+                met[key, *sorted(pair)] = met.get((key, *sorted(pair)), 0) + 1
+    assert len(met) == 200 * 199 // 2 + 10 and set(met.values()) == {1}
+
+
+def test_simhash_links_in_parts(spark):
+    rng = random.Random(4)
+    near = [rng.getrandbits(63) for _ in range(3)]
+    fps = sorted({n ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(4))) for n in near for _ in range(80)})
+    df = spark.createDataFrame([(f, f) for f in fps], "fp bigint, id bigint")
+    plan = simhash.plan_partitions(df, 4)
+    whole, parts = ({r.vertex: r.component for r in connected_components(simhash.link_edges(df, plan, 4, n)).collect()} for n in (8192, 8))
+    assert whole == parts and len(set(whole.values())) >= 3
+
+
 def test_token_counts_match_the_library():
     from tokenizers import Tokenizer
 
