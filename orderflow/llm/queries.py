@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import (exact_dedup, itq, lookup_shards, mixing, packing, simhash, surrogates, token_fst, toxicity,
+from orderflow.llm import (alignment, exact_dedup, itq, lookup_shards, mixing, packing, simhash, surrogates, token_fst, toxicity,
                            warc)
 from orderflow.llm.common import scratch
 
@@ -93,8 +93,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_shards.place(keys, "doc_id", lookup_shards.lookup_table(spark)).select("doc_id", "slot", "shard")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_arc_to_warc, op2_packing, op3_embedding_near_dedup, op4_toxicity, op5_surrogates,
-                                   op6_exact_dedup, op7_simhash, op8_token_counts, op9_mixing, op10_sharding)}
+                                   op6_exact_dedup, op7_simhash, op8_token_counts, op9_mixing, op10_sharding,
+                                   op11_alignment)}
 
 
 def _md5_number(text: str) -> str:
