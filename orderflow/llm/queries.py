@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import (alignment, exact_dedup, itq, lookup_shards, mixing, packing, simhash, surrogates, token_fst, toxicity,
-                           warc)
+from orderflow.llm import (alignment, bigru, exact_dedup, itq, lookup_shards, mixing, packing, prefix_trie, simhash, surrogates,
+                           token_fst, toxicity, warc)
 from orderflow.llm.common import scratch
 
 #: Stands for the secret that a deployment passes.
@@ -98,9 +98,23 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.share_first_turns(turns))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    net = bigru.train(docs, ~held_out)
+    return bigru.identify(docs, net).select(
+        F.col("id").alias("doc_id"), F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2, F.lit(False)).alias("held_out"),
+        F.col("lang").alias("lang_pred"), "score")
+
+
 QUERIES = {f.__name__: f for f in (op1_arc_to_warc, op2_packing, op3_embedding_near_dedup, op4_toxicity, op5_surrogates,
                                    op6_exact_dedup, op7_simhash, op8_token_counts, op9_mixing, op10_sharding,
-                                   op11_alignment)}
+                                   op11_alignment, op12_prefix_trie, op13_language_id)}
 
 
 def _md5_number(text: str) -> str:
@@ -165,6 +179,35 @@ ORACLE_SQL = {
                CAST(coalesce(sum(y.times * greatest(0, least(y.hi, o.finish) - greatest(y.lo, o.finish - o.size))), 0) AS BIGINT) AS taken
         FROM o LEFT JOIN y ON o.source IS NOT DISTINCT FROM y.source AND o.shard = y.shard AND y.lo < o.finish AND y.hi > o.finish - o.size
         GROUP BY ALL""",
+    "op12_prefix_trie": """
+        WITH RECURSIVE turns AS (SELECT conv_id::BIGINT AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+                       WHERE conv_id IS NOT NULL),
+        own AS (SELECT c, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, r, left(sha256(length(r) || ':' || r || x), 32)) AS s
+                FROM turns GROUP BY c),
+        crc(c, pos, v, bits) AS (  -- CRC-32 of the decimal id, a bit at a time
+            SELECT c, 0, 4294967295::UBIGINT, 0 FROM own
+            UNION ALL
+            SELECT c, if(bits = 8, pos + 1, pos),
+                   CASE WHEN bits = 0 THEN xor(v, ascii(substr(c::VARCHAR, pos + 1, 1))::UBIGINT)
+                        WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END,
+                   if(bits = 8, 0, bits + 1)
+            FROM crc WHERE pos < length(c::VARCHAR)),
+        shared AS (SELECT o.c, (xor(k.v, 4294967295::UBIGINT) % 9)::BIGINT AS h, o.s, coalesce(b.s, []) AS head
+                   FROM own o JOIN crc k ON k.c = o.c AND k.pos = length(o.c::VARCHAR) LEFT JOIN own b ON b.c = o.c - o.c % 5),
+        rebuilt AS (SELECT c, head[1:h] || s[h + 1:] AS s FROM shared),
+        prefixes AS (SELECT c, d, s[1:d] AS p, s[1:d - 1] AS q, d = len(s) AS ends
+                     FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+        nodes AS (SELECT p, d, min(c) AS conv_id, any_value(q) AS q, count(*) AS n_convs,
+                         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256,
+                         if(d = 0, 0, (count(*) - 1) * coalesce(strlen(p[d].x), 0)) AS own
+                  FROM prefixes GROUP BY p, d),
+        children AS (SELECT q, count(*) AS n FROM nodes WHERE d > 0 GROUP BY q),
+        above AS (SELECT n.p, n.own, c.n IS NULL AS leaf, n.p[1:unnest(range(0, n.d + 1))] AS a
+                  FROM nodes n LEFT JOIN children c ON c.q = n.p),
+        sums AS (SELECT a, sum(own) AS saved, count(*) FILTER (WHERE leaf) AS leaves FROM above GROUP BY a)
+        SELECT n.conv_id, n.d::BIGINT AS depth, CASE WHEN n.d > 0 THEN u.conv_id END AS parent_conv_id, n.n_convs,
+               coalesce(c.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+        FROM nodes n JOIN sums s ON s.a = n.p LEFT JOIN children c ON c.q = n.p LEFT JOIN nodes u ON u.p = n.q AND u.d = n.d - 1""",
     "op10_sharding": f"""
         WITH RECURSIVE names AS (SELECT i, 'shard-' || lpad(CAST(i AS VARCHAR), 3, '0') AS shard FROM range({len(lookup_shards.SHARDS)}) r(i)),
         pref AS (SELECT i, k, ({_md5_number("'offset:' || shard")} % {lookup_shards.SLOTS}
