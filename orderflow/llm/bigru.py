@@ -106,9 +106,9 @@ def _back_through_time(layer: dict, x: np.ndarray, kept: list, d_states: np.ndar
         grad["gates"] += d_gates @ before.T
         grad["new"] += d_back @ before.T
         d_h = d_h * update + layer["gates"].T @ d_gates + layer["new"].T @ d_back
-    by_byte = np.zeros((256, len(x) * n), np.float32)
-    by_byte[x.ravel(), np.arange(x.size)] = 1
-    grad["inputs"] += d_given.transpose(1, 0, 2).reshape(3 * units, -1) @ by_byte.T
+    order = np.argsort(x.ravel(), kind="stable")
+    found, first = np.unique(x.ravel()[order], return_index=True)
+    grad["inputs"][:, found] = np.add.reduceat(d_given.transpose(1, 0, 2).reshape(3 * units, -1)[:, order], first, axis=1)
     return grad
 
 
