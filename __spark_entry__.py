@@ -322,7 +322,18 @@ def q_order_status_history(spark, d):
 def q_product_price_history(spark, d):
     from orderflow.operators.history import price_history, scd2_history
     from orderflow.sources.testdata import table
-    return scd2_history(price_history(table(spark, d, "lineitem")), ["product_id"], "valid_from", ["price"])
+    return scd2_history(price_history(table(spark, d, "lineitem")), ["product_id"], "valid_from", ["price"], skew_safe=True)
+
+
+PRICE_WINDOW_DAYS = 30
+
+
+def q_orders_around_price_change(spark, d):
+    """Orders and daily order rates of a product in the 30 days before and
+    after each change of its price (a product may hold a third of all orders)."""
+    from orderflow.operators.intervals import orders_around_price_change
+    orders = models.fact(spark, d, skew_safe=True).select("product_id", "created_at")
+    return orders_around_price_change(q_product_price_history(spark, d), orders, PRICE_WINDOW_DAYS, skew_safe=True)
 
 
 def q_price_asof_order(spark, d):
@@ -525,6 +536,21 @@ _SQL: dict[str, str] = {
         AND product_id NOT IN (SELECT product_id FROM firsts WHERE __op = 'c')"""),
     "order_status_history": O.with_chain(_scd2_sql("stg_orders", "order_id", "processed_at", "status",
                                                    O.STG_TIEBREAK)),
+    "orders_around_price_change": O.with_chain(f""", {_PRICES},
+      v AS ({_scd2_sql("prices", "product_id", "valid_from", "price", [])}),
+      ch AS (SELECT product_id, valid_from AS changed_at, old_price, price AS new_price FROM (
+               SELECT *, LAG(price) OVER (PARTITION BY product_id ORDER BY valid_from) AS old_price FROM v)
+             WHERE old_price IS NOT NULL),
+      near AS (SELECT ch.*, o.created_at - ch.changed_at AS gap
+               FROM ch LEFT JOIN fct_orders o ON o.product_id = ch.product_id
+                AND o.created_at >= ch.changed_at - INTERVAL {PRICE_WINDOW_DAYS} DAY
+                AND o.created_at < ch.changed_at + INTERVAL {PRICE_WINDOW_DAYS} DAY)
+      SELECT product_id, changed_at, old_price, new_price,
+             COUNT(*) FILTER (WHERE gap < INTERVAL 0 DAY) AS orders_before,
+             COUNT(*) FILTER (WHERE gap >= INTERVAL 0 DAY) AS orders_after,
+             COUNT(*) FILTER (WHERE gap < INTERVAL 0 DAY) / {PRICE_WINDOW_DAYS}.0::DOUBLE AS rate_before,
+             COUNT(*) FILTER (WHERE gap >= INTERVAL 0 DAY) / {PRICE_WINDOW_DAYS}.0::DOUBLE AS rate_after
+      FROM near GROUP BY ALL"""),
     "product_price_history": f"WITH {_PRICES} " + _scd2_sql("prices", "product_id", "valid_from", "price", []),
     "price_asof_order": O.with_chain(
         f", {_PRICES} SELECT o.order_id, o.product_id, o.created_at, CAST(o.unit_price AS DOUBLE) AS unit_price, "
@@ -630,6 +656,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_if_absent": q_insert_if_absent,
     "order_status_history": q_order_status_history,
     "product_price_history": q_product_price_history,
+    "orders_around_price_change": q_orders_around_price_change,
     "price_asof_order": q_price_asof_order,
     "change_counts_hourly": q_change_counts_hourly,
     "incremental_fct_orders": q_incremental_fct_orders,

@@ -4,7 +4,9 @@ import __spark_entry__ as E
 
 
 def test_contract_keys_and_flagship(spark):
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E._QUERIES) == set(E._SQL)  # each of the reference's operators has its SQL
+    assert set(E._CORPUS_SQL) <= set(E._CORPUS_QUERIES)
+    assert set(E.oracle_sql()) <= set(E.queries())
     df = E.entry(spark)
     assert [f.name for f in df.schema.fields] == ["status", "orders", "revenue"]
     rows = {r.status: (r.orders, r.revenue) for r in df.collect()}
