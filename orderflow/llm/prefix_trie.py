@@ -134,12 +134,12 @@ def _longer(head: Column, turn_id: Column) -> Column:
 
 
 def burst(sequences: DataFrame, most: int = MOST_SUFFIXES) -> tuple[DataFrame, DataFrame | None]:
-    """Sequences (key, seq, copies, conv_id) in containers of at most ``most``,
-    with head, depth (its turns) and path (the heads that burst above it); and
+    """Sequences (key, seq, copies, conv_id, head, depth, path), all in the
+    container of the empty head, dealt to containers of at most ``most``:
+    their head, its depth (turns) and path (the heads that burst above it); and
     the burst heads as nodes: head, path, depth, conv_id, n_convs, own (the
     tokens saved at the node itself), end_key."""
-    open_ = sequences.withColumn("head", F.lit("")).withColumn("depth", F.lit(0)).withColumn("path", F.array().cast("array<string>"))
-    settled, nodes = [], []
+    open_, settled, nodes = sequences, [], []
     while True:
         large = open_.groupBy("head").count().where(F.col("count") > most).select("head", F.lit(True).alias("large"))
         if large.isEmpty():
@@ -256,8 +256,10 @@ def trie(conversations: DataFrame, most: int = MOST_SUFFIXES) -> DataFrame:
     """
     ids = F.array_join(F.transform("seq", lambda t: t["id"]), "")
     members = stored(conversations.withColumn("key", F.sha2(ids, 256)), "conversations")
-    sequences = stored(members.groupBy("key").agg(F.any_value("seq").alias("seq"), F.count(F.lit(1)).alias("copies"),
-                                                  F.min("conv_id").alias("conv_id")), "sequences")
+    sequences = members.groupBy("key").agg(F.any_value("seq").alias("seq"), F.count(F.lit(1)).alias("copies"),
+                                           F.min("conv_id").alias("conv_id"))
+    sequences = stored(sequences.withColumn("head", F.lit("")).withColumn("depth", F.lit(0))
+                       .withColumn("path", F.array().cast("array<string>")), "sequences")
     ends = hashed_members(members.select("key", "conv_id"))
     settled, heads = burst(sequences, most)
     sorted_ = settled.select("head", "depth", "path", F.transform("seq", lambda t: t["id"]).alias("ids"),
