@@ -57,9 +57,78 @@ def q_parse_change_events(spark, d):
     return W.parse_change_events(models.topic_records(spark, d))
 
 
+def q_parse_edge_lines(spark, d):
+    """The decoder over lines of a careless producer: broken, cut, nested,
+    numbers in text, explicit nulls."""
+    from orderflow.sources.testdata import edge_lines
+    return W.parse_json_column(edge_lines(models.wire(spark, d)), "value", ORDERS_WIRE)
+
+
 def q_unwrap_envelope(spark, d):
+    """Envelopes as JSON text, decoded and flattened; tombstones are NULL."""
     row = _wire_row_schema()
-    return W.unwrap_envelope(W.to_envelope(models.wire(spark, d), row), row)
+    envelopes = W.to_envelope(models.wire(spark, d), row)
+    text = F.when(F.col("op").isNotNull(), F.to_json(F.struct(*envelopes.columns)))
+    return W.parse_envelopes(envelopes.select(text.alias("value")), row)
+
+
+def _routed(spark, d):
+    """The messages of all three tables through one routing stream."""
+    from orderflow.session import scratch_path
+    from orderflow.schemas import CUSTOMERS_WIRE, PRODUCTS_WIRE
+    from orderflow.sources import testdata as TD
+    from orderflow.streaming.ingest import file_records
+    from orderflow.streaming.routing import route_stream
+    base = scratch_path(spark, "routed")
+    messages = models.topic_records(spark, d)
+    for name, feed, schema in (("customers", TD.customer_feed(spark, d), CUSTOMERS_WIRE),
+                               ("products", TD.product_feed(spark, d), PRODUCTS_WIRE)):
+        messages = messages.unionByName(TD.to_topic_records(feed, f"ecommerce.public.{name}", schema))
+    messages.write.parquet(base + "/records")
+    route_stream(file_records(spark, base + "/records", fmt="parquet"), base + "/routed", base + "/checkpoint",
+                 trigger={"availableNow": True}).awaitTermination()
+    return base + "/routed"
+
+
+def q_feed_customers(spark, d):
+    """The customers' messages out of the stream of all tables."""
+    from orderflow.streaming.routing import read_routed
+    return read_routed(spark, _routed(spark, d), "customers")
+
+
+def q_feed_products(spark, d):
+    """The products' messages out of the stream of all tables."""
+    from orderflow.streaming.routing import read_routed
+    return read_routed(spark, _routed(spark, d), "products")
+
+
+def _dimension_history(feed, tracked):
+    """Versions of a dimension, snapshot rows included, deletes ending them."""
+    from orderflow.functions.times import ntz_from_epoch_ms
+    from orderflow.operators.history import history_with_deletes
+    rows = feed.select("id", *tracked, "__op", ntz_from_epoch_ms(F.col("__ts_ms")).alias("changed_at"))
+    return history_with_deletes(rows, ["id"], "changed_at", tracked, F.col("__op") == "d", ["__op"] + tracked)
+
+
+def q_customers_history(spark, d):
+    from orderflow.sources.testdata import customer_feed
+    return _dimension_history(customer_feed(spark, d), ["email", "country"])
+
+
+def q_products_history(spark, d):
+    from orderflow.sources.testdata import product_feed
+    return _dimension_history(product_feed(spark, d), ["price", "stock_quantity"])
+
+
+def q_orders_with_versions(spark, d):
+    """Each order with the versions of its customer and its product that were
+    valid when it was created (a customer or product may hold a third of all
+    orders)."""
+    from orderflow.operators.history import with_versions
+    orders = models.fact(spark, d, on_tie="one").select("order_id", "customer_id", "product_id", "created_at")
+    return with_versions(orders, "created_at", {
+        "customer": (q_customers_history(spark, d).withColumnRenamed("id", "customer_id"), "customer_id", ["country"]),
+        "product": (q_products_history(spark, d).withColumnRenamed("id", "product_id"), "product_id", ["price"])}, skew_safe=True)
 
 
 def _wire_row_schema() -> T.StructType:
@@ -283,6 +352,11 @@ def q_check_ranges(spark, d):
         C.range_violations(products(spark, d), "products", C.range_rules_products()))
 
 
+def q_check_unique_dimensions(spark, d):
+    """Values that repeat in the unique columns of customers and products."""
+    return C.unique_keys({"customers": (customers(spark, d), ["id", "email"]), "products": (products(spark, d), ["id", "sku"])})
+
+
 def q_check_generated_amount(spark, d):
     return _out(C.generated_amount_violations(models.staged(spark, d)))
 
@@ -588,7 +662,35 @@ _SQL: dict[str, str] = {
         "UNION ALL SELECT 'stg_orders', 'status in accepted', CAST(COUNT(*) FILTER (WHERE NOT COALESCE("
         "status IN ('pending','confirmed','shipped','delivered','cancelled'), true)) AS BIGINT) FROM stg_orders "
         "UNION ALL SELECT 'products', 'price > 0', CAST(COUNT(*) FILTER (WHERE NOT COALESCE("
-        "CAST(p_retailprice AS DECIMAL(10,2)) > 0, true)) AS BIGINT) FROM part"),
+        "CAST(p_retailprice AS DECIMAL(10,2)) > 0, true)) AS BIGINT) FROM part UNION ALL SELECT 'products', "
+        "'stock_quantity >= 0', CAST(COUNT(*) FILTER (WHERE p_size < 3) AS BIGINT) FROM part"),
+    "check_unique_dimensions": """
+      SELECT 'customers' AS model, 'id' AS column_name, CAST(c_custkey AS VARCHAR) AS key, COUNT(*) AS n FROM customer
+      GROUP BY c_custkey HAVING COUNT(*) > 1
+      UNION ALL SELECT 'customers', 'email', email, COUNT(*) FROM (
+        SELECT CASE WHEN c_custkey % 97 <> 0 THEN 'customer' || (c_custkey - (c_custkey % 40 = 0)::INT) || '@example.com' END AS email
+        FROM customer) WHERE email IS NOT NULL GROUP BY email HAVING COUNT(*) > 1
+      UNION ALL SELECT 'products', 'id', CAST(p_partkey AS VARCHAR), COUNT(*) FROM part GROUP BY p_partkey HAVING COUNT(*) > 1
+      UNION ALL SELECT 'products', 'sku', 'SKU-' || (p_partkey - (p_partkey % 50 = 0)::INT), COUNT(*) FROM part
+      GROUP BY ALL HAVING COUNT(*) > 1""",
+    "feed_customers": f"WITH {O.CUSTOMER_FEED} SELECT * FROM customer_feed",
+    "feed_products": f"WITH {O.PRODUCT_FEED} SELECT * FROM product_feed",
+    "customers_history": f"WITH {O.CUSTOMER_FEED}, {O.history('customer_feed', ['email', 'country'], 'customer_versions')} "
+                         "SELECT * FROM customer_versions",
+    "products_history": f"WITH {O.PRODUCT_FEED}, {O.history('product_feed', ['price', 'stock_quantity'], 'product_versions')} "
+                        "SELECT * FROM product_versions",
+    "orders_with_versions": O.with_chain(
+        f", {O.CUSTOMER_FEED}, {O.history('customer_feed', ['email', 'country'], 'customer_versions')}, "
+        f"{O.PRODUCT_FEED}, {O.history('product_feed', ['price', 'stock_quantity'], 'product_versions')}, "
+        "one AS (SELECT order_id, customer_id, product_id, created_at FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id "
+        f"ORDER BY processed_at DESC, {_ONE_ORDER}) AS rn FROM stg_orders WHERE processed_at IS NOT NULL) WHERE rn = 1) "
+        "SELECT o.*, c.country AS customer_country, c.valid_from AS customer_valid_from, p.price AS product_price, "
+        "p.valid_from AS product_valid_from FROM one o "
+        "LEFT JOIN customer_versions c ON c.id = o.customer_id AND o.created_at >= c.valid_from "
+        "AND (c.valid_to IS NULL OR o.created_at < c.valid_to) "
+        "LEFT JOIN product_versions p ON p.id = o.product_id AND o.created_at >= p.valid_from "
+        "AND (p.valid_to IS NULL OR o.created_at < p.valid_to)"),
+    "parse_edge_lines": O.with_chain(f", {O.EDGE_LINES}"),
     "check_generated_amount": O.with_chain(
         f"SELECT {O.FCT_DOUBLE} FROM stg_orders WHERE total_amount IS DISTINCT FROM "
         "CAST(quantity AS DECIMAL(10,0)) * unit_price"),
@@ -658,6 +760,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_price_history": q_product_price_history,
     "orders_around_price_change": q_orders_around_price_change,
     "price_asof_order": q_price_asof_order,
+    "customers_history": q_customers_history,
+    "products_history": q_products_history,
+    "orders_with_versions": q_orders_with_versions,
+    "feed_customers": q_feed_customers,
+    "feed_products": q_feed_products,
+    "check_unique_dimensions": q_check_unique_dimensions,
+    "parse_edge_lines": q_parse_edge_lines,
     "change_counts_hourly": q_change_counts_hourly,
     "incremental_fct_orders": q_incremental_fct_orders,
     "incremental_order_metrics": q_incremental_order_metrics,

@@ -79,6 +79,23 @@ def unique_test(df: DataFrame, model: str, column: str) -> DataFrame:
         F.lit("unique").alias("test"), F.col("failures").cast("bigint"))
 
 
+def unique_keys(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Values that occur more than once in columns that must be unique, over
+    several tables: ``(model, column_name, key, n)``.
+
+    ``tables``: name -> (table, columns).  Each row gives its keys as tagged
+    text, NULL ones left out; one grouped count finds the repeated keys of all
+    columns of all tables in one shuffle, counted in every task before it.
+    """
+    keys = None
+    for model, (df, columns) in tables.items():
+        tagged = F.explode(F.array(*[F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"),
+                                              F.col(c).cast("string").alias("key")) for c in columns])).alias("t")
+        part = df.select(tagged).select("t.*").where(F.col("key").isNotNull())
+        keys = part if keys is None else keys.unionByName(part)
+    return keys.groupBy("model", "column_name", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
 def accepted_values_violations(df: DataFrame, column: str, values: list) -> DataFrame:
     """The offending values with their row counts (NULL passes)."""
     return (df.where(~F.col(column).isin(*values))
@@ -115,7 +132,7 @@ def range_rules_orders() -> dict[str, Column]:
 
 
 def range_rules_products() -> dict[str, Column]:
-    return {"price > 0": F.col("price") > 0}
+    return {"price > 0": F.col("price") > 0, "stock_quantity >= 0": F.col("stock_quantity") >= 0}
 
 
 def range_violations(df: DataFrame, model: str, rules: dict[str, Column]) -> DataFrame:

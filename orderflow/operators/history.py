@@ -7,7 +7,7 @@ pairs within a key and none collects a group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sequence import fill_forward, with_neighbours
@@ -70,6 +70,65 @@ def scd2_history(df: DataFrame, keys: list[str], ts_col: str, tracked: list[str]
                       F.col(f"__next_{ts_col}").isNull().alias("is_current"))
 
 
+def history_with_deletes(df: DataFrame, keys: list[str], ts_col: str, tracked: list[str], deleted: Column,
+                         tiebreak: list[str] | None = None, skew_safe: bool = False) -> DataFrame:
+    """Validity ranges of rows that can be deleted and made anew.
+
+    A delete ends the version before it; until the key is created again it has
+    no version, so ranges of a key may have gaps, and a deleted key has no
+    current version.  Output as of :func:`scd2_history`.
+    """
+    marked = df.withColumn("__gone", F.coalesce(deleted, F.lit(False)))
+    # values of a deleted row do not matter: consecutive deletes are one
+    for c in tracked:
+        marked = marked.withColumn(c, F.when(~F.col("__gone"), F.col(c)))
+    versions = scd2_history(marked, keys, ts_col, tracked + ["__gone"], tiebreak, skew_safe)
+    return versions.where(~F.col("__gone")).drop("__gone")
+
+
+def with_versions(events: DataFrame, event_ts: str, histories: dict[str, tuple[DataFrame, str, list[str]]],
+                  skew_safe: bool = False) -> DataFrame:
+    """Events with the versions of several histories that were valid then.
+
+    ``histories``: name -> (history, key, values); a history has the key under
+    its name in ``events``, ``valid_from`` and ``valid_to`` (exclusive, NULL:
+    still valid), without overlaps in a key.  Adds ``<name>_<value>`` columns
+    and ``<name>_valid_from``, NULL where no version was valid.  Events must
+    differ in some column.
+
+    All histories are met in one pass: an event stands once per history, tagged
+    with it, among that history's version starts; along each (history, key)
+    the last start is carried forward; then the event's copies are put together
+    again.  Two shuffles, whatever the number of histories.
+    """
+    carried = [f"__v_{name}" for name in histories]
+    nulls = {f"__v_{name}": F.lit(None).cast(h.select(F.struct("valid_from", "valid_to", *values).alias("v")).schema["v"].dataType)
+             for name, (h, _, values) in histories.items()}
+    event = F.struct(*events.columns)
+    tags = F.explode(F.array(*[F.struct(F.lit(name).alias("tag"), F.col(key).cast("string").alias("k"))
+                               for name, (_, key, _) in histories.items()])).alias("__t")
+    rows = events.select(event.alias("__event"), F.col(event_ts).alias("__at"), tags) \
+        .select("__event", "__at", "__t.tag", "__t.k", F.lit(1).alias("__side"), *[v.alias(c) for c, v in nulls.items()])
+    event_type = rows.schema["__event"].dataType
+    for name, (h, key, values) in histories.items():
+        start = h.where(F.col("valid_from").isNotNull() & F.col(key).isNotNull()).select(
+            F.lit(None).cast(event_type).alias("__event"), F.col("valid_from").alias("__at"), F.lit(name).alias("tag"),
+            F.col(key).cast("string").alias("k"), F.lit(0).alias("__side"),
+            *[(F.struct("valid_from", "valid_to", *values) if c == f"__v_{name}" else v).alias(c) for c, v in nulls.items()])
+        rows = rows.unionByName(start)
+    rows = rows.withColumn("__known", F.col("__at").isNotNull())
+    filled = fill_forward(rows, ["tag", "k"], ["__known", "__at", "__side"], carried, skew_safe=skew_safe).where(F.col("__side") == 1)
+    picked = []
+    for name, (_, key, values) in histories.items():
+        v = F.col(f"__v_{name}")
+        # a NULL key has no versions; fill_forward meets it as a key like others, in which no version starts
+        valid = (F.col("tag") == name) & F.col("__known") & (v["valid_to"].isNull() | (F.col("__at") < v["valid_to"]))
+        picked.append(F.max(F.when(valid, v)).alias(f"__v_{name}"))
+    together = filled.groupBy("__event").agg(*picked)
+    return together.select("__event.*", *[F.col(f"__v_{name}")[c].alias(f"{name}_{c}")
+                                          for name, (_, _, values) in histories.items() for c in [*values, "valid_from"]])
+
+
 def asof_join(events: DataFrame, history: DataFrame, key: str, event_ts: str, valid_from: str,
               values: list[str], skew_safe: bool = False) -> DataFrame:
     """For each event, the ``values`` of the latest history row of the same

@@ -146,3 +146,100 @@ METRICS_DOUBLE = """metric_hour, total_orders, pending_orders, confirmed_orders,
   delivered_orders, cancelled_orders, CAST(gross_revenue AS DOUBLE) AS gross_revenue,
   CAST(net_revenue AS DOUBLE) AS net_revenue, CAST(avg_order_value AS DOUBLE) AS avg_order_value,
   CAST(cancellation_rate_pct AS DOUBLE) AS cancellation_rate_pct"""
+
+
+def _feed(name: str, source: str, columns: str, key: str, table: str, changes: list[tuple]) -> str:
+    """The changes of a dimension table: a SELECT per kind of change."""
+    parts = []
+    for op, modulo, rest, day, spread, version in changes:
+        happens = f"{key} % {changes[0][1]} <> 0" if (op, modulo) == ("c", 1) else f"{key} % {modulo} = {rest}"
+        parts.append(f"SELECT *, '{op}' AS __op, {version} AS version, "
+                     f"TIMESTAMP '1992-01-01' + to_days(({day} + {key} % {spread})::INTEGER) AS changed FROM {source} WHERE {happens}")
+    return f"""
+{name} AS (
+  SELECT {columns}, '1992-01-01T00:00:00.000000Z' AS created_at, strftime(changed, '%Y-%m-%dT%H:%M:%S.%fZ') AS updated_at,
+         __op, '{table}' AS __table, epoch_ms(changed) AS __ts_ms
+  FROM ({" UNION ALL ".join(parts)})
+)"""
+
+
+# Which dimension rows change, how and when.
+CUSTOMER_FEED = _feed(
+    "customer_feed", "customer",
+    "c_custkey::BIGINT AS id, if(c_custkey % 97 = 0, NULL, 'customer' || (c_custkey - (c_custkey % 40 = 0)::INT) || '@example.com') AS email, "
+    "'Customer' AS first_name, substr(c_name, 10) AS last_name, 'country-' || ((c_nationkey + version) % 25) AS country",
+    "c_custkey", "customers",
+    [("r", 7, 0, 0, 1, 0), ("c", 1, 0, 10, 700, 0), ("u", 3, 0, 720, 900, 1), ("u", 6, 0, 1700, 300, 2), ("d", 11, 0, 1461, 365, 2),
+     ("c", 22, 0, 1980, 30, 3)])
+PRODUCT_FEED = _feed(
+    "product_feed", "part",
+    "p_partkey::BIGINT AS id, 'SKU-' || (p_partkey - (p_partkey % 50 = 0)::INT) AS sku, p_name AS name, p_type AS category, "
+    "p_retailprice + 10.0::DOUBLE * version AS price, p_size - 3 AS stock_quantity",
+    "p_partkey", "products",
+    [("r", 5, 0, 0, 1, 0), ("c", 1, 0, 5, 300, 0), ("u", 2, 0, 400, 1500, 1), ("u", 4, 0, 1950, 200, 2), ("d", 13, 0, 2000, 100, 2)])
+
+
+def history(feed: str, tracked: list[str], name: str) -> str:
+    """Runs of equal values numbered by how often they have changed so far;
+    a run of deletes is no version."""
+    values = ", ".join(f"{c} := if(__op = 'd', NULL, {c})" for c in tracked)
+    order = ", ".join(["__ts_ms", "__op", *tracked])
+    return f"""
+{name} AS (
+  WITH marked AS (SELECT id, __op, __ts_ms, {", ".join(tracked)}, struct_pack({values}, gone := __op = 'd') AS v FROM {feed}),
+  stepped AS (SELECT *, lag(v) OVER w AS before, row_number() OVER w AS nth FROM marked
+              WINDOW w AS (PARTITION BY id ORDER BY {order})),
+  runs AS (SELECT *, sum((nth = 1 OR v IS DISTINCT FROM before)::INT) OVER (PARTITION BY id ORDER BY nth) AS run FROM stepped),
+  starts AS (SELECT id, run, any_value(v) AS v, epoch_ms(min(__ts_ms)) AS valid_from FROM runs GROUP BY id, run)
+  SELECT a.id, {", ".join(f"a.v.{c} AS {c}" for c in tracked)}, a.valid_from, b.valid_from AS valid_to, b.run IS NULL AS is_current
+  FROM starts a LEFT JOIN starts b ON b.id = a.id AND b.run = a.run + 1 WHERE NOT a.v.gone
+)"""
+
+
+# The lines of the careless producer.
+LINES = [
+    '{"id":{i},"customer_id":{c},"product_id":{p},"quantity":{q},"unit_price":{m},"status":"pending","__op":"c","__ts_ms":{t}}',
+    '{"id":"{i}","customer_id":"{c}","product_id":{p},"quantity":"{q}","unit_price":"{m}","status":5,"__op":"u","__ts_ms":"{t}"}',
+    '{"id":{i}.0,"customer_id":{c},"quantity":{q}.0,"unit_price":{q},"__op":"u"}',
+    '{"id":{i},"customer_id":null,"product_id":null,"quantity":null,"unit_price":null,"status":null,"__op":null,"__ts_ms":null}',
+    '{"id":{i},"customer_id":{c},"quantity":{q',
+    'no json {i}',
+    '[{i},{c}]',
+    'null',
+    '',
+    '{"id":{i},"status":{"n":{q},"was":"shipped"},"__op":"u"}',
+    '{"id":{i}99999999999999999999,"quantity":{q}9999999999,"__op":"u"}',
+    '{"id":{i},"quantity":{q}.5,"unit_price":{q}.5}',
+    '{"id":{i},"unit_price":"x{m}","quantity":"{q} pieces"}',
+    ' { "id" : {i} , "status" : "\\u00e9\\tpending" } ',
+    '{"id":{i},"unit_price":{q}e2,"quantity":{q}e0,"__ts_ms":"{q}e3"}',
+    '{"id":{i},"quantity":true,"unit_price":[{m}],"status":false}',
+    "{'id':{i}}",
+    '"pending"',
+    '{"id":{i},"extra":{"a":[1,2,{"id":{q}}]},"__op":"d"}',
+    '{i}',
+]
+_FIELDS = {"id": "BIGINT", "customer_id": "BIGINT", "product_id": "BIGINT", "quantity": "INTEGER", "unit_price": "DOUBLE",
+           "total_amount": "DOUBLE", "status": "VARCHAR", "created_at": "VARCHAR", "updated_at": "VARCHAR", "__op": "VARCHAR",
+           "__table": "VARCHAR", "__ts_ms": "BIGINT"}
+_QUOTED = ", ".join("'" + x.replace("'", "''") + "'" for x in LINES)
+_SHAPE = "{" + ", ".join(f'"{k}": "{t}"' for k, t in _FIELDS.items()) + "}"
+
+
+def _field(name: str, kind: str) -> str:
+    """DuckDB's own reading of the field; a true fraction is no integer."""
+    if kind not in ("BIGINT", "INTEGER"):
+        return f"r.{name} AS {name}"
+    return f"CASE WHEN coalesce(try_cast(json_extract_string(j, '$.{name}') AS DOUBLE) % 1, 0) = 0 THEN r.{name} END AS {name}"
+
+
+EDGE_LINES = f"""
+cents AS (SELECT *, round(unit_price * 100)::BIGINT AS n FROM feed),
+lines AS (
+  SELECT replace(replace(replace(replace(replace(replace(list_extract([{_QUOTED}], (id + product_id) % {len(LINES)} + 1),
+           '{{i}}', id::VARCHAR), '{{c}}', coalesce(customer_id, 0)::VARCHAR), '{{p}}', product_id::VARCHAR),
+           '{{q}}', quantity::VARCHAR), '{{m}}', (n // 100) || '.' || lpad((n % 100)::VARCHAR, 2, '0')), '{{t}}', __ts_ms::VARCHAR) AS line
+  FROM cents),
+parsed AS (SELECT CASE WHEN json_valid(line) THEN line::JSON END AS j FROM lines),
+read AS (SELECT j, json_transform(j, '{_SHAPE}') AS r FROM parsed)
+SELECT {", ".join(_field(k, t) for k, t in _FIELDS.items())} FROM read"""

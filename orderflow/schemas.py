@@ -40,6 +40,37 @@ ORDERS_WIRE = T.StructType([
     T.StructField("__ts_ms", T.LongType()),
 ])
 
+# The other two captured tables as they travel on their topics.
+CUSTOMERS_WIRE = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("email", T.StringType()),
+    T.StructField("first_name", T.StringType()),
+    T.StructField("last_name", T.StringType()),
+    T.StructField("country", T.StringType()),
+    T.StructField("created_at", T.StringType()),
+    T.StructField("updated_at", T.StringType()),
+    T.StructField("__op", T.StringType()),
+    T.StructField("__table", T.StringType()),
+    T.StructField("__ts_ms", T.LongType()),
+])
+
+PRODUCTS_WIRE = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("sku", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("category", T.StringType()),
+    T.StructField("price", T.DoubleType()),
+    T.StructField("stock_quantity", T.IntegerType()),
+    T.StructField("created_at", T.StringType()),
+    T.StructField("updated_at", T.StringType()),
+    T.StructField("__op", T.StringType()),
+    T.StructField("__table", T.StringType()),
+    T.StructField("__ts_ms", T.LongType()),
+])
+
+# Wire schema of each captured table, by the name that its messages carry.
+WIRE_TABLES = {"orders": ORDERS_WIRE, "customers": CUSTOMERS_WIRE, "products": PRODUCTS_WIRE}
+
 # Output of the stream job (file sink) = input of the staging model.
 ORDERS_PROCESSED = T.StructType([
     T.StructField("id", T.LongType()),

@@ -76,14 +76,14 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def to_topic_records(feed: DataFrame, topic: str = ORDERS_TOPIC) -> DataFrame:
+def to_topic_records(feed: DataFrame, topic: str = ORDERS_TOPIC, schema: T.StructType = ORDERS_WIRE) -> DataFrame:
     """Kafka-shaped rows (key, value, topic, timestamp) of a typed feed.
 
     A row whose ``__op`` is NULL is a tombstone: its value is NULL.  The
     value is the flattened JSON of the wire fields; NULL fields are omitted,
     as a JSON converter without schemas would do.
     """
-    fields = [F.col(f.name) for f in ORDERS_WIRE.fields]
+    fields = [F.col(f.name) for f in schema.fields]
     value = F.when(F.col("__op").isNull(), F.lit(None).cast("string")) \
              .otherwise(F.to_json(F.struct(*fields)))
     return feed.select(
@@ -95,20 +95,126 @@ def to_topic_records(feed: DataFrame, topic: str = ORDERS_TOPIC) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer dimension (id, name, nation, balance, segment)."""
+    """Customer dimension (id, email, name, nation, balance, segment)."""
     return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_custkey").alias("id"), _email().alias("email"), F.col("c_name").alias("name"),
         F.col("c_nationkey").alias("nation_id"), F.col("c_acctbal").alias("balance"),
         F.col("c_mktsegment").alias("segment"))
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product dimension (id, name, brand, category, size, price)."""
+    """Product dimension (id, sku, name, brand, category, size, price, stock)."""
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+        F.col("p_partkey").alias("id"), _sku().alias("sku"), F.col("p_name").alias("name"),
         F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
         F.col("p_size").alias("size"),
-        F.col("p_retailprice").cast(T.DecimalType(10, 2)).alias("price"))
+        F.col("p_retailprice").cast(T.DecimalType(10, 2)).alias("price"), _stock().alias("stock_quantity"))
+
+
+def _email() -> Column:
+    """NULL for keys that are 0 modulo 97; those that are 0 modulo 40 share
+    the address of the key before."""
+    key = F.col("c_custkey")
+    owner = F.when(key % 40 == 0, key - 1).otherwise(key)
+    return F.when(key % 97 != 0, F.concat(F.lit("customer"), owner.cast("string"), F.lit("@example.com")))
+
+
+def _sku() -> Column:
+    """Keys that are 0 modulo 50 share the SKU of the key before."""
+    key = F.col("p_partkey")
+    return F.concat(F.lit("SKU-"), F.when(key % 50 == 0, key - 1).otherwise(key).cast("string"))
+
+
+def _stock() -> Column:
+    """Below zero for parts of size 1 and 2."""
+    return (F.col("p_size") - 3).cast("int")
+
+
+# Changes of the dimension tables: (operation, keys for which it happens: key
+# modulo the first number equals the second, its day after 1992-01-01: a number
+# plus key modulo another, and the version that the row then has).
+CUSTOMER_CHANGES = [("r", 7, 0, 0, 1, 0), ("c", 1, 0, 10, 700, 0), ("u", 3, 0, 720, 900, 1), ("u", 6, 0, 1700, 300, 2),
+                    ("d", 11, 0, 1461, 365, 2), ("c", 22, 0, 1980, 30, 3)]
+PRODUCT_CHANGES = [("r", 5, 0, 0, 1, 0), ("c", 1, 0, 5, 300, 0), ("u", 2, 0, 400, 1500, 1), ("u", 4, 0, 1950, 200, 2),
+                   ("d", 13, 0, 2000, 100, 2)]
+
+
+def _changes(df: DataFrame, key: str, changes: list[tuple]) -> DataFrame:
+    """A row per change of each row of ``df``: ``__op``, ``version`` and
+    ``at``; rows of the snapshot have no creation of their own."""
+    k, snapshot = F.col(key), F.col(key) % changes[0][1] == 0
+    one = []
+    for op, modulo, rest, day, spread, version in changes:
+        happens = k % modulo == rest
+        if (op, modulo) == ("c", 1):
+            happens = ~snapshot
+        one.append(F.when(happens, F.struct(F.lit(op).alias("__op"), F.lit(version).alias("version"),
+                                            F.timestamp_add("DAY", (F.lit(day) + k % spread).cast("int"),
+                                                            F.expr("TIMESTAMP_NTZ'1992-01-01 00:00:00'")).alias("at"))))
+    exploded = df.withColumn("__change", F.explode(F.filter(F.array(*one), lambda x: x.isNotNull())))
+    return exploded.select(*df.columns, "__change.*")
+
+
+def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed change events of the customers table (``CUSTOMERS_WIRE``): each
+    later version lives in the next country; deletes carry the row."""
+    c = _changes(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"), "c_custkey", CUSTOMER_CHANGES)
+    return c.select(
+        F.col("c_custkey").alias("id"), _email().alias("email"), F.lit("Customer").alias("first_name"),
+        F.substring("c_name", 10, 20).alias("last_name"),
+        F.concat(F.lit("country-"), ((F.col("c_nationkey") + F.col("version")) % 25).cast("string")).alias("country"),
+        format_iso_utc(F.expr("TIMESTAMP_NTZ'1992-01-01 00:00:00'")).alias("created_at"), format_iso_utc(F.col("at")).alias("updated_at"),
+        F.col("__op"), F.lit("customers").alias("__table"), epoch_ms_of(F.col("at")).alias("__ts_ms"))
+
+
+def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed change events of the products table (``PRODUCTS_WIRE``): each
+    later version costs ten more."""
+    p = _changes(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice"),
+                 "p_partkey", PRODUCT_CHANGES)
+    return p.select(
+        F.col("p_partkey").alias("id"), _sku().alias("sku"), F.col("p_name").alias("name"), F.col("p_type").alias("category"),
+        (F.col("p_retailprice") + F.lit(10.0) * F.col("version")).alias("price"), _stock().alias("stock_quantity"),
+        format_iso_utc(F.expr("TIMESTAMP_NTZ'1992-01-01 00:00:00'")).alias("created_at"), format_iso_utc(F.col("at")).alias("updated_at"),
+        F.col("__op"), F.lit("products").alias("__table"), epoch_ms_of(F.col("at")).alias("__ts_ms"))
+
+
+# Lines as they come from a careless producer, by (id + product) modulo their
+# number; {i} id, {c} customer, {p} product, {q} quantity, {m} price, {t} time.
+EDGE_LINES = [
+    '{"id":{i},"customer_id":{c},"product_id":{p},"quantity":{q},"unit_price":{m},"status":"pending","__op":"c","__ts_ms":{t}}',
+    '{"id":"{i}","customer_id":"{c}","product_id":{p},"quantity":"{q}","unit_price":"{m}","status":5,"__op":"u","__ts_ms":"{t}"}',
+    '{"id":{i}.0,"customer_id":{c},"quantity":{q}.0,"unit_price":{q},"__op":"u"}',
+    '{"id":{i},"customer_id":null,"product_id":null,"quantity":null,"unit_price":null,"status":null,"__op":null,"__ts_ms":null}',
+    '{"id":{i},"customer_id":{c},"quantity":{q',
+    'no json {i}',
+    '[{i},{c}]',
+    'null',
+    '',
+    '{"id":{i},"status":{"n":{q},"was":"shipped"},"__op":"u"}',
+    '{"id":{i}99999999999999999999,"quantity":{q}9999999999,"__op":"u"}',
+    '{"id":{i},"quantity":{q}.5,"unit_price":{q}.5}',
+    '{"id":{i},"unit_price":"x{m}","quantity":"{q} pieces"}',
+    ' { "id" : {i} , "status" : "\\u00e9\\tpending" } ',
+    '{"id":{i},"unit_price":{q}e2,"quantity":{q}e0,"__ts_ms":"{q}e3"}',
+    '{"id":{i},"quantity":true,"unit_price":[{m}],"status":false}',
+    "{'id':{i}}",
+    '"pending"',
+    '{"id":{i},"extra":{"a":[1,2,{"id":{q}}]},"__op":"d"}',
+    '{i}',
+]
+
+
+def edge_lines(feed: DataFrame) -> DataFrame:
+    """A column ``value`` with one of ``EDGE_LINES`` for each row of the feed."""
+    cents = F.round(F.col("unit_price") * 100).cast("bigint")
+    money = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    line = F.element_at(F.array(*[F.lit(x) for x in EDGE_LINES]), ((F.col("id") + F.col("product_id")) % len(EDGE_LINES) + 1).cast("int"))
+    given = {"i": F.col("id"), "c": F.coalesce("customer_id", F.lit(0)), "p": F.col("product_id"), "q": F.col("quantity"), "m": money,
+             "t": F.col("__ts_ms")}
+    for name, value in given.items():
+        line = F.replace(line, F.lit("{" + name + "}"), value.cast("string"))
+    return feed.select(line.alias("value"))
 
 
 # Fixed mapping of the events table onto change operations (second captured

@@ -1,12 +1,13 @@
 """Decoding change events from their wire form.
 
 * ``parse_json_column`` – tolerant JSON decode of a text column against a
-  declared schema: every field is read as STRING, then cast leniently, so a
+  declared schema: one parse to VARIANT, then a lenient read per field, so a
   bad field is NULL and a malformed message is an all-NULL row (removed later
   by the key filter) instead of a failed batch.
 * ``parse_change_events`` – the same over Kafka-shaped records (A2).
 * ``unwrap_envelope`` – flattens a before/after change envelope into the
-  after-image plus ``__op``, ``__table``, ``__ts_ms`` and ``__deleted`` (A11).
+  after-image plus ``__op``, ``__table``, ``__ts_ms`` and ``__deleted`` (A11);
+  ``parse_envelopes`` does so from their JSON text.
 * ``read_json_lines`` / ``read_processed`` – file scans of the sink (A6).
 """
 
@@ -20,32 +21,50 @@ from ..functions.casts import lenient_cast
 from ..schemas import ORDERS_PROCESSED, ORDERS_WIRE
 
 
+_NESTED = (T.StructType, T.ArrayType, T.MapType)
+
+
+def _path(*names: str) -> str:
+    """The VARIANT path of nested field names, whatever characters they hold."""
+    return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
+
+
+def variant_field(parsed: Column, to: T.DataType, *names: str) -> Column:
+    """One field of a parsed message, NULL where it is absent, null or does
+    not fit: numbers and booleans are read from text too, an integer may be
+    written with a zero fraction or an exponent (a true fraction is NULL),
+    text is taken of any value (nested ones as JSON)."""
+    path = _path(*names)
+    get = lambda t: F.try_variant_get(parsed, path, t)
+    if isinstance(to, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        number = get("double")
+        return F.when(number == F.rint(number), F.coalesce(get(to.simpleString()), number.try_cast(to)))
+    if isinstance(to, _NESTED):
+        return F.from_json(get("string"), to)
+    return get(to.simpleString())
+
+
+def _from_text(text: Column, to: T.DataType) -> Column:
+    return F.from_json(text, to) if isinstance(to, _NESTED) else lenient_cast(text, to)
+
+
 def parse_json_column(df: DataFrame, value_col: str, schema: T.StructType,
                       keep: list[str] | None = None) -> DataFrame:
     """Parse ``value_col`` (JSON text) into the typed columns of ``schema``.
 
-    Fast path: one typed ``from_json``.  A typed field can come back NULL
-    although the message has a usable value (``"7"`` for an INT, ``4.0`` for
-    a BIGINT); only then – typed value NULL, field name present in the text –
-    the field is re-read as text and cast leniently, which gives the same
-    result as parsing everything as STRING at a fraction of the cost.
-    ``from_json`` only materialises the fields selected later, so column
-    pruning reaches into the parser.
+    The text is parsed once, to a VARIANT, and each field is read out of it by
+    :func:`variant_field`; explicit nulls cost no more than omitted fields.
+    Only fields that are selected later are read.  Text that is no JSON gives
+    an all-NULL row.  A message that repeats a key is no VARIANT; such texts
+    alone are read again field by field as text, the last value counts.
     """
-    typed = F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE"})
-    tmp = "__parsed"
-    out = df.select(*(keep or []), F.col(value_col).alias("__raw"), typed.alias(tmp))
-    cols = []
-    for f in schema.fields:
-        fast = F.col(f"{tmp}.`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.StructType, T.ArrayType, T.MapType)):
-            cols.append(fast.alias(f.name))      # text, or nested: the typed parse is the answer
-            continue
-        present = F.col("__raw").contains(f'"{f.name}"')
-        as_text = F.from_json(F.col("__raw"), T.StructType([T.StructField(f.name, T.StringType())]))
-        slow = F.when(present, lenient_cast(as_text.getField(f.name), f.dataType))
-        cols.append(F.coalesce(fast, slow).alias(f.name))
-    return out.select(*(keep or []), *cols)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    out = df.select(*(keep or []), F.col(value_col).alias("__raw"), F.try_parse_json(F.col(value_col)).alias("__v"))
+    odd = F.col("__v").isNull() & F.col("__raw").isNotNull()
+    out = out.withColumn("__odd", F.when(odd, F.from_json("__raw", text, {"allowSingleQuotes": "false"})))
+    return out.select(*(keep or []), *[
+        F.coalesce(variant_field(F.col("__v"), f.dataType, f.name), _from_text(F.col("__odd").getField(f.name), f.dataType)).alias(f.name)
+        for f in schema.fields])
 
 
 def parse_change_events(records: DataFrame, schema: T.StructType = ORDERS_WIRE,
@@ -89,6 +108,26 @@ def unwrap_envelope(events: DataFrame, row_schema: T.StructType) -> DataFrame:
     return events.select(*out)
 
 
+def parse_envelopes(records: DataFrame, row_schema: T.StructType, value_col: str = "value",
+                    keep: list[str] | None = None) -> DataFrame:
+    """Change envelopes as JSON text, flattened like :func:`unwrap_envelope`.
+
+    The text is parsed once; a row's fields come from ``after``, or ``before``
+    for a delete.  A NULL or malformed envelope is kept as an all-NULL row.
+    """
+    v, op = F.col("__v"), F.col("__op")
+    out = records.select(*(keep or []), F.try_parse_json(F.col(value_col).cast("string")).alias("__v"))
+    out = out.select("*", variant_field(v, T.StringType(), "op").alias("__op"))
+    is_delete = op == F.lit("d")
+    fields = [F.when(is_delete, variant_field(v, f.dataType, "before", f.name))
+               .otherwise(variant_field(v, f.dataType, "after", f.name)).alias(f.name) for f in row_schema.fields]
+    return out.select(*(keep or []), *fields, "__op",
+                      variant_field(v, T.StringType(), "source", "table").alias("__table"),
+                      variant_field(v, T.LongType(), "ts_ms").alias("__ts_ms"),
+                      F.when(op.isNull(), F.lit(None).cast("string")).when(is_delete, F.lit("true"))
+                       .otherwise(F.lit("false")).alias("__deleted"))
+
+
 def to_envelope(flat: DataFrame, row_schema: T.StructType) -> DataFrame:
     """Inverse of :func:`unwrap_envelope` for a typed flat feed (tests and
     the derived fixture): deletes carry a before-image, other changes an
