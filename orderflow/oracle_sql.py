@@ -227,10 +227,12 @@ _SHAPE = "{" + ", ".join(f'"{k}": "{t}"' for k, t in _FIELDS.items()) + "}"
 
 
 def _field(name: str, kind: str) -> str:
-    """DuckDB's own reading of the field; a true fraction is no integer."""
+    """DuckDB's own reading of the field; a true fraction or a boolean is no
+    integer."""
     if kind not in ("BIGINT", "INTEGER"):
         return f"r.{name} AS {name}"
-    return f"CASE WHEN coalesce(try_cast(json_extract_string(j, '$.{name}') AS DOUBLE) % 1, 0) = 0 THEN r.{name} END AS {name}"
+    return (f"CASE WHEN coalesce(try_cast(json_extract_string(j, '$.{name}') AS DOUBLE) % 1, 0) = 0 "
+            f"AND json_type(j, '$.{name}') IS DISTINCT FROM 'BOOLEAN' THEN r.{name} END AS {name}")
 
 
 EDGE_LINES = f"""

@@ -1,7 +1,7 @@
 """Decoding change events from their wire form.
 
 * ``parse_json_column`` – tolerant JSON decode of a text column against a
-  declared schema: one parse to VARIANT, then a lenient read per field, so a
+  declared schema: one parse with every scalar as text, then lenient casts, so a
   bad field is NULL and a malformed message is an all-NULL row (removed later
   by the key filter) instead of a failed batch.
 * ``parse_change_events`` – the same over Kafka-shaped records (A2).
@@ -22,49 +22,37 @@ from ..schemas import ORDERS_PROCESSED, ORDERS_WIRE
 
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
+#: Lines with single quotes are no JSON for the reader of the warehouse either.
+_JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
-def _path(*names: str) -> str:
-    """The VARIANT path of nested field names, whatever characters they hold."""
-    return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
+def text_schema(schema: T.StructType) -> T.StructType:
+    """The fields of ``schema``, scalars as text: what one parse reads."""
+    return T.StructType([T.StructField(f.name, f.dataType if isinstance(f.dataType, _NESTED) else T.StringType())
+                         for f in schema.fields])
 
 
-def variant_field(parsed: Column, to: T.DataType, *names: str) -> Column:
-    """One field of a parsed message, NULL where it is absent, null or does
-    not fit: numbers and booleans are read from text too, an integer may be
-    written with a zero fraction or an exponent (a true fraction is NULL),
-    text is taken of any value (nested ones as JSON)."""
-    path = _path(*names)
-    get = lambda t: F.try_variant_get(parsed, path, t)
-    if isinstance(to, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        number = get("double")
-        return F.when(number == F.rint(number), F.coalesce(get(to.simpleString()), number.try_cast(to)))
-    if isinstance(to, _NESTED):
-        return F.from_json(get("string"), to)
-    return get(to.simpleString())
-
-
-def _from_text(text: Column, to: T.DataType) -> Column:
-    return F.from_json(text, to) if isinstance(to, _NESTED) else lenient_cast(text, to)
+def typed_fields(text: Column, schema: T.StructType) -> list[Column]:
+    """The typed columns of a struct of ``text_schema(schema)``: numbers are
+    read from text too, an integer may have a zero fraction or an exponent;
+    what does not fit (a true fraction, a boolean) is NULL."""
+    return [(text.getField(f.name) if isinstance(f.dataType, _NESTED) else lenient_cast(text.getField(f.name), f.dataType)).alias(f.name)
+            for f in schema.fields]
 
 
 def parse_json_column(df: DataFrame, value_col: str, schema: T.StructType,
                       keep: list[str] | None = None) -> DataFrame:
     """Parse ``value_col`` (JSON text) into the typed columns of ``schema``.
 
-    The text is parsed once, to a VARIANT, and each field is read out of it by
-    :func:`variant_field`; explicit nulls cost no more than omitted fields.
-    Only fields that are selected later are read.  Text that is no JSON gives
-    an all-NULL row.  A message that repeats a key is no VARIANT; such texts
-    alone are read again field by field as text, the last value counts.
+    The text is parsed once, every scalar as text (nested values of a text
+    field as JSON), and cast leniently; explicit nulls cost no more than
+    omitted fields.  Text that is no JSON object gives an all-NULL row; of a
+    repeated key the last value counts.  ``from_json`` only makes the fields
+    selected later, so column pruning reaches into the parser.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    out = df.select(*(keep or []), F.col(value_col).alias("__raw"), F.try_parse_json(F.col(value_col)).alias("__v"))
-    odd = F.col("__v").isNull() & F.col("__raw").isNotNull()
-    out = out.withColumn("__odd", F.when(odd, F.from_json("__raw", text, {"allowSingleQuotes": "false"})))
-    return out.select(*(keep or []), *[
-        F.coalesce(variant_field(F.col("__v"), f.dataType, f.name), _from_text(F.col("__odd").getField(f.name), f.dataType)).alias(f.name)
-        for f in schema.fields])
+    parsed = F.from_json(F.col(value_col), text_schema(schema), _JSON)
+    out = df.select(*(keep or []), parsed.alias("__text"))
+    return out.select(*(keep or []), *typed_fields(F.col("__text"), schema))
 
 
 def parse_change_events(records: DataFrame, schema: T.StructType = ORDERS_WIRE,
@@ -112,20 +100,22 @@ def parse_envelopes(records: DataFrame, row_schema: T.StructType, value_col: str
                     keep: list[str] | None = None) -> DataFrame:
     """Change envelopes as JSON text, flattened like :func:`unwrap_envelope`.
 
-    The text is parsed once; a row's fields come from ``after``, or ``before``
-    for a delete.  A NULL or malformed envelope is kept as an all-NULL row.
+    The text is parsed once, scalars as text, and cast leniently; a row's
+    fields come from ``after``, or ``before`` for a delete.  A NULL or
+    malformed envelope is kept as an all-NULL row.
     """
-    v, op = F.col("__v"), F.col("__op")
-    out = records.select(*(keep or []), F.try_parse_json(F.col(value_col).cast("string")).alias("__v"))
-    out = out.select("*", variant_field(v, T.StringType(), "op").alias("__op"))
-    is_delete = op == F.lit("d")
-    fields = [F.when(is_delete, variant_field(v, f.dataType, "before", f.name))
-               .otherwise(variant_field(v, f.dataType, "after", f.name)).alias(f.name) for f in row_schema.fields]
-    return out.select(*(keep or []), *fields, "__op",
-                      variant_field(v, T.StringType(), "source", "table").alias("__table"),
-                      variant_field(v, T.LongType(), "ts_ms").alias("__ts_ms"),
-                      F.when(op.isNull(), F.lit(None).cast("string")).when(is_delete, F.lit("true"))
-                       .otherwise(F.lit("false")).alias("__deleted"))
+    row = text_schema(row_schema)
+    text = T.StringType()
+    envelope = T.StructType([T.StructField("before", row), T.StructField("after", row), T.StructField("op", text),
+                             T.StructField("ts_ms", text),
+                             T.StructField("source", T.StructType([T.StructField("table", text)]))])
+    e = F.from_json(F.col(value_col).cast("string"), envelope, _JSON).alias("__e")
+    out = records.select(*(keep or []), e).select(*(keep or []), "__e.*")
+    image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    out = out.select(*(keep or []), image.alias("__row"), "op", lenient_cast(F.col("ts_ms"), T.LongType()).alias("ts_ms"), "source")
+    return out.select(*(keep or []), *typed_fields(F.col("__row"), row_schema), F.col("op").alias("__op"),
+                      F.col("source.table").alias("__table"), F.col("ts_ms").alias("__ts_ms"),
+                      F.when(F.col("op") == "d", F.lit("true")).when(F.col("op").isNotNull(), F.lit("false")).alias("__deleted"))
 
 
 def to_envelope(flat: DataFrame, row_schema: T.StructType) -> DataFrame:

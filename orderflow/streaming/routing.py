@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import WIRE_TABLES
-from ..sources.wire import variant_field
+from ..sources.wire import text_schema, typed_fields
 
 #: Partition of messages that name no known table; their text is kept.
 UNROUTED = "unrouted"
@@ -33,12 +33,19 @@ def route(records: DataFrame, tables: dict[str, T.StructType] = WIRE_TABLES) ->
     Tombstones (NULL values) have nothing to route and are dropped; messages
     that are no JSON or name another table are ``unrouted``, with their text.
     """
+    every = T.StructType([T.StructField("__table", T.StringType())])
+    for schema in tables.values():
+        for f in text_schema(schema).fields:
+            if f.name not in every.names:
+                every.add(f)
+            elif every[f.name].dataType != f.dataType:
+                raise ValueError(f"field {f.name!r} is nested in one table only, or differently")
     out = records.select(F.col("value").cast("string").alias("raw")).where("raw IS NOT NULL")
-    out = out.withColumn("__v", F.try_parse_json("raw"))
-    named = variant_field(F.col("__v"), T.StringType(), "__table")
+    out = out.withColumn("__text", F.from_json("raw", every, {"allowSingleQuotes": "false"}))
+    named = F.col("__text.__table")
     out = out.withColumn("table", F.when(named.isin(*tables), named).otherwise(F.lit(UNROUTED)))
-    columns = [F.when(F.col("table") == name, F.struct(*[variant_field(F.col("__v"), f.dataType, f.name).alias(f.name) for f in schema.fields]))
-               .alias(name) for name, schema in tables.items()]
+    columns = [F.when(F.col("table") == name, F.struct(*typed_fields(F.col("__text"), schema))).alias(name)
+               for name, schema in tables.items()]
     return out.select(F.when(F.col("table") == UNROUTED, F.col("raw")).alias("raw"), *columns, "table")
 
 
