@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import keyed, stored
+from orderflow.llm.common import few_bytes, keyed, stored
 from orderflow.llm.token_fst import byte_names
 
 #: Id pairs of the texts of a block, each pair counted once a text.
@@ -191,18 +192,6 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int64()))
 
 
-def _few(sizes: np.ndarray) -> Iterator[slice]:
-    """Slices of rows of about AT_ONCE bytes."""
-    first, total = 0, 0
-    for i, n in enumerate(sizes):
-        if total and total + n > AT_ONCE:
-            yield slice(first, i)
-            first, total = i, 0
-        total += n
-    if first < len(sizes):
-        yield slice(first, len(sizes))
-
-
 def _align_texts(a_path: str, b_path: str, block_pairs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -224,8 +213,7 @@ def _align_texts(a_path: str, b_path: str, block_pairs: int):
 
         for b in batches:
             texts, copies = b.column("text"), b.column("copies").to_numpy()
-            sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in texts], np.int64)
-            for some in _few(sizes):
+            for some in few_bytes(pc.binary_length(texts).to_numpy(), AT_ONCE):
                 few = Aligned(two, texts[some].to_pylist())
                 pair, times, bounds = few.pairs()
                 n = some.stop - some.start

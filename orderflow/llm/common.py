@@ -41,6 +41,19 @@ def batches_of(columns: dict[str, object], schema: pa.Schema, rows: int = 65536)
         yield from table.to_batches(max_chunksize=rows)
 
 
+def few_bytes(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of neighbouring rows of at most ``most`` bytes together, or of
+    one larger row."""
+    first, total = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > first and total + n > most:
+            yield slice(first, i)
+            first, total = i, 0
+        total += n
+    if first < len(sizes):
+        yield slice(first, len(sizes))
+
+
 def complete_groups(batches: Iterable[pa.RecordBatch], keys: list[str],
                     rows: int = 200_000) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """From batches sorted by ``keys`` (bigint), yield tables of whole groups

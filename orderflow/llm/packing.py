@@ -15,32 +15,45 @@ shuffled and no window spans two tasks.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from orderflow.llm.common import batches_of, keyed
+from orderflow.llm.common import batches_of, few_bytes, keyed
+from orderflow.llm.token_fst import byte_names
 
 WINDOW = 2048
 #: Open windows a task holds at most.
 MOST_OPEN = 4096
 #: The id that ends each document.
 END_ID = 1
-#: Distinct words whose ids a worker remembers.
-MEMO = 1_000_000
+#: Characters of the words whose ids a worker remembers; then it starts anew.
+MEMO_CHARS = 8_000_000
+#: Bytes of texts that are tokenised at a time (a longer text goes alone).
+AT_ONCE = 4 << 20
 TOKEN_BYTES = 4
-MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
+#: Marks that are a token piece of their own after a letter.
+MARKS = frozenset(".,;:!?")
+#: Words that the tokenizer's normalizer leaves alone and its splitter keeps whole.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
 class WordTokens:
-    """Ids of whole texts as little-endian 32-bit bytes, with a memory of
-    words.  Only for tokenizers that drop white space: there the ids of a
-    text are those of its words (runs without ASCII white space) in order."""
+    """Ids of whole texts, with a memory of words.  Only for tokenizers that
+    drop white space: there the ids of a text are those of its words (runs
+    without ASCII white space) in order.
+
+    The words of many texts are split and numbered in Arrow; only distinct
+    ones are looked up, and those not known are asked of the library: plain
+    ones of its model alone, which is what it does with them in the end.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -48,52 +61,70 @@ class WordTokens:
         self.library = Tokenizer.from_file(path)
         if self._ids("of the") != self._ids("of") + self._ids("the") or self._ids(" \t\n\r\x0b\x0c"):
             raise ValueError("the tokenizer does not drop white space between words")
-        specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.markers = [s.encode() for s in specials]
-        self.known: dict[bytes, bytes] = {}
+        self.markers = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
+        self.names = byte_names()
+        probe = ["thouinor", "zqxj", "a", "straße", "élève", "çoë", "ñandú"]
+        self.plain = all([t.id for t in self._model_tokens(w)] == self._ids(w) for w in probe)
+        self.known: dict[str, bytes] = {}
+        self.chars = 0
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for t in texts:
-            data = t.encode("utf-8", "surrogatepass")
-            # A-Z may be lower-cased first, as the tokenizer does it itself,
-            # unless that could make one of its special strings
-            low = data.lower()
-            split.append((data if any(m in low for m in self.markers) else low).split())
-        known, out, open_ = self.known, [], []
-        for words in split:
-            ids = list(map(known.get, words))
-            if None in ids:
-                open_.append(len(out))
-                out.append(b"")
-            else:
-                out.append(b"".join(ids))
-        if open_:
-            get = self._with_new({w for i in open_ for w in split[i] if w not in known}).__getitem__
-            for i in open_:
-                out[i] = b"".join(map(get, split[i]))
-        return out
-
-    def _with_new(self, new: set[bytes]) -> dict[bytes, bytes]:
-        """What is known, with ``new`` words: remembered if there is room."""
-        # a mark after a letter is a token piece of its own
-        ending = {w for w in new if w[-1:] in MARKS and w[-2:-1].isalpha()}
-        stems = new - ending | {w[:-1] for w in ending}
-        learn = [w for w in {*stems, *MARKS} if w not in self.known]
-        known = self.known if len(self.known) + len(learn) + len(ending) <= MEMO else dict(self.known)
-        for at in range(0, len(learn), 1024):
-            # many words in one text, told apart by where their tokens begin
-            some = [w.decode("utf-8", "surrogatepass") for w in learn[at:at + 1024]]
-            found = self.library.encode("\n".join(some), add_special_tokens=False)
-            ids, begins = np.array(found.ids, "<u4"), np.array([a for a, _ in found.offsets], np.int64)
-            ends = np.cumsum([len(w) + 1 for w in some])
-            cuts = [0, *np.searchsorted(begins, ends).tolist()]
-            known.update((w, ids[a:b].tobytes()) for w, a, b in zip(learn[at:at + 1024], cuts, cuts[1:]))
-        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in ending)
-        return known
+    def _model_tokens(self, word: str) -> list:
+        return self.library.model.tokenize(word if word.isascii() else "".join(map(self.names.__getitem__, word.encode())))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (no nulls) in a row, and each text's first, and the end."""
+        low = pc.ascii_lower(texts)
+        # A-Z may be lower-cased first, as the tokenizer does it itself,
+        # unless that could make one of its special strings
+        for marker in self.markers:
+            found = pc.match_substring(low, marker)
+            if pc.any(found).as_py():
+                low = pc.if_else(found, texts, low)
+        split = pc.ascii_split_whitespace(low)
+        words = split.flatten().dictionary_encode()
+        ids = self._ids_of(words.dictionary.to_pylist())
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]) // TOKEN_BYTES
+        lists = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        codes = words.indices
+        ends = np.concatenate([[0], np.cumsum(np.diff(bounds)[codes.to_numpy()])])
+        firsts = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return lists.take(codes).flatten().to_numpy(), ends[firsts]
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        ids = list(map(self.known.get, words))
+        new = [w for w, x in zip(words, ids) if x is None]
+        if not new:
+            return ids
+        if self.chars > MEMO_CHARS:
+            self.known, self.chars = {}, 0
+            new = words
+        self._learn(new)
+        return list(map(self.known.__getitem__, words))
+
+    def _learn(self, words: list[str]) -> None:
+        packed = lambda ids: np.array(ids, "<u4").tobytes()
+        known, others, plain = self.known, [], PLAIN.fullmatch
+        for mark in MARKS - known.keys():
+            known[mark] = packed(self._ids(mark))
+        for w in words:
+            stem = w[:-1] if w[-1:] in MARKS else w
+            if not (self.plain and plain(stem)):
+                others.append(w)
+                continue
+            ids = known.get(stem)
+            if ids is None:
+                ids = known[stem] = packed([t.id for t in self._model_tokens(stem)])
+                self.chars += len(stem)
+            if stem is not w:
+                known[w] = ids + known[w[-1]]
+                self.chars += len(w)
+        for at in range(0, len(others), 4096):
+            some = others[at:at + 4096]
+            known.update(zip(some, (packed(e.ids) for e in self.library.encode_batch_fast(some, add_special_tokens=False))))
+            self.chars += sum(map(len, some))
 
 
 @functools.cache
@@ -250,12 +281,13 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
                 yield from batches_of(dict(zip(schema.names, map(list, zip(*out)))), schema, 2048)
 
         for b in batches:
-            ids_of, texts = b.column("id"), b.column("text")
-            for at in range(0, b.num_rows, 256):
-                some = [t.as_py() or "" for t in texts[at:at + 256]]
-                for i, ids in enumerate(words.encode(some)):
-                    ids += end
-                    packer.add((ids_of[at + i].as_py(), n_rows, len(ids) // TOKEN_BYTES), ids)
+            ids_of, texts = b.column("id"), pc.fill_null(b.column("text"), "")
+            for some in few_bytes(pc.binary_length(texts).to_numpy(), AT_ONCE):
+                tokens, bounds = words.encode(texts[some])
+                data, bounds = tokens.tobytes(), (bounds * TOKEN_BYTES).tolist()
+                for i, doc in enumerate(ids_of[some].to_pylist()):
+                    ids = data[bounds[i]:bounds[i + 1]] + end
+                    packer.add((doc, n_rows, len(ids) // TOKEN_BYTES), ids)
                     n_rows += 1
                     if len(packer.done) >= 2048:
                         yield from finished()
