@@ -33,6 +33,13 @@ def keyed(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in columns.items()])
 
 
+def numbered(df: DataFrame, *columns: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named by number, and the new names of
+    ``columns``: whatever the caller's names are, an operator's own columns
+    do not clash with them.  ``toDF(*df.columns)`` names them back."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), [f"c{df.columns.index(c)}" for c in columns]
+
+
 def batches_of(columns: dict[str, object], schema: pa.Schema, rows: int = 65536) -> Iterator[pa.RecordBatch]:
     """Arrow batches of at most ``rows`` rows from equally long columns."""
     n = len(next(iter(columns.values())))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import keyed, stored
+from orderflow.llm.common import keyed, numbered, stored
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 #: Normalised characters in the prefix hash.
@@ -26,7 +26,7 @@ def normalised(text: Column) -> Column:
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 digest_all: bool = False) -> DataFrame:
+                 digest_all: bool = False, row_col: str | None = None) -> DataFrame:
     """A row for each input row: row (its number), id, keep_row, keep_id,
     group_size, kept, sha256.
 
@@ -35,13 +35,14 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     that repeat id and text are separate rows of one group: one is kept.
     Null texts equal empty and blank ones.  ``sha256`` is null where an
     earlier pass settled the row, unless ``digest_all`` asks for the digest
-    of every row.  An empty table gives no rows; other columns are not read.
+    of every row.  ``row_col`` names a column that numbers the rows already.
+    An empty table gives no rows; other columns are not read, whatever their
+    names.
     """
-    texts = keyed(df, id=id_col, text=text_col)
-    if "__row" in df.columns:
-        texts = keyed(df, id=id_col, text=text_col, row="__row")
+    if row_col:
+        texts = keyed(df, id=id_col, text=text_col, row=row_col)
     else:
-        texts = texts.withColumn("row", F.monotonically_increasing_id())
+        texts = keyed(df, id=id_col, text=text_col).withColumn("row", F.monotonically_increasing_id())
     norm = normalised(F.col("text"))
     first = stored(texts.select("row", "id", F.length(F.coalesce("text", F.lit(""))).alias("points"), norm.alias("n"))
                    .select("row", "id", "points", F.length("n").alias("len"),
@@ -70,7 +71,10 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` without the rows that :func:`exact_groups` drops; all columns."""
-    rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "exact-rows")
-    kept = exact_groups(rows, id_col, text_col).where("kept").select(F.col("row").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").drop("__row")
+    """``df`` without the rows that :func:`exact_groups` drops, with all its
+    columns, whatever their names: null, empty and blank texts are one group,
+    of which one row stays, as of repeated rows.  An empty table stays empty."""
+    rows, (id_col, text_col) = numbered(df, id_col, text_col)
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "exact-rows")
+    kept = exact_groups(rows, id_col, text_col, row_col="row").where("kept").select("row")
+    return rows.join(kept, "row", "left_semi").drop("row").toDF(*df.columns)

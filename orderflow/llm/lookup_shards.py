@@ -16,11 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.llm.common import numbered
+
 #: Slots: a prime, far above the number of shards.
 SLOTS = 2053
 SHARDS = tuple(f"shard-{i:03d}" for i in range(32))
-#: The largest table that is broadcast.
-MOST_SLOTS = 1_000_003
+#: The largest table that is filled (its time grows with the square of the slots) and broadcast.
+MOST_SLOTS = 4_099
 
 
 def hashed(*parts: Column) -> Column:
@@ -76,16 +78,21 @@ def _inverse(x: Column, prime: int) -> Column:
 
 
 def place(df: DataFrame, key_col: str, table: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``df`` with slot and shard, which must not be names of its columns.
+    """``df`` with slot and shard (with ``_`` behind them as often as it takes
+    where ``df`` has columns of those names).
 
     The key's slot finds its shard in the broadcast table (``slots`` rows, a
     parameter checked against ``MOST_SLOTS``).  Null keys hash like an empty
     string, equal keys always go together, every row comes back once.
     """
-    clash = {"slot", "shard"} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already")
     if slots > MOST_SLOTS:
         raise ValueError("the table is too large to broadcast")
+    rows, (key_col,) = numbered(df, key_col)
+    names = []
+    for name in ("slot", "shard"):
+        while name in df.columns:
+            name += "_"
+        names.append(name)
     owner = F.broadcast(table.select("slot", "shard"))
-    return df.withColumn("slot", F.pmod(hashed(F.lit("key"), F.col(f"`{key_col}`")), F.lit(slots).cast("bigint"))).join(owner, "slot")
+    placed = rows.withColumn("slot", F.pmod(hashed(F.lit("key"), F.col(key_col)), F.lit(slots).cast("bigint"))).join(owner, "slot")
+    return placed.select(*rows.columns, "slot", "shard").toDF(*df.columns, *names)

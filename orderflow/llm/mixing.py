@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import keyed, stored
+from orderflow.llm.common import keyed, numbered, stored
 
 #: Weights by rank of the source name, repeating.
 WEIGHTS = (5, 2, 1)
@@ -103,16 +103,16 @@ def sainte_lague(units: DataFrame, share: str, order: list[str]) -> DataFrame:
 
 
 def plan_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             seed: str = "mix", block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS) -> tuple[DataFrame, DataFrame, DataFrame]:
+             seed: str = "mix", block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS,
+             row_col: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The places of all documents in their shards (``end``: words up to their
     ends), of those with words with the shard's words and blocks, and the
     blocks: the words ``from`` ... ``to`` - 1 of a shard, taken ``times``
     times, one more than ``least`` if drawn."""
-    docs = keyed(df, id=id_col, source=source_col, text=text_col)
-    if "__row" in df.columns:
-        docs = keyed(df, id=id_col, source=source_col, text=text_col, row="__row")
+    if row_col:
+        docs = keyed(df, id=id_col, source=source_col, text=text_col, row=row_col)
     else:
-        docs = docs.withColumn("row", F.lit(0).cast("bigint"))
+        docs = keyed(df, id=id_col, source=source_col, text=text_col).withColumn("row", F.lit(0).cast("bigint"))
     docs = docs.withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
     small = stored(docs.select("row", "id", "source", words_in(F.col("text")).alias("size"), "digest",
                                seeded(seed, F.col("id"), F.col("digest")).alias("rank")), "sizes")
@@ -187,9 +187,12 @@ def take_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     whole as often as all its blocks are taken; of a document of which some
     blocks are taken once more, each run of neighbouring ones comes as a
     document of its own, from its first word to its last with the white space
-    between them.  Untaken documents go."""
-    rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    _, places, block = plan_mix(rows, id_col, text_col, source_col, **options)
+    between them.  Untaken documents go, null and blank texts among them;
+    repeated rows are documents of their own.  An empty table stays empty; the
+    columns may have any names."""
+    rows, (id_col, text_col, source_col) = numbered(df, id_col, text_col, source_col)
+    rows = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    _, places, block = plan_mix(rows, id_col, text_col, source_col, row_col="__row", **options)
     begin = F.col("end") - F.col("size")
     spans = places.select("row", "source", "shard", "size", "end", F.explode(F.sequence(
         F.expr("((end - size + 1) * blocks - 1) div words"), F.expr("(end * blocks - 1) div words"))).alias("block"))
@@ -217,4 +220,4 @@ def take_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
         .when(F.col("__runs")[0]["hi"] - F.col("__runs")[0]["lo"] == F.col("__size"), F.array(text)).otherwise(cuts)
     copies = F.concat(F.array_repeat(text, F.col("__whole")), once_more)
     met = rows.join(taken, "__row").withColumn("__text", F.explode(copies))
-    return met.withColumn(text_col, F.col("__text")).select(*[F.col(f"`{c}`") for c in df.columns])
+    return met.withColumn(text_col, F.col("__text")).select(*[f"c{i}" for i in range(len(df.columns))]).toDF(*df.columns)

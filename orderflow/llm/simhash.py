@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import LocalComponents, batches_of, complete_groups, in_parts, keyed, pairs_in_groups, stored
+from orderflow.llm.common import (LocalComponents, batches_of, complete_groups, in_parts, keyed, numbered, pairs_in_groups, stored)
 from orderflow.llm.components import connected_components
 
 BITS = 64
@@ -242,10 +242,13 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                        max_bits: int = 4) -> DataFrame:
     """``df`` with one row of each group left: a row whose id is the group's
-    smallest (of rows that repeat it, one; of rows without any id, one)."""
-    rows = stored(df.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+    smallest (of rows that repeat it, one; of rows without any id, one), with
+    all its columns, whatever their names.  Null texts count as empty; an empty
+    table stays empty."""
+    rows, (id_col, text_col) = numbered(df, id_col, text_col)
+    rows = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
     groups = simhash_groups(rows.select(F.col("__row").alias("row"), F.col(f"`{text_col}`").alias("text")),
                             "row", "text", words, max_bits)
     met = groups.select("id", "component").join(keyed(rows, id="__row", doc=id_col), "id")
     kept = met.groupBy("component").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "id")).alias("first"))
-    return rows.join(kept.select(F.col("first.id").alias("__row")), "__row", "left_semi").drop("__row")
+    return rows.join(kept.select(F.col("first.id").alias("__row")), "__row", "left_semi").drop("__row").toDF(*df.columns)

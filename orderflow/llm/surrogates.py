@@ -166,9 +166,15 @@ class Draw:
         x, self.pool = int.from_bytes(self.pool[:8], "big"), self.pool[8:]
         return x % n
 
+    def letters(self, n: int) -> str:
+        return "".join("abcdefghijklmnopqrstuvwxyz"[self.below(26)] for _ in range(n))
+
     def like(self, text: str) -> str:
         """Digits for digits, letters for letters of the same case (of the
-        Latin alphabet for letters beyond it), the rest as it is."""
+        Latin alphabet for letters beyond it), the rest as it is; letters
+        throughout for a text without any of either, which would not change."""
+        if not any(c.isdigit() or c.isalpha() for c in text):
+            return self.letters(len(text))
         out = []
         for c in text:
             if c.isdigit():
@@ -182,16 +188,21 @@ class Draw:
 
 
 def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
-    """The canonical replacement of an entity at its ``attempt``-th draw."""
+    """The canonical replacement of an entity at its ``attempt``-th draw.
+    Later draws come from ever larger spaces, where the type's format allows:
+    so a shape whose space is full of entities does not stay without one."""
     draw = Draw(key, kind, canon, attempt)
+    wider = attempt // WIDEN
     if kind == "EMAIL":
         local, domain = canon.rsplit("@", 1)
         labels = domain.split(".")
         # the domain is drawn by itself: addresses of one domain stay together
         of_domain = Draw(key, "DOMAIN", domain, attempt // 4)
-        return draw.like(local) + "@" + ".".join([*map(of_domain.like, labels[:-1]), labels[-1]])
+        return draw.like(local) + draw.letters(wider) + "@" + ".".join([*map(of_domain.like, labels[:-1]), labels[-1]])
     if kind == "IPV4":
         octets = canon.split(".")
+        if wider:
+            return ".".join(str(draw.below(256)) for _ in octets)
         low = {1: 0, 2: 10, 3: 100}
         return ".".join(str(low[len(o)] + draw.below({1: 10, 2: 90, 3: 156}[len(o)])) if o == str(int(o)) else draw.like("0" * len(o))[-len(o):].replace("9", "1")
                         for o in octets)
@@ -201,7 +212,7 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
             digits = next(digits[:-1] + c for c in "0123456789" if (luhn(digits[:-1] + c) == 0) == (luhn(canon) == 0))
         return digits
     if kind == "PHONE":  # the first digit stands for the country
-        return canon[0] + draw.like(canon[1:])
+        return draw.like(canon) if wider else canon[0] + draw.like(canon[1:])
     if kind == "IBAN":
         rest = draw.like(canon[4:])
         check = 98 - int("".join(str(int(c, 36)) for c in rest + canon[:2] + "00")) % 97
@@ -214,7 +225,7 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
         parts = SYLLABLES[script]
         word = "".join(parts[draw.below(len(parts))] for _ in range(3 + attempt // 4))
         return word + (ENDINGS.get((script, gender), "") if what == "GIVEN" else "")
-    return draw.like(canon)
+    return draw.like(canon) + (draw.letters(wider) if kind == "CREDENTIAL" else "")
 
 
 def written(mention: str, kind: str, replacement: str) -> str:
@@ -245,6 +256,8 @@ def rewritten(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tu
     return "".join(out) + text[at:], spans
 
 
+#: Draws after which the space grows, and after which there is none left.
+WIDEN, MOST_DRAWS = 8, 64
 _ENTITY = pa.schema([("text_key", pa.int64()), ("kind", pa.string()), ("canon", pa.string())])
 
 
@@ -293,6 +306,10 @@ def settled(found: DataFrame, key: bytes) -> tuple[DataFrame, int]:
         if not losers:
             return met.drop("keeps", "family"), again
         again, turn = max(again, losers), turn + 1
+        if turn > MOST_DRAWS:
+            kind, canon = met.where("not keeps").select("kind", "canon").first()
+            shape = re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "9", canon))
+            raise ValueError(f"{losers} entities found no free surrogate in {MOST_DRAWS} draws, the first is {kind} of the shape {shape!r}")
         drawn = met.where("not keeps").select("kind", "canon", F.lit(turn).alias("attempt")).mapInArrow(draw, ddl).withColumn("family", family)
         table = stored(met.where("keeps").drop("keeps").unionByName(drawn), "surrogates")
 

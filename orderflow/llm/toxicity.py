@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from orderflow.llm.common import keyed, stored
+from orderflow.llm.common import keyed, numbered, stored
 
 #: The bound of the sample that is learnt from, for each label.
 PER_CLASS = 4096
@@ -109,7 +109,7 @@ class Index:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k examples of highest positive cosine, best first."""
-        if not len(terms):
+        if not len(terms) or not self.most.shape[1]:
             return []
         bound = weights @ self.most[terms] + 1e-9
         top = int(np.argmax(bound))
@@ -355,7 +355,12 @@ def learn_rows(labels: DataFrame, id_col: str = "doc_id", folds: int = 5) -> Dat
     return labels.where(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds != 0)
 
 
-def rejected(spark: SparkSession, docs: DataFrame, labels: DataFrame, limit: float = 0.5, **names) -> DataFrame:
-    """``docs`` without the rows that score ``limit`` or more; all columns."""
-    scored = score(docs, fit(docs, labels, **names), keep=True)
-    return scored.where(F.col("__score") < limit).select(*[F.col(f"`{c}`") for c in docs.columns])
+def rejected(spark: SparkSession, docs: DataFrame, labels: DataFrame, limit: float = 0.5, id_col: str = "doc_id",
+             text_col: str = "text", **names) -> DataFrame:
+    """``docs`` without the rows that score ``limit`` or more, with all their
+    columns, whatever their names.  Null, empty and wordless texts score the
+    prior; repeated rows stay or go together; without any labelled row every
+    text scores the prior of an empty sample, next to 0; an empty table stays empty."""
+    rows, (own_id, own_text) = numbered(docs, id_col, text_col)
+    scored = score(rows, fit(docs, labels, id_col, text_col, **names), own_id, own_text, keep=True)
+    return scored.where(F.col("__score") < limit).select(*rows.columns).toDF(*docs.columns)
