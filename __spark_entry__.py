@@ -50,7 +50,7 @@ def _out(df: DataFrame) -> DataFrame:
 
 
 def q_status_revenue(spark, d):
-    return _out(panels.status_revenue(models.fact(spark, d, skew_safe=True)))
+    return _out(panels.status_revenue(models.fact(spark, d)))
 
 
 def q_parse_change_events(spark, d):
@@ -241,7 +241,7 @@ def q_stg_orders(spark, d):
 
 
 def q_fct_orders(spark, d):
-    return _out(models.fact(spark, d, skew_safe=True))
+    return _out(models.fact(spark, d))
 
 
 def q_latest_state_rank(spark, d):
@@ -283,15 +283,15 @@ def q_fct_order_metrics(spark, d):
 
 
 def q_status_pivot_hourly(spark, d):
-    return marts.status_pivot_hourly(models.fact(spark, d, skew_safe=True))
+    return marts.status_pivot_hourly(models.fact(spark, d))
 
 
 def q_cancellation_rate(spark, d):
-    return marts.cancellation_rate(models.fact(spark, d, skew_safe=True))
+    return marts.cancellation_rate(models.fact(spark, d))
 
 
 def q_orders_by_status(spark, d):
-    return panels.orders_by_status(models.fact(spark, d, skew_safe=True))
+    return panels.orders_by_status(models.fact(spark, d))
 
 
 def q_status_stats(spark, d):
@@ -316,7 +316,7 @@ def q_hourly_cancellation_rate(spark, d):
 
 def q_data_tests(spark, d):
     """All ten declared tests over staging and the fact itself."""
-    return C.run_declared_tests(models.staged(spark, d), models.fact(spark, d, skew_safe=True))
+    return C.run_declared_tests(models.staged(spark, d), models.fact(spark, d))
 
 
 def _tests_of(kind):
@@ -326,14 +326,14 @@ def _tests_of(kind):
 def q_check_not_null(spark, d):
     of = {m: [(c, t, v) for n, c, t, v in _tests_of("not_null") if n == m] for m in ("stg_orders", "fct_orders")}
     return C.column_tests(models.staged(spark, d), "stg_orders", of["stg_orders"]).unionByName(
-        C.column_tests(models.fact(spark, d, skew_safe=True), "fct_orders", of["fct_orders"]))
+        C.column_tests(models.fact(spark, d), "fct_orders", of["fct_orders"]))
 
 
 def q_check_required(spark, d):
     """Declared types and REQUIRED columns of the fact and the hourly metrics."""
     from orderflow.schemas import FCT_ORDER_METRICS
     from orderflow.sources import tables as TB
-    fct = models.fact(spark, d, skew_safe=True)
+    fct = models.fact(spark, d)
     metrics = marts.fct_order_metrics(fct).to(FCT_ORDER_METRICS)
     return TB.fct_required_check(fct).unionByName(TB.metrics_required_check(metrics))
 
@@ -344,7 +344,7 @@ def q_check_accepted_values(spark, d):
 
 
 def q_check_unique(spark, d):
-    return C.unique_violations(models.fact(spark, d, skew_safe=True), ["order_id"])
+    return C.unique_violations(models.fact(spark, d), ["order_id"])
 
 
 def q_check_ranges(spark, d):
@@ -406,14 +406,14 @@ def q_orders_around_price_change(spark, d):
     """Orders and daily order rates of a product in the 30 days before and
     after each change of its price (a product may hold a third of all orders)."""
     from orderflow.operators.intervals import orders_around_price_change
-    orders = models.fact(spark, d, skew_safe=True).select("product_id", "created_at")
+    orders = models.fact(spark, d).select("product_id", "created_at")
     return orders_around_price_change(q_product_price_history(spark, d), orders, PRICE_WINDOW_DAYS, skew_safe=True)
 
 
 def q_price_asof_order(spark, d):
     from orderflow.operators.history import asof_join, price_history
     from orderflow.sources.testdata import table
-    orders = models.fact(spark, d, skew_safe=True).select("order_id", "product_id", "created_at",
+    orders = models.fact(spark, d).select("order_id", "product_id", "created_at",
                                           F.col("unit_price").cast("double").alias("unit_price"))
     return asof_join(orders, price_history(table(spark, d, "lineitem")), "product_id", "created_at",
                      "valid_from", ["price"], skew_safe=True)
@@ -496,7 +496,7 @@ def q_prune_by_day(spark, d):
     back through partition pruning."""
     from orderflow.session import scratch_path
     from orderflow.sources import tables as TB
-    path = TB.write_fct_orders(models.fact(spark, d, skew_safe=True), scratch_path(spark, "prune_by_day"))
+    path = TB.write_fct_orders(models.fact(spark, d), scratch_path(spark, "prune_by_day"))
     return _out(TB.read_fct_orders(spark, path, PRUNE_START, PRUNE_END).drop("created_date"))
 
 

@@ -24,10 +24,15 @@ def fct_orders(stg: DataFrame, on_tie: str = "keep_all", method: str = "rank",
     """
     latest = latest_rows(stg, ["order_id"], "processed_at", on_tie=on_tie, method=method,
                          skew_safe=skew_safe)
+    return state_columns(latest, drop_deleted)
+
+
+def state_columns(latest: DataFrame, drop_deleted: bool = False) -> DataFrame:
+    """The fact's columns over rows that are the latest of their orders."""
     if drop_deleted:
         latest = latest.where(F.col("operation_type") != F.lit("DELETE"))
     return latest.select(
-        *stg.columns,
+        *latest.columns,
         is_terminal().alias("is_terminal_state"),
         trunc_ntz("hour", F.col("created_at")).alias("created_hour"),
         trunc_ntz("day", F.col("created_at")).alias("created_day"),

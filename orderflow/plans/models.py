@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.testdata import order_feed, to_topic_records
+from ..sources.testdata import latest_line_items, order_feed, to_topic_records
 from .ingest import processed
-from .marts import fct_order_metrics, fct_orders
+from .marts import fct_order_metrics, fct_orders, state_columns
 from .staging import stg_orders
 
 _PLANS: dict[tuple, DataFrame] = {}
@@ -51,20 +51,30 @@ def staged(spark: SparkSession, sf_dir: str, include_snapshot: bool = False) ->
                  lambda: stg_orders(processed_events(spark, sf_dir, include_snapshot)))
 
 
-def fact(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    """The fact over the feed.  The feed is a join on the order key, so its
-    rows already lie by order: ``skew_safe=True`` spreads them before the
-    latest is taken, the plain plan saves that shuffle."""
-    include_snapshot = kw.pop("include_snapshot", False)
-    key = ("fact", sf_dir, include_snapshot) + tuple(sorted(kw.items()))
-    return _memo(spark, key, lambda: fct_orders(staged(spark, sf_dir, include_snapshot), **kw))
+def fact(spark: SparkSession, sf_dir: str, include_snapshot: bool = False, drop_deleted: bool = False, **kw) -> DataFrame:
+    """The fact over the feed, ties kept.
+
+    The latest events are found among the line items, before the feed joins
+    them to their orders (:func:`latest_line_items`); no row of the fact is
+    lost or gained by that.  Other forms of the fact (``on_tie``, ``method``)
+    are taken over the whole staged feed.
+    """
+    key = ("fact", sf_dir, include_snapshot, drop_deleted) + tuple(sorted(kw.items()))
+    if kw:
+        return _memo(spark, key, lambda: fct_orders(staged(spark, sf_dir, include_snapshot), drop_deleted=drop_deleted, **kw))
+
+    def build() -> DataFrame:
+        feed = order_feed(spark, sf_dir, latest_line_items(spark, sf_dir, include_snapshot))
+        return state_columns(stg_orders(processed(feed, include_snapshot=include_snapshot)), drop_deleted)
+
+    return _memo(spark, key, build)
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, ("metrics", sf_dir), lambda: fct_order_metrics(fact(spark, sf_dir, skew_safe=True)))
+    return _memo(spark, ("metrics", sf_dir), lambda: fct_order_metrics(fact(spark, sf_dir)))
 
 
 def current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of the source table as of the end of the feed: snapshot rows
     included, deleted orders gone."""
-    return fact(spark, sf_dir, include_snapshot=True, drop_deleted=True, skew_safe=True)
+    return fact(spark, sf_dir, include_snapshot=True, drop_deleted=True)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import epoch_ms_of, format_iso_utc
+from ..operators.latest import latest_rows
 from ..schemas import ORDERS_TOPIC, ORDERS_WIRE
 
 
@@ -46,14 +47,34 @@ def _feed_columns(li_partkey: Column, li_line: Column) -> dict:
     return {"op": op, "status": status}
 
 
-def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed flattened change events (``ORDERS_WIRE`` columns).
+def latest_line_items(spark: SparkSession, sf_dir: str, include_snapshot: bool = False) -> DataFrame:
+    """The line items whose change events are the latest of their orders.
+
+    What decides it is in ``lineitem`` alone: the order, the time, and whether
+    staging keeps the event (a change, or a snapshot row if wanted, with its
+    columns); only a missing customer of the order is not, and that drops all
+    of an order's events alike.  So the latest are found before ``orders`` is
+    joined: the group limit runs in the scan's tasks, where it cuts a hot
+    order down, and again behind the one exchange, whose partitioning the join
+    then reuses.
+    """
+    part = F.col("l_partkey")
+    events = table(spark, sf_dir, "lineitem").where(
+        F.col("l_orderkey").isNotNull() & part.isNotNull() & (part % 20 != 2) & (part % 40 != 1))
+    if not include_snapshot:
+        events = events.where(part % 20 != 0)
+    return latest_rows(events.withColumn("__at", epoch_ms_of(F.col("l_shipdate"))), ["l_orderkey"], "__at").drop("__at")
+
+
+def order_feed(spark: SparkSession, sf_dir: str, line_items: DataFrame | None = None) -> DataFrame:
+    """Typed flattened change events (``ORDERS_WIRE`` columns), of all line
+    items or of some.
 
     The join is on the order key, which is also the key every later state
     operator partitions by; with a sort-merge join the hash partitioning on
     the order key is reused downstream instead of shuffling again.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = (table(spark, sf_dir, "lineitem") if line_items is None else line_items).select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
