@@ -172,64 +172,119 @@ def q_stream_ingest(spark, d):
     return W.read_processed(spark, base + "/processed")
 
 
+SLICES = ("1994-06-01", "1996-06-01")
+#: An event that only moves the watermark past all others.
+HEARTBEAT = (-1, 0, 0, None, None, None, None, "UPDATE", None, None, 4102444800000)
+
+
+def _slices(spark, d, base, arrival):
+    """The processed changes cut by the time at which they arrive, written
+    once; yields after adding each slice, and a heartbeat, to ``base``/input."""
+    cuts = [F.unix_millis(F.lit(c).cast("timestamp")) for c in SLICES]
+    proc = models.processed_events(spark, d)
+    proc.withColumn("slice", sum(((arrival >= c).cast("int") for c in cuts), F.lit(0))) \
+        .write.partitionBy("slice").parquet(base + "/staged")
+    for i in range(len(cuts) + 1):
+        part = spark.read.parquet(base + "/staged").where(F.col("slice") == i).drop("slice")
+        part.write.mode("append").parquet(base + "/input")
+        yield i
+    spark.createDataFrame([HEARTBEAT], ORDERS_PROCESSED).write.mode("append").parquet(base + "/input")
+    yield len(cuts) + 1
+
+
+def _hash_slices(spark, d, path, parts=4):
+    """The processed changes in ``parts`` folders cut across time."""
+    proc = models.processed_events(spark, d)
+    proc.withColumn("slice", F.pmod(F.xxhash64(*proc.columns), F.lit(parts))).write.partitionBy("slice").parquet(path)
+
+
+def _sliced_stream(spark, path):
+    """One folder's files after the other, as a stream."""
+    from orderflow.streaming.ingest import processed_stream
+    return processed_stream(spark, path + "/*", max_files_per_trigger=2)
+
+
 def q_stream_state_fct_orders(spark, d):
-    """Latest state kept by a Structured Streaming query: the processed
-    changes as four Parquet files (cut across time), one file per
-    micro-batch, through the foreachBatch state sink."""
+    """Latest state kept by a Structured Streaming query: processed changes
+    cut across time, in several micro-batches, whose top rows are appended."""
     from orderflow.session import scratch_path
-    from orderflow.streaming.ingest import processed_stream
-    from orderflow.streaming.state import OrderStateSink, state_stream
+    from orderflow.streaming.state import read_state, state_stream
     base = scratch_path(spark, "stream-state")
-    proc = models.processed_events(spark, d)
-    proc.repartition(4, F.xxhash64(*proc.columns)).write.parquet(base + "/processed")
-    sink = OrderStateSink(base + "/state", bucket_width=4096)
-    q = state_stream(processed_stream(spark, base + "/processed", max_files_per_trigger=1), sink,
-                     base + "/checkpoint", trigger={"availableNow": True})
-    q.awaitTermination()
-    return _out(sink.state(spark))
+    _hash_slices(spark, d, base + "/processed")
+    state_stream(_sliced_stream(spark, base + "/processed"), base + "/state", base + "/checkpoint",
+                 trigger={"availableNow": True}).awaitTermination()
+    return _out(read_state(spark, base + "/state"))
 
 
-def q_stream_change_counts_hourly(spark, d):
-    """Windowed change counts as a streaming query: update mode, each
-    trigger appends its updated windows; the last update per window is the
-    result.  The watermark is wide enough that no event of the feed is late."""
+def q_stream_order_metrics(spark, d):
+    """Hourly KPIs kept by two chained streams: what each event changes for
+    its order, with retractions, then sums by hour."""
+    from orderflow.session import scratch_path
+    from orderflow.streaming.state import changes_stream, metric_changes_stream, metrics_stream
+    base = scratch_path(spark, "stream-metrics")
+    _hash_slices(spark, d, base + "/processed")
+    once = {"availableNow": True}
+    metric_changes_stream(_sliced_stream(spark, base + "/processed"), base + "/changes", base + "/ck1", trigger=once).awaitTermination()
+    metrics_stream(changes_stream(spark, base + "/changes"), base + "/metrics", base + "/ck2", trigger=once).awaitTermination()
+    return _out(spark.read.parquet(base + "/metrics"))
+
+
+def q_stream_illegal_transitions(spark, d):
+    """Forbidden status steps found by a state machine per order, on files up
+    to 20 days out of order, with a watermark of 25 days."""
+    from orderflow.session import scratch_path
+    from orderflow.streaming.ingest import processed_stream
+    from orderflow.streaming.lifecycle import illegal_steps
+    base = scratch_path(spark, "stream-steps")
+    jitter = (F.coalesce("id", F.lit(0)) * 7919 + F.coalesce("product_id", F.lit(0))) % 20 * 86_400_000
+    for _ in _slices(spark, d, base, F.col("processed_at") + jitter):
+        (illegal_steps(processed_stream(spark, base + "/input"), "25 days", idle_days=3650).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start(base + "/steps").awaitTermination())
+    return spark.read.parquet(base + "/steps").groupBy("from_status", "to_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _stream_counts(spark, d, arrival, watermark):
+    """Windowed change counts in append mode: a window is emitted once, when
+    the watermark has passed it, and its state is dropped."""
     from orderflow.session import scratch_path
     from orderflow.streaming.ingest import processed_stream
     from orderflow.streaming.windows import change_counts
     base = scratch_path(spark, "stream-windows")
-    proc = models.processed_events(spark, d)
-    proc.repartition(4, F.xxhash64(*proc.columns)).write.parquet(base + "/processed")
-    counts = change_counts(processed_stream(spark, base + "/processed", max_files_per_trigger=1),
-                           "1 hour", "36500 days")
+    for _ in _slices(spark, d, base, arrival):
+        (change_counts(processed_stream(spark, base + "/input"), "1 hour", watermark).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start(base + "/windows").awaitTermination())
+    return spark.read.parquet(base + "/windows")
 
-    def append_updates(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(base + "/updates")
 
-    q = (counts.writeStream.outputMode("update").foreachBatch(append_updates)
-         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    upd = spark.read.parquet(base + "/updates")
-    return latest_rows(upd, ["window_start", "operation"], "batch_id", on_tie="one",
-                       skew_safe=False).drop("batch_id")
+def q_stream_change_counts_hourly(spark, d):
+    """Windowed change counts as a stream with a watermark of two hours; the
+    files come in the order of the events, so nothing is late."""
+    return _stream_counts(spark, d, F.col("processed_at"), "2 hours")
+
+
+LATE_DAYS, WATERMARK_DAYS = 90, 30
+
+
+def q_stream_change_counts_late(spark, d):
+    """The same where every fiftieth order's events come 90 days late, with a
+    watermark of 30 days: what comes behind it is not counted."""
+    late = F.when(F.coalesce("id", F.lit(1)) % 50 == 0, LATE_DAYS * 86_400_000).otherwise(0)
+    return _stream_counts(spark, d, F.col("processed_at") + late, f"{WATERMARK_DAYS} days")
 
 
 def q_stream_latest_state_agg(spark, d):
     """Latest row per order kept in Spark's state store: a keyed streaming
-    aggregation in update mode, one Parquet file per micro-batch; each
-    trigger appends the orders it changed and the last upsert per order is
-    the state."""
+    aggregation in update mode, in several micro-batches; each trigger appends
+    the orders it changed and the last upsert per order is the state."""
     from orderflow.session import scratch_path
-    from orderflow.streaming.ingest import processed_stream
     from orderflow.streaming.latest import ORDER_TIEBREAK, start_latest_state_updates
     base = scratch_path(spark, "stream-latest")
-    proc = models.processed_events(spark, d)
-    proc.repartition(4, F.xxhash64(*proc.columns)).write.parquet(base + "/processed")
+    _hash_slices(spark, d, base + "/processed")
 
     def append_upserts(batch, batch_id):
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(base + "/upserts")
 
-    start_latest_state_updates(processed_stream(spark, base + "/processed", max_files_per_trigger=1),
-                               append_upserts, base + "/checkpoint",
+    start_latest_state_updates(_sliced_stream(spark, base + "/processed"), append_upserts, base + "/checkpoint",
                                trigger={"availableNow": True}).awaitTermination()
     ups = spark.read.parquet(base + "/upserts")
     last = latest_rows(ups, ["order_id"], "batch_id", on_tie="one", skew_safe=False).drop("batch_id")
@@ -425,24 +480,25 @@ def q_change_counts_hourly(spark, d):
 
 
 def _incremental(spark, d, parts=4):
-    """Feed the processed changes to the incremental sink in ``parts``
-    micro-batches cut across time (out of order)."""
+    """The state after ``parts`` batches cut across time (out of order)."""
     from orderflow.session import scratch_path
-    from orderflow.streaming.state import OrderStateSink
-    sink = OrderStateSink(scratch_path(spark, "incremental"), bucket_width=4096)
-    proc = models.processed_events(spark, d)
-    g = F.pmod(F.xxhash64(*proc.columns), F.lit(parts))
+    from orderflow.streaming.state import append_latest
+    base = scratch_path(spark, "incremental")
+    _hash_slices(spark, d, base + "/processed", parts)
     for i in range(parts):
-        sink.process(proc.where(g == i), i)
-    return sink
+        batch = spark.read.parquet(base + "/processed").where(F.col("slice") == i).drop("slice")
+        append_latest(batch, i, base + "/state", "batches")
+    return base + "/state"
 
 
 def q_incremental_fct_orders(spark, d):
-    return _out(_incremental(spark, d).state(spark))
+    from orderflow.streaming.state import read_state
+    return _out(read_state(spark, _incremental(spark, d)))
 
 
 def q_incremental_order_metrics(spark, d):
-    return _out(_incremental(spark, d).metrics(spark))
+    from orderflow.streaming.state import read_metrics
+    return _out(read_metrics(spark, _incremental(spark, d)))
 
 
 def _event_changes(spark, d):
@@ -500,6 +556,29 @@ def q_prune_by_day(spark, d):
     return _out(TB.read_fct_orders(spark, path, PRUNE_START, PRUNE_END).drop("created_date"))
 
 
+def q_metrics_sorted_files(spark, d):
+    """The hourly KPIs written in order, read back."""
+    from orderflow.session import scratch_path
+    from orderflow.sources import tables as TB
+    path = TB.write_ordered_metrics(models.metrics(spark, d), scratch_path(spark, "metrics") + "/sorted")
+    return _out(spark.read.parquet(path))
+
+
+def q_compact_processed(spark, d):
+    """The stream job's small files, a file per task and micro-batch, compacted
+    into few, and read back."""
+    from orderflow.session import scratch_path
+    from orderflow.sources import tables as TB
+    from orderflow.streaming.ingest import file_records, ingest_stream
+    base = scratch_path(spark, "compact")
+    models.topic_records(spark, d).withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(6)).cast("int")) \
+        .withColumn("offset", F.lit(None).cast("bigint")).withColumn("slice", F.col("partition")) \
+        .write.partitionBy("slice").json(base + "/records")
+    ingest_stream(file_records(spark, base + "/records/*", max_files_per_trigger=8), base + "/processed", base + "/checkpoint",
+                  trigger={"availableNow": True}).awaitTermination()
+    return W.read_processed(spark, TB.compact(spark, base + "/processed", base + "/compacted"))
+
+
 _WIRE_COLS = [f.name for f in ORDERS_WIRE.fields]
 _TOMBSTONE_NULLED = ", ".join(f"CASE WHEN __op IS NULL THEN NULL ELSE {c} END AS {c}" for c in _WIRE_COLS)
 _SERIES = ("SELECT epoch_ms(metric_hour) AS ts, COALESCE(CAST({v} AS {t}), 0) AS value "
@@ -714,10 +793,25 @@ _SQL: dict[str, str] = {
     "scan_processed": O.with_chain("SELECT * FROM processed"),
     "scan_processed_files": O.with_chain("SELECT * FROM processed"),
     "stream_ingest": O.with_chain("SELECT * FROM processed"),
+    "compact_processed": O.with_chain("SELECT * FROM processed"),
+    "metrics_sorted_files": O.with_chain(f"SELECT {O.METRICS_DOUBLE} FROM fct_order_metrics"),
     "stream_change_counts_hourly": O.with_chain(
         "SELECT time_bucket(INTERVAL 1 HOUR, epoch_ms(processed_at)) AS window_start, "
         "time_bucket(INTERVAL 1 HOUR, epoch_ms(processed_at)) + INTERVAL 1 HOUR AS window_end, "
         "operation, COUNT(*) AS changes FROM processed GROUP BY ALL"),
+    "stream_order_metrics": O.with_chain(f"SELECT {O.METRICS_DOUBLE} FROM fct_order_metrics"),
+    "stream_illegal_transitions": f"WITH {O.CHAIN}, {_TRANSITIONS_CTE}, allowed AS ({_ALLOWED}) "
+        "SELECT from_status, to_status, COUNT(*) AS n FROM t ANTI JOIN allowed USING (from_status, to_status) GROUP BY ALL",
+    "stream_change_counts_late": O.with_chain(f"""
+      , arrived AS (SELECT operation, processed_at AS ms,
+          processed_at + CASE WHEN id % 50 = 0 THEN {LATE_DAYS * 86_400_000} ELSE 0 END AS arrival FROM processed),
+      sliced AS (SELECT *, (arrival >= epoch_ms(TIMESTAMP '{SLICES[0]}'))::INT + (arrival >= epoch_ms(TIMESTAMP '{SLICES[1]}'))::INT AS slice
+                 FROM arrived),
+      marks AS (SELECT slice + 1 AS slice, max(max(ms)) OVER (ORDER BY slice) - {WATERMARK_DAYS * 86_400_000} AS mark
+                FROM sliced GROUP BY slice)
+      SELECT epoch_ms(ms // 3600000 * 3600000) AS window_start, epoch_ms(ms // 3600000 * 3600000 + 3600000) AS window_end,
+             operation, COUNT(*) AS changes
+      FROM sliced LEFT JOIN marks USING (slice) WHERE mark IS NULL OR ms // 3600000 * 3600000 + 3600000 > mark GROUP BY ALL"""),
     "stream_state_fct_orders": O.with_chain(
         f"SELECT {O.FCT_DOUBLE}, is_terminal_state, created_hour, created_day FROM fct_orders"),
     "stg_orders": O.with_chain(f"SELECT {O.FCT_DOUBLE} FROM stg_orders"),
@@ -788,9 +882,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_processed": q_scan_processed,
     "scan_processed_files": q_scan_processed_files,
     "stream_ingest": q_stream_ingest,
+    "compact_processed": q_compact_processed,
+    "metrics_sorted_files": q_metrics_sorted_files,
     "stream_latest_state_agg": q_stream_latest_state_agg,
     "stream_change_counts_hourly": q_stream_change_counts_hourly,
     "stream_state_fct_orders": q_stream_state_fct_orders,
+    "stream_order_metrics": q_stream_order_metrics,
+    "stream_illegal_transitions": q_stream_illegal_transitions,
+    "stream_change_counts_late": q_stream_change_counts_late,
     "stg_orders": q_stg_orders,
     "fct_orders": q_fct_orders,
     "latest_state_rank": q_latest_state_rank,

@@ -36,7 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--format", default="parquet", choices=["parquet", "json"])
     p.add_argument("--once", action="store_true", help="process what is there, then stop")
 
-    p = sub.add_parser("state", help="processed files -> incremental latest state + hourly KPIs")
+    p = sub.add_parser("state", help="processed files -> latest state, batch by batch")
     p.add_argument("--processed", required=True)
     p.add_argument("--root", required=True)
     p.add_argument("--checkpoint", required=True)
@@ -69,9 +69,8 @@ def main(argv: list[str] | None = None) -> int:
         ingest_stream(recs, a.out, a.checkpoint, fmt=a.format, trigger=_trigger(a.once)).awaitTermination()
     elif a.cmd == "state":
         from .streaming.ingest import processed_stream
-        from .streaming.state import OrderStateSink, state_stream
-        sink = OrderStateSink(a.root)
-        state_stream(processed_stream(spark, a.processed), sink, a.checkpoint,
+        from .streaming.state import state_stream
+        state_stream(processed_stream(spark, a.processed), a.root, a.checkpoint,
                      trigger=_trigger(a.once)).awaitTermination()
     elif a.cmd == "build":
         from .plans.build import build_marts

@@ -3,8 +3,8 @@
 The reference rebuilt staging and both marts as tables, then ran its data
 tests.  Here each model is written once as an immutable version and the
 next model reads the *written* files, so no shuffle is repeated; the tests
-run on what was written; one manifest entry publishes all three tables
-together, and only if the tests pass.
+run on what was written; the three tables are published only if the tests
+pass.
 """
 
 from __future__ import annotations
@@ -17,14 +17,10 @@ from pyspark.sql import functions as F
 
 from ..operators.checks import failed_checks, run_declared_tests
 from ..schemas import FCT_ORDER_METRICS
-from ..sources.tables import (current_manifest, fct_required_check, metrics_required_check, publish, write_fct_orders,
-                              write_version)
+from ..sources.tables import fct_required_check, metrics_required_check, publish, read_current, write_fct_orders, write_version
 from .marts import fct_order_metrics, fct_orders
 from .staging import stg_orders
 
-MARTS = "marts"
-
-
 @dataclass
 class BuildResult:
     published: bool
@@ -36,7 +32,7 @@ def build_marts(spark: SparkSession, processed: DataFrame, root: str,
                 allow: Callable[[tuple], bool] = lambda row: False,
                 on_tie: str = "keep_all", partition_metrics_by_day: bool = True) -> BuildResult:
     """processed changes -> stg_orders -> fct_orders -> fct_order_metrics,
-    tested, then published in one manifest entry."""
+    tested, then published."""
     stg_path = write_version(stg_orders(processed), root, "stg_orders")
     stg = spark.read.parquet(stg_path)
     fct_path = write_fct_orders(fct_orders(stg, on_tie=on_tie), root)
@@ -54,8 +50,7 @@ def build_marts(spark: SparkSession, processed: DataFrame, root: str,
     failures = [r for r in failed_checks(checks) if not allow(r)]
     if failures:
         return BuildResult(False, failures, paths)
-    publish(spark, root, MARTS, paths)
-    return BuildResult(True, [], paths)
+    return BuildResult(True, [], {name: publish(spark, path, root, name) for name, path in paths.items()})
 
 
 def read_mart(spark: SparkSession, root: str, table: str, start=None, end=None) -> DataFrame:
@@ -65,10 +60,7 @@ def read_mart(spark: SparkSession, root: str, table: str, start=None, end=None)
     fact, ``metric_hour`` of the metrics) and are put on the day partition
     column too, so only the matching day folders are read.
     """
-    m = current_manifest(spark, root, MARTS)
-    if m is None or table not in m:
-        raise FileNotFoundError(f"no published {table!r} under {root}")
-    df = spark.read.parquet(m[table])
+    df = read_current(spark, root, table)
     ts_col, day_col = {"fct_orders": ("created_at", "created_date"),
                        "fct_order_metrics": ("metric_hour", "metric_date")}.get(table, (None, None))
     if ts_col and (start is not None or end is not None):

@@ -1,24 +1,19 @@
-"""Versioned tables on plain files.
+"""Tables on plain files, built and tested before they are published.
 
-A table is a folder ``<root>/<name>/`` holding immutable version folders
-``v=<id>/`` and a manifest folder ``_manifest/<seq>/`` per publication.  The
-newest manifest with a ``_SUCCESS`` marker names the current version, so a
-reader never sees a half-written version, and publishing needs no atomic
-rename (object stores have none).  Only the tiny manifest passes the
-driver.
-
-``publish_if_valid`` is the build-then-test gate: build a staged version,
-run the checks on what was written, publish only if they pass.
+A build writes a table as a version of its own, tests what was written, and
+only then puts it in the place that readers read, ``<root>/<name>``.
+Moving a folder is one call of the file system; the version before it is
+gone afterwards.  A build that fails its tests leaves the published tables as
+they were.
 """
 
 from __future__ import annotations
 
-import json
 import time
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,18 +27,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def new_version_id() -> str:
     return f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
 
@@ -52,7 +35,7 @@ def write_version(df: DataFrame, root: str, name: str, partition_by: list[str] |
                   version: str | None = None) -> str:
     """Write ``df`` as a new immutable version; returns its path."""
     version = version or new_version_id()
-    path = f"{root.rstrip('/')}/{name}/v={version}"
+    path = f"{root.rstrip('/')}/_versions/{name}/v={version}"
     w = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -60,33 +43,25 @@ def write_version(df: DataFrame, root: str, name: str, partition_by: list[str] |
     return path
 
 
-def publish(spark: SparkSession, root: str, name: str, info: dict) -> int:
-    """Append a manifest entry (``info`` must hold ``path``); returns its
-    sequence number.  The entry is written as a one-row text dataset; its
-    ``_SUCCESS`` marker makes it visible."""
-    base = f"{root.rstrip('/')}/{name}/_manifest"
-    seqs = [int(d) for d in _list_dirs(spark, base) if d.isdigit()]
-    seq = (max(seqs) + 1) if seqs else 1
-    spark.createDataFrame([(json.dumps(info, sort_keys=True),)], "value string") \
-        .coalesce(1).write.mode("errorifexists").text(f"{base}/{seq:012d}")
-    return seq
-
-
-def current_manifest(spark: SparkSession, root: str, name: str) -> dict | None:
-    base = f"{root.rstrip('/')}/{name}/_manifest"
-    seqs = sorted((d for d in _list_dirs(spark, base) if d.isdigit()), reverse=True)
-    for s in seqs:
-        if _exists(spark, f"{base}/{s}/_SUCCESS"):
-            row = spark.read.text(f"{base}/{s}").first()
-            return json.loads(row.value)
-    return None
+def publish(spark: SparkSession, path: str, root: str, name: str) -> str:
+    """Move the version at ``path`` to ``<root>/<name>``; returns that."""
+    target = f"{root.rstrip('/')}/{name}"
+    fs, new = _fs(spark, path)
+    _, current = _fs(spark, target)
+    if fs.exists(current):
+        fs.delete(current, True)
+    fs.mkdirs(current.getParent())
+    if not fs.rename(new, current):
+        raise OSError(f"{path} could not be moved to {target}")
+    return target
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    m = current_manifest(spark, root, name)
-    if m is None:
+    path = f"{root.rstrip('/')}/{name}"
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         raise FileNotFoundError(f"table {name!r} has no published version under {root}")
-    return spark.read.parquet(m["path"])
+    return spark.read.parquet(path)
 
 
 def check_schema(df: DataFrame, schema: T.StructType, required: list[str], model: str = "table") -> DataFrame:
@@ -106,6 +81,43 @@ def check_schema(df: DataFrame, schema: T.StructType, required: list[str], model
     return df.agg(F.array(*structs).alias("r")).select(F.inline("r"))
 
 
+def write_ordered(df: DataFrame, path: str, *order: Column, files: int | None = None) -> str:
+    """Write ``df`` in order: each file holds a range of ``order`` and is
+    sorted, so the files' statistics let a reader of a range skip the others.
+    The number of files is explicit, like the writers of the day partitions."""
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.parquet(path)
+    return path
+
+
+def write_ordered_metrics(metrics: DataFrame, path: str, files: int | None = None) -> str:
+    """The hourly KPIs, newest hour first, the NULL hour last."""
+    return write_ordered(metrics, path, F.col("metric_hour").desc_nulls_last(), files=files)
+
+
+def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256 << 20) -> str:
+    """Write the rows of the Parquet folder ``source`` to ``target`` in files
+    of about ``file_bytes``; larger files are cut at their row groups.
+
+    Spark's own scan packs files into partitions by size, largest first, so
+    the small files of a rolling sink come together without a shuffle: a
+    partition is read and written by one task.  A streaming sink's folder is
+    read through its log, so only committed files are taken.
+    """
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes",
+                                           "spark.sql.files.minPartitionNum") if spark.conf.get(k, None)}
+    wanted = {"spark.sql.files.maxPartitionBytes": str(file_bytes), "spark.sql.files.openCostInBytes": "0",
+              "spark.sql.files.minPartitionNum": "1"}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        spark.read.parquet(source).write.parquet(target)
+    finally:
+        for k in wanted:
+            spark.conf.set(k, held[k]) if k in held else spark.conf.unset(k)
+    return target
+
+
 def with_day_partition(fct: DataFrame, ts_col: str = "created_day", part_col: str = "created_date") -> DataFrame:
     """Add the DATE partition column of a day-partitioned table."""
     return fct.withColumn(part_col, F.to_date(F.col(ts_col)))
@@ -145,7 +157,7 @@ def publish_if_valid(spark: SparkSession, df: DataFrame, root: str, name: str,
 
     The staged version is written first and the checks run on the written
     files (not on a re-computation).  Failing summary rows not accepted by
-    ``allow`` block the publication; the staged version stays unreferenced.
+    ``allow`` block the publication; the version stays where it was written.
     Returns ``(published, failures, path)``.
     """
     path = write_version(df, root, name, partition_by)
@@ -153,8 +165,7 @@ def publish_if_valid(spark: SparkSession, df: DataFrame, root: str, name: str,
     failures = [r for r in failed_checks(checks(written)) if not allow(r)]
     if failures:
         return False, failures, path
-    publish(spark, root, name, {"path": path})
-    return True, [], path
+    return True, [], publish(spark, path, root, name)
 
 
 def fct_required_check(fct: DataFrame) -> DataFrame:

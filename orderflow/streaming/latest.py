@@ -8,7 +8,7 @@ a key-value sink.  Late and out-of-order events are handled because max is
 order-independent.  Being an aggregate it keeps one row per order, i.e. the
 ``on_tie="one"`` semantics of :func:`orderflow.operators.latest.latest_rows`
 with the same tie-break; the tie-keeping reference semantics are served by
-:class:`orderflow.streaming.state.OrderStateSink`.
+:func:`orderflow.streaming.state.state_stream`.
 """
 
 from __future__ import annotations

@@ -1,195 +1,167 @@
-"""Incremental latest state and hourly KPIs (I3) behind ``foreachBatch``.
-
-``rank()`` is not allowed on a stream, and the reference rebuilt its marts
-from all history on every run.  This sink keeps the result of that rebuild
-up to date instead, one micro-batch at a time, with the same answer:
-
-* State = the fact rows (latest per order, ties kept) in bucket folders.
-  Buckets are ranges of order ids (``bucket_width`` ids each): the source
-  assigns serial ids and changes hit recent orders, so a micro-batch touches
-  few buckets (hash buckets would make every batch rewrite nearly all of
-  them).  ``buckets=N`` selects hash bucketing instead.  A batch reads only
-  the buckets it touches, applies ``latest_rows(old ∪ new)`` – max is associative and
-  commutative, so late, repeated and out-of-order events converge to the
-  batch result – and writes those buckets as a new version.
-* Hourly KPIs are kept as exact sums and counts per hour and maintained by
-  deltas: the new rows of the touched orders are added, their old rows
-  subtracted, so an order moving to another status leaves its old count.
-  Hours whose count drops to zero disappear.
-* Both tables are published in one manifest entry that also records the
-  batch id, so a replayed batch is skipped (exactly-once across both).
-  Only the manifest and the touched bucket numbers (at most ``buckets``)
-  reach the driver.
+"""Latest state and hourly KPIs kept by streams.
+
+Two forms, both with plain Spark files and Spark's own commit logs:
+
+* :func:`state_stream` appends the top rows of each micro-batch as Parquet,
+  in a folder per stream and batch, and the state is ``latest_rows`` over the
+  folder: max is associative and commutative, so late, repeated and
+  out-of-order events converge to the batch result.  A replayed batch
+  overwrites its own folder.
+* :func:`metric_changes_stream` keeps each order's latest rows in the state
+  store and emits what an event changes, the new rows with +1 and the rows
+  that they replace with -1; :func:`metrics_of_changes` sums them by hour, as
+  a stream (update mode) or a batch, so that an order moving to another
+  status leaves its old count.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.money import pct, round2_double
+from ..functions.times import epoch_ms_of, ntz_from_epoch_ms
 from ..operators.latest import latest_rows
-from ..plans.marts import fct_orders
+from ..plans.marts import fct_order_metrics, state_columns
 from ..plans.staging import stg_orders
-from ..schemas import FCT_ORDERS, ORDER_STATUSES
-from ..sources.tables import current_manifest, publish
-
-SUM_T = T.DecimalType(38, 2)
-
-METRIC_SUMS = T.StructType(
-    [T.StructField("metric_hour", T.TimestampNTZType()), T.StructField("total_orders", T.LongType())]
-    + [T.StructField(f"{s}_orders", T.LongType()) for s in ORDER_STATUSES]
-    + [T.StructField("gross_sum", SUM_T), T.StructField("gross_n", T.LongType()),
-       T.StructField("net_sum", SUM_T), T.StructField("net_n", T.LongType())])
-
-
-def _hour_sums(fct: DataFrame, sign: int = 1) -> DataFrame:
-    """Exact per-hour sums and counts of fact rows, multiplied by ``sign``."""
-    net_term = F.when(F.col("status") != F.lit("cancelled"), F.col("total_amount")).otherwise(F.lit(0))
-    s = F.lit(sign)
-    aggs = [(F.count(F.lit(1)) * s).alias("total_orders")]
-    aggs += [(F.count(F.when(F.col("status") == F.lit(st), F.lit(1))) * s).alias(f"{st}_orders")
-             for st in ORDER_STATUSES]
-    aggs += [(F.coalesce(F.sum("total_amount"), F.lit(0)) * s).cast(SUM_T).alias("gross_sum"),
-             (F.count("total_amount") * s).alias("gross_n"),
-             (F.coalesce(F.sum(net_term), F.lit(0)) * s).cast(SUM_T).alias("net_sum"),
-             (F.count(net_term) * s).alias("net_n")]
-    return fct.groupBy(F.col("created_hour").alias("metric_hour")).agg(*aggs)
-
-
-def metrics_from_sums(sums: DataFrame) -> DataFrame:
-    """Hourly KPI table (same columns and rounding as ``fct_order_metrics``)."""
-    return sums.select(
-        "metric_hour", "total_orders", *[f"{s}_orders" for s in ORDER_STATUSES],
-        F.when(F.col("gross_n") > 0, F.round("gross_sum", 2)).alias("gross_revenue"),
-        F.when(F.col("net_n") > 0, F.round("net_sum", 2)).alias("net_revenue"),
-        round2_double(F.col("gross_sum").cast("double") / F.nullif(F.col("gross_n"), F.lit(0)).cast("double"))
-        .alias("avg_order_value"),
-        pct(F.col("cancelled_orders"), F.col("total_orders")).alias("cancellation_rate_pct"),
-    )
-
-
-class OrderStateSink:
-    """``foreachBatch`` handler over processed change rows."""
-
-    def __init__(self, root: str, bucket_width: int = 1 << 20, buckets: int | None = None,
-                 name: str = "order_state", strict_timestamps: bool = True):
-        self.stream = uuid.uuid4().hex
-        self.root = root.rstrip("/")
-        self.bucket_width = bucket_width
-        self.buckets = buckets
-        self.name = name
-        self.strict_timestamps = strict_timestamps   # False: bad text -> NULL, batch goes on
-
-    def bucket_of(self, order_id: Column) -> Column:
-        if self.buckets:
-            return F.pmod(F.xxhash64(order_id), F.lit(self.buckets)).cast("int")
-        return F.floor(order_id / F.lit(self.bucket_width)).cast("int")
-
-    # -- layout ---------------------------------------------------------------
-    def _dir(self, kind: str, batch_id: int) -> str:
-        return f"{self.root}/{self.name}/{kind}/v={batch_id:012d}"
-
-    def _empty_state(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([], T.StructType(FCT_ORDERS.fields + [T.StructField("bucket", T.IntegerType())]))
-
-    def _read_buckets(self, spark: SparkSession, manifest: dict, wanted: list[int] | None) -> DataFrame:
-        """One scan over the current folder of each wanted bucket (partition
-        discovery from the state root yields ``v`` and ``bucket``)."""
-        paths = [f"{vdir}/bucket={b}" for b, vdir in sorted(manifest.get("buckets", {}).items())
-                 if wanted is None or int(b) in wanted]
-        if not paths:
-            return self._empty_state(spark)
-        base = f"{self.root}/{self.name}/state"
-        return (spark.read.option("basePath", base).parquet(*paths)
-                .drop("v").withColumn("bucket", F.col("bucket").cast("int")))
-
-    def state(self, spark: SparkSession) -> DataFrame:
-        """Current fact rows (``FCT_ORDERS`` columns)."""
-        m = current_manifest(spark, self.root, self.name) or {}
-        return self._read_buckets(spark, m, None).drop("bucket")
-
-    def metrics(self, spark: SparkSession) -> DataFrame:
-        m = current_manifest(spark, self.root, self.name) or {}
-        if not m.get("metrics"):
-            return metrics_from_sums(spark.createDataFrame([], METRIC_SUMS))
-        return metrics_from_sums(spark.read.schema(METRIC_SUMS).parquet(m["metrics"]))
-
-    # -- one micro-batch --------------------------------------------------------
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.process(batch, batch_id)
-
-    def process(self, processed_batch: DataFrame, batch_id: int, stream: str | None = None) -> None:
-        """``stream`` identifies the checkpoint that numbers the batches: the
-        numbers of another one say nothing about what the state holds, so a
-        batch of a foreign stream is refused instead of taken for a replay.
-        Without it, a sink numbers its own batches (or goes on with the
-        checkpoint that it last ran under)."""
-        stream = stream or self.stream
-        spark = processed_batch.sparkSession
-        m = current_manifest(spark, self.root, self.name) or {"batch_id": -1, "buckets": {}, "metrics": None, "stream": stream}
-        if m.get("stream") != stream:
-            raise ValueError(f"{self.root} holds the state of stream {m.get('stream')!r}, this is {stream!r}: "
-                             "go on with its checkpoint or take a new root")
-        if batch_id <= m["batch_id"]:
-            return  # already published: replay after a failure
-        processed_batch = processed_batch.persist()
-        try:
-            self._apply(spark, m, processed_batch, batch_id)
-        finally:
-            processed_batch.unpersist()
-
-    def _apply(self, spark: SparkSession, m: dict, processed_batch: DataFrame, batch_id: int) -> None:
-        bucket = self.bucket_of(F.col("order_id"))
-        stg = stg_orders(processed_batch, self.strict_timestamps)
-        # a batch is read from its sink's files: the group limit in front of the exchange cuts hot orders down
-        new = fct_orders(stg).where(F.col("processed_at").isNotNull()) \
-            .withColumn("bucket", bucket)
-        touched = sorted(r[0] for r in new.select("bucket").distinct().collect())
-        if not touched:
-            publish(spark, self.root, self.name, {**m, "batch_id": batch_id})
-            return
-        old = self._read_buckets(spark, m, touched)
-        merged = latest_rows(old.unionByName(new), ["order_id"], "processed_at")
-        sdir = self._dir("state", batch_id)
-        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(sdir)
-
-        # metric deltas of the touched orders: + new rows, - old rows
-        touched_orders = new.select("order_id").distinct()
-        written = spark.read.parquet(sdir)
-        plus = _hour_sums(written.join(touched_orders, "order_id", "left_semi"), 1)
-        minus = _hour_sums(old.join(touched_orders, "order_id", "left_semi"), -1)
-        prev = (spark.read.schema(METRIC_SUMS).parquet(m["metrics"]) if m.get("metrics")
-                else spark.createDataFrame([], METRIC_SUMS))
-        cols = [f.name for f in METRIC_SUMS.fields if f.name != "metric_hour"]
-        merged_sums = (prev.unionByName(plus).unionByName(minus)
-                       .groupBy("metric_hour").agg(*[F.sum(c).alias(c) for c in cols])
-                       .where(F.col("total_orders") != 0)
-                       .select("metric_hour", *[F.col(c).cast(METRIC_SUMS[c].dataType) for c in cols]))
-        mdir = self._dir("metrics", batch_id)
-        merged_sums.write.mode("overwrite").parquet(mdir)
-
-        buckets = dict(m.get("buckets", {}))
-        for b in touched:
-            buckets[str(b)] = sdir
-        publish(spark, self.root, self.name, {**m, "batch_id": batch_id, "buckets": buckets, "metrics": mdir})
-
-
-def state_stream(processed_stream: DataFrame, sink: OrderStateSink, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
-    """Run the sink over a stream of processed change rows.  The stream's id
-    is the one that Spark writes into a new checkpoint."""
+from ..schemas import ORDER_STATUSES, STG_ORDERS
+
+STREAM, BATCH = "__stream", "__batch"
+STATE_FILES = T.StructType(STG_ORDERS.fields + [T.StructField(STREAM, T.StringType()), T.StructField(BATCH, T.LongType())])
+
+
+def append_latest(processed_batch: DataFrame, batch_id: int, root: str, stream: str,
+                  strict_timestamps: bool = True) -> None:
+    """Write the rows of a batch that are the latest of their orders in it.
+    ``stream`` is the checkpoint's own id: batch numbers of another one name
+    other folders, so a new checkpoint on an old root overwrites nothing."""
+    # a batch is read from its files: the group limit in front of the exchange cuts hot orders down
+    top = latest_rows(stg_orders(processed_batch, strict_timestamps), ["order_id"], "processed_at")
+    top.write.mode("overwrite").parquet(f"{root}/{STREAM}={stream}/{BATCH}={batch_id}")
+
+
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """The fact (``FCT_ORDERS`` columns) over all streams that wrote to ``root``.
+
+    Tied events stay, as often as one stream delivered them; a stream that
+    read the same events again, under a new checkpoint, adds none.
+    """
+    columns = STG_ORDERS.names
+    top = latest_rows(spark.read.schema(STATE_FILES).parquet(root).drop(BATCH), ["order_id"], "processed_at")
+    times = top.groupBy(*columns, STREAM).count().groupBy(*columns).agg(F.max("count").alias("__n"))
+    rows = times.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))).select(*columns)
+    return state_columns(rows)
+
+
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    return fct_order_metrics(read_state(spark, root))
+
+
+def state_stream(processed_stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
+                 strict_timestamps: bool = True) -> StreamingQuery:
+    """Keep the state under ``root`` up to date with a stream of processed
+    change rows."""
     def take(batch: DataFrame, batch_id: int) -> None:
+        # Spark writes the stream's id into a new checkpoint before the first batch
         lines = batch.sparkSession.read.text(f"{checkpoint}/metadata").collect()
-        sink.stream = json.loads(lines[0][0])["id"]
-        sink.process(batch, batch_id)
+        append_latest(batch, batch_id, root, json.loads(lines[0][0])["id"], strict_timestamps)
 
     return (processed_stream.writeStream.foreachBatch(take)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "60 seconds"}))
             .start())
+
+
+# What an order's row adds to its hour.
+CHANGE = T.StructType([
+    T.StructField("hour_ms", T.LongType()), T.StructField("status", T.StringType()),
+    T.StructField("cents", T.LongType()), T.StructField("sign", T.IntegerType()),
+])
+_STATE = T.StructType([T.StructField("orders", T.StringType())])
+#: Neighbouring order ids that share a state row: a call of the state function
+#: costs more than an order's events do.
+GROUP_ORDERS = 256
+
+
+def _replace_latest(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """A group of orders: the rows of a batch against those held, by order:
+    the latest time and its rows."""
+    held = json.loads(state.get[0]) if state.exists else {}
+    before: dict[str, tuple] = {}
+    for b in batches:
+        columns = [b[c].astype(object).where(b[c].notna(), None).tolist() for c in ("order_id", "at", "hour_ms", "status", "cents")]
+        for order, at, hour, status, cents in zip(*columns):
+            order, at = str(int(order)), int(at)
+            row = [None if hour is None else int(hour), status, None if cents is None else int(cents)]
+            known = held.get(order)
+            before.setdefault(order, (known[0], list(known[1])) if known else (None, []))
+            if known is None or at > known[0]:
+                held[order] = [at, [row]]
+            elif at == known[0]:
+                known[1].append(row)
+    state.update((json.dumps(held),))
+    changes = []
+    for order, (at, rows) in before.items():
+        now_at, now = held[order]
+        changes += [(*r, -1) for r in rows if at != now_at]
+        changes += [(*r, 1) for r in (now if at != now_at else now[len(rows):])]
+    if changes:
+        yield pd.DataFrame(changes, columns=CHANGE.names).astype({"hour_ms": "Int64", "cents": "Int64"})
+
+
+def metric_changes(processed: DataFrame, strict_timestamps: bool = True) -> DataFrame:
+    """A stream of processed rows -> what each adds to the hours' sums (append
+    mode).  State: for every order its latest event time and tied rows, a row
+    per ``GROUP_ORDERS`` neighbouring orders."""
+    stg = stg_orders(processed, strict_timestamps).where(F.col("processed_at").isNotNull())
+    rows = stg.select("order_id", epoch_ms_of(F.col("processed_at")).alias("at"), epoch_ms_of(F.col("created_at")).alias("created"), "status",
+                      (F.col("total_amount") * 100).cast("bigint").alias("cents"))
+    rows = rows.select(F.floor(F.col("order_id") / GROUP_ORDERS).alias("group"), "order_id", "at",
+                       (F.col("created") - F.pmod("created", F.lit(3_600_000))).alias("hour_ms"), "status", "cents")
+    return rows.groupBy("group").applyInPandasWithState(_replace_latest, CHANGE, _STATE, "append", "NoTimeout")
+
+
+def metric_changes_stream(processed: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Write the changes to a file sink, whose log makes them exactly-once."""
+    return (metric_changes(processed).writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "60 seconds"})).start(out_path))
+
+
+def changes_stream(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(CHANGE).parquet(path)
+
+
+def metrics_of_changes(changes: DataFrame) -> DataFrame:
+    """Hourly KPIs (columns and rounding of ``fct_order_metrics``) of changes,
+    streamed or not: sums that retract what a later event replaces.  An hour
+    that has lost all its orders stays with ``total_orders`` 0."""
+    sign, cents = F.col("sign"), F.col("cents")
+    live = F.col("status") != "cancelled"
+    net = F.when(live, cents).otherwise(F.lit(0))
+    sums = changes.groupBy("hour_ms").agg(
+        F.sum(sign).cast("bigint").alias("total_orders"),
+        *[F.sum(F.when(F.col("status") == s, sign).otherwise(0)).cast("bigint").alias(f"{s}_orders") for s in ORDER_STATUSES],
+        F.sum(sign * F.coalesce(cents, F.lit(0))).alias("gross"), F.sum(F.when(cents.isNotNull(), sign)).alias("n"),
+        F.sum(sign * F.coalesce(net, F.lit(0))).alias("net"), F.sum(F.when(net.isNotNull(), sign)).alias("n_net"))
+    money = lambda c, n: F.when(F.col(n) > 0, (F.col(c).cast("decimal(36,0)") / 100).cast("decimal(38,2)"))
+    return sums.select(
+        ntz_from_epoch_ms(F.col("hour_ms")).alias("metric_hour"), "total_orders", *[f"{s}_orders" for s in ORDER_STATUSES],
+        money("gross", "n").alias("gross_revenue"), money("net", "n_net").alias("net_revenue"),
+        round2_double(F.col("gross").cast("double") / 100 / F.nullif(F.col("n"), F.lit(0)).cast("double")).alias("avg_order_value"),
+        pct(F.col("cancelled_orders"), F.col("total_orders")).alias("cancellation_rate_pct"))
+
+
+def metrics_stream(changes: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the hourly KPIs of a stream of changes under ``out_path``: a row
+    per hour, rewritten by each trigger."""
+    def rewrite(batch: DataFrame, batch_id: int) -> None:
+        batch.where("total_orders <> 0").write.mode("overwrite").parquet(out_path)
+
+    return (metrics_of_changes(changes).writeStream.outputMode("complete").foreachBatch(rewrite)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "60 seconds"})).start())

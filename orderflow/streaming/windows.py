@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import instant_to_utc_ntz
 
@@ -26,3 +27,10 @@ def change_counts(processed: DataFrame, window: str = "1 hour", watermark: str =
             .select(instant_to_utc_ntz(F.col("w.start")).alias("window_start"),
                     instant_to_utc_ntz(F.col("w.end")).alias("window_end"),
                     "operation", "changes"))
+
+
+def late_groups(query: StreamingQuery) -> int:
+    """What the stateful operators of a query dropped behind the watermark in
+    this run, by the progress that Spark reports.  Rows are summed within
+    their task first, so events of one window, operation and task count once."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])

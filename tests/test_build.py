@@ -1,4 +1,4 @@
-"""Batch build with the test gate, published as one manifest entry."""
+"""Batch build with the test gate, then published."""
 
 from orderflow.plans import marts, models
 from orderflow.plans.build import build_marts, read_mart

@@ -46,3 +46,9 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 def test_hourly_metrics_aggregate_partially(spark):
     plan = _plan(models.metrics(spark, SF_SMALL))
     assert "partial_count" in plan and "partial_sum" in plan
+
+
+def test_the_fact_cuts_hot_orders_down_before_the_exchange(spark):
+    plan = models.fact(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning(l_orderkey", 1)
+    assert "WindowGroupLimit" in below and plan.count("Exchange hashpartitioning(l_orderkey") == 1

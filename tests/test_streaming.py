@@ -8,7 +8,8 @@ from orderflow.plans import marts, models
 from orderflow.sources.testdata import order_feed, to_topic_records
 from orderflow.sources.wire import read_processed
 from orderflow.streaming.ingest import decode_stream, file_records, ingest_stream
-from orderflow.streaming.state import OrderStateSink, state_stream
+from orderflow.streaming.lifecycle import illegal_steps
+from orderflow.streaming.state import append_latest, metric_changes, metrics_of_changes, read_metrics, read_state, state_stream
 from orderflow.streaming.windows import change_counts
 from tests.conftest import SF_SMALL
 
@@ -49,34 +50,148 @@ def test_ingest_equals_batch_and_restarts(spark, tmp_dir):
 def test_state_stream_equals_batch_replay_safe(spark, tmp_dir):
     src, ck, root = (os.path.join(tmp_dir, x) for x in ("src", "ck", "state"))
     _write_record_parts(spark, src, 5, range(5))
-    stream = decode_stream(file_records(spark, os.path.join(src, "*", "*.json"), max_files_per_trigger=1))
-    sink = OrderStateSink(root, bucket_width=500)
-    q = state_stream(stream, sink, ck, trigger=AVAILABLE_NOW)
-    q.awaitTermination()
+    stream = lambda: decode_stream(file_records(spark, os.path.join(src, "*", "*.json"), max_files_per_trigger=1))
+    state_stream(stream(), root, ck, trigger=AVAILABLE_NOW).awaitTermination()
     fct_b = models.fact(spark, SF_SMALL)
-    assert _rows(sink.state(spark), fct_b.columns) == _rows(fct_b)
+    assert _rows(read_state(spark, root), fct_b.columns) == _rows(fct_b)
     met_b = marts.fct_order_metrics(fct_b)
-    assert _rows(sink.metrics(spark), met_b.columns) == _rows(met_b)
+    assert _rows(read_metrics(spark, root), met_b.columns) == _rows(met_b)
 
-    # replaying an already published batch id changes nothing
-    before = _rows(sink.state(spark), fct_b.columns)
-    sink.process(models.processed_events(spark, SF_SMALL).limit(10), 0)
-    assert _rows(sink.state(spark), fct_b.columns) == before
+    # a fresh checkpoint on the old root reads everything again: nothing is lost, nothing comes twice
+    state_stream(stream(), root, ck + "2", trigger=AVAILABLE_NOW).awaitTermination()
+    assert len(os.listdir(root)) == 2
+    assert _rows(read_state(spark, root), fct_b.columns) == _rows(fct_b)
 
 
-def test_status_move_retracts_old_hour_count(spark, tmp_dir):
+def test_replayed_and_late_batches_converge(spark, tmp_dir):
     from orderflow.schemas import ORDERS_PROCESSED
     row = lambda status, ts: (1, 1, 1, 1, 10.0, None, status, "UPDATE",
                               "2024-01-01T10:00:00Z", None, ts)
-    sink = OrderStateSink(os.path.join(tmp_dir, "s"), buckets=4)
-    sink.process(spark.createDataFrame([row("pending", 1)], ORDERS_PROCESSED), 0)
-    sink.process(spark.createDataFrame([row("cancelled", 2)], ORDERS_PROCESSED), 1)
-    sink.process(spark.createDataFrame([row("confirmed", 0)], ORDERS_PROCESSED), 2)   # late, older
-    m = sink.metrics(spark).collect()
-    assert len(m) == 1 and m[0].pending_orders == 0 and m[0].cancelled_orders == 1
+    batches = [[row("pending", 1)], [row("cancelled", 2), row("cancelled", 2)], [row("confirmed", 0)]]
+    root = os.path.join(tmp_dir, "s")
+    for i, rows in [*enumerate(batches), (1, batches[1])]:          # the second once more
+        append_latest(spark.createDataFrame(rows, ORDERS_PROCESSED), i, root, "one")
+    m = read_metrics(spark, root).collect()
+    assert len(m) == 1 and m[0].pending_orders == 0 and m[0].cancelled_orders == 2  # ties stay, replays add none
     assert m[0].cancellation_rate_pct == 100.0
 
 
+def test_metric_changes_retract_what_they_replace(spark, tmp_dir):
+    """Batch by batch, the sums equal the KPIs of what has come so far."""
+    from orderflow.plans.staging import stg_orders
+    from orderflow.schemas import ORDERS_PROCESSED
+    from orderflow.streaming.ingest import processed_stream
+    src, ck, out = (os.path.join(tmp_dir, x) for x in ("src", "ck", "out"))
+    proc = models.processed_events(spark, SF_SMALL).where("id < 3000")
+    part = F.pmod(F.xxhash64(*proc.columns), F.lit(3))
+    for i in range(3):
+        proc.where(part == i).coalesce(1).write.mode("append").parquet(src)
+        changes = metric_changes(processed_stream(spark, src))
+        changes.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck) \
+            .trigger(availableNow=True).start(out).awaitTermination()
+        want = marts.fct_order_metrics(marts.fct_orders(stg_orders(spark.read.schema(ORDERS_PROCESSED).parquet(src))))
+        got = metrics_of_changes(spark.read.parquet(out)).where("total_orders <> 0")
+        assert _rows(got, want.columns) == _rows(want)
+
+
+def _processed(spark, rows):
+    """(id, status, ms) -> processed rows."""
+    from orderflow.schemas import ORDERS_PROCESSED
+    return spark.createDataFrame([(i, 1, 1, 1, 1.0, None, s, "UPDATE", None, None, ms) for i, s, ms in rows], ORDERS_PROCESSED)
+
+
+def test_steps_are_taken_in_order_and_idle_orders_close(spark, tmp_dir):
+    from orderflow.streaming.ingest import processed_stream
+    day = 86_400_000
+    src, ck, out = (os.path.join(tmp_dir, x) for x in ("src", "ck", "out"))
+    arrivals = [[(1, "confirmed", 2 * day), (1, "pending", 1 * day), (2, "pending", 1 * day)],       # out of order
+                [(1, "delivered", 4 * day), (1, "shipped", 3 * day), (2, "shipped", 3 * day)],
+                [(9, None, 1000 * day)], [(9, None, 2000 * day)]]
+    open_orders = []
+    for rows in arrivals:
+        _processed(spark, rows).coalesce(1).write.mode("append").parquet(src)
+        q = (illegal_steps(processed_stream(spark, src), "5 days", idle_days=100).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+        q.awaitTermination()
+        open_orders.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(2, "pending", "shipped", 3 * day)]
+    assert open_orders[-1] == 1          # of all orders only the heartbeat's group is held
+
+
+def test_late_rows_are_counted_and_windows_evicted(spark, tmp_dir):
+    from orderflow.streaming.ingest import processed_stream
+    from orderflow.streaming.windows import late_groups
+    hour = 3_600_000
+    src, ck, out = (os.path.join(tmp_dir, x) for x in ("src", "ck", "out"))
+    arrivals = [[(1, "x", h * hour) for h in range(48)], [(1, "x", 100 * hour)], [(1, "x", 5 * hour), (1, "x", 101 * hour)]]
+    late, state = 0, []
+    for rows in arrivals:
+        _processed(spark, rows).coalesce(1).write.mode("append").parquet(src)
+        q = (change_counts(processed_stream(spark, src), "1 hour", "2 hours").writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+        q.awaitTermination()
+        late += late_groups(q)
+        state.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert late == 1                                  # the event of hour 5 came behind the watermark
+    assert state[0] > state[1] == 1                   # 48 windows, then all but the newest are gone
+    got = {r.window_start.hour + 24 * (r.window_start.day - 1): r.changes for r in spark.read.parquet(out).collect()}
+    assert got == {h: 1 for h in range(48)}           # each window once, the late event in none
+
+
+def _killed(spark, make, check):
+    """Run ``make(fail)`` with a failure, then without."""
+    import pytest
+    with pytest.raises(Exception):
+        make(True)
+    make(False)
+    check()
+
+
+def test_file_sink_restarts_in_the_middle_of_a_batch(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("src", "out", "ck"))
+    _write_record_parts(spark, src, 3, range(3))
+    poison = F.when(F.col("value").contains('"id":7,'), F.raise_error(F.lit("killed")).cast("string")).otherwise(F.col("value"))
+
+    def make(fail):
+        recs = file_records(spark, os.path.join(src, "*", "*.json"))
+        recs = recs.withColumn("value", poison) if fail else recs
+        ingest_stream(recs, out, ck, trigger=AVAILABLE_NOW).awaitTermination()
+
+    want = _rows(models.processed_events(spark, SF_SMALL))
+    _killed(spark, make, lambda: None)
+    assert _rows(read_processed(spark, out)) == want
+    # killed between the sink's log and the checkpoint's: the batch runs again, the sink knows it
+    commits = os.path.join(ck, "commits")
+    for name in [n for n in os.listdir(commits) if n.lstrip(".").split(".")[0].isdigit()]:
+        os.unlink(os.path.join(commits, name))
+    make(False)
+    assert _rows(read_processed(spark, out)) == want
+
+
+def test_foreach_batch_restarts_between_data_and_commit(spark, tmp_dir, monkeypatch):
+    from orderflow.streaming import state as S
+    src, ck, root = (os.path.join(tmp_dir, x) for x in ("src", "ck", "state"))
+    _write_record_parts(spark, src, 3, range(3))
+    real = S.append_latest
+
+    def make(fail):
+        def append(batch, batch_id, *a, **k):
+            real(batch, batch_id, *a, **k)
+            if fail and batch_id == 1:
+                raise RuntimeError("killed after the data, before the commit")
+        monkeypatch.setattr(S, "append_latest", append)
+        state_stream(decode_stream(file_records(spark, os.path.join(src, "*", "*.json"), max_files_per_trigger=1)), root, ck,
+                     trigger=AVAILABLE_NOW).awaitTermination()
+
+    fct = models.fact(spark, SF_SMALL)
+
+    def check():
+        assert len(os.listdir(root)) == 1             # the same stream, by its checkpoint
+        assert _rows(read_state(spark, root), fct.columns) == _rows(fct)
+
+    _killed(spark, make, check)
+
+
 def test_windowed_change_counts_stream_and_batch(spark, tmp_dir):
     src, ck = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "ck")
     _write_record_parts(spark, src, 2, [0, 1])
@@ -97,13 +212,11 @@ def test_ingest_then_state_stream_end_to_end(spark, tmp_dir):
     _write_record_parts(spark, src, 3, range(3))
     ingest_stream(file_records(spark, os.path.join(src, "*", "*.json"), max_files_per_trigger=1),
                   out, ck1, trigger=AVAILABLE_NOW).awaitTermination()
-    sink = OrderStateSink(root, bucket_width=300)
-    state_stream(processed_stream(spark, out, max_files_per_trigger=1), sink, ck2,
-                 trigger=AVAILABLE_NOW).awaitTermination()
+    state_stream(processed_stream(spark, out, max_files_per_trigger=1), root, ck2, trigger=AVAILABLE_NOW).awaitTermination()
     fct_b = models.fact(spark, SF_SMALL)
-    assert _rows(sink.state(spark), fct_b.columns) == _rows(fct_b)
+    assert _rows(read_state(spark, root), fct_b.columns) == _rows(fct_b)
     met_b = marts.fct_order_metrics(fct_b)
-    assert _rows(sink.metrics(spark), met_b.columns) == _rows(met_b)
+    assert _rows(read_metrics(spark, root), met_b.columns) == _rows(met_b)
 
 
 def test_json_sink_and_missing_kafka_connector(spark, tmp_dir):
@@ -139,22 +252,6 @@ def test_streaming_aggregation_latest_state(spark, tmp_dir):
     assert _rows(final, cols) == _rows(want, cols)
 
 
-def test_new_checkpoint_on_an_old_root_is_refused_not_dropped(spark, tmp_dir):
-    """Batch numbers of another checkpoint are no replays: nothing is lost silently."""
-    import pytest
-
-    proc = models.processed_events(spark, SF_SMALL).limit(60)
-    sink = OrderStateSink(os.path.join(tmp_dir, "s"), buckets=4)
-    sink.process(proc, 0, "first")
-    sink.process(proc, 0, "first")  # a replay
-    rows = sink.state(spark).count()
-    with pytest.raises(ValueError, match="stream"):
-        sink.process(proc, 0, "second")
-    with pytest.raises(ValueError, match="stream"):
-        OrderStateSink(os.path.join(tmp_dir, "s"), buckets=4).process(proc, 0)
-    assert sink.state(spark).count() == rows
-
-
 def test_every_status_is_returned(spark):
     from orderflow.plans import panels
 
