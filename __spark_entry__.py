@@ -561,7 +561,7 @@ def q_metrics_sorted_files(spark, d):
     from orderflow.session import scratch_path
     from orderflow.sources import tables as TB
     path = TB.write_ordered_metrics(models.metrics(spark, d), scratch_path(spark, "metrics") + "/sorted")
-    return _out(spark.read.parquet(path))
+    return _out(TB.read_ordered_metrics(spark, path))
 
 
 def q_compact_processed(spark, d):

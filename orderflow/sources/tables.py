@@ -91,8 +91,23 @@ def write_ordered(df: DataFrame, path: str, *order: Column, files: int | None =
 
 
 def write_ordered_metrics(metrics: DataFrame, path: str, files: int | None = None) -> str:
-    """The hourly KPIs, newest hour first, the NULL hour last."""
-    return write_ordered(metrics, path, F.col("metric_hour").desc_nulls_last(), files=files)
+    """The hourly KPIs, newest hour first, the NULL hour last.  The day stands
+    beside the hour: Parquet's reader compares dates with the statistics, but
+    not zoneless timestamps."""
+    return write_ordered(metrics.withColumn("metric_date", F.to_date("metric_hour")), path, F.col("metric_hour").desc_nulls_last(), files=files)
+
+
+def read_ordered_metrics(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """The KPIs of ``start <= metric_hour < end``; files of other days are
+    skipped by their statistics."""
+    df, hour, day = spark.read.parquet(path), F.col("metric_hour"), F.col("metric_date")
+    if start is not None:
+        s = F.lit(start).cast(T.TimestampNTZType())
+        df = df.where((day >= F.to_date(s)) & (hour >= s))
+    if end is not None:
+        e = F.lit(end).cast(T.TimestampNTZType())
+        df = df.where((day <= F.to_date(e)) & (hour < e))
+    return df.drop("metric_date")
 
 
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256 << 20) -> str:
