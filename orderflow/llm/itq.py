@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ MOST_MISSED = 0.005
 SUBSTRING = (12, 24)
 #: Tables up to which the mean is taken off.
 MOST_TABLES = 64
+#: Lengths of vectors that may occur twice or more: each is searched by itself.
+MOST_LENGTHS = 256
 #: Rows of a bucket, and of each of two parts of a larger one, that meet at once.
 BLOCK = 8192
 
@@ -57,11 +60,6 @@ class Codes:
 
     def encode(self, x: np.ndarray) -> np.ndarray:
         """Unit vectors to bits (rows x bits, 0 or 1)."""
-        d = len(self.mean)
-        if x.shape[1] != d:  # another length than the sample's: cut or filled with zeros
-            y = np.zeros((len(x), d))
-            y[:, :min(d, x.shape[1])] = x[:, :d]
-            x = y
         return np.hstack([(x - self.mean) @ r > 0 for r in self.rotations]).astype(np.uint8)
 
     def words(self, bits: np.ndarray) -> np.ndarray:
@@ -131,6 +129,7 @@ def plan_codes(sample: np.ndarray, n: int, least_cosine: float) -> Codes:
 
 def _unit(column) -> np.ndarray:
     x = np.array(column.to_pylist(), np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components leave the doubles
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -188,14 +187,10 @@ def _buckets(vectors: DataFrame, codes: Codes) -> DataFrame:
             for at in range(0, b.num_rows, 2048):
                 some = b.slice(at, 2048)
                 label, size = some.column("label").to_numpy(), some.column("size").to_numpy()
-                lists = some.column("embedding").to_pylist()
-                bits = np.zeros((len(lists), codes.bits), np.uint8)
-                for n in np.unique(size):
-                    of = np.flatnonzero(size == n)
-                    bits[of] = codes.encode(_unit(pa.array([lists[i] for i in of])))
+                bits = codes.encode(_unit(some.column("embedding")))
                 words = codes.words(bits)
                 code = pa.FixedSizeListArray.from_arrays(pa.array(words.view(np.int64).ravel()), words.shape[1]).cast(pa.list_(pa.int64()))
-                node, n = some.column("node"), len(lists)
+                node, n = some.column("node"), some.num_rows
                 for t in range(len(codes.cuts)):
                     value = codes.values(bits, t)
                     for flip in [0, *(1 << k for k in range(codes.cuts[t][1] - codes.cuts[t][0]))]:
@@ -216,7 +211,7 @@ def _by_bucket(rows: DataFrame) -> DataFrame:
 
 
 def links(vectors: DataFrame, codes: Codes, least_cosine: float, block: int = BLOCK) -> DataFrame:
-    """From distinct vectors (node, label, size, embedding, weight): rows
+    """From distinct vectors of one length (node, label, size, embedding, weight): rows
     (node, other, n): ``n`` more weighted links of ``node`` (other null), or
     an edge of the forest (n = 0)."""
     masks, far = codes.masks(), codes.far
@@ -238,6 +233,7 @@ def links(vectors: DataFrame, codes: Codes, least_cosine: float, block: int = BL
             label, size = table.column("label").to_numpy(), table.column("size").to_numpy()
             flat = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             begin = np.append(0, np.cumsum(size))
+            flat /= np.repeat(np.maximum.reduceat(np.abs(flat), begin[:-1]), size)
             distinct, back = np.unique(node, return_inverse=True)
             local, total = LocalComponents(len(distinct)), np.zeros(len(distinct), np.int64)
             for i, j in _pairs(table, bounds, far, masks):
@@ -280,22 +276,27 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     rows = keyed(df, id=id_col, embedding=vector_col, label=label_col)
     x = F.transform("embedding", lambda v: v.cast("double"))
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    norm = F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)
+    some = F.exists(x, lambda v: v != 0)
     fine = F.col("label").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(finite, F.lit(False))
-    rows = rows.withColumn("fine", F.when(fine, norm > 0).otherwise(False))
+    rows = rows.withColumn("fine", F.when(fine, some).otherwise(False))
     vectors = rows.where("fine").groupBy("label", "embedding").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
     vectors = stored(vectors.select(F.monotonically_increasing_id().alias("node"), F.col("label").cast("bigint").alias("number"), "label",
                                     F.size("embedding").cast("bigint").alias("size"), "embedding", "id", "weight"), "vectors")
-    n = vectors.count()
-    if n < 2:
+    # vectors of different lengths never link: each length has rotations of its own
+    sizes = [(r["size"], r["count"]) for r in vectors.groupBy("size").count().where("count > 1").orderBy("size").limit(MOST_LENGTHS + 1).collect()]
+    if len(sizes) > MOST_LENGTHS:
+        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
+    if not sizes:
         found = vectors.select("node", F.lit(0).cast("bigint").alias("links"), F.col("node").alias("root"))
     else:
-        common = vectors.groupBy("size").count().orderBy(F.desc("count"), "size").first()["size"]
-        sample = vectors.where(F.col("size") == common).orderBy(F.xxhash64("embedding"), "node").limit(FIT_ROWS).select("embedding").collect()
-        unit = np.array([r["embedding"] for r in sample], np.float64)
-        codes = plan_codes(unit / np.linalg.norm(unit, axis=1, keepdims=True), n, least_cosine)
         numbered = vectors.select("node", F.xxhash64("label").alias("label"), "size", "embedding", "weight")
-        link_rows = stored(links(numbered, codes, least_cosine, block), "links")
+        parts = []
+        for size, n in sizes:
+            own = F.col("size") == size
+            sample = vectors.where(own).orderBy(F.xxhash64("embedding"), "node").limit(FIT_ROWS).select("embedding").collect()
+            codes = plan_codes(_unit(pa.array([r["embedding"] for r in sample])), n, least_cosine)
+            parts.append(stored(links(numbered.where(own), codes, least_cosine, block), "links"))
+        link_rows = reduce(DataFrame.unionByName, parts)
         member = connected_components(link_rows.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
         degree = link_rows.groupBy("node").agg(F.sum("n").alias("links"))
         found = vectors.select("node").join(degree, "node", "left").join(member.withColumnRenamed("vertex", "node"), "node", "left") \

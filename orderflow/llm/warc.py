@@ -94,10 +94,27 @@ def _row(archive: str, offset: int, block: bytes, **fields) -> dict:
     return row | fields
 
 
+def _next_header(f, fields: list[str]) -> tuple[int, bytes]:
+    """Bytes before the next line that is a record's header, and that line."""
+    skipped, date = 0, fields.index("Archive-date") if "Archive-date" in fields else None
+    while line := f.readline():
+        values = line.rstrip(b"\r\n").decode("latin-1").rsplit(" ", len(fields) - 1)
+        length = _number(values[-1])
+        if len(values) == len(fields) and ":" in values[0] and length is not None and length >= 0 \
+                and (date is None or re.fullmatch("[0-9]{14}", values[date])):
+            return skipped, line
+        skipped += len(line)
+    return skipped, b""
+
+
 def arc_records(content: bytes, name: str = "") -> Iterator[dict]:
-    """The records of one ARC archive of either version.  A header line that
-    is not of the declared version, or a length beyond the archive's end,
-    gives a last record with ``error``; the rest of the archive is not read."""
+    """The records of one ARC archive of either version.
+
+    A line in the place of a header that is not one gives a record with
+    ``error``, and reading goes on at the next line that is one: as many fields
+    as the version has, a date of 14 digits and a length.  A length beyond the
+    archive's end, bytes that do not unpack and a version block that is none
+    give a last record with ``error``."""
     f = opened(content)
     offset, fields, version = 0, [], ""
     while True:
@@ -118,7 +135,19 @@ def arc_records(content: bytes, name: str = "") -> Iterator[dict]:
         length = _number(values[-1])
         if length is None or length < 0 or (fields and len(values) != len(names)) or (not fields and not text.startswith("filedesc:")):
             yield dict.fromkeys(RECORD.names) | {"archive": name, "offset": offset, "error": f"not a header: {text[:80]}"}
-            return
+            if not fields:
+                return
+            offset += len(line)
+            try:
+                skipped, line = _next_header(f, fields)
+            except (OSError, EOFError) as e:
+                yield dict.fromkeys(RECORD.names) | {"archive": name, "offset": offset, "error": f"unreadable: {e}"}
+                return
+            if not line:
+                return
+            offset += skipped
+            values = line.rstrip(b"\r\n").decode("latin-1").rsplit(" ", len(names) - 1)
+            length = _number(values[-1])
         try:
             block = f.read(length)
         except (OSError, EOFError):
@@ -221,7 +250,6 @@ def revisits(records: DataFrame, least_bytes: int = LEAST_REVISIT) -> DataFrame:
     length; payloads are not moved."""
     small = records.where(F.col("error").isNull() & (F.col("payload_bytes") >= least_bytes)) \
         .select("record_id", "source_id", "payload_sha1", "payload_bytes", "uri", "date")
-    small = stored(small, "payloads")
     key = ["payload_sha1", "payload_bytes"]
     stays = F.max(F.struct("source_id", "record_id", "uri", "date")).alias("stays")
     groups = small.groupBy(*key).agg(F.count("*").alias("n"), stays).where("n > 1").select(*key, "stays")
@@ -262,11 +290,20 @@ def write_warc(records: DataFrame, path: str, records_per_file: int = 20_000) ->
         .option("maxRecordsPerFile", records_per_file).text(path)
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int = LEAST_REVISIT) -> None:
-    """Convert the ARC files below ``arc_path`` to WARC files in ``warc_path``."""
-    again = stored(revisits(read_arc(archives(spark, arc_path), payload=False), least_bytes), "revisits")
+def convert(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int = LEAST_REVISIT) -> int:
+    """Convert the ARC files below ``arc_path`` to WARC files in ``warc_path``.
+    What could not be read is written beside them, to ``<warc_path>-errors``
+    (archive, offset, error), and counted: the result.  Empty archives give no
+    records; repeated archives give repeated ones."""
+    heads = stored(read_arc(archives(spark, arc_path), payload=False).drop("payload", "head"), "arc-heads")
+    errors = heads.where("error is not null").select("archive", "offset", "error")
+    n = errors.count()
+    if n:
+        errors.write.json(f"{warc_path}-errors")
+    again = stored(revisits(heads, least_bytes), "revisits")
     records = read_arc(archives(spark, arc_path)).drop("refers_to_id")
     write_warc(records.join(again, "record_id", "left"), warc_path)
+    return n
 
 
 def write_pages_as_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
