@@ -305,7 +305,7 @@ def test_the_mix_takes_the_words_of_its_blocks(spark):
         late += numbers[0] > 0 and len(numbers) < taken[r.doc_id][1]
     assert parts == {d: t for d, (t, _) in taken.items() if t}
     assert late > 10  # most runs do not begin with the document
-    _, places, block = mixing.plan_mix(docs.withColumn("__row", F.col("doc_id").cast("bigint")))
+    _, places, block = mixing.plan_mix(docs.withColumn("__row", F.col("doc_id").cast("bigint")), row_col="__row")
     times = {}
     for b in block.collect():
         for w in range(b["from"], b.to):
