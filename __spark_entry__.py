@@ -33,7 +33,9 @@ from orderflow.sources.testdata import customers, products
 try:  # the corpus operators are an optional part of the repository
     import corpus_pipeline
     from orderflow.llm import queries as corpus_queries
-except ImportError:
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "orderflow.llm"):  # there, but broken
+        raise
     _CORPUS_QUERIES, _CORPUS_SQL = {}, {}
 else:
     _CORPUS_QUERIES = {**corpus_queries.QUERIES, "pipeline": corpus_pipeline.run}
