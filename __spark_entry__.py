@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:  # the driver may load this file by path
@@ -182,7 +183,7 @@ HEARTBEAT = (-1, 0, 0, None, None, None, None, "UPDATE", None, None, 41024448000
 def _slices(spark, d, base, arrival):
     """The processed changes cut by the time at which they arrive, written
     once; yields after adding each slice, and a heartbeat, to ``base``/input."""
-    cuts = [F.unix_millis(F.lit(c).cast("timestamp")) for c in SLICES]
+    cuts = [int(datetime.fromisoformat(c).replace(tzinfo=timezone.utc).timestamp() * 1000) for c in SLICES]
     proc = models.processed_events(spark, d)
     proc.withColumn("slice", sum(((arrival >= c).cast("int") for c in cuts), F.lit(0))) \
         .write.partitionBy("slice").parquet(base + "/staged")
