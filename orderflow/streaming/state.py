@@ -20,6 +20,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,36 +84,42 @@ CHANGE = T.StructType([
     T.StructField("hour_ms", T.LongType()), T.StructField("status", T.StringType()),
     T.StructField("cents", T.LongType()), T.StructField("sign", T.IntegerType()),
 ])
-_STATE = T.StructType([T.StructField("orders", T.StringType())])
+_STATE = T.StructType([T.StructField("orders", T.BinaryType())])
 #: Neighbouring order ids that share a state row: a call of the state function
-#: costs more than an order's events do.
-GROUP_ORDERS = 256
+#: costs as much as thousands of events do.
+GROUP_ORDERS = 4096
+_HELD = pa.schema([("order_id", pa.int64()), ("at", pa.int64()), ("hour_ms", pa.int64()), ("status", pa.string()), ("cents", pa.int64())])
+_HELD_TYPES = {"order_id": "int64", "at": "int64", "hour_ms": "Int64", "status": object, "cents": "Int64"}
+
+
+def _latest(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows[rows["at"] == rows.groupby("order_id")["at"].transform("max")]
 
 
 def _replace_latest(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """A group of orders: the rows of a batch against those held, by order:
-    the latest time and its rows."""
-    held = json.loads(state.get[0]) if state.exists else {}
-    before: dict[str, tuple] = {}
+    """A group of orders: the latest rows of a batch against those held, all
+    orders at once.  The state is an Arrow table of the latest rows."""
+    if state.exists:
+        held = pa.ipc.open_stream(bytes(state.get[0])).read_all().to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+    else:
+        held = pd.DataFrame(columns=_HELD.names)
+    held, new = held.astype(_HELD_TYPES), None
     for b in batches:
-        columns = [b[c].astype(object).where(b[c].notna(), None).tolist() for c in ("order_id", "at", "hour_ms", "status", "cents")]
-        for order, at, hour, status, cents in zip(*columns):
-            order, at = str(int(order)), int(at)
-            row = [None if hour is None else int(hour), status, None if cents is None else int(cents)]
-            known = held.get(order)
-            before.setdefault(order, (known[0], list(known[1])) if known else (None, []))
-            if known is None or at > known[0]:
-                held[order] = [at, [row]]
-            elif at == known[0]:
-                known[1].append(row)
-    state.update((json.dumps(held),))
-    changes = []
-    for order, (at, rows) in before.items():
-        now_at, now = held[order]
-        changes += [(*r, -1) for r in rows if at != now_at]
-        changes += [(*r, 1) for r in (now if at != now_at else now[len(rows):])]
-    if changes:
-        yield pd.DataFrame(changes, columns=CHANGE.names).astype({"hour_ms": "Int64", "cents": "Int64"})
+        b = b[_HELD.names].astype(_HELD_TYPES)
+        new = _latest(b if new is None else pd.concat([new, b], ignore_index=True))
+    if new is None or not len(new):
+        return
+    before = held["order_id"].map(new.groupby("order_id")["at"].max())  # the new time, where the batch has the order
+    known = new["order_id"].map(held.groupby("order_id")["at"].max())
+    gone, come = (before > held["at"]).to_numpy(bool), ~(known > new["at"]).to_numpy(bool)
+    kept = pa.RecordBatch.from_pandas(pd.concat([held[~gone], new[come]], ignore_index=True), _HELD, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _HELD) as out:
+        out.write_batch(kept)
+    state.update((sink.getvalue().to_pybytes(),))
+    changes = pd.concat([held[gone].assign(sign=-1), new[come].assign(sign=1)], ignore_index=True)
+    if len(changes):
+        yield changes[CHANGE.names]
 
 
 def metric_changes(processed: DataFrame, strict_timestamps: bool = True) -> DataFrame:

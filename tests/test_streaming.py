@@ -258,3 +258,39 @@ def test_every_status_is_returned(spark):
     fct = spark.range(1000).selectExpr("id AS order_id", "concat('junk-', id) AS status", "CAST(id AS DECIMAL(10,2)) AS total_amount")
     rows = panels.status_revenue(fct).collect()
     assert len(rows) == 1000 and [r.status for r in rows] == sorted(r.status for r in rows)
+
+
+class _State:
+    """What a state function sees of its group's state."""
+
+    def __init__(self):
+        self.exists, self.get = False, None
+
+    def update(self, row):
+        self.exists, self.get = True, row
+
+
+def test_group_state_holds_the_latest_rows_of_many_orders():
+    """One call for thousands of orders; the changes sum up to the latest rows."""
+    import collections
+    import random
+
+    import pandas as pd
+
+    from orderflow.streaming.state import GROUP_ORDERS, _replace_latest
+    assert GROUP_ORDERS >= 1024
+    rng, state, seen, sums = random.Random(1), _State(), [], collections.Counter()
+    for n in (3000, 1, 2500, 500):
+        rows = [(rng.randrange(700), rng.randrange(6), rng.choice([None, 3_600_000]), rng.choice([None, "pending", "cancelled"]),
+                 rng.choice([None, 5, 7])) for _ in range(n)]
+        seen += rows
+        frames = [pd.DataFrame(rows[i::2], columns=["order_id", "at", "hour_ms", "status", "cents"]) for i in range(2)]
+        for out in _replace_latest((0,), iter(frames), state):
+            for *row, sign in out.astype(object).where(out.notna(), None).itertuples(index=False):
+                sums[tuple(row)] += sign
+        last = {}
+        for order, at, *_ in seen:
+            last[order] = max(at, last.get(order, at))
+        wanted = collections.Counter(tuple(r[2:]) for r in seen if r[1] == last[r[0]])
+        assert {k: v for k, v in sums.items() if v} == wanted
+    assert isinstance(state.get[0], bytes)
