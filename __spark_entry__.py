@@ -195,16 +195,23 @@ def _slices(spark, d, base, arrival):
     yield len(cuts) + 1
 
 
-def _hash_slices(spark, d, path, parts=4):
+PARTS = 4
+
+
+def _hash_slices(spark, d, path, parts=PARTS):
     """The processed changes in ``parts`` folders cut across time."""
     proc = models.processed_events(spark, d)
     proc.withColumn("slice", F.pmod(F.xxhash64(*proc.columns), F.lit(parts))).write.partitionBy("slice").parquet(path)
 
 
-def _sliced_stream(spark, path):
-    """One folder's files after the other, as a stream."""
+def _sliced_stream(spark, path, parts=PARTS):
+    """The folders' files as a stream of at most ``parts`` micro-batches: each
+    of them meets the whole state, so their number does not follow that of the
+    files."""
+    from orderflow.sources.tables import count_files
     from orderflow.streaming.ingest import processed_stream
-    return processed_stream(spark, path + "/*", max_files_per_trigger=2)
+    files = count_files(spark, path + "/*/*.parquet")
+    return processed_stream(spark, path + "/*", max_files_per_trigger=max(1, -(-files // parts)))
 
 
 def q_stream_state_fct_orders(spark, d):

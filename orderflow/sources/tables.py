@@ -27,6 +27,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def count_files(spark: SparkSession, pattern: str) -> int:
+    """How many files match a glob pattern."""
+    fs, p = _fs(spark, pattern)
+    return len(fs.globStatus(p) or ())
+
+
 def new_version_id() -> str:
     return f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
 

@@ -294,3 +294,13 @@ def test_group_state_holds_the_latest_rows_of_many_orders():
         wanted = collections.Counter(tuple(r[2:]) for r in seen if r[1] == last[r[0]])
         assert {k: v for k, v in sums.items() if v} == wanted
     assert isinstance(state.get[0], bytes)
+
+
+def test_micro_batches_do_not_follow_the_number_of_files(spark, tmp_dir):
+    import __spark_entry__ as entry
+    proc = models.processed_events(spark, SF_SMALL).limit(2000).repartition(20)
+    proc.withColumn("slice", F.pmod(F.xxhash64(*proc.columns), F.lit(4))).write.partitionBy("slice").parquet(tmp_dir + "/in")
+    seen = []
+    (entry._sliced_stream(spark, tmp_dir + "/in").writeStream.foreachBatch(lambda b, i: seen.append(b.count()))
+     .option("checkpointLocation", tmp_dir + "/ck").trigger(**AVAILABLE_NOW).start().awaitTermination())
+    assert sum(seen) == 2000 and 2 <= len(seen) <= 4
