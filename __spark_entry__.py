@@ -165,10 +165,10 @@ def q_stream_ingest(spark, d):
     JSON files in the shared folder) -> decode, filter -> Parquet file sink
     with a checkpoint; returns the sink's committed rows."""
     from orderflow.session import scratch_path
-    from orderflow.streaming.ingest import file_records, ingest_stream
+    from orderflow.streaming.ingest import file_records, ingest_stream, write_records
     base = scratch_path(spark, "stream-ingest")
-    models.topic_records(spark, d).withColumn("partition", F.lit(0)) \
-        .withColumn("offset", F.lit(None).cast("bigint")).write.json(base + "/records")
+    write_records(models.topic_records(spark, d).withColumn("partition", F.lit(0))
+                  .withColumn("offset", F.lit(None).cast("bigint")), base + "/records")
     q = ingest_stream(file_records(spark, base + "/records"), base + "/processed", base + "/checkpoint",
                       trigger={"availableNow": True})
     q.awaitTermination()
@@ -579,11 +579,10 @@ def q_compact_processed(spark, d):
     into few, and read back."""
     from orderflow.session import scratch_path
     from orderflow.sources import tables as TB
-    from orderflow.streaming.ingest import file_records, ingest_stream
+    from orderflow.streaming.ingest import file_records, ingest_stream, write_records
     base = scratch_path(spark, "compact")
-    models.topic_records(spark, d).withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(6)).cast("int")) \
-        .withColumn("offset", F.lit(None).cast("bigint")).withColumn("slice", F.col("partition")) \
-        .write.partitionBy("slice").json(base + "/records")
+    write_records(models.topic_records(spark, d).withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(6)).cast("int"))
+                  .withColumn("offset", F.lit(None).cast("bigint")).withColumn("slice", F.col("partition")), base + "/records", ("slice",))
     ingest_stream(file_records(spark, base + "/records/*", max_files_per_trigger=8), base + "/processed", base + "/checkpoint",
                   trigger={"availableNow": True}).awaitTermination()
     return W.read_processed(spark, TB.compact(spark, base + "/processed", base + "/compacted"))

@@ -296,6 +296,20 @@ def test_group_state_holds_the_latest_rows_of_many_orders():
     assert isinstance(state.get[0], bytes)
 
 
+def test_records_are_written_compressed(spark, tmp_dir):
+    from orderflow.streaming.ingest import file_records, write_records
+    records = models.topic_records(spark, SF_SMALL).withColumn("partition", F.lit(0)).withColumn("offset", F.lit(None).cast("bigint"))
+    import __spark_entry__ as entry
+    for query in (entry.q_stream_ingest, entry.q_compact_processed):
+        assert "write_records" in query.__code__.co_names
+    write_records(records, tmp_dir + "/records")
+    raw = records.select(F.sum(F.length("value") + F.length("key"))).collect()[0][0]
+    written = sum(os.path.getsize(f"{tmp_dir}/records/{f}") for f in os.listdir(tmp_dir + "/records"))
+    assert written < raw / 2
+    read = spark.read.schema(file_records(spark, tmp_dir + "/records").schema).json(tmp_dir + "/records")
+    assert _rows(read, ["key", "value", "topic"]) == _rows(records, ["key", "value", "topic"])
+
+
 def test_micro_batches_do_not_follow_the_number_of_files(spark, tmp_dir):
     import __spark_entry__ as entry
     proc = models.processed_events(spark, SF_SMALL).limit(2000).repartition(20)
