@@ -44,9 +44,13 @@ def route(records: DataFrame, tables: dict[str, T.StructType] = WIRE_TABLES) ->
     out = out.withColumn("__text", F.from_json("raw", every, {"allowSingleQuotes": "false"}))
     named = F.col("__text.__table")
     out = out.withColumn("table", F.when(named.isin(*tables), named).otherwise(F.lit(UNROUTED)))
-    columns = [F.when(F.col("table") == name, F.struct(*typed_fields(F.col("__text"), schema))).alias(name)
+    # each field is cast once, whatever tables have it, and the structs only put the casts together
+    typed = {(f.name, f.dataType): f"f{i}" for i, f in enumerate({(f.name, f.dataType): f for s in tables.values() for f in s.fields}.values())}
+    casts = [typed_fields(F.col("__text"), T.StructType([T.StructField(*k)]))[0].alias(c) for k, c in typed.items()]
+    out = out.select(F.when(F.col("table") == UNROUTED, F.col("raw")).alias("raw"), *casts, "table")
+    columns = [F.when(F.col("table") == name, F.struct(*[F.col(typed[f.name, f.dataType]).alias(f.name) for f in schema.fields])).alias(name)
                for name, schema in tables.items()]
-    return out.select(F.when(F.col("table") == UNROUTED, F.col("raw")).alias("raw"), *columns, "table")
+    return out.select("raw", *columns, "table")
 
 
 def route_stream(records: DataFrame, out_path: str, checkpoint: str, tables: dict[str, T.StructType] = WIRE_TABLES,

@@ -106,3 +106,10 @@ def test_failure_between_two_tables_loses_and_repeats_nothing(spark, tmp_dir):
         assert sorted(r.id for r in read_routed(spark, out, table).collect()) == list(range(n, 300, 3))
     plan = read_routed(spark, out, "customers")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "products" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_routed_fields_are_cast_once(spark):
+    import re
+
+    plan = route(spark.createDataFrame([("x",)], "value string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"__text#\d+\.__ts_ms as bigint", plan)) == 1
