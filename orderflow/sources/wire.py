@@ -24,6 +24,8 @@ from ..schemas import ORDERS_PROCESSED, ORDERS_WIRE
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 #: Lines with single quotes are no JSON for the reader of the warehouse either.
 _JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+#: Text that begins with a letter, a digit or a double quote is neither an object nor a list of objects.
+_NO_OBJECT = r'^[A-Za-z0-9"]'
 
 
 def text_schema(schema: T.StructType) -> T.StructType:
@@ -40,6 +42,13 @@ def typed_fields(text: Column, schema: T.StructType) -> list[Column]:
             for f in schema.fields]
 
 
+def _parsed(text: Column, schema: T.StructType) -> Column:
+    """``from_json`` of text that can be an object.  Plain text, numbers and
+    words (``null`` too) have no fields; the parser would find that out by an
+    exception, which costs more than a good line."""
+    return F.when(~text.rlike(_NO_OBJECT), F.from_json(text, schema, _JSON))
+
+
 def parse_json_column(df: DataFrame, value_col: str, schema: T.StructType,
                       keep: list[str] | None = None) -> DataFrame:
     """Parse ``value_col`` (JSON text) into the typed columns of ``schema``.
@@ -50,7 +59,7 @@ def parse_json_column(df: DataFrame, value_col: str, schema: T.StructType,
     repeated key the last value counts.  ``from_json`` only makes the fields
     selected later, so column pruning reaches into the parser.
     """
-    parsed = F.from_json(F.col(value_col), text_schema(schema), _JSON)
+    parsed = _parsed(F.col(value_col), text_schema(schema))
     out = df.select(*(keep or []), parsed.alias("__text"))
     return out.select(*(keep or []), *typed_fields(F.col("__text"), schema))
 

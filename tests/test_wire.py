@@ -1,9 +1,10 @@
 """Tolerant decoding of the wire format."""
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.schemas import ORDERS_WIRE
-from orderflow.sources.wire import parse_change_events, parse_json_column, to_envelope, unwrap_envelope
+from orderflow.sources.wire import _JSON, parse_change_events, parse_json_column, text_schema, to_envelope, unwrap_envelope
 
 SMALL = T.StructType([T.StructField("id", T.LongType()), T.StructField("quantity", T.IntegerType()),
                       T.StructField("unit_price", T.DoubleType()), T.StructField("status", T.StringType())])
@@ -67,3 +68,29 @@ def test_generic_schema_with_nested_and_boolean_fields(spark):
     df = spark.createDataFrame([('{"id":"5","ok":"true","tags":["x"],"attrs":{"a":1}}',)], "value string")
     r = parse_json_column(df, "value", schema).collect()[0]
     assert r.id == 5 and r.ok is True and r.tags == ["x"] and r.attrs.a == 1
+
+
+def test_no_cast_or_parse_of_what_is_no_number_or_object(spark):
+    """Failing casts throw inside: texts that can be no number are not cast,
+    and what could be one still is."""
+    from orderflow.functions.casts import lenient_cast
+    texts = ["7", " 7 ", "+7", "-7", "7.0", "7.5", "7e2", "7E-2", "7 pieces", "x7", "[7]", '{"n":7}', "true", "", ".5", "5.", "99999999999999999999",
+             "nan", "NaN", "inf", "-Infinity", "1.5d", "1.5f", "0x1p3", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    for to in (T.LongType(), T.IntegerType(), T.DoubleType()):
+        cast = lenient_cast(F.col("x"), to)
+        if isinstance(to, T.DoubleType):
+            plain = F.col("x").try_cast(to)
+        else:
+            dec = F.col("x").try_cast(T.DecimalType(38, 10))
+            plain = F.coalesce(F.col("x").try_cast(to), F.when(dec == F.floor(dec), dec.try_cast(to)))
+        out = df.select("x", cast.alias("a"), plain.alias("b"))
+        assert out.where(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+        assert "RLIKE" in out._jdf.queryExecution().analyzed().toString()
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("s", T.StringType())])
+    lines = ['{"id":1}', ' {"id":2}', '[{"id":3}]', '[3]', "null", '"pending"', "no json", "12", "", "\n\t{\"id\":4}", "-5", "{'id':6}", '{"id":7', None]
+    got = parse_json_column(spark.createDataFrame([(x,) for x in lines], "value string"), "value", schema)
+    plain = got.sparkSession.createDataFrame([(x,) for x in lines], "value string").select(F.from_json("value", text_schema(schema), _JSON).alias("t"))
+    ids = lambda df: sorted(r[0] for r in df.collect() if r[0] is not None)
+    assert ids(got) == ids(plain.select(F.col("t.id").try_cast("bigint"))) and got.count() == len(lines)
+    assert "RLIKE" in got._jdf.queryExecution().analyzed().toString()
