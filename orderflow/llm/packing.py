@@ -35,9 +35,11 @@ MOST_OPEN = 4096
 #: The id that ends each document.
 END_ID = 1
 #: Characters of the words whose ids a worker remembers; then it starts anew.
-MEMO_CHARS = 8_000_000
+MEMO_CHARS = 4_000_000
 #: Bytes of texts that are tokenised at a time (a longer text goes alone).
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
+#: Finished sequences that a task gathers before it hands them on.
+DONE_AT_ONCE = 512
 TOKEN_BYTES = 4
 #: Marks that are a token piece of their own after a letter.
 MARKS = frozenset(".,;:!?")
@@ -278,7 +280,7 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
                 n_sequences += 1
             packer.done = []
             if out:
-                yield from batches_of(dict(zip(schema.names, map(list, zip(*out)))), schema, 2048)
+                yield from batches_of(dict(zip(schema.names, map(list, zip(*out)))), schema, DONE_AT_ONCE)
 
         for b in batches:
             ids_of, texts = b.column("id"), pc.fill_null(b.column("text"), "")
@@ -289,7 +291,7 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
                     ids = data[bounds[i]:bounds[i + 1]] + end
                     packer.add((doc, n_rows, len(ids) // TOKEN_BYTES), ids)
                     n_rows += 1
-                    if len(packer.done) >= 2048:
+                    if len(packer.done) >= DONE_AT_ONCE:
                         yield from finished()
         packer.drain()
         yield from finished()

@@ -180,6 +180,21 @@ def test_words_of_odd_texts_are_the_librarys():
     assert words.encode(pa.array(["of the"]))[0].tolist() == words.library.encode("of the", add_special_tokens=False).ids
 
 
+def test_packing_worker_holds_little(monkeypatch):
+    """Words that are remembered, and texts split at a time, stay few: the
+    pipeline's executors are full of other stages' memory when they pack."""
+    import pyarrow as pa
+
+    words = packing.WordTokens(queries.vocabulary("word_bpe_49k.json"))
+    monkeypatch.setattr(words, "_model_tokens", lambda word: [])
+    held = 0
+    for part in range(120):
+        names = [chr(97 + part // 26) + chr(97 + part % 26) + "".join(chr(97 + i // 26 ** k % 26) for k in range(9)) for i in range(5000)]
+        words.encode(pa.array(names))
+        held = max(held, sum(map(len, words.known)))
+    assert held < 5_000_000 and packing.AT_ONCE <= 1 << 20 and packing.DONE_AT_ONCE <= 512
+
+
 def test_entities_without_letters_and_full_shapes_get_surrogates(spark):
     texts = ['password: "********"', "write to __@--.com now"] + [f"host {a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(4) for c in range(10) for d in range(10)]
     rows = surrogates.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), b"k").collect()
