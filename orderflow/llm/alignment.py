@@ -29,15 +29,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import few_bytes, keyed, stored
+from orderflow.llm.common import few_bytes, keyed, one_thread, packed, stored, strings
 from orderflow.llm.token_fst import byte_names
 
 #: Id pairs of the texts of a block, each pair counted once a text.
 BLOCK_PAIRS = 1 << 16
 #: Bytes of texts that are tokenised at a time (a longer text goes alone).
 AT_ONCE = 1 << 20
-#: Characters of the words whose ids a worker remembers; then it starts anew.
-MEMO_CHARS = 8_000_000
+#: Characters of the words whose ids a worker remembers (some 20 bytes each);
+#: then it starts anew.  Each idle worker of an executor keeps its own.
+MEMO_CHARS = 2_000_000
 #: A blank that does not follow other text: there, words can't be cut apart.
 _OPEN_BLANK = re.compile(r"(?:^|\s) ")
 
@@ -46,8 +47,9 @@ class TwoTokenizers:
     """The ids and token bytes of texts by both tokenizers of a worker.
 
     Both begin a new token at a blank that follows other text, so the ids of a
-    text are those of its words, which are remembered.  Texts with a blank
-    elsewhere go to the libraries whole.
+    text are those of its words, which are remembered.  The words of many texts
+    are split and numbered in Arrow, and only distinct ones are looked up.
+    Texts with a blank elsewhere go to the libraries whole.
     """
 
     def __init__(self, a_path: str, b_path: str):
@@ -76,47 +78,63 @@ class TwoTokenizers:
         probe = "of the \tend\r\n of"
         self.by_word = not any("▁" in p.lstrip("▁") for p in pieces) and \
             "".join(map(pieces.__getitem__, self.b.encode(probe))).count("▁") == 1 + probe.count(" ")
-        self.known_a: dict[str, bytes] = {}
-        self.known_b: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # number of A's ids, A's ids, B's ids
         self.chars = 0
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Ids of each text by A (behind a blank) and by B, as 32-bit bytes."""
-        whole = [not self.by_word or bool(_OPEN_BLANK.search(t)) for t in texts]
-        words = [[t] if w else t.split(" ") for t, w in zip(texts, whole)]
-        self._learn({w for ws, one in zip(words, whole) if not one for w in ws})
-        out_a, out_b = [], []
-        for ws, one in zip(words, whole):
-            if one:
-                (a,), (b,) = self._by_library(ws)
-                out_a.append(a)
-                out_b.append(b)
-            else:
-                out_a.append(b"".join(map(self.known_a.__getitem__, ws)))
-                out_b.append(b"".join(map(self.known_b.__getitem__, ws)))
-        return out_a, out_b
-
-    def _by_library(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+    def encode(self, texts: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """The ids of all texts (no nulls) in a row and each text's first, and
+        the end: by A (behind a blank) and by B."""
+        whole = [i for i, t in enumerate(texts.to_pylist()) if not self.by_word or _OPEN_BLANK.search(t)]
+        alone = np.zeros(len(texts), bool)
+        alone[whole] = True
+        split = pc.split_pattern(pc.if_else(pa.array(alone), "", texts), " ")
+        words = split.flatten().dictionary_encode()
+        firsts = split.offsets.to_numpy() - split.offsets[0].as_py()
+        codes = words.indices.to_numpy().copy()
+        codes[firsts[whole]] = len(words.dictionary) + np.arange(len(whole))
+        ids = self._ids_of(strings(words.dictionary, " ")) + self._by_library(texts.take(pa.array(whole, pa.int64())).to_pylist())
+        flat = np.frombuffer(b"".join(ids), "<i4")
+        ends = np.cumsum([len(x) for x in ids], dtype=np.int64) // 4
+        starts = np.concatenate([[0], ends[:-1]])
+        n_a = flat[starts].astype(np.int64)
+        n_b = ends - starts - 1 - n_a
+        at = np.arange(len(flat)) - np.repeat(starts, ends - starts)  # place behind a word's count
+        by_a = at <= np.repeat(n_a, ends - starts)
+        return tuple(_by_text(flat[picked], n, codes, firsts) for picked, n in ((by_a & (at > 0), n_a), (~by_a, n_b)))
+
+    def _by_library(self, texts: list[str]) -> list[bytes]:
         a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         b = self.b.encode(texts, num_threads=1)
-        return [np.array(x.ids, "<i4").tobytes() for x in a], [np.array(x, "<i4").tobytes() for x in b]
+        return [packed([len(i := x.ids), *i, *y]) for x, y in zip(a, b)]
 
-    def _learn(self, words: set[str]) -> None:
-        if self.chars > MEMO_CHARS:
-            self.known_a, self.known_b, self.chars = {}, {}, 0
-        new = [w for w in words if w not in self.known_a]
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        ids = list(map(self.known.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new and self.chars > MEMO_CHARS:
+            self.known, self.chars = {}, 0
         for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            a, b = self._by_library(some)
+            places = new[at:at + 4096]
+            some = [words[i] for i in places]
+            got = self._by_library(some)
             if "" in some:  # B has no token for no text; after other text it has the blank
-                b[some.index("")] = np.array([self.b.piece_to_id("▁")], "<i4").tobytes()
-            self.known_a.update(zip(some, a))
-            self.known_b.update(zip(some, b))
+                got[some.index("")] += packed([self.b.piece_to_id("▁")])
+            for i, w, x in zip(places, some, got):
+                ids[i] = self.known[w] = x
             self.chars += sum(map(len, some))
+        return ids
+
+
+def _by_text(ids: np.ndarray, sizes: np.ndarray, codes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts and each text's first, and the end, from the ids of
+    distinct words, how many each has, and the texts' words."""
+    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)])), pa.array(ids))
+    ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+    return lists.take(pa.array(codes)).flatten().to_numpy(), ends[firsts]
 
 
 @functools.cache
 def two_tokenizers(a_path: str, b_path: str) -> TwoTokenizers:
+    one_thread()
     return TwoTokenizers(a_path, b_path)
 
 
@@ -132,18 +150,18 @@ class Aligned:
     """The alignment of a few texts; those whose token bytes differ from the
     text have no tokens.  ``bounds_*``: each text's first item, and the end."""
 
-    def __init__(self, two: TwoTokenizers, texts: list[str]):
-        a, b = two.encode(texts)
-        expected = [b" " + t.encode() for t in texts]
+    def __init__(self, two: TwoTokenizers, texts: pa.Array):
+        by_both = two.encode(texts)
+        expected = [b" " + t.encode() for t in texts.to_pylist()]
         good = np.ones(len(texts), bool)
-        for ids, table in ((a, two.a_bytes), (b, two.b_bytes)):
-            bounds = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)])
-            ends, data = _taken(table, np.frombuffer(b"".join(ids), "<i4"))
+        for (ids, bounds), table in zip(by_both, (two.a_bytes, two.b_bytes)):
+            ends, data = _taken(table, ids)
             at = ends[bounds]
             good &= [data[at[i]:at[i + 1]] == e for i, e in enumerate(expected)]
-        a, b = ([x if ok else b"" for x, ok in zip(ids, good)] for ids in (a, b))
-        self.ids_a, self.ids_b = np.frombuffer(b"".join(a), "<i4"), np.frombuffer(b"".join(b), "<i4")
-        self.bounds_a, self.bounds_b = (np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)]) for ids in (a, b))
+        if not good.all():
+            by_both = [(ids[np.repeat(good, np.diff(bounds))], np.concatenate([[0], np.cumsum(np.diff(bounds) * good)]))
+                       for ids, bounds in by_both]
+        (self.ids_a, self.bounds_a), (self.ids_b, self.bounds_b) = by_both
         ends_a, _ = _taken(two.a_bytes, self.ids_a)
         ends_b, _ = _taken(two.b_bytes, self.ids_b)
         # all token bytes are those of the texts, so ends of both compare
@@ -214,7 +232,7 @@ def _align_texts(a_path: str, b_path: str, block_pairs: int):
         for b in batches:
             texts, copies = b.column("text"), b.column("copies").to_numpy()
             for some in few_bytes(pc.binary_length(texts).to_numpy(), AT_ONCE):
-                few = Aligned(two, texts[some].to_pylist())
+                few = Aligned(two, texts[some])
                 pair, times, bounds = few.pairs()
                 n = some.stop - some.start
                 links = np.diff(few.bounds)

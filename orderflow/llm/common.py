@@ -3,11 +3,14 @@ numbers, and streaming complete groups out of sorted Arrow batches."""
 
 from __future__ import annotations
 
+import os
+import struct
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +51,27 @@ def batches_of(columns: dict[str, object], schema: pa.Schema, rows: int = 65536)
         yield from table.to_batches(max_chunksize=rows)
 
 
+def strings(values: pa.Array, absent: str) -> list[str]:
+    """The strings of an array without nulls, none of which holds the
+    character ``absent``: one string cut up, not an Arrow scalar for each."""
+    if not len(values):
+        return []
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(values)], pa.int64()), values)
+    return pc.binary_join(whole, absent)[0].as_py().split(absent)
+
+
+def one_thread() -> None:
+    """The tokenizers library in this worker runs on its task's own thread:
+    the machine's cores are shared out by Spark, and each thread of the
+    library would keep memory of its own."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def few_bytes(sizes: np.ndarray, most: int) -> Iterator[slice]:
     """Slices of neighbouring rows of at most ``most`` bytes together, or of
     one larger row."""

@@ -4,7 +4,7 @@ import gzip
 import math
 import random
 
-from orderflow.llm import itq, queries, warc
+from orderflow.llm import alignment, itq, queries, warc
 
 
 def test_vectors_of_mixed_lengths_and_odd_components(spark):
@@ -86,3 +86,20 @@ def test_pages_with_clashing_names_and_an_empty_table(spark, tmp_path):
 
 def test_vocabulary_paths_exist():
     assert queries.vocabulary("byte_bpe_50k.json")
+
+
+def test_alignment_worker_remembers_few_words(monkeypatch):
+    """What a worker keeps between tasks stays small, and the ids are the libraries'."""
+    import pyarrow as pa
+
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "false")
+    two = alignment.TwoTokenizers(queries.vocabulary("byte_bpe_50k.json"), queries.vocabulary("piece_bpe_32k.model"))
+    held = 0
+    for part in range(60):
+        names = [" ".join(f"w{part}x{i * 25 + k}qz" + "ab" * 20 for k in range(25)) for i in range(40)]
+        (a, bounds_a), (b, bounds_b) = two.encode(pa.array([*names, "  a b", "a  b", "é b"]))
+        held = max(held, sum(map(len, two.known)))
+    assert held < 2_500_000
+    for i, t in enumerate([*names, "  a b", "a  b", "é b"]):
+        assert a[bounds_a[i]:bounds_a[i + 1]].tolist() == two.a.encode(" " + t, add_special_tokens=False).ids
+        assert b[bounds_b[i]:bounds_b[i + 1]].tolist() == two.b.encode(t)
