@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from orderflow.llm.common import batches_of, few_bytes, keyed
+from orderflow.llm.common import batches_of, few_bytes, keyed, one_thread, packed, strings
 from orderflow.llm.token_fst import byte_names
 
 WINDOW = 2048
@@ -61,6 +61,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         if self._ids("of the") != self._ids("of") + self._ids("the") or self._ids(" \t\n\r\x0b\x0c"):
             raise ValueError("the tokenizer does not drop white space between words")
         self.markers = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
@@ -74,7 +75,7 @@ class WordTokens:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def _model_tokens(self, word: str) -> list:
-        return self.library.model.tokenize(word if word.isascii() else "".join(map(self.names.__getitem__, word.encode())))
+        return self.model.tokenize(word if word.isascii() else "".join(map(self.names.__getitem__, word.encode())))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (no nulls) in a row, and each text's first, and the end."""
@@ -87,7 +88,7 @@ class WordTokens:
                 low = pc.if_else(found, texts, low)
         split = pc.ascii_split_whitespace(low)
         words = split.flatten().dictionary_encode()
-        ids = self._ids_of(words.dictionary.to_pylist())
+        ids = self._ids_of(strings(words.dictionary, " "))
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]) // TOKEN_BYTES
         lists = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(ids), "<u4")))
         codes = words.indices
@@ -102,15 +103,15 @@ class WordTokens:
             return ids
         if self.chars > MEMO_CHARS:
             self.known, self.chars = {}, 0
-            new = words
         self._learn(new)
-        return list(map(self.known.__getitem__, words))
+        known = self.known
+        return [known[w] if x is None else x for w, x in zip(words, ids)]
 
     def _learn(self, words: list[str]) -> None:
-        packed = lambda ids: np.array(ids, "<u4").tobytes()
-        known, others, plain = self.known, [], PLAIN.fullmatch
+        known, others, plain, tokens_of = self.known, [], PLAIN.fullmatch, self._model_tokens
         for mark in MARKS - known.keys():
             known[mark] = packed(self._ids(mark))
+        chars = 0
         for w in words:
             stem = w[:-1] if w[-1:] in MARKS else w
             if not (self.plain and plain(stem)):
@@ -118,19 +119,21 @@ class WordTokens:
                 continue
             ids = known.get(stem)
             if ids is None:
-                ids = known[stem] = packed([t.id for t in self._model_tokens(stem)])
-                self.chars += len(stem)
+                ids = known[stem] = packed([t.id for t in tokens_of(stem)])
+                chars += len(stem)
             if stem is not w:
                 known[w] = ids + known[w[-1]]
-                self.chars += len(w)
+                chars += len(w)
         for at in range(0, len(others), 4096):
             some = others[at:at + 4096]
             known.update(zip(some, (packed(e.ids) for e in self.library.encode_batch_fast(some, add_special_tokens=False))))
-            self.chars += sum(map(len, some))
+            chars += sum(map(len, some))
+        self.chars += chars
 
 
 @functools.cache
 def word_tokens(path: str) -> WordTokens:
+    one_thread()
     return WordTokens(path)
 
 

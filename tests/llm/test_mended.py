@@ -2,9 +2,10 @@
 
 import gzip
 import math
+import os
 import random
 
-from orderflow.llm import alignment, itq, queries, warc
+from orderflow.llm import alignment, common, itq, packing, queries, warc
 
 
 def test_vectors_of_mixed_lengths_and_odd_components(spark):
@@ -103,3 +104,18 @@ def test_alignment_worker_remembers_few_words(monkeypatch):
     for i, t in enumerate([*names, "  a b", "a  b", "é b"]):
         assert a[bounds_a[i]:bounds_a[i + 1]].tolist() == two.a.encode(" " + t, add_special_tokens=False).ids
         assert b[bounds_b[i]:bounds_b[i + 1]].tolist() == two.b.encode(t)
+
+
+def test_packing_worker_spends_no_more_than_its_thread(monkeypatch):
+    """Words leave Arrow without a scalar each, and the library starts no threads."""
+    import pyarrow as pa
+
+    words = ["a", "", "é\x00", "\x1c", "漢字", "the."]
+    assert common.strings(pa.array(words), " ") == words and common.strings(pa.array([], pa.string()), " ") == []
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM")
+    packing.word_tokens.cache_clear()
+    tokens = packing.word_tokens(queries.vocabulary("word_bpe_49k.json"))
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    ids, bounds = tokens.encode(pa.array(["", " \t", "of, the"]))
+    assert bounds.tolist() == [0, 0, 0, 3] and ids.tolist() == tokens.library.encode("of, the", add_special_tokens=False).ids
