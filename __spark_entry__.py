@@ -458,10 +458,16 @@ def q_order_status_history(spark, d):
     return scd2_history(models.staged(spark, d), ["order_id"], "processed_at", ["status"], STG_TIEBREAK)
 
 
-def q_product_price_history(spark, d):
+def _price_versions(lineitem, skew_safe):
     from orderflow.operators.history import price_history, scd2_history
+    return scd2_history(price_history(lineitem), ["product_id"], "valid_from", ["price"], skew_safe=skew_safe)
+
+
+def q_product_price_history(spark, d):
+    from orderflow.operators.heavy import cut_heavy, heavy_keys
     from orderflow.sources.testdata import table
-    return scd2_history(price_history(table(spark, d, "lineitem")), ["product_id"], "valid_from", ["price"], skew_safe=True)
+    items = table(spark, d, "lineitem")
+    return cut_heavy(_price_versions, heavy_keys(items, "l_partkey"), (items, "l_partkey"))
 
 
 PRICE_WINDOW_DAYS = 30
@@ -469,19 +475,32 @@ PRICE_WINDOW_DAYS = 30
 
 def q_orders_around_price_change(spark, d):
     """Orders and daily order rates of a product in the 30 days before and
-    after each change of its price (a product may hold a third of all orders)."""
+    after each change of its price (a product may hold a third of all orders).
+    Price points and orders of a product are no more than its line items,
+    which say whether it is heavy."""
+    from orderflow.operators.heavy import cut_heavy, heavy_keys
     from orderflow.operators.intervals import orders_around_price_change
-    orders = models.fact(spark, d).select("product_id", "created_at")
-    return orders_around_price_change(q_product_price_history(spark, d), orders, PRICE_WINDOW_DAYS, skew_safe=True)
+    from orderflow.sources.testdata import table
+    items, orders = table(spark, d, "lineitem"), models.fact(spark, d).select("product_id", "created_at")
+
+    def around(some_items, some_orders, skew_safe):
+        return orders_around_price_change(_price_versions(some_items, skew_safe), some_orders, PRICE_WINDOW_DAYS, skew_safe=skew_safe)
+
+    return cut_heavy(around, heavy_keys(items, "l_partkey"), (items, "l_partkey"), (orders, "product_id"))
 
 
 def q_price_asof_order(spark, d):
+    from orderflow.operators.heavy import cut_heavy, heavy_keys
     from orderflow.operators.history import asof_join, price_history
     from orderflow.sources.testdata import table
     orders = models.fact(spark, d).select("order_id", "product_id", "created_at",
                                           F.col("unit_price").cast("double").alias("unit_price"))
-    return asof_join(orders, price_history(table(spark, d, "lineitem")), "product_id", "created_at",
-                     "valid_from", ["price"], skew_safe=True)
+    items = table(spark, d, "lineitem")
+
+    def priced(some_items, some_orders, skew_safe):
+        return asof_join(some_orders, price_history(some_items), "product_id", "created_at", "valid_from", ["price"], skew_safe=skew_safe)
+
+    return cut_heavy(priced, heavy_keys(items, "l_partkey"), (items, "l_partkey"), (orders, "product_id"))
 
 
 def q_change_counts_hourly(spark, d):

@@ -2,18 +2,24 @@
 
 How many events of a key fall into ``[from, to)`` is the difference of two
 running totals: those before ``to`` less those before ``from``.  Events and
-window ends are put into one sequence per key, the total runs along it, and
-each end picks up the total where it stands: one union and one sort, no range
-join, and a window costs two rows however many events it holds.
+points are put into one sequence per key, and the totals are taken over frames
+that grow along it.  Where a key is cut into slices, the window ends stand in
+the sequence in place of the points, and each picks up the total where it
+stands.  Either way one union and one sort, no range join, and a window costs
+at most two rows however many events it holds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sequence import _nulls_last_exprs, _range_slices, _same_key, _window
 
+# Units of one length, in microseconds.
+_MICROS = {"MICROSECOND": 1, "MILLISECOND": 1_000, "SECOND": 1_000_000, "MINUTE": 60_000_000, "HOUR": 3_600_000_000,
+           "DAY": 86_400_000_000, "WEEK": 604_800_000_000}
+
 
 def running_total(df: DataFrame, keys: list[str], order_cols: list[str], weight: str, alias: str,
                   skew_safe: bool = False, partitions: int | None = None) -> DataFrame:
@@ -60,6 +66,8 @@ def counts_around(points: DataFrame, events: DataFrame, key: str, at: str, event
             raise ValueError(f"window {name!r} ends before it begins")
     ends = sorted({e for w in windows.values() for e in w})
     spark_type = dict(points.dtypes)[at]
+    if not skew_safe and spark_type == "timestamp_ntz" and unit in _MICROS:
+        return _counts_by_frames(points.distinct(), events, key, at, event_ts, windows, _MICROS[unit])
     probe = F.explode(F.array(*[F.lit(e) for e in ends])).alias("__end")
     probes = points.where(F.col(key).isNotNull() & F.col(at).isNotNull()).distinct().select("*", probe)
     probes = probes.withColumn("__t", F.timestamp_add(unit, F.col("__end"), F.col(at)).cast(spark_type)) \
@@ -77,6 +85,31 @@ def counts_around(points: DataFrame, events: DataFrame, key: str, at: str, event
     return counted.unionByName(rest.select("*", *[F.lit(0).cast("bigint").alias(name) for name in windows]))
 
 
+def _counts_by_frames(points: DataFrame, events: DataFrame, key: str, at: str, event_ts: str,
+                      windows: dict[str, tuple[int, int]], micros: int) -> DataFrame:
+    """The counts where a key's rows are in one task: a point stands once in
+    its key's sequence, at its own time, and the total before an end is the sum
+    over the frame from the first row up to a microsecond before that end.
+    Such a frame only grows along the sequence, so each row is added to it once.
+    No event has a null key or time, so the totals of such points are equal.
+    """
+    ends = sorted({e for w in windows.values() for e in w})
+    both = points.select(F.col(key).alias("__k"), F.col(at).alias("__t"), F.struct(*points.columns).alias("__of")).unionByName(
+        events.where(F.col(key).isNotNull() & F.col(event_ts).isNotNull()).select(
+            F.col(key).alias("__k"), F.col(event_ts).cast("timestamp_ntz").alias("__t")), allowMissingColumns=True)
+
+    def total_before(end: int) -> Column:
+        last = end * micros - 1
+        seconds, rest = divmod(abs(last), 1_000_000)
+        bound = f"INTERVAL '{seconds}.{rest:06d}' SECOND {'FOLLOWING' if last >= 0 else 'PRECEDING'}"
+        return F.expr("count_if(__of IS NULL) OVER (PARTITION BY __k ORDER BY __t "
+                      f"RANGE BETWEEN UNBOUNDED PRECEDING AND {bound})").alias(f"__before_{ends.index(end)}")
+
+    totals = both.select("__of", *[total_before(e) for e in ends]).where(F.col("__of").isNotNull())
+    before = {e: F.col(f"__before_{i}") for i, e in enumerate(ends)}
+    return totals.select("__of.*", *[(before[b] - before[a]).alias(name) for name, (a, b) in windows.items()])
+
+
 def orders_around_price_change(versions: DataFrame, orders: DataFrame, days: int = 30, skew_safe: bool = False) -> DataFrame:
     """Orders of a product in the ``days`` before and after each change of its
     price, and their daily rates.
