@@ -127,11 +127,14 @@ def q_orders_with_versions(spark, d):
     """Each order with the versions of its customer and its product that were
     valid when it was created (a customer or product may hold a third of all
     orders)."""
+    from orderflow.operators.heavy import heavy_keys
     from orderflow.operators.history import with_versions
+    from orderflow.sources.testdata import table
+    heavy = {"customer": heavy_keys(table(spark, d, "orders"), "o_custkey"), "product": heavy_keys(table(spark, d, "lineitem"), "l_partkey")}
     orders = models.fact(spark, d, on_tie="one").select("order_id", "customer_id", "product_id", "created_at")
     return with_versions(orders, "created_at", {
         "customer": (q_customers_history(spark, d).withColumnRenamed("id", "customer_id"), "customer_id", ["country"]),
-        "product": (q_products_history(spark, d).withColumnRenamed("id", "product_id"), "product_id", ["price"])}, skew_safe=True)
+        "product": (q_products_history(spark, d).withColumnRenamed("id", "product_id"), "product_id", ["price"])}, heavy=heavy)
 
 
 def _wire_row_schema() -> T.StructType:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .heavy import cut_heavy
 from .sequence import fill_forward, with_neighbours
 
 
@@ -87,7 +88,7 @@ def history_with_deletes(df: DataFrame, keys: list[str], ts_col: str, tracked: l
 
 
 def with_versions(events: DataFrame, event_ts: str, histories: dict[str, tuple[DataFrame, str, list[str]]],
-                  skew_safe: bool = False) -> DataFrame:
+                  skew_safe: bool = False, heavy: dict[str, list] | None = None) -> DataFrame:
     """Events with the versions of several histories that were valid then.
 
     ``histories``: name -> (history, key, values); a history has the key under
@@ -100,6 +101,9 @@ def with_versions(events: DataFrame, event_ts: str, histories: dict[str, tuple[D
     with it, among that history's version starts; along each (history, key)
     the last start is carried forward; then the event's copies are put together
     again.  Two shuffles, whatever the number of histories.
+
+    ``heavy``: name -> keys (as of :func:`heavy_keys`) that are to take the
+    skew-safe plan where the others need not.
     """
     carried = [f"__v_{name}" for name in histories]
     nulls = {f"__v_{name}": F.lit(None).cast(h.select(F.struct("valid_from", "valid_to", *values).alias("v")).schema["v"].dataType)
@@ -117,7 +121,14 @@ def with_versions(events: DataFrame, event_ts: str, histories: dict[str, tuple[D
             *[(F.struct("valid_from", "valid_to", *values) if c == f"__v_{name}" else v).alias(c) for c, v in nulls.items()])
         rows = rows.unionByName(start)
     rows = rows.withColumn("__known", F.col("__at").isNotNull())
-    filled = fill_forward(rows, ["tag", "k"], ["__known", "__at", "__side"], carried, skew_safe=skew_safe).where(F.col("__side") == 1)
+
+    def fill(some: DataFrame, safe: bool) -> DataFrame:
+        return fill_forward(some, ["tag", "k"], ["__known", "__at", "__side"], carried, skew_safe=safe)
+
+    # the keys of all histories as one, which is NULL for NULL keys: they are heavy together
+    cut = [None if k is None else f"{name} {k}" for name, ks in (heavy or {}).items() for k in ks]
+    keyed = rows.withColumn("__key", F.concat("tag", F.lit(" "), "k"))
+    filled = (fill(rows, True) if skew_safe else cut_heavy(fill, cut, (keyed, "__key"))).where(F.col("__side") == 1)
     picked = []
     for name, (_, key, values) in histories.items():
         v = F.col(f"__v_{name}")

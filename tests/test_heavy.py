@@ -9,6 +9,7 @@ from pyspark.sql.classic.dataframe import DataFrame as Classic
 import __spark_entry__ as E
 from orderflow.operators import heavy
 from orderflow.operators.heavy import cut_heavy, heavy_keys, key_in
+from orderflow.operators.history import with_versions
 from orderflow.operators.intervals import counts_around
 
 T0 = dt.datetime(2020, 1, 1)
@@ -23,6 +24,10 @@ def tables(spark, tmp_dir):
     orders = [(k, k % 50, T0 + 9 * HOUR * (k % 333)) for k in range(620)]
     spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
                           "l_shipdate timestamp_ntz").write.parquet(tmp_dir + "/lineitem.parquet")
+    spark.createDataFrame([(k, f"Customer#{k:09d}", k % 25) for k in range(50)], "c_custkey long, c_name string, c_nationkey int") \
+        .write.parquet(tmp_dir + "/customer.parquet")
+    spark.createDataFrame([(k, f"part {k}", "type", k % 9, 10.0 + k) for k in range(42)], "p_partkey long, p_name string, p_type string, "
+                          "p_size int, p_retailprice double").write.parquet(tmp_dir + "/part.parquet")
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(tmp_dir + "/orders.parquet")
     return tmp_dir
 
@@ -55,7 +60,7 @@ def test_every_row_goes_to_one_side(spark):
     assert seen == [False, True] and {(r.k, r.safe) for r in got.collect()} == {(None, False), (1, False), (2, True), (3, False)}
 
 
-@pytest.mark.parametrize("name", ["orders_around_price_change", "product_price_history", "price_asof_order"])
+@pytest.mark.parametrize("name", ["orders_around_price_change", "product_price_history", "price_asof_order", "orders_with_versions"])
 def test_only_heavy_keys_are_sliced(spark, tables, checkpoints, monkeypatch, name):
     """Slices of all rows made four checkpoints of nearly all line items for small keys."""
     rows = lambda: sorted(map(str, E.queries()[name](spark, tables).collect()))
@@ -65,6 +70,19 @@ def test_only_heavy_keys_are_sliced(spark, tables, checkpoints, monkeypatch, nam
     assert rows() == plain and checkpoints
 
 
+def test_versions_of_heavy_keys_are_sliced_alone(spark, checkpoints):
+    keys = [None, 1, 1, 1, 2, 3]
+    versions = [(k, f"{k} {n}", T0 + n * 50 * HOUR, T0 + (n * 50 + 40) * HOUR) for k in (1, 2) for n in range(5)]
+    events = spark.createDataFrame([(i, keys[i % 6], keys[i % 5], T0 + i * HOUR) for i in range(240)], "i long, x long, y long, at timestamp_ntz")
+    of = lambda key: (spark.createDataFrame(versions, f"{key} long, v string, valid_from timestamp_ntz, valid_to timestamp_ntz"), key, ["v"])
+    rows = lambda **kw: sorted(map(str, with_versions(events, "at", {"a": of("x"), "b": of("y")}, **kw).collect()))
+    plain = rows()
+    assert len(plain) == 240 and rows(heavy={"a": [], "b": []}) == plain and not checkpoints
+    for heavy_of in ({"a": [1]}, {"a": [None], "b": [1, 2]}):
+        del checkpoints[:]
+        assert rows(heavy=heavy_of) == plain and len(checkpoints) == 1
+
+
 def test_a_point_stands_once_in_its_sequence(spark):
     points = spark.createDataFrame([(1, T0)], "k long, at timestamp_ntz")
     events = spark.createDataFrame([(1, T0)], "k long, t timestamp_ntz")
