@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 import struct
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +67,22 @@ def one_thread() -> None:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
+#: How to forget what the operator named remembers in this worker.
+_REMEMBERS: dict[str, Callable[[], None]] = {}
+
+
+def only_memory(operator: str, forget: Callable[[], None] | None = None) -> None:
+    """A Python worker runs the tasks of one operator after those of another.
+    Called as a task of ``operator`` begins: what others remember here goes,
+    with the memory that Arrow keeps of earlier batches; ``forget`` drops what
+    this one is about to remember between its tasks."""
+    for other in _REMEMBERS.keys() - {operator}:
+        _REMEMBERS.pop(other)()
+    pa.default_memory_pool().release_unused()
+    if forget:
+        _REMEMBERS[operator] = forget
+
+
 def packed(ids: list[int]) -> bytes:
     """Ids as little-endian 32-bit integers."""
     return struct.pack(f"<{len(ids)}I", *ids)

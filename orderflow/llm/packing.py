@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from orderflow.llm.common import batches_of, few_bytes, keyed, one_thread, packed, strings
+from orderflow.llm.common import batches_of, few_bytes, keyed, one_thread, only_memory, packed, strings
 from orderflow.llm.token_fst import byte_names
 
 WINDOW = 2048
@@ -35,7 +35,7 @@ MOST_OPEN = 4096
 #: The id that ends each document.
 END_ID = 1
 #: Characters of the words whose ids a worker remembers; then it starts anew.
-MEMO_CHARS = 4_000_000
+MEMO_CHARS = 1_000_000
 #: Bytes of texts that are tokenised at a time (a longer text goes alone).
 AT_ONCE = 1 << 20
 #: Finished sequences that a task gathers before it hands them on.
@@ -267,6 +267,7 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 32
+        only_memory("packing", word_tokens.cache_clear)
         words, packer = word_tokens(tokenizer_path), Packer(window, most_open)
         end = np.array([END_ID], "<u4").tobytes()
         n_rows = n_sequences = 0

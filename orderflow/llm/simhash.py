@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import (LocalComponents, batches_of, complete_groups, in_parts, keyed, numbered, pairs_in_groups, stored)
+from orderflow.llm.common import (LocalComponents, batches_of, complete_groups, in_parts, keyed, numbered, only_memory,
+                                  pairs_in_groups, stored)
 from orderflow.llm.components import connected_components
 
 BITS = 64
@@ -70,6 +71,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memory("simhash")
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), words) for t in b.column("text")], np.uint64)
             yield pa.record_batch([b.column("id").cast(pa.int64()), pa.array(fp.view(np.int64))], schema=schema)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from orderflow.llm.common import keyed, numbered, stored
+from orderflow.llm.common import keyed, numbered, only_memory, stored
 
 #: The bound of the sample that is learnt from, for each label.
 PER_CLASS = 4096
@@ -54,7 +54,9 @@ EVIDENCE = 3
 #: Blocks that are read along between two that have to be.
 GAP = 3
 #: Words that a worker remembers for one index.
-MEMO = 200_000
+MEMO = 64_000
+#: Short texts whose results it remembers.
+MEMO_TEXTS = 20_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -72,15 +74,16 @@ def term_counts(text: str | None) -> Counter:
     return out
 
 
-_MEMORY: dict[str, tuple[dict, dict]] = {}
+_MEMORY: dict[str, tuple[dict, dict, dict]] = {}
 
 
-def memory(name: str) -> tuple[dict, dict]:
-    """What this worker remembers for an index: words, and results of short
-    texts.  Only the last index used has any."""
+def memory(name: str) -> tuple[dict, dict, dict]:
+    """What this worker remembers for an index: words, results of short texts,
+    and what words count as, one object for all words that count alike.  Only
+    the last index used has any."""
     if name not in _MEMORY:
         _MEMORY.clear()
-        _MEMORY[name] = ({}, {})
+        _MEMORY[name] = ({}, {}, {})
     return _MEMORY[name]
 
 
@@ -168,14 +171,14 @@ class Index:
         """Counts of the vocabulary's terms in a whole text; the last is the
         background, all words without any."""
         total, out = 0, Counter()
-        words = memory(self.name)[0]
+        words, _, alike = memory(self.name)
         for word, n in Counter((text or "").lower().split()).items():
             known = words.get(word)
             if known is None:
                 found = WORD.findall(word)
                 known = (len(found), tuple(self.terms[t] for w in found for t in terms_of(w) if t in self.terms))
                 if len(words) < MEMO:
-                    words[word] = known
+                    words[word] = alike.setdefault(known, known)
             total += n * known[0]
             for t in known[1]:
                 out[t] += n
@@ -195,7 +198,7 @@ class Index:
         if known is None:
             near = self.nearest(*self.vector(counts), NEIGHBOURS)
             known = (self.probability(self.vote(near)), near[:EVIDENCE])
-            if len(key) <= 4 and len(seen) < MEMO // 10:
+            if len(key) <= 4 and len(seen) < MEMO_TEXTS:
                 seen[key] = known
         return known
 
@@ -337,6 +340,7 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = held.value
+        only_memory("toxicity", _MEMORY.clear)
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 some = b.slice(at, 1024)

@@ -1,11 +1,12 @@
 """Vectors of mixed lengths and sizes, damaged and empty archives."""
 
 import gzip
+import itertools
 import math
 import os
 import random
 
-from orderflow.llm import alignment, common, itq, packing, queries, warc
+from orderflow.llm import alignment, common, itq, packing, queries, simhash, toxicity, warc
 
 
 def test_vectors_of_mixed_lengths_and_odd_components(spark):
@@ -119,3 +120,39 @@ def test_packing_worker_spends_no_more_than_its_thread(monkeypatch):
     assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
     ids, bounds = tokens.encode(pa.array(["", " \t", "of, the"]))
     assert bounds.tolist() == [0, 0, 0, 3] and ids.tolist() == tokens.library.encode("of, the", add_special_tokens=False).ids
+
+
+def test_worker_of_the_pipeline_remembers_little_and_of_one_operator(spark, monkeypatch):
+    """Toxicity, fingerprints and packing run in the same workers, one after
+    the other: few words are kept, and none of an operator before."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import pyspark
+    from pyspark.sql import types as T
+
+    class Docs:  # an operator's own function, to be run here as in one worker
+        schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
+        columns = ["id", "text"]
+        sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x)))
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, ddl: run
+
+    monkeypatch.setattr(pyspark, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = ["".join(x) for x in itertools.islice(itertools.product("abcdefghijklmnopqrst", repeat=5), 200_000)]
+    batch = pa.record_batch({"id": pa.array(range(100)), "text": [" ".join(f"{w}zzzzzzzz" for w in texts[i::100]) for i in range(100)]})
+    index = toxicity.build_index([("1", 1, {"bad": 2, "": 3}), ("2", 0, {"": 5})], ["bad"], [1], (1.0, 1.0), 0.5)
+
+    packing.word_tokens.cache_clear()
+    assert sum(b.num_rows for b in toxicity.score(Docs(), index, "id", keep=True)(iter([batch]))) == 100
+    words = toxicity._MEMORY[index.name][0]
+    assert 0 < len(words) <= 64_000 and len({id(x) for x in words.values()}) == 1
+
+    pieces = list(packing.pack(Docs(), queries.vocabulary("word_bpe_49k.json"), "id")(iter([batch])))
+    assert sum(sum(b.column("length").to_pylist()) for b in pieces) > 100_000
+    assert not toxicity._MEMORY
+    tokens = packing.word_tokens(queries.vocabulary("word_bpe_49k.json"))
+    assert 0 < sum(map(len, tokens.known)) < 1_500_000
+
+    assert sum(b.num_rows for b in simhash.fingerprints(Docs(), "id")(iter([batch]))) == 100
+    assert packing.word_tokens.cache_info().currsize == 0
