@@ -15,6 +15,9 @@ from orderflow.llm.common import stored
 from orderflow.llm.queries import MAX_BITS, SHINGLE_WORDS, table, vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Characters of words that a packing worker remembers here, where the
+#: executors are full of other stages' memory.
+MEMO_CHARS = 1_000_000
 #: The stages' work (scores, fingerprints, draws) has no SQL form.
 ORACLE_SQL = None
 
@@ -45,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of token ids, a row per piece."""
-    pieces = packing.pack(docs, vocabulary("word_bpe_49k.json"))
+    pieces = packing.pack(docs, vocabulary("word_bpe_49k.json"), memo_chars=MEMO_CHARS)
     return pieces.select(F.col("id").alias("doc_id"), "row", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
 
 

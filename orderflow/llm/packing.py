@@ -57,7 +57,7 @@ class WordTokens:
     ones of its model alone, which is what it does with them in the end.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_chars: int = MEMO_CHARS):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -69,7 +69,7 @@ class WordTokens:
         probe = ["thouinor", "zqxj", "a", "straße", "élève", "çoë", "ñandú"]
         self.plain = all([t.id for t in self._model_tokens(w)] == self._ids(w) for w in probe)
         self.known: dict[str, bytes] = {}
-        self.chars = 0
+        self.chars, self.memo_chars = 0, memo_chars
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -101,7 +101,7 @@ class WordTokens:
         new = [w for w, x in zip(words, ids) if x is None]
         if not new:
             return ids
-        if self.chars > MEMO_CHARS:
+        if self.chars > self.memo_chars:
             self.known, self.chars = {}, 0
         self._learn(new)
         known = self.known
@@ -132,9 +132,9 @@ class WordTokens:
 
 
 @functools.cache
-def word_tokens(path: str) -> WordTokens:
+def word_tokens(path: str, memo_chars: int = MEMO_CHARS) -> WordTokens:
     one_thread()
-    return WordTokens(path)
+    return WordTokens(path, memo_chars)
 
 
 class Packer:
@@ -244,7 +244,7 @@ def powers_of_two(pieces: list, length: int) -> list[list]:
 
 
 def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, most_open: int = MOST_OPEN) -> DataFrame:
+         window: int = WINDOW, most_open: int = MOST_OPEN, memo_chars: int = MEMO_CHARS) -> DataFrame:
     """A row per piece: id, row (the document's number in the result), start,
     length, ids (binary, little-endian 32-bit), doc_tokens, sequence_id,
     offset.
@@ -257,6 +257,8 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
     them apart).  An empty table gives no rows; other columns are not read.
     The order of the rows in a partition decides the result: read from files,
     it is the files' order, so a task that is run again packs alike.
+    ``memo_chars`` (characters of words that a worker remembers) trades its
+    memory for time and changes no result.
     """
     id_type = df.schema[id_col].dataType
     rows = keyed(df, id=id_col, text=text_col)
@@ -268,7 +270,7 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
 
         base = TaskContext.get().partitionId() << 32
         only_memory("packing", word_tokens.cache_clear)
-        words, packer = word_tokens(tokenizer_path), Packer(window, most_open)
+        words, packer = word_tokens(tokenizer_path, memo_chars), Packer(window, most_open)
         end = np.array([END_ID], "<u4").tobytes()
         n_rows = n_sequences = 0
 

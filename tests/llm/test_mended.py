@@ -6,6 +6,7 @@ import math
 import os
 import random
 
+import corpus_pipeline
 from orderflow.llm import alignment, common, itq, packing, queries, simhash, toxicity, warc
 
 
@@ -148,9 +149,10 @@ def test_worker_of_the_pipeline_remembers_little_and_of_one_operator(spark, monk
     words = toxicity._MEMORY[index.name][0]
     assert 0 < len(words) <= 64_000 and len({id(x) for x in words.values()}) == 1
 
-    pieces = list(packing.pack(Docs(), queries.vocabulary("word_bpe_49k.json"), "id")(iter([batch])))
+    pieces = list(packing.pack(Docs(), queries.vocabulary("word_bpe_49k.json"), "id", memo_chars=corpus_pipeline.MEMO_CHARS)(iter([batch])))
     assert sum(sum(b.column("length").to_pylist()) for b in pieces) > 100_000
     assert not toxicity._MEMORY
-    assert packing.word_tokens.cache_info().currsize == 1
+    tokens = packing.word_tokens(queries.vocabulary("word_bpe_49k.json"), corpus_pipeline.MEMO_CHARS)
+    assert packing.word_tokens.cache_info().currsize == 1 and 0 < sum(map(len, tokens.known)) < 2_000_000  # of 2.6 million
     assert sum(b.num_rows for b in simhash.fingerprints(Docs(), "id")(iter([batch]))) == 100
     assert packing.word_tokens.cache_info().currsize == 0
